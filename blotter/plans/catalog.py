@@ -211,7 +211,7 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     from blotter.plans.pipeline import quality_report
 
-    return quality_report(int_crimes(spark, sf_dir), crime_map(spark, sf_dir), timings(spark, sf_dir))
+    return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

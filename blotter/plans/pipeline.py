@@ -15,6 +15,7 @@ fused into the flatten stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.operators import flatten, marts, quality, staging
 from blotter.schemas import DATASETS
@@ -30,27 +31,33 @@ _STAGE = {
 }
 
 
-def quality_report(int_crimes: DataFrame, crime_map: DataFrame, timings: DataFrame) -> DataFrame:
-    """The checks of the crime models as one report (model, check_name, column_name, failures):
-    the declared not-null and unique tests of the marts, plus type conformance of the text
-    columns the marts convert (months as ``yyyy-MM``, coordinates as numbers)."""
-    return quality.union_reports(
+def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
+    """The checks of the crime models as one report (model, check_name, column_name, failures).
+
+    * ``int_crimes``: type conformance of the text columns the marts convert (months as
+      ``yyyy-MM``, coordinates as numbers);
+    * ``mart_crime_map``: the declared not-null tests and the unique test of ``crime_id``.
+      The map is a projection of ``int_crimes`` (same rows, same values), so its checks run
+      in the same single pass;
+    * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows.
+    """
+    month = lambda c: F.col(c).isNotNull() & F.try_to_date(F.col(c), "yyyy-MM").isNull()
+    number = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
+    crimes = quality.combined_checks(
+        int_crimes,
         [
-            quality.type_checks(
-                int_crimes,
-                "int_crimes",
-                {
-                    "crime_month": "month",
-                    "latest_outcome_date": "month",
-                    "crime_latitude": "double",
-                    "crime_longitude": "double",
-                },
-            ),
-            quality.not_null_checks(crime_map, "mart_crime_map", ["crime_id", "crime_latitude", "crime_longitude"]),
-            quality.unique_check(crime_map, "mart_crime_map", "crime_id"),
-            quality.not_null_checks(timings, "mart_outcome_timings", ["crime_month", "crime_category"]),
-        ]
+            ("int_crimes", "type", "crime_month", month("crime_month")),
+            ("int_crimes", "type", "latest_outcome_date", month("latest_outcome_date")),
+            ("int_crimes", "type", "crime_latitude", number("crime_latitude")),
+            ("int_crimes", "type", "crime_longitude", number("crime_longitude")),
+            ("mart_crime_map", "not_null", "crime_id", F.col("crime_id").isNull()),
+            ("mart_crime_map", "not_null", "crime_latitude", F.col("crime_latitude").isNull()),
+            ("mart_crime_map", "not_null", "crime_longitude", F.col("crime_longitude").isNull()),
+        ],
+        unique=("mart_crime_map", "crime_id"),
     )
+    marts_ = quality.not_null_checks(timings, "mart_outcome_timings", ["crime_month", "crime_category"])
+    return quality.union_reports([crimes, marts_])
 
 
 def load_raw(spark: SparkSession, records: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
@@ -104,9 +111,7 @@ def build_all(
         df.write.mode("overwrite").parquet(path)
         mart_paths[model] = path
 
-    report = quality_report(
-        ic, spark.read.parquet(mart_paths["mart_crime_map"]), spark.read.parquet(mart_paths["mart_outcome_timings"])
-    )
+    report = quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]))
     report_path = f"{root}/checks/report"
     report.coalesce(1).write.mode("overwrite").parquet(report_path)
     return {

@@ -51,14 +51,16 @@ class Dataset:
 
     ``transforms`` holds SQL expressions over the landing record; columns without one are
     taken as they are. ``nested`` lists the columns that arrive as JSON objects.
-    ``month_source`` is an expression for the batch month when rows are built without a
-    landing folder (the landing folder name is the batch month otherwise).
+    ``landing_key`` names the month folders of the landing zone (``<key>=<yyyy-MM>``); it
+    must differ from every record field, since a folder value would shadow a field of the
+    same name.
     """
 
     name: str
     columns: tuple[tuple[str, T.DataType], ...]
     transforms: dict[str, str] = field(default_factory=dict)
     nested: tuple[str, ...] = ()
+    landing_key: str = LANDING_PARTITION
 
     @property
     def data_columns(self) -> list[str]:
@@ -69,10 +71,10 @@ class Dataset:
 
     def landing_schema(self) -> T.StructType:
         """Reader schema: nested objects declared as text, so the reader hands back JSON
-        text; the batch month comes from the ``date=`` folder; broken lines are kept."""
+        text; broken lines are kept in ``_corrupt_record``. The batch month is not a field:
+        it comes from the folder name."""
         fields = [T.StructField(c, t) for c, t in self.columns if c not in (MONTH_COL, LOADED_AT)]
         fields.append(T.StructField(CORRUPT_COL, S))
-        fields.append(T.StructField(LANDING_PARTITION, S))
         return T.StructType(fields)
 
 
@@ -109,6 +111,8 @@ OUTCOMES = Dataset(
     ),
     transforms={"category": "to_json(category)", "crime": "to_json(crime)"},
     nested=("category", "crime"),
+    # outcome records carry their own ``date`` field, so their month folders use another key
+    landing_key=MONTH_COL,
 )
 
 STOPS = Dataset(

@@ -1,9 +1,13 @@
-"""Landing zone: one folder per dataset and batch month, ``<root>/<dataset>/date=<yyyy-MM>/``.
+"""Landing zone: one folder per dataset and batch month, ``<root>/<dataset>/<key>=<yyyy-MM>/``.
 
 The landing write stores API-shaped records as JSON Lines, partitioned by batch month with
 dynamic overwrite, so a re-run of a month replaces that month's files and leaves the others.
+
 The landing read takes a fixed schema (nested objects as text), keeps broken lines in
-``_corrupt_record``, and reads every month of a dataset in one scan.
+``_corrupt_record``, and reads every month of a dataset in one scan. It globs the month
+folders instead of relying on partition discovery and takes the batch month from each
+file's path: with discovery, a folder named ``date=`` would silently replace the ``date``
+field of outcome records.
 """
 
 from __future__ import annotations
@@ -11,46 +15,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.schemas import CORRUPT_COL, DATASETS, LANDING_PARTITION, MONTH_COL, Dataset
+from blotter.schemas import CORRUPT_COL, DATASETS, MONTH_COL, Dataset
+
+
+def _ds(dataset: str | Dataset) -> Dataset:
+    return DATASETS[dataset] if isinstance(dataset, str) else dataset
 
 
 def dataset_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset}"
 
 
-def write_landing(records: DataFrame, root: str, dataset: str, month_col: str = MONTH_COL) -> None:
-    """Write API-shaped records to ``<root>/<dataset>/date=<month>/``.
+def write_landing(
+    records: DataFrame, root: str, dataset: str | Dataset, month_col: str = MONTH_COL, key: str | None = None
+) -> None:
+    """Write API-shaped records to ``<root>/<dataset>/<key>=<month>/``.
 
     Rows are rebalanced on the month before the write so each month lands in few files
     rather than one small file per task and month (AQE splits an oversized month over
     several tasks); only the months present in ``records`` are replaced (dynamic overwrite).
     """
-    out = records.withColumnRenamed(month_col, LANDING_PARTITION)
+    ds = _ds(dataset)
+    key = key or ds.landing_key
+    if key != month_col and key in records.columns:
+        raise ValueError(f"landing key {key!r} is also a field of the {ds.name} records")
+    out = records.withColumnRenamed(month_col, key)
     (
-        out.hint("rebalance", LANDING_PARTITION)
+        out.hint("rebalance", key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "true")
-        .partitionBy(LANDING_PARTITION)
-        .json(dataset_path(root, dataset))
+        .partitionBy(key)
+        .json(dataset_path(root, ds.name))
     )
 
 
-def _existing_month_dirs(spark: SparkSession, path: str, months: list[str] | None) -> list[str]:
-    """Month folders that exist. A month with no folder is a missing batch: left out."""
+def _month_paths(spark: SparkSession, path: str, key: str, months: list[str] | None) -> list[str]:
+    """Month folders to read. A month with no folder is a missing batch and is left out."""
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
     if months is None:
-        return [path]
-    found = []
-    for m in months:
-        p = f"{path}/{LANDING_PARTITION}={m}"
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(p)):
-            found.append(p)
-    return found
+        pattern = f"{path}/{key}=*"
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern))
+        return [pattern] if found is not None and len(found) > 0 else []
+    return [f"{path}/{key}={m}" for m in months if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={m}"))]
 
 
 def read_landing(
@@ -59,24 +68,28 @@ def read_landing(
     dataset: str | Dataset,
     months: list[str] | None = None,
     multiline: bool = False,
+    key: str | None = None,
 ) -> DataFrame:
-    """Scan landing JSON of one dataset with its fixed schema.
+    """Scan landing JSON of one dataset with its fixed schema; adds ``ingest_year_month``.
 
     ``months=None`` reads every month folder in one scan; a list reads only those folders
-    (missing ones are skipped, as a missing batch keeps the rows already loaded).
-    ``multiline`` is needed only for arrays broken over several lines.
+    (missing ones are skipped: a missing batch keeps the rows already loaded). ``multiline``
+    is needed only for arrays broken over several lines. ``key`` overrides the dataset's
+    folder key (e.g. ``date`` for zones written with that layout).
     """
-    ds = DATASETS[dataset] if isinstance(dataset, str) else dataset
+    ds = _ds(dataset)
+    key = key or ds.landing_key
     path = dataset_path(root, ds.name)
-    paths = _existing_month_dirs(spark, path, months)
+    paths = _month_paths(spark, path, key, months)
     schema = ds.landing_schema()
     if not paths:
-        return spark.createDataFrame([], schema)
-    reader = (
+        return spark.createDataFrame([], schema).withColumn(MONTH_COL, F.lit(None).cast("string"))
+    df = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
         .option("multiLine", str(multiline).lower())
-        .option("basePath", path)
+        .json(paths)
     )
-    return reader.json(paths)
+    month = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)/[^/]*$", 1)
+    return df.withColumn(MONTH_COL, month)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.schemas import DATASETS, LANDING_PARTITION, LOADED_AT, MONTH_COL, Dataset
+from blotter.schemas import DATASETS, LOADED_AT, MONTH_COL, Dataset
 
 
 def _dataset(dataset: str | Dataset) -> Dataset:
@@ -23,29 +23,25 @@ def raw_select(records: DataFrame, dataset: str | Dataset, month: str | None = N
     """Project API-shaped or landing rows onto the raw table's columns, in table order.
 
     * ``ingest_year_month``: the literal ``month`` if given, else the row's batch month
-      (``ingest_year_month`` or the landing ``date`` folder), so all months load in one job.
+      (``ingest_year_month``, set by the adapters and the landing scan), so all months load
+      in one job.
     * ``loaded_at``: ``current_timestamp()``.
     * transformed columns: the dataset's SQL expression, applied only when the input column
       is still nested (a landing read already hands nested values back as text).
     * other columns: cast to the declared type.
     """
     ds = _dataset(dataset)
-    names = set(records.columns)
+    types = {f.name: f.dataType for f in records.schema.fields}
     cols = []
     for name, dtype in ds.columns:
         if name == MONTH_COL:
-            if month is not None:
-                src = F.lit(month)
-            elif MONTH_COL in names:
-                src = F.col(MONTH_COL)
-            else:
-                src = F.col(LANDING_PARTITION)
+            src = F.lit(month) if month is not None else F.col(MONTH_COL)
             cols.append(src.cast("string").alias(name))
         elif name == LOADED_AT:
             cols.append(F.current_timestamp().alias(name))
-        elif name not in names:
+        elif name not in types:
             cols.append(F.lit(None).cast(dtype).alias(name))
-        elif name in ds.transforms and records.schema[name].dataType.typeName() != "string":
+        elif name in ds.transforms and types[name].typeName() != "string":
             cols.append(F.expr(ds.transforms[name]).cast(dtype).alias(name))
         else:
             cols.append(F.col(name).cast(dtype).alias(name))
