@@ -1,0 +1,127 @@
+"""The whole build, its checks, the streaming month replace, and plan shapes."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from blotter.plans.pipeline import build_all
+from blotter.session import scratch_path
+from blotter.sources.fixtures import api_records
+from blotter.sources.landing import write_landing
+from blotter.sources.raw import read_raw
+from blotter.streaming import start_month_replace
+from tests.conftest import SMOKE_DIR
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    return build_all(spark, sf_dir=SMOKE_DIR)
+
+
+def test_build_marts_equal_lazy_queries(spark, built):
+    qs = E.queries()
+    for model in ["mart_crime_map", "mart_outcome_timings", "mart_outcome_mix", "mart_reason_trends"]:
+        written = spark.read.parquet(built["mart"][model])
+        lazy = qs[model](spark, SMOKE_DIR)
+        assert _rows(written.select(*lazy.columns)) == _rows(lazy), model
+
+
+def test_build_report(duck, built):
+    rep = {(r["model"], r["check_name"], r["column_name"]): r["failures"] for r in built["report"].collect()}
+    no_location = duck.execute("SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0").fetchone()[0]
+    assert rep[("mart_crime_map", "not_null", "crime_latitude")] == no_location > 0
+    assert rep[("mart_crime_map", "unique", "crime_id")] == 0
+    assert rep[("int_crimes", "type", "crime_month")] == 0
+    assert sum(v for (m, c, _), v in rep.items() if m == "mart_outcome_timings") == 0
+
+
+def test_row_counts_conserved_between_layers(spark, built):
+    for name, model in [("crime_data", "int_crimes"), ("outcome_data", "int_outcomes"), ("stop_and_search_data", "int_stop_search")]:
+        raw_n = read_raw(spark, built["raw"][name], name).count()
+        assert raw_n == spark.read.parquet(built["int"][model]).count() == api_records(spark, SMOKE_DIR, name).count()
+
+
+def test_build_from_landing_equals_build_from_tables(spark, built):
+    root = scratch_path(spark, "landing")
+    for name in ["crime_data", "outcome_data", "stop_and_search_data"]:
+        write_landing(api_records(spark, SMOKE_DIR, name), root, name)
+    from_landing = build_all(spark, landing_root=root)
+    for model, path in built["mart"].items():
+        assert _rows(spark.read.parquet(path)) == _rows(spark.read.parquet(from_landing["mart"][model])), model
+
+
+def test_outcome_landing_keeps_record_date(spark):
+    root = scratch_path(spark, "landing")
+    recs = api_records(spark, SMOKE_DIR, "outcome_data")
+    write_landing(recs, root, "outcome_data")
+    with pytest.raises(ValueError):
+        write_landing(recs, root, "outcome_data", key="date")
+
+
+def test_stream_replaces_months_incrementally(spark):
+    root = scratch_path(spark, "landing")
+    table = scratch_path(spark, "raw") + "/crime_data"
+    ckpt = scratch_path(spark, "stream")
+    recs = api_records(spark, SMOKE_DIR, "crime_data")
+    write_landing(recs, root, "crime_data")
+    start_month_replace(spark, root, "crime_data", table, ckpt).awaitTermination(300)
+    first = read_raw(spark, table, "crime_data")
+    assert first.count() == recs.count()
+    # the landing month is re-written with changed rows: only that month changes
+    month = "1996-03"
+    changed = recs.where(F.col("ingest_year_month") == month).withColumn("context", F.lit("late outcome"))
+    write_landing(changed, root, "crime_data")
+    start_month_replace(spark, root, "crime_data", table, ckpt).awaitTermination(300)
+    after = read_raw(spark, table, "crime_data")
+    assert after.count() == recs.count()
+    ctx = {r["ingest_year_month"]: r["c"] for r in after.groupBy("ingest_year_month").agg(F.max("context").alias("c")).collect()}
+    assert ctx[month] == "late outcome" and all(v == "" for m, v in ctx.items() if m != month)
+
+
+# --- plan shapes ----------------------------------------------------------------------------
+
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cartesian_or_python(spark, name):
+    plan = E.queries()[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    for pat in FORBIDDEN:
+        assert pat not in plan, (name, pat)
+
+
+def test_month_filter_reaches_parquet_scan(spark, built):
+    from blotter.functions.months import month_filter
+    from blotter.operators import serving
+
+    timings = spark.read.parquet(built["mart"]["mart_outcome_timings"])
+    plan = serving.outcome_summary(timings, "1996-03")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(crime_month,1996-03\)", plan)
+    cm = month_filter(spark.read.parquet(built["mart"]["mart_crime_map"]), "crime_month", "1996-03")
+    plan = serving.map_summary(serving.map_points(cm))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(crime_month,1996-03)" in plan
+    # column pruning: the summary reads 5 of the map's 7 columns
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", plan).group(1)
+    assert "latest_outcome_category" not in read
+
+
+def test_top_k_and_semi_join_shapes(spark):
+    q = E.queries()
+    plan = q["top_objects"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    plan = q["outcome_mix_top_objects"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_raw_month_filter_prunes_partitions(spark, built):
+    raw = read_raw(spark, built["raw"]["crime_data"], "crime_data").where(F.col("ingest_year_month") == "1996-03")
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ingest_year_month", plan)
