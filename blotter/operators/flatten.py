@@ -9,77 +9,96 @@ actually reads.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.schemas import CRIME_REF, LOCATION, OUTCOME_CATEGORY, OUTCOME_OBJECT, OUTCOME_STATUS
 
 
-def parse_json(df: DataFrame, specs: dict[str, tuple[str, object]]) -> DataFrame:
+def parse_json(df: DataFrame, specs: dict[str, tuple[str, T.StructType]]) -> DataFrame:
     """Add one parsed struct column per ``{new_name: (text_column, schema)}``."""
-    return df.withColumns({name: F.from_json(F.col(src), schema) for name, (src, schema) in specs.items()})
+    return df.selectExpr("*", *[f"from_json(`{src}`, '{schema.simpleString()}') AS `{name}`" for name, (src, schema) in specs.items()])
+
+
+def _flat(parsed: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """Select (expression, output name) pairs; plain names pass through."""
+    return parsed.selectExpr(*[e if e == out else f"{e} AS `{out}`" for e, out in columns])
 
 
 def int_crimes(stg: DataFrame) -> DataFrame:
     p = parse_json(stg, {"loc": ("location", LOCATION), "oc": ("outcome_status", OUTCOME_STATUS)})
-    return p.select(
-        "crime_id",
-        "persistent_id",
-        "crime_category",
-        "crime_month",
-        "location_type",
-        "location_subtype",
-        "context",
-        F.col("loc.latitude").alias("crime_latitude"),
-        F.col("loc.longitude").alias("crime_longitude"),
-        F.col("loc.street.id").alias("crime_street_id"),
-        F.col("loc.street.name").alias("crime_street_name"),
-        F.col("oc.category").alias("latest_outcome_category"),
-        F.col("oc.date").alias("latest_outcome_date"),
+    return _flat(
+        p,
+        [
+            ("crime_id", "crime_id"),
+            ("persistent_id", "persistent_id"),
+            ("crime_category", "crime_category"),
+            ("crime_month", "crime_month"),
+            ("location_type", "location_type"),
+            ("location_subtype", "location_subtype"),
+            ("context", "context"),
+            ("loc.latitude", "crime_latitude"),
+            ("loc.longitude", "crime_longitude"),
+            ("loc.street.id", "crime_street_id"),
+            ("loc.street.name", "crime_street_name"),
+            ("oc.category", "latest_outcome_category"),
+            ("oc.date", "latest_outcome_date"),
+        ],
     )
 
 
 def int_outcomes(stg: DataFrame) -> DataFrame:
     p = parse_json(stg, {"cat": ("category", OUTCOME_CATEGORY), "cr": ("crime", CRIME_REF)})
-    return p.select(
-        F.col("cat.code").alias("outcome_category_code"),
-        F.col("cat.name").alias("outcome_category_name"),
-        "outcome_date",
-        "person_id",
-        F.col("cr.id").alias("crime_id"),
-        F.col("cr.persistent_id").alias("crime_persistent_id"),
-        F.col("cr.category").alias("crime_category"),
-        F.col("cr.location_type").alias("crime_location_type"),
-        F.col("cr.location_subtype").alias("crime_location_subtype"),
-        F.col("cr.context").alias("crime_context"),
-        F.col("cr.month").alias("crime_month"),
-        F.col("cr.location.latitude").alias("crime_latitude"),
-        F.col("cr.location.longitude").alias("crime_longitude"),
-        F.col("cr.location.street.id").alias("crime_street_id"),
-        F.col("cr.location.street.name").alias("crime_street_name"),
+    return _flat(
+        p,
+        [
+            ("cat.code", "outcome_category_code"),
+            ("cat.name", "outcome_category_name"),
+            ("outcome_date", "outcome_date"),
+            ("person_id", "person_id"),
+            ("cr.id", "crime_id"),
+            ("cr.persistent_id", "crime_persistent_id"),
+            ("cr.category", "crime_category"),
+            ("cr.location_type", "crime_location_type"),
+            ("cr.location_subtype", "crime_location_subtype"),
+            ("cr.context", "crime_context"),
+            ("cr.month", "crime_month"),
+            ("cr.location.latitude", "crime_latitude"),
+            ("cr.location.longitude", "crime_longitude"),
+            ("cr.location.street.id", "crime_street_id"),
+            ("cr.location.street.name", "crime_street_name"),
+        ],
     )
 
 
+_STOP_PASS = [
+    "age_range",
+    "officer_defined_ethnicity",
+    "involved_person",
+    "self_defined_ethnicity",
+    "gender",
+    "legislation",
+    "outcome_linked_to_object_of_search",
+    "stop_search_datetime",
+    "object_of_search",
+    "operation",
+    "outcome",
+    "stop_search_type",
+    "operation_name",
+    "removal_of_more_than_outer_clothing",
+]
+
+
 def int_stop_search(stg: DataFrame) -> DataFrame:
     p = parse_json(stg, {"loc": ("location", LOCATION), "oo": ("outcome_object", OUTCOME_OBJECT)})
-    return p.select(
-        "age_range",
-        "officer_defined_ethnicity",
-        "involved_person",
-        "self_defined_ethnicity",
-        "gender",
-        "legislation",
-        "outcome_linked_to_object_of_search",
-        "stop_search_datetime",
-        "object_of_search",
-        "operation",
-        "outcome",
-        "stop_search_type",
-        "operation_name",
-        "removal_of_more_than_outer_clothing",
-        F.col("loc.latitude").alias("stop_search_latitude"),
-        F.col("loc.longitude").alias("stop_search_longitude"),
-        F.col("loc.street.id").alias("stop_search_street_id"),
-        F.col("loc.street.name").alias("stop_search_street_name"),
-        F.col("oo.id").alias("outcome_object_id"),
-        F.col("oo.name").alias("outcome_object_name"),
+    return _flat(
+        p,
+        [(c, c) for c in _STOP_PASS]
+        + [
+            ("loc.latitude", "stop_search_latitude"),
+            ("loc.longitude", "stop_search_longitude"),
+            ("loc.street.id", "stop_search_street_id"),
+            ("loc.street.name", "stop_search_street_name"),
+            ("oo.id", "outcome_object_id"),
+            ("oo.name", "outcome_object_name"),
+        ],
     )

@@ -22,17 +22,18 @@ TOP_K = 10
 def map_points(crime_map: DataFrame, month: str | None = None) -> DataFrame:
     """Mappable crimes: both coordinates present and numeric, renamed ``lat``/``lon``, with a
     tooltip ``"<category> - <street>"`` (null parts are skipped)."""
-    present = crime_map.where(F.col("crime_latitude").isNotNull() & F.col("crime_longitude").isNotNull())
-    typed = present.select(
+    # a coordinate that is null, or text that is not a number, gives a null double: one
+    # test per coordinate covers both the presence filter and the failed-cast drop
+    typed = crime_map.selectExpr(
         "crime_id",
-        F.col("crime_month").cast("string").alias("crime_month"),
+        "CAST(crime_month AS STRING) AS crime_month",
         "crime_category",
-        try_double("crime_latitude").alias("lat"),
-        try_double("crime_longitude").alias("lon"),
+        "TRY_CAST(crime_latitude AS DOUBLE) AS lat",
+        "TRY_CAST(crime_longitude AS DOUBLE) AS lon",
         "crime_street_name",
         "latest_outcome_category",
-        F.concat_ws(" - ", "crime_category", "crime_street_name").alias("tooltip"),
-    ).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        "concat_ws(' - ', crime_category, crime_street_name) AS tooltip",
+    ).where("lat IS NOT NULL AND lon IS NOT NULL")
     return month_filter(typed, "crime_month", month)
 
 

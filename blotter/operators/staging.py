@@ -7,58 +7,61 @@ yields null instead, for exploratory runs over dirty batches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def _cast(name: str, dtype: str, strict: bool) -> Column:
-    c = F.col(name)
-    return c.cast(dtype) if strict else c.try_cast(dtype)
+# (source column, target type or None to pass through, output name), in model order
+_CRIMES = [
+    ("category", "string", "crime_category"),
+    ("persistent_id", "string", "persistent_id"),
+    ("location_subtype", "string", "location_subtype"),
+    ("id", "bigint", "crime_id"),
+    ("location", None, "location"),
+    ("context", "string", "context"),
+    ("month", "string", "crime_month"),
+    ("location_type", "string", "location_type"),
+    ("outcome_status", None, "outcome_status"),
+]
+_OUTCOMES = [
+    ("category", None, "category"),
+    ("date", "string", "outcome_date"),
+    ("person_id", "string", "person_id"),
+    ("crime", None, "crime"),
+]
+_STOPS = [
+    ("age_range", "string", "age_range"),
+    ("officer_defined_ethnicity", "string", "officer_defined_ethnicity"),
+    ("involved_person", "boolean", "involved_person"),
+    ("self_defined_ethnicity", "string", "self_defined_ethnicity"),
+    ("gender", "string", "gender"),
+    ("legislation", "string", "legislation"),
+    ("outcome_linked_to_object_of_search", "boolean", "outcome_linked_to_object_of_search"),
+    ("datetime", "timestamp", "stop_search_datetime"),
+    ("outcome_object", None, "outcome_object"),
+    ("location", None, "location"),
+    ("object_of_search", "string", "object_of_search"),
+    ("operation", "boolean", "operation"),
+    ("outcome", "string", "outcome"),
+    ("type", "string", "stop_search_type"),
+    ("operation_name", "string", "operation_name"),
+    ("removal_of_more_than_outer_clothing", "boolean", "removal_of_more_than_outer_clothing"),
+]
 
 
-def stg_crimes(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.select(
-        _cast("category", "string", strict).alias("crime_category"),
-        _cast("persistent_id", "string", strict).alias("persistent_id"),
-        _cast("location_subtype", "string", strict).alias("location_subtype"),
-        _cast("id", "bigint", strict).alias("crime_id"),
-        F.col("location"),
-        _cast("context", "string", strict).alias("context"),
-        _cast("month", "string", strict).alias("crime_month"),
-        _cast("location_type", "string", strict).alias("location_type"),
-        F.col("outcome_status"),
+def _stage(raw: DataFrame, spec: list[tuple[str, str | None, str]], strict: bool) -> DataFrame:
+    cast = "CAST" if strict else "TRY_CAST"
+    return raw.selectExpr(
+        *[f"`{src}` AS `{out}`" if t is None else f"{cast}(`{src}` AS {t}) AS `{out}`" for src, t, out in spec]
     )
 
 
+def stg_crimes(raw: DataFrame, strict: bool = True) -> DataFrame:
+    return _stage(raw, _CRIMES, strict)
+
+
 def stg_outcomes(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.select(
-        F.col("category"),
-        _cast("date", "string", strict).alias("outcome_date"),
-        _cast("person_id", "string", strict).alias("person_id"),
-        F.col("crime"),
-    )
+    return _stage(raw, _OUTCOMES, strict)
 
 
 def stg_stop_search(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.select(
-        _cast("age_range", "string", strict).alias("age_range"),
-        _cast("officer_defined_ethnicity", "string", strict).alias("officer_defined_ethnicity"),
-        _cast("involved_person", "boolean", strict).alias("involved_person"),
-        _cast("self_defined_ethnicity", "string", strict).alias("self_defined_ethnicity"),
-        _cast("gender", "string", strict).alias("gender"),
-        _cast("legislation", "string", strict).alias("legislation"),
-        _cast("outcome_linked_to_object_of_search", "boolean", strict).alias(
-            "outcome_linked_to_object_of_search"
-        ),
-        _cast("datetime", "timestamp", strict).alias("stop_search_datetime"),
-        F.col("outcome_object"),
-        F.col("location"),
-        _cast("object_of_search", "string", strict).alias("object_of_search"),
-        _cast("operation", "boolean", strict).alias("operation"),
-        _cast("outcome", "string", strict).alias("outcome"),
-        _cast("type", "string", strict).alias("stop_search_type"),
-        _cast("operation_name", "string", strict).alias("operation_name"),
-        _cast("removal_of_more_than_outer_clothing", "boolean", strict).alias(
-            "removal_of_more_than_outer_clothing"
-        ),
-    )
+    return _stage(raw, _STOPS, strict)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,6 +22,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Give a scan at least one partition per core before CPU-heavy narrow work.
+
+    A large input already arrives as many splits and is returned unchanged (no shuffle).
+    An input of few splits (one small file, or a single parquet row group, which cannot be
+    split) is hash-partitioned on a unique key, so every core gets a share and no key can
+    gather a hot partition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _checkpoint_dir(spark: SparkSession) -> str | None:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():

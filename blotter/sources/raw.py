@@ -32,20 +32,21 @@ def raw_select(records: DataFrame, dataset: str | Dataset, month: str | None = N
     """
     ds = _dataset(dataset)
     types = {f.name: f.dataType for f in records.schema.fields}
-    cols = []
+    exprs = []
     for name, dtype in ds.columns:
+        t = dtype.simpleString()
         if name == MONTH_COL:
-            src = F.lit(month) if month is not None else F.col(MONTH_COL)
-            cols.append(src.cast("string").alias(name))
+            src = f"'{month}'" if month is not None else f"`{MONTH_COL}`"
+            exprs.append(f"CAST({src} AS STRING) AS `{name}`")
         elif name == LOADED_AT:
-            cols.append(F.current_timestamp().alias(name))
+            exprs.append(f"current_timestamp() AS `{name}`")
         elif name not in types:
-            cols.append(F.lit(None).cast(dtype).alias(name))
+            exprs.append(f"CAST(NULL AS {t}) AS `{name}`")
         elif name in ds.transforms and types[name].typeName() != "string":
-            cols.append(F.expr(ds.transforms[name]).cast(dtype).alias(name))
+            exprs.append(f"CAST({ds.transforms[name]} AS {t}) AS `{name}`")
         else:
-            cols.append(F.col(name).cast(dtype).alias(name))
-    return records.select(cols)
+            exprs.append(f"CAST(`{name}` AS {t}) AS `{name}`")
+    return records.selectExpr(*exprs)
 
 
 def replace_months(batch: DataFrame, table_path: str) -> None:
