@@ -108,6 +108,17 @@ def combined_checks(
     )
 
 
+def schema_checks(df: DataFrame, model: str, declared: dict[str, str]) -> DataFrame:
+    """Report rows for the documented column types of a model: 1 where a column is missing
+    or has another type, else 0. The schema is metadata, so the rows (one per declared
+    column) are built from it directly; no data is read."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = [(model, "schema", c, 0 if actual.get(c) == t else 1) for c, t in declared.items()]
+    return df.sparkSession.createDataFrame(
+        rows, "model string, check_name string, column_name string, failures bigint"
+    )
+
+
 def union_reports(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from blotter.operators.geo import area_bounds
 from blotter.operators.serving import pivot_column
 from blotter.plans.catalog import HEATMAP_OUTCOMES, RELOAD_MONTH, SELECTED_MONTH
+from blotter.schemas import INT_CRIMES_TYPES
 
 
 def _dbl(x: float) -> str:
@@ -401,7 +402,10 @@ ORACLE_SQL: dict[str, str] = {
       UNION ALL SELECT 'mart_crime_map', 'unique', 'crime_id', count(*) FROM (
           SELECT crime_id FROM crime_map WHERE crime_id IS NOT NULL GROUP BY crime_id HAVING count(*) > 1) d
       UNION ALL SELECT 'mart_outcome_timings', 'not_null', 'crime_month', count_if(crime_month IS NULL) FROM timings
-      UNION ALL SELECT 'mart_outcome_timings', 'not_null', 'crime_category', count_if(crime_category IS NULL) FROM timings""",
+      UNION ALL SELECT 'mart_outcome_timings', 'not_null', 'crime_category', count_if(crime_category IS NULL) FROM timings
+      UNION ALL SELECT 'int_crimes', 'schema', column_name, 0 FROM (VALUES """
+        + ", ".join(f"('{c}')" for c in INT_CRIMES_TYPES)
+        + """) v(column_name)""",
         "int_crimes",
         "crime_map",
         "timings",

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators import flatten, marts, quality, staging
-from blotter.schemas import DATASETS
+from blotter.schemas import DATASETS, INT_CRIMES_TYPES
 from blotter.session import configure, scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
@@ -39,7 +39,8 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
     * ``mart_crime_map``: the declared not-null tests and the unique test of ``crime_id``.
       The map is a projection of ``int_crimes`` (same rows, same values), so its checks run
       in the same single pass;
-    * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows.
+    * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows;
+    * ``int_crimes`` schema: the documented column types.
     """
     month = lambda c: F.col(c).isNotNull() & F.try_to_date(F.col(c), "yyyy-MM").isNull()
     number = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
@@ -57,7 +58,8 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
         unique=("mart_crime_map", "crime_id"),
     )
     marts_ = quality.not_null_checks(timings, "mart_outcome_timings", ["crime_month", "crime_category"])
-    return quality.union_reports([crimes, marts_])
+    contract = quality.schema_checks(int_crimes, "int_crimes", INT_CRIMES_TYPES)
+    return quality.union_reports([crimes, marts_, contract])
 
 
 def load_raw(spark: SparkSession, records: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
