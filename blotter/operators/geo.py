@@ -25,6 +25,15 @@ def area_bounds(
     return lat - lat_range, lat + lat_range, lng - lng_range, lng + lng_range
 
 
+def area_polygon(
+    lat: float = AREA_LAT, lng: float = AREA_LNG, lat_range: float = AREA_LAT_RANGE, lng_range: float = AREA_LNG_RANGE
+) -> str:
+    """The rectangle as the API's ``poly`` text: four ``lat,lng`` corners joined by ``:``."""
+    lat_min, lat_max, lng_min, lng_max = area_bounds(lat, lng, lat_range, lng_range)
+    corners = [(lat_min, lng_min), (lat_max, lng_min), (lat_max, lng_max), (lat_min, lng_max)]
+    return ":".join(f"{a},{b}" for a, b in corners)
+
+
 def bbox_filter(
     df: DataFrame,
     lat_col: str,

@@ -49,6 +49,38 @@ def raw_select(records: DataFrame, dataset: str | Dataset, month: str | None = N
     return records.selectExpr(*exprs)
 
 
+def raw_table_ddl(dataset: str | Dataset, table: str, path: str) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` for a raw table, rendered from the registry's
+    column -> type list: parquet at ``path``, partitioned by batch month."""
+    ds = _dataset(dataset)
+    cols = ",\n  ".join(f"`{c}` {t.simpleString().upper()}" for c, t in ds.columns)
+    return (
+        f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n)\n"
+        f"USING parquet\nPARTITIONED BY ({MONTH_COL})\nLOCATION '{path}'"
+    )
+
+
+def create_raw_table(spark: SparkSession, dataset: str | Dataset, path: str, table: str | None = None) -> None:
+    """Create the raw table at ``path`` if it does not exist; with ``table``
+    (``schema.name``), also create the namespace and register the table in the catalog."""
+    ds = _dataset(dataset)
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    if not hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+        spark.createDataFrame([], ds.raw_schema()).write.partitionBy(MONTH_COL).parquet(path)
+    if table:
+        if "." in table:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+        spark.sql(raw_table_ddl(ds, table, path))
+
+
+def sync_catalog(spark: SparkSession, table: str) -> None:
+    """After months were replaced through the table's path: register new month partitions
+    in the catalog and drop cached file listings."""
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def replace_months(batch: DataFrame, table_path: str) -> None:
     """Replace the months present in ``batch`` in the raw table at ``table_path``.
 

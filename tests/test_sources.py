@@ -127,3 +127,25 @@ def test_raw_table_column_order(spark, tmp_path):
     from blotter.schemas import CRIMES
 
     assert read_raw(spark, path, "crime_data").columns == [c for c, _ in CRIMES.columns]
+
+
+def test_create_raw_table_and_load_into_it(spark, tmp_path):
+    from blotter.sources.raw import create_raw_table, raw_table_ddl, sync_catalog
+
+    path = str(tmp_path / "crime_data")
+    ddl = raw_table_ddl("crime_data", "src_police.crime_data", path)
+    assert "PARTITIONED BY (ingest_year_month)" in ddl and "`id` BIGINT" in ddl
+    create_raw_table(spark, "crime_data", path, "src_police.crime_data")
+    create_raw_table(spark, "crime_data", path, "src_police.crime_data")  # idempotent
+    assert spark.table("src_police.crime_data").count() == 0
+    replace_months(_raw_batch(spark, [1, 2], "2025-01"), path)
+    sync_catalog(spark, "src_police.crime_data")
+    got = spark.table("src_police.crime_data").where("ingest_year_month = '2025-01'")
+    assert sorted(r["id"] for r in got.collect()) == [1, 2]
+
+
+def test_area_polygon_text():
+    from blotter.operators.geo import area_polygon
+
+    poly = area_polygon(1.0, 2.0, 0.5, 0.25)
+    assert poly == "0.5,1.75:1.5,1.75:1.5,2.25:0.5,2.25"
