@@ -24,6 +24,9 @@ from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
 from blotter.sources.raw import raw_select, read_raw, replace_months
 
+# the field a record cannot be without, per dataset (checked on the landing scan)
+LANDING_KEYS = {"crime_data": ["id"], "outcome_data": ["crime"], "stop_and_search_data": ["datetime"]}
+
 _STAGE = {
     "crime_data": (staging.stg_crimes, flatten.int_crimes, "int_crimes"),
     "outcome_data": (staging.stg_outcomes, flatten.int_outcomes, "int_outcomes"),
@@ -114,6 +117,11 @@ def build_all(
         mart_paths[model] = path
 
     report = quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]))
+    if landing_root is not None:
+        # unparseable lines and rows without their key field, one pass per landing dataset
+        report = quality.union_reports(
+            [report] + [quality.landing_checks(records[n], n, LANDING_KEYS[n]) for n in DATASETS]
+        )
     report_path = f"{root}/checks/report"
     report.coalesce(1).write.mode("overwrite").parquet(report_path)
     return {

@@ -56,6 +56,8 @@ def test_build_from_landing_equals_build_from_tables(spark, built):
     from_landing = build_all(spark, landing_root=root)
     for model, path in built["mart"].items():
         assert _rows(spark.read.parquet(path)) == _rows(spark.read.parquet(from_landing["mart"][model])), model
+    rep = {(r["model"], r["check_name"]): r["failures"] for r in from_landing["report"].collect()}
+    assert rep[("crime_data", "corrupt_record")] == 0 and rep[("stop_and_search_data", "not_null")] == 0
 
 
 def test_outcome_landing_keeps_record_date(spark):
