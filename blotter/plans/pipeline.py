@@ -14,6 +14,9 @@ fused into the flatten stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,9 @@ from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
 from blotter.sources.raw import raw_select, read_raw, replace_months
 
+# concurrent write jobs per layer (the reference builds its models with 4 threads)
+BUILD_THREADS = 4
+
 # the field a record cannot be without, per dataset (checked on the landing scan)
 LANDING_KEYS = {"crime_data": ["id"], "outcome_data": ["crime"], "stop_and_search_data": ["datetime"]}
 
@@ -65,13 +71,28 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
     return quality.union_reports([crimes, marts_, contract])
 
 
-def load_raw(spark: SparkSession, records: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
+def _write_all(jobs: dict[str, Callable[[], None]], threads: int) -> None:
+    """Run independent write jobs of one layer side by side (Spark schedules jobs submitted
+    from several threads concurrently), like a model build with a fixed number of threads.
+    The first failure is raised after all jobs have finished or failed."""
+    if threads <= 1 or len(jobs) <= 1:
+        for job in jobs.values():
+            job()
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as pool:
+        futures = [pool.submit(job) for job in jobs.values()]
+    for f in futures:
+        f.result()
+
+
+def load_raw(
+    spark: SparkSession, records: dict[str, DataFrame], raw_root: str, threads: int = BUILD_THREADS
+) -> dict[str, str]:
     """Replace every month present in each dataset's records; one job per dataset."""
-    paths = {}
-    for name, df in records.items():
-        path = f"{raw_root}/{name}"
-        replace_months(raw_select(df, name), path)
-        paths[name] = path
+    paths = {name: f"{raw_root}/{name}" for name in records}
+    _write_all(
+        {n: (lambda n=n: replace_months(raw_select(records[n], n), paths[n])) for n in records}, threads
+    )
     return paths
 
 
@@ -80,10 +101,12 @@ def build_all(
     sf_dir: str | None = None,
     landing_root: str | None = None,
     out_root: str | None = None,
+    threads: int = BUILD_THREADS,
 ) -> dict[str, object]:
     """Run the whole build. Input is either a landing zone (``landing_root``) or the
-    generated tables (``sf_dir``, through the API-shaped adapters). Returns the table paths
-    and the quality report (read back from its written table)."""
+    generated tables (``sf_dir``, through the API-shaped adapters). Layers run in dependency
+    order; the tables of one layer are written by up to ``threads`` concurrent jobs. Returns
+    the table paths and the quality report (read back from its written table)."""
     configure(spark)
     root = out_root or scratch_path(spark, "build")
     if landing_root is not None:
@@ -93,14 +116,16 @@ def build_all(
     else:
         raise ValueError("give sf_dir or landing_root")
 
-    raw_paths = load_raw(spark, records, f"{root}/raw")
+    raw_paths = load_raw(spark, records, f"{root}/raw", threads)
 
-    int_paths = {}
-    for name, (stage_fn, flat_fn, model) in _STAGE.items():
-        flat = flat_fn(stage_fn(read_raw(spark, raw_paths[name], name)))
-        path = f"{root}/int/{model}"
-        flat.write.mode("overwrite").parquet(path)
-        int_paths[model] = path
+    int_paths = {model: f"{root}/int/{model}" for _, _, model in _STAGE.values()}
+    int_frames = {
+        model: flat_fn(stage_fn(read_raw(spark, raw_paths[name], name)))
+        for name, (stage_fn, flat_fn, model) in _STAGE.items()
+    }
+    _write_all(
+        {m: (lambda m=m: int_frames[m].write.mode("overwrite").parquet(int_paths[m])) for m in int_frames}, threads
+    )
 
     ic = spark.read.parquet(int_paths["int_crimes"])
     ist = spark.read.parquet(int_paths["int_stop_search"])
@@ -110,11 +135,11 @@ def build_all(
         "mart_outcome_mix": marts.outcome_mix(ist),
         "mart_reason_trends": marts.reason_trends(ist),
     }
-    mart_paths = {}
-    for model, df in mart_frames.items():
-        path = f"{root}/mart/{model}"
-        df.write.mode("overwrite").parquet(path)
-        mart_paths[model] = path
+    mart_paths = {model: f"{root}/mart/{model}" for model in mart_frames}
+    _write_all(
+        {m: (lambda m=m: mart_frames[m].write.mode("overwrite").parquet(mart_paths[m])) for m in mart_frames},
+        threads,
+    )
 
     report = quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]))
     if landing_root is not None:
