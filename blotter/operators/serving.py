@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.months import month_filter
-from blotter.functions.values import exact_mean, exact_sum, try_double
+from blotter.functions.values import exact_mean, exact_sum
 
 TOP_K = 10
 

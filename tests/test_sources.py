@@ -133,14 +133,14 @@ def test_create_raw_table_and_load_into_it(spark, tmp_path):
     from blotter.sources.raw import create_raw_table, raw_table_ddl, sync_catalog
 
     path = str(tmp_path / "crime_data")
-    ddl = raw_table_ddl("crime_data", "src_police.crime_data", path)
+    ddl = raw_table_ddl("crime_data", "landing_raw.crime_data", path)
     assert "PARTITIONED BY (ingest_year_month)" in ddl and "`id` BIGINT" in ddl
-    create_raw_table(spark, "crime_data", path, "src_police.crime_data")
-    create_raw_table(spark, "crime_data", path, "src_police.crime_data")  # idempotent
-    assert spark.table("src_police.crime_data").count() == 0
+    create_raw_table(spark, "crime_data", path, "landing_raw.crime_data")
+    create_raw_table(spark, "crime_data", path, "landing_raw.crime_data")  # idempotent
+    assert spark.table("landing_raw.crime_data").count() == 0
     replace_months(_raw_batch(spark, [1, 2], "2025-01"), path)
-    sync_catalog(spark, "src_police.crime_data")
-    got = spark.table("src_police.crime_data").where("ingest_year_month = '2025-01'")
+    sync_catalog(spark, "landing_raw.crime_data")
+    got = spark.table("landing_raw.crime_data").where("ingest_year_month = '2025-01'")
     assert sorted(r["id"] for r in got.collect()) == [1, 2]
 
 
