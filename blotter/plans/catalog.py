@@ -33,7 +33,7 @@ HEATMAP_OUTCOMES = ["Arrest", "Community resolution", "Unknown", "", "false"]
 # --- layer helpers --------------------------------------------------------------------
 
 
-_LOADED: dict[tuple, dict[str, DataFrame]] = {}
+_LOADED: dict[tuple, tuple[dict[str, str], dict[str, DataFrame]]] = {}
 
 
 def _source_signature(spark: SparkSession, sf_dir: str) -> tuple:
@@ -53,10 +53,9 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     models read the stored raw tables. The scans are kept, so their month-folder listing
     is done once too. A changed input or a removed table loads again."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _source_signature(spark, sf_dir))
-    tables = _LOADED.get(key)
-    if tables is not None:
-        jvm = spark._jvm
-        probe = jvm.org.apache.hadoop.fs.Path(tables["crime_data"].inputFiles()[0])
+    if key in _LOADED:
+        paths, tables = _LOADED[key]
+        probe = spark._jvm.org.apache.hadoop.fs.Path(paths["crime_data"])
         if probe.getFileSystem(spark._jsc.hadoopConfiguration()).exists(probe):
             return tables
     from blotter.plans.pipeline import load_raw
@@ -64,7 +63,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     records = {n: api_records(spark, sf_dir, n) for n in ("crime_data", "outcome_data", "stop_and_search_data")}
     paths = load_raw(spark, records, scratch_path(spark, "raw"))
     tables = {n: read_raw(spark, p, n) for n, p in paths.items()}
-    _LOADED[key] = tables
+    _LOADED[key] = (paths, tables)
     return tables
 
 

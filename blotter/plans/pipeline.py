@@ -102,15 +102,21 @@ def build_all(
     landing_root: str | None = None,
     out_root: str | None = None,
     threads: int = BUILD_THREADS,
+    months: list[str] | None = None,
 ) -> dict[str, object]:
     """Run the whole build. Input is either a landing zone (``landing_root``) or the
     generated tables (``sf_dir``, through the API-shaped adapters). Layers run in dependency
     order; the tables of one layer are written by up to ``threads`` concurrent jobs. Returns
-    the table paths and the quality report (read back from its written table)."""
+    the table paths and the quality report (read back from its written table).
+
+    With ``months`` (landing input), only those landing months are read and replaced in the
+    raw tables under ``out_root``; months loaded by earlier runs stay, and the flattened
+    layer, marts and checks are rebuilt from the whole raw tables.
+    """
     configure(spark)
     root = out_root or scratch_path(spark, "build")
     if landing_root is not None:
-        records = {n: read_landing(spark, landing_root, n) for n in DATASETS}
+        records = {n: read_landing(spark, landing_root, n, months=months) for n in DATASETS}
     elif sf_dir is not None:
         records = {n: api_records(spark, sf_dir, n) for n in DATASETS}
     else:

@@ -146,3 +146,19 @@ def test_views_sources_and_mart_scans(spark, built):
 def test_report_has_schema_contract(built):
     rows = [r for r in built["report"].collect() if r["check_name"] == "schema"]
     assert len(rows) == 13 and all(r["failures"] == 0 for r in rows)
+
+
+def test_monthly_runs_accumulate_months(spark):
+    root = scratch_path(spark, "landing")
+    out = scratch_path(spark, "build")
+    recs = api_records(spark, SMOKE_DIR, "crime_data")
+    write_landing(recs, root, "crime_data")
+    first = build_all(spark, landing_root=root, out_root=out, months=["1996-03"])
+    second = build_all(spark, landing_root=root, out_root=out, months=["1996-04", "1900-01"])
+    raw = read_raw(spark, second["raw"]["crime_data"], "crime_data")
+    got = {r["ingest_year_month"]: r["n"] for r in raw.groupBy("ingest_year_month").count().withColumnRenamed("count", "n").collect()}
+    want = {r["ingest_year_month"]: r["n"] for r in recs.where("ingest_year_month IN ('1996-03', '1996-04')").groupBy("ingest_year_month").count().withColumnRenamed("count", "n").collect()}
+    assert got == want
+    months = {r["crime_month"] for r in spark.read.parquet(second["mart"]["mart_outcome_timings"]).collect()}
+    assert months == {"1996-03", "1996-04"}
+    assert first["raw"] == second["raw"]
