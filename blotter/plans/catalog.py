@@ -193,9 +193,10 @@ def q_raw_load(spark, sf_dir):
 
 
 def _loaded_crime_table(spark, sf_dir) -> str:
-    """A fresh raw crime table with every month loaded, for the replace queries to modify."""
+    """A fresh copy of the loaded raw crime table (every month), for the replace queries to
+    modify; the shared raw tables are never written to."""
     path = scratch_path(spark, "raw") + "/crime_data"
-    replace_months(raw_select(api_records(spark, sf_dir, "crime_data"), "crime_data"), path)
+    replace_months(raw(spark, sf_dir, "crime_data"), path)
     return path
 
 
