@@ -45,8 +45,10 @@ def start_month_replace(
     checkpoint: str,
     available_now: bool = True,
     key: str | None = None,
+    interval: str = "1 hour",
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it drains what has landed, then stops."""
+    """Start the stream; with ``available_now`` it drains what has landed, then stops,
+    otherwise it checks for new landing files every ``interval``."""
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         replace_months(raw_select(batch, dataset), table_path)
@@ -54,5 +56,5 @@ def start_month_replace(
     writer = landing_stream(spark, landing_root, dataset, key).writeStream.foreachBatch(replace).option(
         "checkpointLocation", checkpoint
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
