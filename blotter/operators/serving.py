@@ -168,16 +168,21 @@ def pivot_column(prefix: str, value: str) -> str:
     return f"{prefix}_{slug or 'empty'}"
 
 
-def outcome_heatmap(mix: DataFrame, outcomes: list[str], k: int = TOP_K) -> DataFrame:
+def outcome_heatmap(mix: DataFrame, outcomes: list[str] | None = None, k: int = TOP_K) -> DataFrame:
     """Share of each outcome (columns) per top-``k`` object (rows), 0 where absent.
 
-    The outcome values are passed in, so the pivot needs no extra job to find them; mix rows
-    are unique per (object, outcome), so the pivot aggregate sees one value per cell.
+    With ``outcomes`` given, the pivot needs no extra job to find its columns; with None,
+    Spark first collects the distinct outcomes of the top-``k`` rows (at most
+    ``spark.sql.pivotMaxValues``) and the columns come out in sorted order. Mix rows are
+    unique per (object, outcome), so the pivot aggregate sees one value per cell.
     """
     rows = outcome_mix_top_objects(mix, k)
-    wide = rows.groupBy("object_of_search").pivot("outcome", outcomes).agg(F.sum("pct_within_object_of_search"))
-    # pivot columns follow the order of ``outcomes``; rename by position (a value may be '')
-    names = [pivot_column("outcome", v) for v in outcomes]
+    grouped = rows.groupBy("object_of_search")
+    pivoted = grouped.pivot("outcome", outcomes) if outcomes is not None else grouped.pivot("outcome")
+    wide = pivoted.agg(F.sum("pct_within_object_of_search"))
+    # pivot columns follow the order of the values; rename by position (a value may be '')
+    values = outcomes if outcomes is not None else wide.columns[1:]
+    names = [pivot_column("outcome", v) for v in values]
     wide = wide.toDF("object_of_search", *names)
     return wide.select("object_of_search", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names])
 

@@ -194,6 +194,16 @@ def test_heatmap_fills_missing_cells_with_zero(spark):
     assert h["b"]["outcome_false"] == 1.0 and h["b"]["outcome_arrest"] == 0.0
 
 
+def test_heatmap_without_values_finds_outcomes(spark):
+    mix = spark.createDataFrame(
+        [("a", "Arrest", 1, 0.5), ("a", "", 1, 0.5), ("b", "false", 2, 1.0)],
+        "object_of_search string, outcome string, stop_search_count bigint, pct_within_object_of_search double",
+    )
+    h = serving.outcome_heatmap(mix)
+    assert h.columns == ["object_of_search", "outcome_empty", "outcome_arrest", "outcome_false"]
+    assert {r["object_of_search"]: r["outcome_false"] for r in h.collect()} == {"a": 0.0, "b": 1.0}
+
+
 def test_raw_select_applies_transforms_to_nested_input(spark):
     df = spark.createDataFrame(
         [Row(category="c", id=1, month="2025-01", location=Row(latitude="1", longitude="2", street=Row(id=3, name="s")))]
