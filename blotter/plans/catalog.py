@@ -23,8 +23,10 @@ from blotter.sources.landing import read_landing, write_landing
 from blotter.sources.raw import loaded_batches, raw_select, read_raw, replace_months
 
 # Query parameters (not data subsets): the dashboard's month selection used by the
-# month-filter query, and the month reloaded by the month-replace queries.
+# month-filter queries, and the month reloaded by the month-replace queries.
 SELECTED_MONTH = "1998-01"
+# the stop-and-search test records span 2024, the crimes 1995-2001
+SELECTED_STOP_MONTH = "2024-06"
 RELOAD_MONTH = "1998-01"
 # The stop-and-search outcome texts of the test data, pivot column order.
 HEATMAP_OUTCOMES = ["Arrest", "Community resolution", "Unknown", "", "false"]
@@ -158,6 +160,18 @@ def q_month_filter(spark, sf_dir):
     return month_filter(timings(spark, sf_dir), "crime_month", SELECTED_MONTH)
 
 
+def q_map_summary_month(spark, sf_dir):
+    return serving.map_summary(points(spark, sf_dir, SELECTED_MONTH))
+
+
+def q_outcome_summary_month(spark, sf_dir):
+    return serving.outcome_summary(timings(spark, sf_dir), SELECTED_MONTH)
+
+
+def q_reason_trend_month(spark, sf_dir):
+    return serving.reason_trend_sorted(trends(spark, sf_dir), SELECTED_STOP_MONTH)
+
+
 def q_geo_grid(spark, sf_dir):
     return geo.geo_grid(points(spark, sf_dir))
 
@@ -276,6 +290,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outcome_heatmap": q_outcome_heatmap,
     "reason_trend_sorted": lambda s, d: serving.reason_trend_sorted(trends(s, d)),
     "month_filter": q_month_filter,
+    "map_summary_month": q_map_summary_month,
+    "outcome_summary_month": q_outcome_summary_month,
+    "reason_trend_month": q_reason_trend_month,
     "geo_grid": q_geo_grid,
     "bbox_filter": q_bbox_filter,
     "month_spine": q_month_spine,

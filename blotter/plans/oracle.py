@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from blotter.operators.geo import area_bounds
 from blotter.operators.serving import pivot_column
-from blotter.plans.catalog import HEATMAP_OUTCOMES, RELOAD_MONTH, SELECTED_MONTH
+from blotter.plans.catalog import HEATMAP_OUTCOMES, RELOAD_MONTH, SELECTED_MONTH, SELECTED_STOP_MONTH
 from blotter.schemas import INT_CRIMES_TYPES
 
 
@@ -343,6 +343,16 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "reason_trend_sorted": _q("SELECT * FROM trends", "trends"),
     "month_filter": _q(f"SELECT * FROM timings WHERE crime_month = '{SELECTED_MONTH}'", "timings"),
+    "map_summary_month": _q(
+        f"""SELECT crime_month, crime_category, count(crime_id) AS sum_crimes FROM points
+        WHERE crime_month = '{SELECTED_MONTH}' AND crime_category IS NOT NULL GROUP BY 1, 2""",
+        "points",
+    ),
+    "outcome_summary_month": _q(
+        _weighted("crime_category", f"WHERE crime_category IS NOT NULL AND crime_month = '{SELECTED_MONTH}'"),
+        "timings",
+    ),
+    "reason_trend_month": _q(f"SELECT * FROM trends WHERE stop_search_month = '{SELECTED_STOP_MONTH}'", "trends"),
     "geo_grid": _q(
         f"""SELECT CAST(floor(lat / {_dbl(0.01)}) AS BIGINT) AS cell_lat, CAST(floor(lon / {_dbl(0.01)}) AS BIGINT) AS cell_lon,
         count(*) AS points, {_exact_mean('lat')} AS center_lat, {_exact_mean('lon')} AS center_lon
