@@ -2,8 +2,10 @@
 
 ``from_json`` is permissive: malformed text gives a struct of nulls (the row is kept),
 null or empty text gives a null struct, a wrongly typed field gives null for that field only.
-Each JSON column is parsed once; Catalyst prunes the parse schema to the fields a query
-actually reads.
+Each JSON column is parsed by one ``from_json`` per projection, and Catalyst prunes the
+parse schema to the fields a query reads. A filter on parsed fields is pushed below the
+parse with the expression inlined, so filtered views may parse a row more than once; the
+build stores this layer as parquet, after which filters are plain pushed-down predicates.
 """
 
 from __future__ import annotations
