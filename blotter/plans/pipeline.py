@@ -91,7 +91,8 @@ def load_raw(
     """Replace every month present in each dataset's records; one job per dataset."""
     paths = {name: f"{raw_root}/{name}" for name in records}
     _write_all(
-        {n: (lambda n=n: replace_months(raw_select(records[n], n), paths[n])) for n in records}, threads
+        {n: (lambda n=n: replace_months(raw_select(records[n], n), paths[n], DATASETS[n].cluster_by)) for n in records},
+        threads,
     )
     return paths
 

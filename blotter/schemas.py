@@ -53,7 +53,8 @@ class Dataset:
     taken as they are. ``nested`` lists the columns that arrive as JSON objects.
     ``landing_key`` names the month folders of the landing zone (``<key>=<yyyy-MM>``); it
     must differ from every record field, since a folder value would shadow a field of the
-    same name.
+    same name. ``cluster_by`` orders rows inside each month's files, so parquet row-group
+    statistics can skip data on those columns.
     """
 
     name: str
@@ -61,6 +62,7 @@ class Dataset:
     transforms: dict[str, str] = field(default_factory=dict)
     nested: tuple[str, ...] = ()
     landing_key: str = LANDING_PARTITION
+    cluster_by: tuple[str, ...] = ()
 
     @property
     def data_columns(self) -> list[str]:
@@ -97,6 +99,7 @@ CRIMES = Dataset(
     ),
     transforms={"location": "to_json(location)", "outcome_status": "to_json(outcome_status)"},
     nested=("location", "outcome_status"),
+    cluster_by=("category",),
 )
 
 OUTCOMES = Dataset(
@@ -143,6 +146,7 @@ STOPS = Dataset(
         "outcome": "CAST(outcome AS STRING)",
     },
     nested=("location", "outcome_object"),
+    cluster_by=("object_of_search",),
 )
 
 DATASETS: dict[str, Dataset] = {d.name: d for d in (CRIMES, OUTCOMES, STOPS)}
