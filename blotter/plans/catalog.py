@@ -60,7 +60,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         probe = spark._jvm.org.apache.hadoop.fs.Path(paths["crime_data"])
         if probe.getFileSystem(spark._jsc.hadoopConfiguration()).exists(probe):
             return tables
-    from blotter.plans.pipeline import load_raw
+    from blotter.plans.build import load_raw
 
     records = {n: api_records(spark, sf_dir, n) for n in ("crime_data", "outcome_data", "stop_and_search_data")}
     paths = load_raw(spark, records, scratch_path(spark, "raw"))
@@ -261,7 +261,7 @@ def q_dq_unique(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    from blotter.plans.pipeline import quality_report
+    from blotter.plans.build import quality_report
 
     return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir))
 

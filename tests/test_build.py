@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from blotter.plans.pipeline import build_all
+from blotter.plans.build import build_all
 from blotter.session import scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import write_landing
