@@ -55,6 +55,16 @@ def publish(spark: SparkSession, frames: dict[str, DataFrame]) -> list[str]:
     return list(frames)
 
 
+def publish_build(spark: SparkSession, build: dict) -> list[str]:
+    """Publish every table of a ``build_all`` result as a temp view: raw tables under their
+    dataset names, the flattened layer and the marts under their model names."""
+    frames = {}
+    for group in ("raw", "int", "mart"):
+        for name, path in build[group].items():
+            frames[name] = spark.read.parquet(path)
+    return publish(spark, frames)
+
+
 def source(spark: SparkSession, name: str) -> DataFrame:
     """A named source or published model."""
     return spark.table(name)

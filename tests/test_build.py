@@ -162,3 +162,15 @@ def test_monthly_runs_accumulate_months(spark):
     months = {r["crime_month"] for r in spark.read.parquet(second["mart"]["mart_outcome_timings"]).collect()}
     assert months == {"1996-03", "1996-04"}
     assert first["raw"] == second["raw"]
+
+
+def test_published_build_answers_sql(spark, built):
+    from blotter.plans.views import publish_build
+
+    names = publish_build(spark, built)
+    assert {"crime_data", "int_crimes", "mart_outcome_timings"} <= set(names)
+    by_sql = spark.sql(
+        "SELECT crime_category, sum(crime_count) AS n FROM mart_outcome_timings GROUP BY crime_category"
+    ).collect()
+    direct = E.queries()["outcome_summary"](spark, SMOKE_DIR).collect()
+    assert {r["crime_category"]: r["n"] for r in by_sql} == {r["crime_category"]: r["total_crimes"] for r in direct}
