@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from blotter.functions.months import month_of, months_to_outcome
 from blotter.functions.values import label_null, share
 
-# percentile_approx accuracy: exact while a group holds fewer distinct values than this.
+# percentile_approx accuracy: rank error at most 1/10000 of a group's size, with a sketch of
+# bounded size per group and task; small groups come out exact.
 MEDIAN_ACCURACY = 10000
 
 
