@@ -224,3 +224,25 @@ def test_share_sums_to_one_per_partition(spark):
         df = E.queries()[name](spark, SMOKE_DIR)
         sums = df.groupBy(part).agg(F.sum(pct).alias("s")).collect()
         assert sums and all(abs(r["s"] - 1.0) < 1e-9 for r in sums)
+
+
+def test_month_text_is_first_of_month(spark):
+    from blotter.functions.months import month_start
+
+    d = spark.createDataFrame([("2025-03",)], "m string").select(month_start("m").alias("d")).collect()[0]["d"]
+    assert str(d) == "2025-03-01"
+
+
+def test_quoted_number_and_field_case(spark):
+    loc = json.dumps({"Latitude": "53.1", "longitude": "-1.2", "street": {"id": "12", "name": "n"}})
+    r = int_crimes_of(spark, [dict(crime(1), location=loc)]).collect()[0]
+    assert r["crime_street_id"] is None  # "12" is text, not a BIGINT
+    assert r["crime_latitude"] is None  # field names are case-sensitive
+    assert r["crime_longitude"] == "-1.2"
+
+
+def test_null_month_stays_null(spark):
+    ic = int_crimes_of(spark, [dict(crime(1), month=None), crime(2)])
+    pts = {r["crime_id"]: r["crime_month"] for r in serving.map_points(marts.crime_map(ic)).collect()}
+    assert pts == {1: None, 2: "2025-01"}
+    assert [r["crime_month"] for r in serving.month_options(serving.map_points(marts.crime_map(ic))).collect()] == ["2025-01"]
