@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators import flatten, marts, quality, staging
-from blotter.schemas import DATASETS, INT_CRIMES_TYPES
+from blotter.schemas import DATASETS, INT_CRIMES_TYPES, MONTH_COL
 from blotter.session import configure, scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
@@ -110,9 +110,9 @@ def build_all(
     order; the tables of one layer are written by up to ``threads`` concurrent jobs. Returns
     the table paths and the quality report (read back from its written table).
 
-    With ``months`` (landing input), only those landing months are read and replaced in the
-    raw tables under ``out_root``; months loaded by earlier runs stay, and the flattened
-    layer, marts and checks are rebuilt from the whole raw tables.
+    With ``months``, only those batch months are read (landing folders, or rows of the
+    tables) and replaced in the raw tables under ``out_root``; months loaded by earlier runs
+    stay, and the flattened layer, marts and checks are rebuilt from the whole raw tables.
     """
     configure(spark)
     root = out_root or scratch_path(spark, "build")
@@ -120,6 +120,8 @@ def build_all(
         records = {n: read_landing(spark, landing_root, n, months=months) for n in DATASETS}
     elif sf_dir is not None:
         records = {n: api_records(spark, sf_dir, n) for n in DATASETS}
+        if months is not None:
+            records = {n: df.where(F.col(MONTH_COL).isin(months)) for n, df in records.items()}
     else:
         raise ValueError("give sf_dir or landing_root")
 

@@ -174,3 +174,10 @@ def test_published_build_answers_sql(spark, built):
     ).collect()
     direct = E.queries()["outcome_summary"](spark, SMOKE_DIR).collect()
     assert {r["crime_category"]: r["n"] for r in by_sql} == {r["crime_category"]: r["total_crimes"] for r in direct}
+
+
+def test_monthly_run_from_tables(spark):
+    out = scratch_path(spark, "build")
+    res = build_all(spark, sf_dir=SMOKE_DIR, out_root=out, months=["1996-03"])
+    months = {r["ingest_year_month"] for r in read_raw(spark, res["raw"]["crime_data"], "crime_data").collect()}
+    assert months == {"1996-03"}
