@@ -21,12 +21,12 @@ def parse_json(df: DataFrame, specs: dict[str, tuple[str, T.StructType]]) -> Dat
     return df.selectExpr("*", *[f"from_json(`{src}`, '{schema.simpleString()}') AS `{name}`" for name, (src, schema) in specs.items()])
 
 
-def _flat(parsed: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """Select (expression, output name) pairs; plain names pass through."""
-    return parsed.selectExpr(*[e if e == out else f"{e} AS `{out}`" for e, out in columns])
+def _flat(parsed: DataFrame, columns: list[tuple[str, str]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Select (expression, output name) pairs, then the ``keep`` columns unchanged."""
+    return parsed.selectExpr(*[e if e == out else f"{e} AS `{out}`" for e, out in columns], *[f"`{k}`" for k in keep])
 
 
-def int_crimes(stg: DataFrame) -> DataFrame:
+def int_crimes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     p = parse_json(stg, {"loc": ("location", LOCATION), "oc": ("outcome_status", OUTCOME_STATUS)})
     return _flat(
         p,
@@ -45,10 +45,11 @@ def int_crimes(stg: DataFrame) -> DataFrame:
             ("oc.category", "latest_outcome_category"),
             ("oc.date", "latest_outcome_date"),
         ],
+        keep,
     )
 
 
-def int_outcomes(stg: DataFrame) -> DataFrame:
+def int_outcomes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     p = parse_json(stg, {"cat": ("category", OUTCOME_CATEGORY), "cr": ("crime", CRIME_REF)})
     return _flat(
         p,
@@ -69,6 +70,7 @@ def int_outcomes(stg: DataFrame) -> DataFrame:
             ("cr.location.street.id", "crime_street_id"),
             ("cr.location.street.name", "crime_street_name"),
         ],
+        keep,
     )
 
 
@@ -90,7 +92,7 @@ _STOP_PASS = [
 ]
 
 
-def int_stop_search(stg: DataFrame) -> DataFrame:
+def int_stop_search(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     p = parse_json(stg, {"loc": ("location", LOCATION), "oo": ("outcome_object", OUTCOME_OBJECT)})
     return _flat(
         p,
@@ -103,4 +105,5 @@ def int_stop_search(stg: DataFrame) -> DataFrame:
             ("oo.id", "outcome_object_id"),
             ("oo.name", "outcome_object_name"),
         ],
+        keep,
     )

@@ -48,20 +48,25 @@ _STOPS = [
 ]
 
 
-def _stage(raw: DataFrame, spec: list[tuple[str, str | None, str]], strict: bool) -> DataFrame:
+def _stage(raw: DataFrame, spec: list[tuple[str, str | None, str]], strict: bool, keep: tuple[str, ...]) -> DataFrame:
     cast = "CAST" if strict else "TRY_CAST"
     return raw.selectExpr(
-        *[f"`{src}` AS `{out}`" if t is None else f"{cast}(`{src}` AS {t}) AS `{out}`" for src, t, out in spec]
+        *[f"`{src}` AS `{out}`" if t is None else f"{cast}(`{src}` AS {t}) AS `{out}`" for src, t, out in spec],
+        *[f"`{k}`" for k in keep],
     )
 
 
-def stg_crimes(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return _stage(raw, _CRIMES, strict)
+# ``keep`` carries extra raw columns through unchanged (the build keeps the batch month so
+# the flattened layer can be stored by month); the model columns come first.
 
 
-def stg_outcomes(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return _stage(raw, _OUTCOMES, strict)
+def stg_crimes(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _stage(raw, _CRIMES, strict, keep)
 
 
-def stg_stop_search(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return _stage(raw, _STOPS, strict)
+def stg_outcomes(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _stage(raw, _OUTCOMES, strict, keep)
+
+
+def stg_stop_search(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _stage(raw, _STOPS, strict, keep)

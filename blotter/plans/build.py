@@ -3,8 +3,9 @@
 Materialisation points are chosen for reuse and for lineage:
 
 * raw tables: parquet partitioned by batch month, replaced month by month (idempotent);
-* flattened layer: parquet, so the JSON text is parsed once per build rather than once per
-  mart read, and later filters on its columns reach the scan as pushed filters;
+* flattened layer: parquet partitioned by batch month, so the JSON text is parsed once
+  rather than once per mart read, a monthly run parses only its months again, and later
+  filters on its columns reach the scan as pushed filters;
 * marts: parquet, the tables the serving operators read.
 
 Each written table cuts the lineage of the next step, so a lost executor recomputes at
@@ -127,17 +128,24 @@ def build_all(
 
     raw_paths = load_raw(spark, records, f"{root}/raw", threads)
 
+    # flattened layer, stored by batch month: only the months of this run are parsed again
+    # and replaced; months flattened by earlier runs stay
     int_paths = {model: f"{root}/int/{model}" for _, _, model in _STAGE.values()}
-    int_frames = {
-        model: flat_fn(stage_fn(read_raw(spark, raw_paths[name], name)))
-        for name, (stage_fn, flat_fn, model) in _STAGE.items()
-    }
+    int_frames = {}
+    for name, (stage_fn, flat_fn, model) in _STAGE.items():
+        raw = read_raw(spark, raw_paths[name], name)
+        if months is not None:
+            raw = raw.where(F.col(MONTH_COL).isin(months))  # partition pruning on the raw table
+        keep = (MONTH_COL,)
+        int_frames[model] = flat_fn(stage_fn(raw, keep=keep), keep=keep)
+    # rows come from raw files stored one month per file, so no rebalance shuffle is needed
     _write_all(
-        {m: (lambda m=m: int_frames[m].write.mode("overwrite").parquet(int_paths[m])) for m in int_frames}, threads
+        {m: (lambda m=m: replace_months(int_frames[m], int_paths[m], rebalance=False)) for m in int_frames}, threads
     )
 
-    ic = spark.read.parquet(int_paths["int_crimes"])
-    ist = spark.read.parquet(int_paths["int_stop_search"])
+    # read back with the planned schema: a table whose months all came in empty has no files
+    ic = spark.read.schema(int_frames["int_crimes"].schema).parquet(int_paths["int_crimes"])
+    ist = spark.read.schema(int_frames["int_stop_search"].schema).parquet(int_paths["int_stop_search"])
     mart_frames = {
         "mart_crime_map": marts.crime_map(ic),
         "mart_outcome_timings": marts.outcome_timings(ic),

@@ -81,17 +81,21 @@ def sync_catalog(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def replace_months(batch: DataFrame, table_path: str, cluster_by: tuple[str, ...] | list[str] = ()) -> None:
-    """Replace the months present in ``batch`` in the raw table at ``table_path``.
+def replace_months(
+    batch: DataFrame, table_path: str, cluster_by: tuple[str, ...] | list[str] = (), rebalance: bool = True
+) -> None:
+    """Replace the months present in ``batch`` in the table at ``table_path``.
 
     Months not in the batch are untouched; a batch with no rows writes nothing. A rebalance
     on the month clusters each month into few files; AQE splits a month that holds a large
-    share of the rows over several tasks instead of sending it to one. Rows are sorted by
-    month (which the partitioned writer needs anyway) and then by ``cluster_by``.
+    share of the rows over several tasks instead of sending it to one. Input that is already
+    clustered by month (read from a table stored by month) can skip it: each task then
+    writes the few months it holds, with no shuffle. Rows are sorted by month (which the
+    partitioned writer needs anyway) and then by ``cluster_by``.
     """
+    out = batch.hint("rebalance", MONTH_COL) if rebalance else batch
     (
-        batch.hint("rebalance", MONTH_COL)
-        .sortWithinPartitions(MONTH_COL, *cluster_by)
+        out.sortWithinPartitions(MONTH_COL, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_COL)

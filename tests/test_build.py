@@ -162,6 +162,10 @@ def test_monthly_runs_accumulate_months(spark):
     months = {r["crime_month"] for r in spark.read.parquet(second["mart"]["mart_outcome_timings"]).collect()}
     assert months == {"1996-03", "1996-04"}
     assert first["raw"] == second["raw"]
+    # the flattened layer keeps the first run's month and adds the second's
+    flat = spark.read.parquet(second["int"]["int_crimes"])
+    assert {r["ingest_year_month"] for r in flat.select("ingest_year_month").distinct().collect()} == {"1996-03", "1996-04"}
+    assert flat.count() == raw.count()
 
 
 def test_published_build_answers_sql(spark, built):
