@@ -41,7 +41,7 @@ _STAGE = {
 }
 
 
-def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
+def quality_report(int_crimes: DataFrame, timings: DataFrame, raw_stops: DataFrame | None = None) -> DataFrame:
     """The checks of the crime models as one report (model, check_name, column_name, failures).
 
     * ``int_crimes``: type conformance of the text columns the marts convert (months as
@@ -50,7 +50,9 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
       The map is a projection of ``int_crimes`` (same rows, same values), so its checks run
       in the same single pass;
     * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows;
-    * ``int_crimes`` schema: the documented column types.
+    * ``int_crimes`` schema: the documented column types;
+    * ``stop_and_search_data`` (when given): stop times whose text does not convert to the
+      timestamp that staging casts it to.
     """
     month = lambda c: F.col(c).isNotNull() & F.try_to_date(F.col(c), "yyyy-MM").isNull()
     number = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
@@ -69,7 +71,10 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame) -> DataFrame:
     )
     marts_ = quality.not_null_checks(timings, "mart_outcome_timings", ["crime_month", "crime_category"])
     contract = quality.schema_checks(int_crimes, "int_crimes", INT_CRIMES_TYPES)
-    return quality.union_reports([crimes, marts_, contract])
+    parts = [crimes, marts_, contract]
+    if raw_stops is not None:
+        parts.append(quality.type_checks(raw_stops, "stop_and_search_data", {"datetime": "timestamp"}))
+    return quality.union_reports(parts)
 
 
 def _write_all(jobs: dict[str, Callable[[], None]], threads: int) -> None:
@@ -158,7 +163,11 @@ def build_all(
         threads,
     )
 
-    report = quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]))
+    report = quality_report(
+        ic,
+        spark.read.parquet(mart_paths["mart_outcome_timings"]),
+        read_raw(spark, raw_paths["stop_and_search_data"], "stop_and_search_data"),
+    )
     if landing_root is not None:
         # unparseable lines and rows without their key field, one pass per landing dataset
         report = quality.union_reports(

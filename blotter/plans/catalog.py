@@ -263,7 +263,7 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     from blotter.plans.build import quality_report
 
-    return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir))
+    return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir), raw(spark, sf_dir, "stop_and_search_data"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

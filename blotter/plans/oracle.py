@@ -211,6 +211,7 @@ TOP = """SELECT object_of_search, CAST(sum(stop_search_count) AS BIGINT) AS tota
   FROM mix GROUP BY object_of_search ORDER BY total_searches DESC, object_of_search LIMIT 10"""
 
 _CTES = {
+    "raw_stops": RAW_STOPS,
     "int_crimes": INT_CRIMES,
     "int_stops": INT_STOPS,
     "crime_map": CRIME_MAP,
@@ -222,6 +223,7 @@ _CTES = {
 }
 
 _DEPENDS = {
+    "raw_stops": [],
     "int_crimes": [],
     "int_stops": [],
     "crime_map": ["int_crimes"],
@@ -413,11 +415,14 @@ ORACLE_SQL: dict[str, str] = {
           SELECT crime_id FROM crime_map WHERE crime_id IS NOT NULL GROUP BY crime_id HAVING count(*) > 1) d
       UNION ALL SELECT 'mart_outcome_timings', 'not_null', 'crime_month', count_if(crime_month IS NULL) FROM timings
       UNION ALL SELECT 'mart_outcome_timings', 'not_null', 'crime_category', count_if(crime_category IS NULL) FROM timings
+      UNION ALL SELECT 'stop_and_search_data', 'type', 'datetime',
+          count_if(datetime IS NOT NULL AND try_cast(datetime AS TIMESTAMPTZ) IS NULL) FROM raw_stops
       UNION ALL SELECT 'int_crimes', 'schema', column_name, 0 FROM (VALUES """
         + ", ".join(f"('{c}')" for c in INT_CRIMES_TYPES)
         + """) v(column_name)""",
         "int_crimes",
         "crime_map",
         "timings",
+        "raw_stops",
     ),
 }

@@ -246,3 +246,13 @@ def test_null_month_stays_null(spark):
     pts = {r["crime_id"]: r["crime_month"] for r in serving.map_points(marts.crime_map(ic)).collect()}
     assert pts == {1: None, 2: "2025-01"}
     assert [r["crime_month"] for r in serving.month_options(serving.map_points(marts.crime_map(ic))).collect()] == ["2025-01"]
+
+
+def test_stop_time_conformance_counts_bad_text(spark):
+    rows = [
+        {"object_of_search": "x", "datetime": "2025-01-02T10:00:00+00:00"},
+        {"object_of_search": "x", "datetime": "not a time"},
+        {"object_of_search": "x", "datetime": None},
+    ]
+    rep = quality.type_checks(stops_raw(spark, rows), "stop_and_search_data", {"datetime": "timestamp"}).collect()
+    assert [(r["column_name"], r["failures"]) for r in rep] == [("datetime", 1)]
