@@ -9,6 +9,8 @@ empty batch leaves the month as it was.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ def raw_select(records: DataFrame, dataset: str | Dataset, month: str | None = N
     * other columns: cast to the declared type.
     """
     ds = _dataset(dataset)
+    if month is not None and not re.fullmatch(r"\d{4}-\d{2}", month):
+        raise ValueError(f"batch month must look like yyyy-MM, got {month!r}")
     types = {f.name: f.dataType for f in records.schema.fields}
     exprs = []
     for name, dtype in ds.columns:

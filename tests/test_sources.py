@@ -149,3 +149,11 @@ def test_area_polygon_text():
 
     poly = area_polygon(1.0, 2.0, 0.5, 0.25)
     assert poly == "0.5,1.75:1.5,1.75:1.5,2.25:0.5,2.25"
+
+
+def test_raw_select_rejects_malformed_month(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1,)], "id bigint")
+    with pytest.raises(ValueError):
+        raw_select(df, "crime_data", month="2025-1'; drop")
