@@ -21,12 +21,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.operators import flatten, marts, quality, staging
+from blotter.functions.months import month_spine
+from blotter.operators import coverage, flatten, marts, quality, staging
 from blotter.schemas import DATASETS, INT_CRIMES_TYPES, MONTH_COL
 from blotter.session import configure, scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
-from blotter.sources.raw import raw_select, read_raw, replace_months
+from blotter.sources.raw import loaded_batches, raw_select, read_raw, replace_months
 
 # concurrent write jobs per layer (the reference builds its models with 4 threads)
 BUILD_THREADS = 4
@@ -91,6 +92,21 @@ def _write_all(jobs: dict[str, Callable[[], None]], threads: int) -> None:
         f.result()
 
 
+def coverage_report(raws: dict[str, DataFrame]) -> DataFrame:
+    """Report rows (dataset, ``missing_batch``, ``ingest_year_month``, months): months between
+    the first and the last loaded month, over all datasets, in which a dataset holds no rows.
+    The month spine and the loaded batches are derived on executors from the raw tables'
+    month partitions; the anti join moves one row per (dataset, month)."""
+    loaded = loaded_batches(raws)
+    bounds = loaded.agg(F.min(MONTH_COL).alias("first"), F.max(MONTH_COL).alias("last")).select(
+        F.to_date("first").alias("start"), F.add_months(F.to_date("last"), 1).alias("asof")
+    )
+    missing = coverage.missing_batches(month_spine(bounds), loaded, list(raws))
+    return quality.combined_checks(
+        missing, [(n, "missing_batch", MONTH_COL, F.col("dataset") == n) for n in raws]
+    )
+
+
 def load_raw(
     spark: SparkSession, records: dict[str, DataFrame], raw_root: str, threads: int = BUILD_THREADS
 ) -> dict[str, str]:
@@ -163,10 +179,12 @@ def build_all(
         threads,
     )
 
-    report = quality_report(
-        ic,
-        spark.read.parquet(mart_paths["mart_outcome_timings"]),
-        read_raw(spark, raw_paths["stop_and_search_data"], "stop_and_search_data"),
+    raws = {n: read_raw(spark, raw_paths[n], n) for n in DATASETS}
+    report = quality.union_reports(
+        [
+            quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]), raws["stop_and_search_data"]),
+            coverage_report(raws),
+        ]
     )
     if landing_root is not None:
         # unparseable lines and rows without their key field, one pass per landing dataset

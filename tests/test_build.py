@@ -163,6 +163,9 @@ def test_monthly_runs_accumulate_months(spark):
     assert months == {"1996-03", "1996-04"}
     assert first["raw"] == second["raw"]
     # the flattened layer keeps the first run's month and adds the second's
+    rep = {(r["model"], r["check_name"]): r["failures"] for r in second["report"].collect()}
+    assert rep[("crime_data", "missing_batch")] == 0
+    assert rep[("outcome_data", "missing_batch")] == rep[("stop_and_search_data", "missing_batch")] == 2
     flat = spark.read.parquet(second["int"]["int_crimes"])
     assert {r["ingest_year_month"] for r in flat.select("ingest_year_month").distinct().collect()} == {"1996-03", "1996-04"}
     assert flat.count() == raw.count()
