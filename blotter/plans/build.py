@@ -108,14 +108,24 @@ def coverage_report(raws: dict[str, DataFrame]) -> DataFrame:
 
 
 def load_raw(
-    spark: SparkSession, records: dict[str, DataFrame], raw_root: str, threads: int = BUILD_THREADS
+    spark: SparkSession,
+    records: dict[str, DataFrame],
+    raw_root: str,
+    threads: int = BUILD_THREADS,
+    month_clustered: bool = False,
 ) -> dict[str, str]:
-    """Replace every month present in each dataset's records; one job per dataset."""
+    """Replace every month present in each dataset's records; one job per dataset.
+
+    ``month_clustered`` input (a landing scan: every file belongs to one month folder) is
+    written without a shuffle, each task writing the few months it holds; other input is
+    rebalanced on the month first so each month lands in few files."""
     paths = {name: f"{raw_root}/{name}" for name in records}
-    _write_all(
-        {n: (lambda n=n: replace_months(raw_select(records[n], n), paths[n], DATASETS[n].cluster_by)) for n in records},
-        threads,
-    )
+
+    def load(n: str) -> None:
+        batch = raw_select(records[n], n)
+        replace_months(batch, paths[n], DATASETS[n].cluster_by, rebalance=not month_clustered)
+
+    _write_all({n: (lambda n=n: load(n)) for n in records}, threads)
     return paths
 
 
@@ -147,7 +157,7 @@ def build_all(
     else:
         raise ValueError("give sf_dir or landing_root")
 
-    raw_paths = load_raw(spark, records, f"{root}/raw", threads)
+    raw_paths = load_raw(spark, records, f"{root}/raw", threads, month_clustered=landing_root is not None)
 
     # flattened layer, stored by batch month: only the months of this run are parsed again
     # and replaced; months flattened by earlier runs stay
