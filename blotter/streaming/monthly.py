@@ -50,8 +50,11 @@ def start_month_replace(
     """Start the stream; with ``available_now`` it drains what has landed, then stops,
     otherwise it checks for new landing files every ``interval``."""
 
+    cluster_by = DATASETS[dataset].cluster_by
+
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        replace_months(raw_select(batch, dataset), table_path)
+        # landing files are month-pure, so the micro-batch is written without a shuffle
+        replace_months(raw_select(batch, dataset), table_path, cluster_by, rebalance=False)
 
     writer = landing_stream(spark, landing_root, dataset, key).writeStream.foreachBatch(replace).option(
         "checkpointLocation", checkpoint
