@@ -65,3 +65,19 @@ def test_spread_keeps_parallel_inputs_and_spreads_single_split(spark):
     assert spread_df.count() == 1000
     sizes = spread_df.groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == cores
+
+
+def test_library_has_no_driver_collects_or_python_udfs():
+    """Operators stay on executors: no collect/toPandas, no Python UDFs, no localCheckpoint.
+    The only RDD use is reading a scan's partition count in ``session.spread``."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "blotter"
+    banned = re.compile(r"\.collect\(|toPandas|pandas_udf|\budf\(|mapInPandas|applyInPandas|localCheckpoint")
+    offenders = []
+    for path in root.rglob("*.py"):
+        for n, line in enumerate(path.read_text().splitlines(), 1):
+            if banned.search(line) or (".rdd" in line and "getNumPartitions" not in line):
+                offenders.append(f"{path.name}:{n}: {line.strip()}")
+    assert offenders == []
