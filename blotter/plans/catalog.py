@@ -266,6 +266,13 @@ def q_dq_report(spark, sf_dir):
     return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir), raw(spark, sf_dir, "stop_and_search_data"))
 
 
+def q_build_report(spark, sf_dir):
+    """The whole monthly build over the input tables, in dependency order; its report."""
+    from blotter.plans.build import build_all
+
+    return build_all(spark, sf_dir=sf_dir)["report"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_crimes": q_stg_crimes,
     "stg_outcomes": q_stg_outcomes,
@@ -304,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_report": q_dq_report,
+    "build_report": q_build_report,
 }
 
 

@@ -426,3 +426,15 @@ ORACLE_SQL: dict[str, str] = {
         "raw_stops",
     ),
 }
+
+_COVERAGE = _with(
+    """SELECT d.dataset AS model, 'missing_batch' AS check_name, 'ingest_year_month' AS column_name,
+    (SELECT count(*) FROM spine s
+      WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.dataset = d.dataset AND l.ingest_year_month = s.m)) AS failures
+  FROM (VALUES ('crime_data'), ('outcome_data'), ('stop_and_search_data')) d(dataset)""",
+    loaded=_LOADED,
+    spine="""SELECT strftime(unnest(generate_series(strptime(f, '%Y-%m'), strptime(l, '%Y-%m'), INTERVAL 1 MONTH)), '%Y-%m') AS m
+  FROM (SELECT min(ingest_year_month) AS f, max(ingest_year_month) AS l FROM loaded) b""",
+)
+
+ORACLE_SQL["build_report"] = f"SELECT * FROM ({ORACLE_SQL['dq_report']}) r UNION ALL SELECT * FROM ({_COVERAGE}) c"
