@@ -188,3 +188,13 @@ def test_monthly_run_from_tables(spark):
     res = build_all(spark, sf_dir=SMOKE_DIR, out_root=out, months=["1996-03"])
     months = {r["ingest_year_month"] for r in read_raw(spark, res["raw"]["crime_data"], "crime_data").collect()}
     assert months == {"1996-03"}
+
+
+def test_command_line_build(spark):
+    from blotter.__main__ import main
+
+    out = scratch_path(spark, "build")
+    args = ["build", "--tables", SMOKE_DIR, "--out-root", out, "--months", "1996-03"]
+    assert main(args) == 0
+    # missing coordinates are reported as not-null failures, so a strict run fails
+    assert main(args + ["--strict"]) == 1
