@@ -1,7 +1,8 @@
-"""Command line entry for the monthly build, for spark-submit or ``python -m blotter``.
+"""Command line entry for the monthly build: ``python -m blotter build ...``, or with
+spark-submit ``spark-submit --py-files blotter.zip blotter/__main__.py build ...``::
 
-    spark-submit --conf spark.checkpoint.dir=s3://bucket/ckpt -m blotter build \\
-        --landing-root s3://bucket/landing --out-root s3://bucket/warehouse --months 2025-01,2025-02
+    python -m blotter build --landing-root s3://bucket/landing \\
+        --out-root s3://bucket/warehouse --months 2025-01,2025-02
 
 Exits with status 1 when any check of the report has failures and ``--strict`` is given.
 """
