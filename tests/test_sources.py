@@ -157,3 +157,15 @@ def test_raw_select_rejects_malformed_month(spark):
     df = spark.createDataFrame([(1,)], "id bigint")
     with pytest.raises(ValueError):
         raw_select(df, "crime_data", month="2025-1'; drop")
+
+
+def test_landing_load_plan_has_no_shuffle(spark, tmp_path):
+    """A landing scan is month-pure, so the raw load hands the writer a plan without an
+    exchange; input that is not clustered by month is rebalanced instead."""
+    recs = spark.createDataFrame([(1, "2025-01"), (2, "2025-02")], "id bigint, ingest_year_month string")
+    write_landing(recs.withColumn("month", F.col(MONTH_COL)), str(tmp_path), "crime_data")
+    batch = raw_select(read_landing(spark, str(tmp_path), "crime_data"), "crime_data")
+    plan = batch.sortWithinPartitions(MONTH_COL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    rebalanced = batch.hint("rebalance", MONTH_COL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in rebalanced
