@@ -169,3 +169,11 @@ def test_landing_load_plan_has_no_shuffle(spark, tmp_path):
     assert "Exchange" not in plan
     rebalanced = batch.hint("rebalance", MONTH_COL)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in rebalanced
+
+
+def test_date_folders_do_not_replace_the_record_date(spark, tmp_path):
+    recs = [{"date": "2024-12", "person_id": "a"}, {"date": "2025-01", "person_id": "b"}]
+    _write(tmp_path / "outcome_data" / "date=2025-01", "x.json", json.dumps(recs))
+    df = read_landing(spark, str(tmp_path), "outcome_data", key="date")
+    got = sorted((r["person_id"], r["date"], r[MONTH_COL]) for r in df.collect())
+    assert got == [("a", "2024-12", "2025-01"), ("b", "2025-01", "2025-01")]
