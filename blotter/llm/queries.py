@@ -68,6 +68,18 @@ FROM rated
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.secret_scan import scan_secrets
+
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.packing import pack_documents
+
+    return pack_documents(read(spark, sf_dir, "documents"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
@@ -78,7 +90,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources,)
+    for f in (op1_mix_sources, op3_secret_scan, op5_best_fit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
