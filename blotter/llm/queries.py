@@ -80,6 +80,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.quality import quality_scores
+
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
@@ -90,7 +102,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op3_secret_scan, op5_best_fit_packing)
+    for f in (op1_mix_sources, op3_secret_scan, op5_best_fit_packing, op7_quality_classifier, op9_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
