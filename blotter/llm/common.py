@@ -82,6 +82,25 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]
     return [(int(i), int(root[i])) for i in linked]
 
 
+def block_pairs(members: DataFrame, on: list[str], block: int) -> DataFrame:
+    """Deal the members (key, ``n`` of their bucket) of each bucket into blocks of about
+    ``block`` and give each the pairs of blocks it takes part in: ``gid`` names the pair,
+    ``side`` is 2 in a block's pair with itself, else 0 or 1. Small buckets are one block."""
+    return (
+        members.withColumn("blocks", F.ceil(F.col("n") / F.lit(float(block))).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("key", *on), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("gid", F.xxhash64(*on, F.least("own", "other"), F.greatest("own", "other")))
+        .withColumn("side", F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")))
+        .drop("blocks", "own", "other", "n")
+    )
+
+
+def compared(side: np.ndarray) -> np.ndarray:
+    """Which rows of a block pair are compared: all in a block's own, else across."""
+    return (side[:, None] != side[None, :]) | (side[:, None] == 2)
+
+
 # --- hashing of words and word shingles, vectorised over a batch of texts -----------------
 
 _P = 0x9E3779B97F4A7C15

@@ -68,12 +68,78 @@ FROM rated
 """
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.embedding_dedup import near_vectors
+
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+_OP2_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+), normed AS (
+  SELECT vec_id, label, e, sqrt(list_sum([x * x FOR x IN e])) AS norm FROM usable
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM normed a JOIN normed b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND a.norm > 0 AND b.norm > 0
+   AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), reach(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (
+  SELECT node, min(other) AS component_id FROM reach GROUP BY node
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, l.component_id,
+       e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.node = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+"""
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blotter.llm.secret_scan import scan_secrets
 
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.ngram_join import jaccard_join
+
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
+_OP4_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingled AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_reduce(w, lambda a, b: a || ' ' || b)]
+         ELSE [w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]
+               FOR i IN range(1, len(w) - 3)] END) AS s
+  FROM worded
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT c.a, c.b FROM common c JOIN sized x ON x.doc_id = c.a JOIN sized y ON y.doc_id = c.b
+  WHERE c.n / (x.n + y.n - c.n) >= 0.8
+), reach(node, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, l.class_id, d.doc_id = l.class_id AS kept
+FROM documents d JOIN least l ON l.node = d.doc_id LEFT JOIN counted c ON c.a = d.doc_id
+"""
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blotter.llm.packing import pack_documents
 
@@ -102,9 +168,11 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op3_secret_scan, op5_best_fit_packing, op7_quality_classifier, op9_toxicity)
+    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op7_quality_classifier, op9_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _OP1_SQL,
+    "op2_embedding_near_dedup": _OP2_SQL,
+    "op4_ngram_jaccard_join": _OP4_SQL,
 }
