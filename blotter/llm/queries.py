@@ -146,6 +146,28 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.chat_format import formatted_conversations
+
+    return formatted_conversations(read(spark, sf_dir, "conversations"))
+
+
+_OP6_SQL = r"""
+WITH logged AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn) AS turns,
+         string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10), ''
+                    ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id
+), maximal AS (
+  SELECT a.* FROM logged a
+  WHERE NOT EXISTS (SELECT 1 FROM logged b WHERE len(b.turns) > len(a.turns) AND b.turns[1:len(a.turns)] = a.turns)
+)
+SELECT min(conv_id) AS conv_id, CAST(0 AS BIGINT) AS segment, CAST(len(turns) AS BIGINT) AS n_turns,
+       CAST(len(turns) AS BIGINT) AS total_turns, CAST(count(*) AS BIGINT) AS copies, min(text) AS text
+FROM maximal GROUP BY turns
+"""
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blotter.llm.quality import quality_scores
 
@@ -158,6 +180,47 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.warc import archived_pages
+
+    return archived_pages(read(spark, sf_dir, "pages"))
+
+
+_OP8_SQL = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), headed AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS head
+  FROM sized
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN head IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head IS NOT DISTINCT FROM page_id THEN NULL ELSE head END AS refers_to
+FROM headed
+"""
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.topk import top_k
+
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_OP10_SQL = """
+WITH whole AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
@@ -168,11 +231,14 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op7_quality_classifier, op9_toxicity)
+    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _OP1_SQL,
     "op2_embedding_near_dedup": _OP2_SQL,
     "op4_ngram_jaccard_join": _OP4_SQL,
+    "op6_chat_format": _OP6_SQL,
+    "op8_warc": _OP8_SQL,
+    "op10_top_k": _OP10_SQL,
 }
