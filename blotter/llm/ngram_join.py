@@ -42,6 +42,8 @@ DEPTH = 5
 PLANNED_DEPTH = 3
 #: A child that keeps this share of its parent's bucket is dense.
 DENSE = 0.5
+#: Sketches of a block of the brute-force comparison.
+SKETCH_BLOCK = 256
 #: Texts and shingles of a block of the exact comparison.
 BLOCK = 128
 BLOCK_SHINGLES = 500_000
@@ -375,7 +377,7 @@ def similar_classes(
     buckets = final_buckets(classes, runs_needed(recall), threshold)
     # one byte of each sketch value is enough to compare; the sketches join only shared buckets
     cut = classes.select("key", _low_bytes(F.col("sketch")).alias("cut"))
-    pairs = block_pairs(buckets, ["path"], LIMIT).join(cut, "key").select("gid", "side", "key", "cut")
+    pairs = block_pairs(buckets, ["path"], SKETCH_BLOCK).join(cut, "key").select("gid", "side", "key", "cut")
     candidates = stored(
         candidate_forest(pairs.repartition(F.col("gid")).sortWithinPartitions("gid"), threshold), "candidates"
     )
