@@ -124,8 +124,8 @@ def write_archive(pages: DataFrame, path: str, least_shared: int = LEAST_SHARED)
     alone = records.where(F.col("stores").isNull()).select(*columns)
     # of a repeated payload only the rows of its largest page id meet, to leave one
     once = records.where(F.col("stores")).select(*columns).dropDuplicates(["sha256", "sha1", "bytes"])
-    alone.write.parquet(f"{path}/payloads")
-    once.write.mode("append").parquet(f"{path}/payloads")
+    for rows in (alone, once):
+        rows.write.mode("append").option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def rebuilt_records(spark: SparkSession, path: str) -> DataFrame:
