@@ -19,10 +19,22 @@ def label_null(c: str | Column, label: str = UNKNOWN) -> Column:
     return F.coalesce(col, F.lit(label))
 
 
+# text that counts as a number: decimal digits with an optional exponent, nothing after it
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def finite(col: Column) -> Column:
+    """A double, or null when it is not a finite number."""
+    value = col.cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
 def try_double(c: str | Column) -> Column:
-    """Tolerant numeric cast: text that is not a number becomes null."""
+    """Tolerant numeric cast of text: what is not a finite number becomes null. Spark's own
+    cast would also take type suffixes (``53.2d``) and the words for NaN and infinity, which
+    have no place among coordinates."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("double")
+    return F.when(col.rlike(NUMBER), finite(col.try_cast("double")))
 
 
 def share(part: Column, total: Column) -> Column:
@@ -31,10 +43,11 @@ def share(part: Column, total: Column) -> Column:
 
 
 def exact_sum(c: Column) -> Column:
-    """Order-independent sum of a double column."""
-    return F.sum(c.cast(EXACT_SUM_TYPE))
+    """Order-independent sum of a double column (values the decimal cannot hold are left out)."""
+    return F.sum(c.try_cast(EXACT_SUM_TYPE))
 
 
 def exact_mean(c: Column) -> Column:
-    """Order-independent mean of a double column (nulls ignored, like ``avg``)."""
-    return exact_sum(c).cast("double") / F.count(c).cast("double")
+    """Order-independent mean of a double column (nulls ignored, like ``avg``): the values that
+    are summed are those that are counted."""
+    return exact_sum(c).cast("double") / F.count(c.try_cast(EXACT_SUM_TYPE)).cast("double")

@@ -6,10 +6,10 @@ drops out of the result instead of failing the job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.values import exact_mean, try_double
+from blotter.functions.values import exact_mean, finite, try_double
 
 # The default study area, a rectangle of centre +/- range in degrees.
 AREA_LAT = 53.3811
@@ -18,20 +18,10 @@ AREA_LAT_RANGE = 0.03
 AREA_LNG_RANGE = 0.05
 
 
-def area_bounds(
-    lat: float = AREA_LAT, lng: float = AREA_LNG, lat_range: float = AREA_LAT_RANGE, lng_range: float = AREA_LNG_RANGE
-) -> tuple[float, float, float, float]:
-    """(lat_min, lat_max, lng_min, lng_max) of the rectangle around a centre."""
-    return lat - lat_range, lat + lat_range, lng - lng_range, lng + lng_range
-
-
-def area_polygon(
-    lat: float = AREA_LAT, lng: float = AREA_LNG, lat_range: float = AREA_LAT_RANGE, lng_range: float = AREA_LNG_RANGE
-) -> str:
-    """The rectangle as the API's ``poly`` text: four ``lat,lng`` corners joined by ``:``."""
-    lat_min, lat_max, lng_min, lng_max = area_bounds(lat, lng, lat_range, lng_range)
-    corners = [(lat_min, lng_min), (lat_max, lng_min), (lat_max, lng_max), (lat_min, lng_max)]
-    return ":".join(f"{a},{b}" for a, b in corners)
+def _number(df: DataFrame, column: str) -> Column:
+    """A coordinate column as a finite double or null, whether it is text or already numeric."""
+    text = df.schema[column].dataType.typeName() == "string"
+    return try_double(column) if text else finite(F.col(column))
 
 
 def bbox_filter(
@@ -45,9 +35,8 @@ def bbox_filter(
 ) -> DataFrame:
     """Rows whose point lies in the rectangle, edges included. A plain range predicate: a
     narrow stage with no shuffle, and pushed to the scan when the columns are numeric."""
-    lat_min, lat_max, lng_min, lng_max = area_bounds(lat, lng, lat_range, lng_range)
-    y, x = try_double(lat_col), try_double(lon_col)
-    return df.where(y.between(F.lit(lat_min), F.lit(lat_max)) & x.between(F.lit(lng_min), F.lit(lng_max)))
+    y, x = _number(df, lat_col), _number(df, lon_col)
+    return df.where(y.between(lat - lat_range, lat + lat_range) & x.between(lng - lng_range, lng + lng_range))
 
 
 def geo_grid(points: DataFrame, lat_col: str = "lat", lon_col: str = "lon", cell: float = 0.01) -> DataFrame:
@@ -56,7 +45,7 @@ def geo_grid(points: DataFrame, lat_col: str = "lat", lon_col: str = "lon", cell
     A hash aggregate on the cell indices: partial counts per task, one exchange of partial
     states, so a cell holding most points is no hotter than any other.
     """
-    y, x = try_double(lat_col), try_double(lon_col)
+    y, x = _number(points, lat_col), _number(points, lon_col)
     size = F.lit(float(cell))
     cells = points.select(
         F.floor(y / size).alias("cell_lat"), F.floor(x / size).alias("cell_lon"), y.alias("_y"), x.alias("_x")

@@ -3,9 +3,10 @@
 Plans, as Catalyst builds them:
 
 * ``crime_map``: a projection, no shuffle.
-* ``outcome_timings``: partial aggregate per task (``percentile_approx`` keeps a bounded
-  sketch), one exchange of partial states on (month, category), final aggregate. A month or
-  category holding a third of all rows costs nothing extra: only partial states move.
+* ``outcome_timings``: a histogram first, one row per (month, category, months to outcome),
+  by a partial hash aggregate, so a month or category holding a third of all rows sends one
+  row per task and span. Count, mean, exact median and range then come from the few histogram
+  rows.
 * ``outcome_mix`` / ``reason_trends``: the same aggregate, then a share-of-total window. The
   window's input is the aggregated rows (one per key pair), so its second exchange is tiny
   whatever the skew of the raw rows.
@@ -19,13 +20,10 @@ from pyspark.sql import functions as F
 from blotter.functions.months import month_of, months_to_outcome
 from blotter.functions.values import label_null, share
 
-# percentile_approx accuracy: rank error at most 1/10000 of a group's size, with a sketch of
-# bounded size per group and task; small groups come out exact.
-MEDIAN_ACCURACY = 10000
 
-
-def crime_map(int_crimes: DataFrame) -> DataFrame:
-    """One row per crime with its coordinates (still text; null locations kept)."""
+def crime_map(int_crimes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per crime with its coordinates (still text; null locations kept). ``keep``
+    carries extra columns through (the build keeps the batch month to store the map by it)."""
     return int_crimes.select(
         "crime_id",
         "crime_month",
@@ -34,11 +32,12 @@ def crime_map(int_crimes: DataFrame) -> DataFrame:
         "crime_longitude",
         "crime_street_name",
         "latest_outcome_category",
+        *keep,
     )
 
 
 def outcome_timings(int_crimes: DataFrame, strict: bool = True) -> DataFrame:
-    """Per (crime month, category): count, mean, approximate median, min and max of whole
+    """Per (crime month, category): count, mean, exact median (lower middle), min and max of whole
     months from crime to latest outcome. Crimes without an outcome or month are left out,
     and so are negative spans (dropped after flooring)."""
     base = int_crimes.where(
@@ -48,16 +47,20 @@ def outcome_timings(int_crimes: DataFrame, strict: bool = True) -> DataFrame:
         "crime_category",
         months_to_outcome("latest_outcome_date", "crime_month", strict).alias("months_to_outcome"),
     )
-    m = F.col("months_to_outcome")
+    keys = ["crime_month", "crime_category"]
+    span, n = F.col("months_to_outcome"), F.col("n")
+    histogram = base.where(span >= 0).groupBy(*keys, "months_to_outcome").agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys)
+    up_to = F.sum(n).over(group.orderBy("months_to_outcome"))
     return (
-        base.where(m >= 0)
-        .groupBy("crime_month", "crime_category")
+        histogram.withColumn("in_upper_half", 2 * up_to >= F.sum(n).over(group))
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("crime_count"),
-            F.avg(m).alias("avg_months_to_outcome"),
-            F.percentile_approx(m, 0.5, MEDIAN_ACCURACY).alias("median_months_to_outcome"),
-            F.min(m).alias("min_months_to_outcome"),
-            F.max(m).alias("max_months_to_outcome"),
+            F.sum(n).alias("crime_count"),
+            (F.sum(span * n).cast("double") / F.sum(n).cast("double")).alias("avg_months_to_outcome"),
+            F.min(F.when(F.col("in_upper_half"), span)).alias("median_months_to_outcome"),
+            F.min(span).alias("min_months_to_outcome"),
+            F.max(span).alias("max_months_to_outcome"),
         )
     )
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.months import month_filter
-from blotter.functions.values import exact_mean, exact_sum
+from blotter.functions.values import exact_mean, exact_sum, try_double
 
 TOP_K = 10
 
@@ -24,17 +24,17 @@ def map_points(crime_map: DataFrame, month: str | None = None) -> DataFrame:
     tooltip ``"<category> - <street>"`` (null parts are skipped)."""
     # a coordinate that is null, or text that is not a number, gives a null double: one
     # test per coordinate covers both the presence filter and the failed-cast drop
-    typed = crime_map.selectExpr(
+    typed = month_filter(crime_map, "crime_month", month).select(
         "crime_id",
-        "CAST(crime_month AS STRING) AS crime_month",
+        F.col("crime_month").cast("string").alias("crime_month"),
         "crime_category",
-        "TRY_CAST(crime_latitude AS DOUBLE) AS lat",
-        "TRY_CAST(crime_longitude AS DOUBLE) AS lon",
+        try_double("crime_latitude").alias("lat"),
+        try_double("crime_longitude").alias("lon"),
         "crime_street_name",
         "latest_outcome_category",
-        "concat_ws(' - ', crime_category, crime_street_name) AS tooltip",
-    ).where("lat IS NOT NULL AND lon IS NOT NULL")
-    return month_filter(typed, "crime_month", month)
+        F.concat_ws(" - ", "crime_category", "crime_street_name").alias("tooltip"),
+    )
+    return typed.where("lat IS NOT NULL AND lon IS NOT NULL")
 
 
 def map_summary(points: DataFrame) -> DataFrame:
@@ -161,6 +161,26 @@ def outcome_mix_top_objects(mix: DataFrame, k: int = TOP_K) -> DataFrame:
     )
 
 
+def outcome_heatmap_cells(mix: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The heatmap in long form: every top-``k`` object with every outcome that occurs among
+    them, and its share, 0 where absent. The outcomes come from the data, so none is missed.
+
+    The window spans the ``k`` grouped rows, not the mix; each holds one entry per outcome.
+    """
+    cells = F.map_from_entries(F.collect_list(F.struct("outcome", "pct_within_object_of_search")))
+    per_object = outcome_mix_top_objects(mix, k).groupBy("object_of_search").agg(cells.alias("cells"))
+    everything = F.flatten(F.collect_list(F.map_keys("cells")).over(Window.partitionBy(F.lit(1))))
+    return (
+        per_object.withColumn("outcomes", F.array_distinct(everything))
+        .select("object_of_search", "cells", F.explode("outcomes").alias("outcome"))
+        .select(
+            "object_of_search",
+            "outcome",
+            F.coalesce(F.try_element_at("cells", F.col("outcome")), F.lit(0.0)).alias("pct_within_object_of_search"),
+        )
+    )
+
+
 def pivot_column(prefix: str, value: str) -> str:
     """Column name for a pivoted value: ``Community resolution`` -> ``outcome_community_resolution``,
     ``''`` -> ``outcome_empty``."""

@@ -256,3 +256,26 @@ def test_stop_time_conformance_counts_bad_text(spark):
     ]
     rep = quality.type_checks(stops_raw(spark, rows), "stop_and_search_data", {"datetime": "timestamp"}).collect()
     assert [(r["column_name"], r["failures"]) for r in rep] == [("datetime", 1)]
+
+
+def test_heatmap_cells_hold_every_outcome(spark):
+    mix = spark.createDataFrame(
+        [("a", "Arrest", 1, 0.5), ("a", "", 1, 0.5), ("b", "Caution", 2, 1.0)],
+        "object_of_search string, outcome string, stop_search_count bigint, pct_within_object_of_search double",
+    )
+    cells = {(r[0], r[1]): r[2] for r in serving.outcome_heatmap_cells(mix).collect()}
+    assert len(cells) == 6 and cells[("b", "Caution")] == 1.0 and cells[("a", "Caution")] == 0.0
+
+
+def test_coordinates_must_be_finite_numbers(spark):
+    from blotter.operators import geo
+
+    texts = ["53.1", "NaN", "Infinity", "-inf", "53.2d", "53.2f", "1e999", " 53.3 ", "5e1", "", None]
+    cm = marts.crime_map(int_crimes_of(spark, [crime(k, lat=t) for k, t in enumerate(texts)]))
+    points = serving.map_points(cm)
+    assert {r["crime_id"]: r["lat"] for r in points.collect()} == {0: 53.1, 7: 53.3, 8: 50.0}
+    extent = serving.map_extent(points).collect()[0]
+    assert extent["max_lat"] == 53.3 and extent["center_lat"] == pytest.approx((53.1 + 53.3 + 50.0) / 3)
+    assert {r["cell_lat"] for r in geo.geo_grid(points).collect()} == {5310, 5330, 5000} or geo.geo_grid(points).count() == 3
+    odd = spark.createDataFrame([(float("nan"), 1.0), (float("inf"), 1.0), (2.0, 1.0)], "lat double, lon double")
+    assert geo.geo_grid(odd).count() == 1

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from blotter.operators import marts, quality, serving
-from blotter.session import spread
 
 
 def _hot_stops(spark, n=3000):
@@ -35,7 +34,7 @@ def test_hot_object_results_and_partial_aggregation(spark):
     assert top[0]["object_of_search"] == "hot" and top[0]["total_searches"] == 1200
 
 
-def test_hot_month_timings_use_mergeable_sketch(spark):
+def test_hot_month_timings_use_a_histogram(spark):
     ic = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'x' ELSE 'y' END AS crime_category",
         "CASE WHEN id % 5 < 2 THEN '2025-01' ELSE '2025-02' END AS crime_month",
@@ -45,7 +44,8 @@ def test_hot_month_timings_use_mergeable_sketch(spark):
     got = {(r["crime_month"], r["crime_category"]): (r["crime_count"], r["median_months_to_outcome"]) for r in t.collect()}
     assert got[("2025-01", "x")] == (400, 2) and got[("2025-02", "y")] == (1200, 2)
     plan = _plan(t)
-    assert "partial_percentile_approx" in plan and "partial_count" in plan
+    # a histogram by partial hash aggregates, no sketch objects
+    assert "partial_count" in plan and "percentile" not in plan and "ObjectHashAggregate" not in plan
 
 
 def test_duplicate_check_combines_map_side(spark):
@@ -55,21 +55,9 @@ def test_duplicate_check_combines_map_side(spark):
     assert "partial_count" in _plan(quality.duplicate_values(df, "crime_id"))
 
 
-def test_spread_keeps_parallel_inputs_and_spreads_single_split(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide, ["id"]) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread_df = spread(narrow, ["id"])
-    assert spread_df.rdd.getNumPartitions() == cores
-    assert spread_df.count() == 1000
-    sizes = spread_df.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) == cores
-
-
 def test_library_has_no_driver_collects_or_python_udfs():
     """Operators stay on executors: no collect/toPandas, no Python UDFs, no localCheckpoint.
-    The only RDD use is reading a scan's partition count in ``session.spread``."""
+    The optional training-data operators have rules of their own."""
     import pathlib
     import re
 
@@ -77,7 +65,9 @@ def test_library_has_no_driver_collects_or_python_udfs():
     banned = re.compile(r"\.collect\(|toPandas|pandas_udf|\budf\(|mapInPandas|applyInPandas|localCheckpoint")
     offenders = []
     for path in root.rglob("*.py"):
+        if "llm" in path.parts:
+            continue
         for n, line in enumerate(path.read_text().splitlines(), 1):
-            if banned.search(line) or (".rdd" in line and "getNumPartitions" not in line):
+            if banned.search(line) or ".rdd" in line:
                 offenders.append(f"{path.name}:{n}: {line.strip()}")
     assert offenders == []
