@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,20 +22,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Give a scan at least one partition per core before CPU-heavy narrow work.
-
-    A large input already arrives as many splits and is returned unchanged (no shuffle).
-    An input of few splits (one small file, or a single parquet row group, which cannot be
-    split) is hash-partitioned on a unique key, so every core gets a share and no key can
-    gather a hot partition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def _checkpoint_dir(spark: SparkSession) -> str | None:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
@@ -47,7 +33,7 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local-mode session without one gets a fresh folder of its own (tests, bench);
+    Only a local-mode session (one process) without one gets a fresh folder of its own (tests, bench);
     a cluster session must name a shared folder, since executors may be lost and a
     machine-local path would not be visible to the others.
     """
@@ -55,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     if found:
         return found.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running jobs")
     local = tempfile.mkdtemp(prefix="blotter-ckpt-", dir=os.environ.get("BLOTTER_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.schemas import CORRUPT_COL, DATASETS, MONTH_COL, Dataset
+from blotter.schemas import CORRUPT_COL, DATASETS, LANDING_PARTITION, MONTH_COL, Dataset
 
 
 def _ds(dataset: str | Dataset) -> Dataset:
@@ -50,16 +50,29 @@ def write_landing(
     )
 
 
-def _month_paths(spark: SparkSession, path: str, key: str, months: list[str] | None) -> list[str]:
-    """Month folders to read. A month with no folder is a missing batch and is left out."""
+# names a month folder may have, whatever the dataset
+MONTH_KEYS = (LANDING_PARTITION, MONTH_COL)
+
+
+def _month_paths(spark: SparkSession, path: str, keys: tuple[str, ...], months: list[str] | None) -> list[str]:
+    """Month folders to read. A month with no folder is a missing batch and is left out; a
+    dataset folder that holds something but no month folder is an error, not an empty input."""
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {
+        key: any(s.isDirectory() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{key}=*")) or [])
+        for key in keys
+    }
+    if not any(found.values()):
+        inside = [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+        if any(name[0] not in "._" for name in inside):
+            raise ValueError(f"{path} has no month folders named {' or '.join(k + '=<yyyy-MM>' for k in keys)}")
+        return []
     if months is None:
-        pattern = f"{path}/{key}=*"
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern))
-        return [pattern] if found is not None and len(found) > 0 else []
-    return [f"{path}/{key}={m}" for m in months if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={m}"))]
+        return [f"{path}/{key}=*" for key in keys if found[key]]
+    wanted = [f"{path}/{key}={m}" for key in keys if found[key] for m in months]
+    return [p for p in wanted if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
 
 
 def read_landing(
@@ -74,13 +87,13 @@ def read_landing(
 
     ``months=None`` reads every month folder in one scan; a list reads only those folders
     (missing ones are skipped: a missing batch keeps the rows already loaded). ``multiline``
-    is needed only for arrays broken over several lines. ``key`` overrides the dataset's
-    folder key (e.g. ``date`` for zones written with that layout).
+    is needed only for arrays broken over several lines. Month folders are found by either
+    name (``date=`` or ``ingest_year_month=``); ``key`` restricts them to one.
     """
     ds = _ds(dataset)
-    key = key or ds.landing_key
+    keys = (key,) if key else MONTH_KEYS
     path = dataset_path(root, ds.name)
-    paths = _month_paths(spark, path, key, months)
+    paths = _month_paths(spark, path, keys, months)
     schema = ds.landing_schema()
     if not paths:
         return spark.createDataFrame([], schema).withColumn(MONTH_COL, F.lit(None).cast("string"))
@@ -91,5 +104,5 @@ def read_landing(
         .option("multiLine", str(multiline).lower())
         .json(paths)
     )
-    month = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)/[^/]*$", 1)
+    month = F.regexp_extract(F.col("_metadata.file_path"), f"/(?:{'|'.join(keys)})=([^/]+)/[^/]*$", 1)
     return df.withColumn(MONTH_COL, month)

@@ -3,13 +3,12 @@
 The monthly load re-reads every month on every run because the latest outcome of an old
 crime can change. Here the landing zone is watched instead: each micro-batch holds the files
 that arrived since the last one, and every month present in it is replaced in the raw table
-(dynamic partition overwrite). A re-written landing month arrives as a new set of files and
-replaces that month; untouched months are not read again.
+(dynamic partition overwrite). The micro-batch only says which months were touched: those are
+read again from the landing zone, in full, so a file added to a month does not replace the
+others, however the files fall into micro-batches. Untouched months are not read again.
 
 Exactly-once comes from the checkpoint plus an idempotent sink: replaying a micro-batch
-replaces the same months with the same rows. ``maxFilesPerTrigger`` must stay unset, so all
-files of one landing commit fall into one micro-batch and a month is never replaced by part
-of its files.
+replaces the same months with what the landing zone holds.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.schemas import CORRUPT_COL, DATASETS, MONTH_COL
-from blotter.sources.landing import dataset_path
+from blotter.sources.landing import dataset_path, read_landing
 from blotter.sources.raw import raw_select, replace_months
 
 
@@ -53,8 +52,11 @@ def start_month_replace(
     cluster_by = DATASETS[dataset].cluster_by
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        # landing files are month-pure, so the micro-batch is written without a shuffle
-        replace_months(raw_select(batch, dataset), table_path, cluster_by, rebalance=False)
+        # one name per touched month
+        months = [r[MONTH_COL] for r in batch.select(MONTH_COL).distinct().toLocalIterator()]
+        records = read_landing(batch.sparkSession, landing_root, dataset, months=months, key=key)
+        # landing files are month-pure, so the months are written without a shuffle
+        replace_months(raw_select(records, dataset), table_path, cluster_by, rebalance=False)
 
     writer = landing_stream(spark, landing_root, dataset, key).writeStream.foreachBatch(replace).option(
         "checkpointLocation", checkpoint

@@ -144,13 +144,6 @@ def test_create_raw_table_and_load_into_it(spark, tmp_path):
     assert sorted(r["id"] for r in got.collect()) == [1, 2]
 
 
-def test_area_polygon_text():
-    from blotter.operators.geo import area_polygon
-
-    poly = area_polygon(1.0, 2.0, 0.5, 0.25)
-    assert poly == "0.5,1.75:1.5,1.75:1.5,2.25:0.5,2.25"
-
-
 def test_raw_select_rejects_malformed_month(spark):
     import pytest
 
@@ -177,3 +170,19 @@ def test_date_folders_do_not_replace_the_record_date(spark, tmp_path):
     df = read_landing(spark, str(tmp_path), "outcome_data", key="date")
     got = sorted((r["person_id"], r["date"], r[MONTH_COL]) for r in df.collect())
     assert got == [("a", "2024-12", "2025-01"), ("b", "2025-01", "2025-01")]
+
+
+def test_date_folders_are_found_for_every_dataset(spark, tmp_path):
+    folder = tmp_path / "outcome_data" / "date=2025-01"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps({"date": "2025-01", "person_id": "p"}) + "\n")
+    rows = read_landing(spark, str(tmp_path), "outcome_data").collect()
+    assert [(r["date"], r["ingest_year_month"]) for r in rows] == [("2025-01", "2025-01")]
+
+
+def test_unknown_month_folders_are_an_error(spark, tmp_path):
+    folder = tmp_path / "outcome_data" / "month=2025-01"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text("{}\n")
+    with pytest.raises(ValueError, match="no month folders"):
+        read_landing(spark, str(tmp_path), "outcome_data")
