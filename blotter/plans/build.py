@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.months import month_spine
+from blotter.functions.values import try_double
 from blotter.operators import coverage, flatten, marts, quality, staging
-from blotter.schemas import DATASETS, INT_CRIMES_TYPES, MONTH_COL
+from blotter.schemas import CORRUPT_COL, DATASETS, INT_CRIMES_TYPES, MONTH_COL
 from blotter.session import configure, scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
@@ -56,7 +57,7 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame, raw_stops: DataFra
       timestamp that staging casts it to.
     """
     month = lambda c: F.col(c).isNotNull() & F.try_to_date(F.col(c), "yyyy-MM").isNull()
-    number = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
+    number = lambda c: F.col(c).isNotNull() & try_double(c).isNull()
     crimes = quality.combined_checks(
         int_crimes,
         [
@@ -157,7 +158,16 @@ def build_all(
     else:
         raise ValueError("give sf_dir or landing_root")
 
-    raw_paths = load_raw(spark, records, f"{root}/raw", threads, month_clustered=landing_root is not None)
+    sound = records
+    if landing_root is not None:
+        # broken lines go to a table of their own; the report counts them
+        quarantine = {n: f"{root}/quarantine/{n}" for n in records}
+        broken = {n: df.where(F.col(CORRUPT_COL).isNotNull()) for n, df in records.items()}
+        _write_all(
+            {n: (lambda n=n: broken[n].write.mode("overwrite").parquet(quarantine[n])) for n in records}, threads
+        )
+        sound = {n: df.where(F.col(CORRUPT_COL).isNull()) for n, df in records.items()}
+    raw_paths = load_raw(spark, sound, f"{root}/raw", threads, month_clustered=landing_root is not None)
 
     # flattened layer, stored by batch month: only the months of this run are parsed again
     # and replaced; months flattened by earlier runs stay
@@ -168,7 +178,8 @@ def build_all(
         if months is not None:
             raw = raw.where(F.col(MONTH_COL).isin(months))  # partition pruning on the raw table
         keep = (MONTH_COL,)
-        int_frames[model] = flat_fn(stage_fn(raw, keep=keep), keep=keep)
+        # tolerant casts: a value that does not fit becomes null here and is counted in the report
+        int_frames[model] = flat_fn(stage_fn(raw, strict=False, keep=keep), keep=keep)
     # rows come from raw files stored one month per file, so no rebalance shuffle is needed
     _write_all(
         {m: (lambda m=m: replace_months(int_frames[m], int_paths[m], rebalance=False)) for m in int_frames}, threads
@@ -177,17 +188,18 @@ def build_all(
     # read back with the planned schema: a table whose months all came in empty has no files
     ic = spark.read.schema(int_frames["int_crimes"].schema).parquet(int_paths["int_crimes"])
     ist = spark.read.schema(int_frames["int_stop_search"].schema).parquet(int_paths["int_stop_search"])
+    # the map is as long as the crimes: it is stored by batch month, and a run replaces its months
+    run_rows = ic if months is None else ic.where(F.col(MONTH_COL).isin(months))
+    crime_map = marts.crime_map(run_rows, keep=(MONTH_COL,))
     mart_frames = {
-        "mart_crime_map": marts.crime_map(ic),
-        "mart_outcome_timings": marts.outcome_timings(ic),
+        "mart_outcome_timings": marts.outcome_timings(ic, strict=False),
         "mart_outcome_mix": marts.outcome_mix(ist),
         "mart_reason_trends": marts.reason_trends(ist),
     }
-    mart_paths = {model: f"{root}/mart/{model}" for model in mart_frames}
-    _write_all(
-        {m: (lambda m=m: mart_frames[m].write.mode("overwrite").parquet(mart_paths[m])) for m in mart_frames},
-        threads,
-    )
+    mart_paths = {model: f"{root}/mart/{model}" for model in ("mart_crime_map", *mart_frames)}
+    jobs = {m: (lambda m=m: mart_frames[m].write.mode("overwrite").parquet(mart_paths[m])) for m in mart_frames}
+    jobs["mart_crime_map"] = lambda: replace_months(crime_map, mart_paths["mart_crime_map"], rebalance=False)
+    _write_all(jobs, threads)
 
     raws = {n: read_raw(spark, raw_paths[n], n) for n in DATASETS}
     report = quality.union_reports(
@@ -209,4 +221,8 @@ def build_all(
         "mart": mart_paths,
         "report_path": report_path,
         "report": spark.read.parquet(report_path),
+        "schemas": {
+            **{n: DATASETS[n].raw_schema() for n in DATASETS},
+            **{m: df.schema for m, df in {**int_frames, **mart_frames, "mart_crime_map": crime_map}.items()},
+        },
     }

@@ -1,23 +1,26 @@
 """Query catalogue: one function per operator, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query starts from the generated tables in ``sf_dir``: the API-shaped adapters feed the
-monthly load, which stores the raw tables (nested values as JSON text) once per application
-and input; staging, flatten, marts and serving then run as views over those stored tables,
-over all their rows. Queries that exercise writes (landing round trip, month replace) write
+monthly load, which stores a raw table (nested values as JSON text) per dataset; staging,
+flatten and mart queries run as views over it, over all its rows. Serving queries scan the
+marts, stored by month. A stored table belongs to one state of its source's files and is made
+when a query first needs it. Queries that exercise writes (landing round trip, month replace) write
 to a fresh folder under the session's shared scratch root.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.functions.months import month_filter, month_spine
+from blotter.functions.months import month_spine
 from blotter.operators import coverage, flatten, geo, marts, quality, serving, staging
+from blotter.plans.views import read_mart, write_mart
 from blotter.schemas import LOADED_AT, MONTH_COL
-from blotter.session import configure, scratch_path
+from blotter.session import configure, scratch_path, scratch_root
 from blotter.sources.fixtures import api_records, read_table
 from blotter.sources.landing import read_landing, write_landing
 from blotter.sources.raw import loaded_batches, raw_select, read_raw, replace_months
@@ -28,49 +31,48 @@ SELECTED_MONTH = "1998-01"
 # the stop-and-search test records span 2024, the crimes 1995-2001
 SELECTED_STOP_MONTH = "2024-06"
 RELOAD_MONTH = "1998-01"
-# The stop-and-search outcome texts of the test data, pivot column order.
-HEATMAP_OUTCOMES = ["Arrest", "Community resolution", "Unknown", "", "false"]
 
 
 # --- layer helpers --------------------------------------------------------------------
 
 
-_LOADED: dict[tuple, tuple[dict[str, str], dict[str, DataFrame]]] = {}
+# the generated table each dataset is adapted from
+_TABLE_OF = {"crime_data": "orders", "outcome_data": "lineitem", "stop_and_search_data": "events"}
 
 
-def _source_signature(spark: SparkSession, sf_dir: str) -> tuple:
-    """Length and modification time of the source tables, so changed inputs reload."""
-    jvm = spark._jvm
-    sig = []
-    for t in ("orders", "lineitem", "events"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        st = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-        sig.append((st.getLen(), st.getModificationTime()))
-    return tuple(sig)
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The monthly load: raw tables (parquet, one partition per batch month) of all three
-    datasets, loaded once per application and input and then read by every query, as the
-    models read the stored raw tables. The scans are kept, so their month-folder listing
-    is done once too. A changed input or a removed table loads again."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _source_signature(spark, sf_dir))
-    if key in _LOADED:
-        paths, tables = _LOADED[key]
-        probe = spark._jvm.org.apache.hadoop.fs.Path(paths["crime_data"])
-        if probe.getFileSystem(spark._jsc.hadoopConfiguration()).exists(probe):
-            return tables
-    from blotter.plans.build import load_raw
+def _store(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """Folder of the stored tables of one dataset, named by the files of its source table (path,
+    length and time of each), so a source that changed in any file has a folder of its own."""
+    p, fs = _path(spark, f"{sf_dir.rstrip('/')}/{_TABLE_OF[dataset]}.parquet")
+    files = fs.listFiles(p, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    name = hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:24]
+    return f"{scratch_root(spark)}/blotter/store-{dataset}-{name}"
 
-    records = {n: api_records(spark, sf_dir, n) for n in ("crime_data", "outcome_data", "stop_and_search_data")}
-    paths = load_raw(spark, records, scratch_path(spark, "raw"))
-    tables = {n: read_raw(spark, p, n) for n, p in paths.items()}
-    _LOADED[key] = (paths, tables)
-    return tables
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been committed."""
+    p, fs = _path(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
 
 
 def raw(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    return raw_tables(spark, sf_dir)[dataset]
+    """The monthly load of one dataset: its raw table, stored once per state of its source."""
+    root = _store(spark, sf_dir, dataset)
+    path = f"{root}/raw/{dataset}"
+    if not _complete(spark, path):
+        from blotter.plans.build import load_raw
+
+        load_raw(spark, {dataset: api_records(spark, sf_dir, dataset)}, f"{root}/raw")
+    return read_raw(spark, path, dataset)
 
 
 def stg(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -110,8 +112,42 @@ def trends(spark, sf_dir):
     return marts.reason_trends(int_stops(spark, sf_dir))
 
 
+_MARTS = {
+    "mart_crime_map": ("crime_data", crime_map),
+    "mart_outcome_timings": ("crime_data", timings),
+    "mart_outcome_mix": ("stop_and_search_data", mix),
+    "mart_reason_trends": ("stop_and_search_data", trends),
+}
+
+
+def mart(spark: SparkSession, sf_dir: str, model: str, month: str | None = None) -> DataFrame:
+    """A stored mart, as the serving operators read it: written once per state of its source,
+    in folders by month, and scanned with the dashboard's columns and month."""
+    dataset, make = _MARTS[model]
+    path = f"{_store(spark, sf_dir, dataset)}/mart/{model}"
+    if not _complete(spark, path):
+        write_mart(make(spark, sf_dir), path, model)
+    return read_mart(spark, path, model, month)
+
+
+def served_map(spark, sf_dir, month=None):
+    return mart(spark, sf_dir, "mart_crime_map", month)
+
+
+def served_timings(spark, sf_dir, month=None):
+    return mart(spark, sf_dir, "mart_outcome_timings", month)
+
+
+def served_mix(spark, sf_dir):
+    return mart(spark, sf_dir, "mart_outcome_mix")
+
+
+def served_trends(spark, sf_dir, month=None):
+    return mart(spark, sf_dir, "mart_reason_trends", month)
+
+
 def points(spark, sf_dir, month=None):
-    return serving.map_points(crime_map(spark, sf_dir), month)
+    return serving.map_points(served_map(spark, sf_dir, month), month)
 
 
 def _no_load_time(df: DataFrame) -> DataFrame:
@@ -145,19 +181,19 @@ def q_map_summary(spark, sf_dir):
 
 
 def q_kpis(spark, sf_dir):
-    return serving.kpis(points(spark, sf_dir), trends(spark, sf_dir))
+    return serving.kpis(points(spark, sf_dir), served_trends(spark, sf_dir))
 
 
 def q_kpis_month(spark, sf_dir):
-    return serving.kpis(points(spark, sf_dir), trends(spark, sf_dir), SELECTED_MONTH)
+    return serving.kpis(points(spark, sf_dir), served_trends(spark, sf_dir), SELECTED_MONTH)
 
 
 def q_outcome_heatmap(spark, sf_dir):
-    return serving.outcome_heatmap(mix(spark, sf_dir), HEATMAP_OUTCOMES)
+    return serving.outcome_heatmap_cells(served_mix(spark, sf_dir))
 
 
 def q_month_filter(spark, sf_dir):
-    return month_filter(timings(spark, sf_dir), "crime_month", SELECTED_MONTH)
+    return served_timings(spark, sf_dir, SELECTED_MONTH)
 
 
 def q_map_summary_month(spark, sf_dir):
@@ -165,11 +201,11 @@ def q_map_summary_month(spark, sf_dir):
 
 
 def q_outcome_summary_month(spark, sf_dir):
-    return serving.outcome_summary(timings(spark, sf_dir), SELECTED_MONTH)
+    return serving.outcome_summary(served_timings(spark, sf_dir, SELECTED_MONTH), SELECTED_MONTH)
 
 
 def q_reason_trend_month(spark, sf_dir):
-    return serving.reason_trend_sorted(trends(spark, sf_dir), SELECTED_STOP_MONTH)
+    return serving.reason_trend_sorted(served_trends(spark, sf_dir, SELECTED_STOP_MONTH), SELECTED_STOP_MONTH)
 
 
 def q_geo_grid(spark, sf_dir):
@@ -177,7 +213,7 @@ def q_geo_grid(spark, sf_dir):
 
 
 def q_bbox_filter(spark, sf_dir):
-    return geo.bbox_filter(crime_map(spark, sf_dir), "crime_latitude", "crime_longitude")
+    return geo.bbox_filter(served_map(spark, sf_dir), "crime_latitude", "crime_longitude")
 
 
 def q_month_spine(spark, sf_dir):
@@ -242,9 +278,9 @@ def q_dq_not_null(spark, sf_dir):
     return quality.union_reports(
         [
             quality.not_null_checks(
-                crime_map(spark, sf_dir), "mart_crime_map", ["crime_id", "crime_latitude", "crime_longitude"]
+                served_map(spark, sf_dir), "mart_crime_map", ["crime_id", "crime_latitude", "crime_longitude"]
             ),
-            quality.not_null_checks(timings(spark, sf_dir), "mart_outcome_timings", ["crime_month", "crime_category"]),
+            quality.not_null_checks(served_timings(spark, sf_dir), "mart_outcome_timings", ["crime_month", "crime_category"]),
         ]
     )
 
@@ -255,7 +291,7 @@ def q_dq_unique(spark, sf_dir):
         d = quality.duplicate_values(df, "crime_id")
         return d.select(F.lit(model).alias("model"), F.col("value").alias("crime_id"), "occurrences")
 
-    return dup(crime_map(spark, sf_dir), "mart_crime_map").unionByName(
+    return dup(served_map(spark, sf_dir), "mart_crime_map").unionByName(
         dup(int_outcomes(spark, sf_dir), "int_outcomes")
     )
 
@@ -263,7 +299,7 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     from blotter.plans.build import quality_report
 
-    return quality_report(int_crimes(spark, sf_dir), timings(spark, sf_dir), raw(spark, sf_dir, "stop_and_search_data"))
+    return quality_report(int_crimes(spark, sf_dir), served_timings(spark, sf_dir), raw(spark, sf_dir, "stop_and_search_data"))
 
 
 def q_build_report(spark, sf_dir):
@@ -284,18 +320,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_outcome_timings": timings,
     "mart_outcome_mix": mix,
     "mart_reason_trends": trends,
-    "outcome_summary": lambda s, d: serving.outcome_summary(timings(s, d)),
-    "outcome_trend": lambda s, d: serving.outcome_trend(timings(s, d)),
+    "outcome_summary": lambda s, d: serving.outcome_summary(served_timings(s, d)),
+    "outcome_trend": lambda s, d: serving.outcome_trend(served_timings(s, d)),
     "map_points": points,
     "map_summary": q_map_summary,
     "map_extent": lambda s, d: serving.map_extent(points(s, d)),
     "kpis": q_kpis,
     "kpis_month": q_kpis_month,
     "month_options": lambda s, d: serving.month_options(points(s, d)),
-    "top_objects": lambda s, d: serving.top_objects(mix(s, d)),
-    "outcome_mix_top_objects": lambda s, d: serving.outcome_mix_top_objects(mix(s, d)),
+    "top_objects": lambda s, d: serving.top_objects(served_mix(s, d)),
+    "outcome_mix_top_objects": lambda s, d: serving.outcome_mix_top_objects(served_mix(s, d)),
     "outcome_heatmap": q_outcome_heatmap,
-    "reason_trend_sorted": lambda s, d: serving.reason_trend_sorted(trends(s, d)),
+    "reason_trend_sorted": lambda s, d: serving.reason_trend_sorted(served_trends(s, d)),
     "month_filter": q_month_filter,
     "map_summary_month": q_map_summary_month,
     "outcome_summary_month": q_outcome_summary_month,

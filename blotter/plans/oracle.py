@@ -8,10 +8,14 @@ on summation order.
 
 from __future__ import annotations
 
-from blotter.operators.geo import area_bounds
-from blotter.operators.serving import pivot_column
-from blotter.plans.catalog import HEATMAP_OUTCOMES, RELOAD_MONTH, SELECTED_MONTH, SELECTED_STOP_MONTH
-from blotter.schemas import INT_CRIMES_TYPES
+# parameters of the month queries, and the documented columns of the flattened crimes
+SELECTED_MONTH = "1998-01"
+SELECTED_STOP_MONTH = "2024-06"
+RELOAD_MONTH = "1998-01"
+INT_CRIMES_COLUMNS = (
+    "crime_id persistent_id crime_category crime_month location_type location_subtype context crime_latitude "
+    "crime_longitude crime_street_id crime_street_name latest_outcome_category latest_outcome_date"
+).split()
 
 
 def _dbl(x: float) -> str:
@@ -205,7 +209,9 @@ POINTS = """SELECT crime_id, crime_month, crime_category,
     concat_ws(' - ', crime_category, crime_street_name) AS tooltip
   FROM crime_map
   WHERE crime_latitude IS NOT NULL AND crime_longitude IS NOT NULL
-    AND try_cast(crime_latitude AS DOUBLE) IS NOT NULL AND try_cast(crime_longitude AS DOUBLE) IS NOT NULL"""
+    AND regexp_full_match(trim(crime_latitude), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+    AND regexp_full_match(trim(crime_longitude), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+    AND isfinite(try_cast(crime_latitude AS DOUBLE)) AND isfinite(try_cast(crime_longitude AS DOUBLE))"""
 
 TOP = """SELECT object_of_search, CAST(sum(stop_search_count) AS BIGINT) AS total_searches
   FROM mix GROUP BY object_of_search ORDER BY total_searches DESC, object_of_search LIMIT 10"""
@@ -265,7 +271,9 @@ def _exact_mean(c: str) -> str:
     return f"CAST(sum(CAST({c} AS DECIMAL(38,9))) AS DOUBLE) / CAST(count({c}) AS DOUBLE)"
 
 
-_LAT_MIN, _LAT_MAX, _LNG_MIN, _LNG_MAX = area_bounds()
+# centre 53.3811, -1.4701 with 0.03 and 0.05 degrees around it, in doubles
+_LAT_MIN, _LAT_MAX = 53.3811 - 0.03, 53.3811 + 0.03
+_LNG_MIN, _LNG_MAX = -1.4701 - 0.05, -1.4701 + 0.05
 
 _SPINE = """SELECT strftime(unnest(generate_series(first_month, last_month, INTERVAL 1 MONTH)), '%Y-%m') AS ingest_year_month
   FROM (
@@ -278,11 +286,6 @@ _LOADED = f"""SELECT DISTINCT 'crime_data' AS dataset, strftime(o_orderdate, '%Y
   UNION SELECT DISTINCT 'outcome_data', strftime(l_shipdate, '%Y-%m') FROM lineitem
   UNION SELECT DISTINCT 'stop_and_search_data', substr({_STOP_DATETIME}, 1, 7) FROM events"""
 
-_HEATMAP_COLS = ",\n    ".join(
-    f"coalesce(sum(CASE WHEN outcome = '{v}' THEN pct_within_object_of_search END), 0.0) AS {pivot_column('outcome', v)}"
-    for v in HEATMAP_OUTCOMES
-)
-
 _RAW_CRIME_COLS = (
     "category, context, id, location, location_subtype, location_type, month, outcome_status, "
     "persistent_id, ingest_year_month"
@@ -338,9 +341,11 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM mix WHERE object_of_search IN (SELECT object_of_search FROM top)", "top"
     ),
     "outcome_heatmap": _q(
-        f"""SELECT object_of_search,
-    {_HEATMAP_COLS}
-  FROM mix WHERE object_of_search IN (SELECT object_of_search FROM top) GROUP BY object_of_search""",
+        """SELECT t.object_of_search, o.outcome,
+    coalesce(m.pct_within_object_of_search, 0.0) AS pct_within_object_of_search
+  FROM top t
+  CROSS JOIN (SELECT DISTINCT outcome FROM mix WHERE object_of_search IN (SELECT object_of_search FROM top)) o
+  LEFT JOIN mix m ON m.object_of_search = t.object_of_search AND m.outcome = o.outcome""",
         "top",
     ),
     "reason_trend_sorted": _q("SELECT * FROM trends", "trends"),
@@ -418,7 +423,7 @@ ORACLE_SQL: dict[str, str] = {
       UNION ALL SELECT 'stop_and_search_data', 'type', 'datetime',
           count_if(datetime IS NOT NULL AND try_cast(datetime AS TIMESTAMPTZ) IS NULL) FROM raw_stops
       UNION ALL SELECT 'int_crimes', 'schema', column_name, 0 FROM (VALUES """
-        + ", ".join(f"('{c}')" for c in INT_CRIMES_TYPES)
+        + ", ".join(f"('{c}')" for c in INT_CRIMES_COLUMNS)
         + """) v(column_name)""",
         "int_crimes",
         "crime_map",

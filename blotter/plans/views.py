@@ -7,9 +7,13 @@ published as temp views under their model names, and sources are looked up by na
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.functions.months import month_filter
 
+# folder key of the stored marts
+MART_PARTITION = "month_key"
+
 # The columns the dashboard reads from each mart, and the month column it
 # filters on (None: that mart is not filtered by month).
 SERVING_COLUMNS: dict[str, tuple[list[str], str | None]] = {
@@ -61,7 +65,8 @@ def publish_build(spark: SparkSession, build: dict) -> list[str]:
     frames = {}
     for group in ("raw", "int", "mart"):
         for name, path in build[group].items():
-            frames[name] = spark.read.parquet(path)
+            # with its schema: a table whose months all came in empty has no files to infer it from
+            frames[name] = spark.read.schema(build["schemas"][name]).parquet(path)
     return publish(spark, frames)
 
 
@@ -74,5 +79,20 @@ def read_mart(spark: SparkSession, path: str, model: str, month: str | None = No
     """Scan a written mart with the dashboard's explicit column list and month selection;
     both reach the parquet scan (column pruning, pushed filter)."""
     columns, month_col = SERVING_COLUMNS[model]
-    df = spark.read.parquet(path).select(*columns)
-    return month_filter(df, month_col, month) if month_col else df
+    df = spark.read.parquet(path)
+    if month_col is None:
+        return df.select(*columns)
+    if MART_PARTITION in df.columns:
+        df = month_filter(df, MART_PARTITION, month)
+    return month_filter(df.select(*columns), month_col, month)
+
+
+def write_mart(df: DataFrame, path: str, model: str) -> None:
+    """Store a mart for serving: in folders by its month, which a month selection prunes (the
+    month stays a column of the files, where null and empty text keep their difference)."""
+    month_col = SERVING_COLUMNS[model][1]
+    if month_col is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        out = df.withColumn(MART_PARTITION, F.col(month_col)).hint("rebalance", MART_PARTITION)
+        out.write.mode("overwrite").partitionBy(MART_PARTITION).parquet(path)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from blotter.plans import catalog
 from blotter.plans.build import build_all
 from blotter.session import scratch_path
 from blotter.sources.fixtures import api_records
@@ -93,7 +94,7 @@ def test_stream_replaces_months_incrementally(spark):
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_plan_has_no_cartesian_or_python(spark, name):
     plan = E.queries()[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
     for pat in FORBIDDEN:
@@ -198,3 +199,69 @@ def test_command_line_build(spark):
     assert main(args) == 0
     # missing coordinates are reported as not-null failures, so a strict run fails
     assert main(args + ["--strict"]) == 1
+
+
+SERVING_MONTH = ["month_filter", "map_summary_month", "outcome_summary_month", "reason_trend_month"]
+SERVING = SERVING_MONTH + [
+    "outcome_summary", "outcome_trend", "map_points", "map_summary", "map_extent", "kpis", "kpis_month",
+    "month_options", "top_objects", "outcome_mix_top_objects", "outcome_heatmap", "reason_trend_sorted", "geo_grid",
+    "bbox_filter",
+]
+
+
+@pytest.mark.parametrize("name", SERVING)
+def test_serving_reads_marts_and_prunes_months(spark, name):
+    plan = E.queries()[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "get_json" not in plan and "/mart/" in plan
+    if name in SERVING_MONTH:
+        assert re.search(r"PartitionFilters: \[[^\]]*month_key", plan)
+
+
+def test_changed_folder_table_is_loaded_again(spark, tmp_path):
+    orders = spark.read.parquet(f"{SMOKE_DIR}/orders.parquet")
+    orders.limit(20).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    query = E.queries()["stg_crimes"]
+    assert query(spark, str(tmp_path)).count() == 20
+    orders.limit(7).coalesce(1).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    assert query(spark, str(tmp_path)).count() == 27
+
+
+def test_stream_keeps_earlier_files_of_a_month(spark, tmp_path):
+    folder = tmp_path / "crime_data" / "date=2025-01"
+    folder.mkdir(parents=True)
+    table, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    for k in (1, 2):
+        (folder / f"{k}.json").write_text('{"id": %d, "month": "2025-01", "category": "a"}\n' % k)
+        start_month_replace(spark, str(tmp_path), "crime_data", table, ckpt).awaitTermination(300)
+    assert sorted(r["id"] for r in read_raw(spark, table, "crime_data").collect()) == [1, 2]
+
+
+def test_build_reports_bad_values_and_quarantines_broken_lines(spark, tmp_path):
+    crimes, stops = tmp_path / "crime_data" / "date=2025-01", tmp_path / "stop_and_search_data" / "date=2025-01"
+    crimes.mkdir(parents=True)
+    stops.mkdir(parents=True)
+    status = '"outcome_status": {"category": "x", "date": "2025-02"}'
+    (crimes / "a.json").write_text(
+        '{"id": 1, "month": "2025-01", "category": "a", %s}\n' % status
+        + '{"id": 2, "month": "not-a-month", "category": "a", %s}\n' % status
+        + '{"id": 3, "month": \n'
+    )
+    (stops / "a.json").write_text('{"datetime": "not a time", "object_of_search": "x"}\n')
+    built = build_all(spark, landing_root=str(tmp_path), out_root=str(tmp_path / "out"))
+    report = {(r["model"], r["check_name"], r["column_name"]): r["failures"] for r in built["report"].collect()}
+    assert report[("int_crimes", "type", "crime_month")] == 1
+    assert report[("stop_and_search_data", "type", "datetime")] == 1
+    assert {n: v for (m, c, n), v in report.items() if m == "crime_data" and c == "corrupt_record"}.popitem()[1] == 1
+    assert {r["crime_id"] for r in spark.read.parquet(built["mart"]["mart_crime_map"]).collect()} == {1, 2}
+    assert spark.read.parquet(str(tmp_path / "out" / "quarantine" / "crime_data")).count() == 1
+    from blotter.plans.views import publish_build
+
+    assert "outcome_data" in publish_build(spark, built)  # a dataset without any batch
+
+
+def test_one_month_run_leaves_other_map_files(spark, tmp_path):
+    out = tmp_path / "out"
+    build_all(spark, sf_dir=SMOKE_DIR, out_root=str(out), months=["1996-03", "1996-04"])
+    kept = {p.name: p.stat().st_mtime_ns for p in out.glob("mart/mart_crime_map/*=1996-03/part-*")}
+    build_all(spark, sf_dir=SMOKE_DIR, out_root=str(out), months=["1996-04"])
+    assert kept and kept == {p.name: p.stat().st_mtime_ns for p in out.glob("mart/mart_crime_map/*=1996-03/part-*")}

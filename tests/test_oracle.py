@@ -7,10 +7,11 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from blotter.plans import catalog
 from tests.conftest import SMOKE_DIR
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {n: q for n, q in E.queries().items() if n in catalog.QUERIES}
+ORACLES = {n: q for n, q in E.oracle_sql().items() if n in catalog.QUERIES}
 
 
 def _norm(v):
