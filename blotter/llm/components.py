@@ -14,9 +14,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node hands its larger neighbours to its
     smallest neighbour, then every node hands its smaller neighbours and itself to the smallest.
-    Edges end as stars around the smallest node. Minima are partial aggregates and the hand-over
-    is a join that AQE may split, so a node of many edges is not gathered in one task. Every
-    round is a written table, which cuts the lineage.
+    Edges end as stars around the smallest node. Minima are partial aggregates, written before the
+    hand-over joins them: a join of two plain shuffles is one that AQE splits, so a node of many
+    edges is not gathered in one task. Every round is a written table, which cuts the lineage.
     """
     links = stored(
         edges.where(F.col("a") != F.col("b"))
@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = links.select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(
             links.select(F.col("high").alias("u"), F.col("low").alias("v"))
         )
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "links-least")
         large = (
             both.join(least, "u")
             .where(F.col("v") > F.col("u"))
@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         large = stored(large, "links-large")
-        least = large.groupBy("high").agg(F.min("low").alias("m"))
+        least = stored(large.groupBy("high").agg(F.min("low").alias("m")), "links-least")
         small = (
             large.join(least, "high")
             .select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
