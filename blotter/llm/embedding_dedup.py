@@ -218,7 +218,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
         component.withColumnRenamed("node", "key"), "key", "left"
     )
     grouped = joined.withColumn("component", F.coalesce("component", "key"))
-    least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    # written, so that the join below is one of plain shuffles, whose hot components AQE splits
+    least = stored(grouped.groupBy("component").agg(F.min("least_id").alias("component_id")), "components")
     per_class = stored(
         grouped.join(least, "component").select(
             "key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"

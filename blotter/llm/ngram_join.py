@@ -394,7 +394,8 @@ def similar_classes(
         .join(component.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("class_key", F.coalesce("component", "key"))
     )
-    least = joined.groupBy("class_key").agg(F.min("least_id").alias("class_id"))
+    # written, so that the join below is one of plain shuffles, whose hot classes AQE splits
+    least = stored(joined.groupBy("class_key").agg(F.min("least_id").alias("class_id")), "components")
     return joined.join(least, "class_key").select(
         "key",
         "copies",
