@@ -262,7 +262,10 @@ def block_tiles(members: DataFrame) -> DataFrame:
     )
     next_up = per_level.select("root", (F.col("level") - 1).alias("level"), F.col("blocks").alias("up"))
     next_down = per_level.select("root", (F.col("level") + 1).alias("level"), F.col("blocks").alias("down"))
-    around = per_level.join(next_up, ["root", "level"], "left").join(next_down, ["root", "level"], "left")
+    # written, so that AQE splits a hot level in the join below
+    around = stored(
+        per_level.join(next_up, ["root", "level"], "left").join(next_down, ["root", "level"], "left"), "levels-around"
+    )
 
     def tile(low, a, high, b, side):
         return F.struct(F.xxhash64("root", low, a, high, b).alias("gid"), side.cast("int").alias("side"))
