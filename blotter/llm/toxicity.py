@@ -28,6 +28,8 @@ BITS = 6
 THRESHOLD = 0.5
 #: Rows per class of the fitting sample.
 ROWS = 4500
+#: Texts of the sample that the fit looks at together; bounds the driver's memory.
+FIT_TEXTS = 256
 
 
 def _symbols() -> np.ndarray:
@@ -84,6 +86,17 @@ def _low(keys: np.ndarray, order: int) -> np.ndarray:
     return keys & np.int64((1 << (BITS * order)) - 1)
 
 
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of some texts and how often each occurs, counted a few texts at a time."""
+    grams, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for a in range(0, len(texts), FIT_TEXTS):
+        keys, begin, word, _ = word_grams(texts[a : a + FIT_TEXTS])
+        each = np.repeat(np.bincount(word, minlength=len(begin)), np.diff(np.r_[begin, len(keys)]))
+        grams, at = np.unique(np.r_[grams, keys], return_inverse=True)
+        times = np.bincount(at, weights=np.r_[times, each], minlength=len(grams)).astype(np.int64)
+    return grams, times
+
+
 def shared_types(docs: DataFrame) -> np.ndarray:
     """The distinct n-grams, one order above the shared ones, of every whole text of ``docs``:
     each task marks a table of 64^4 bits and sends the marked ones once."""
@@ -181,13 +194,7 @@ def fit_toxicity(sample: Sample, types: np.ndarray) -> ToxicityModel:
     if min(map(len, sample.texts)) < 3:
         return ToxicityModel({}, None, sample.share)
     learn, check = sample.halves()
-    counted = []
-    for texts in learn:
-        keys, begin, word, _ = word_grams(texts)
-        times = np.bincount(word, minlength=len(begin))
-        each = np.repeat(times, np.diff(np.r_[begin, len(keys)]))
-        grams, at = np.unique(keys, return_inverse=True)
-        counted.append((grams, np.bincount(at, weights=each).astype(np.int64)))
+    counted = [gram_counts(texts) for texts in learn]
     # shared low orders, from the lowest up
     shared = [_Level(*_continued(types, order)) for order in range(1, SHARED + 1)]
     # class orders: counts at the top, continuation counts of the class below
@@ -218,7 +225,9 @@ def fit_toxicity(sample: Sample, types: np.ndarray) -> ToxicityModel:
         orders[order] = (grams, ratio.astype(np.float32), contexts, weight.astype(np.float32))
     model = ToxicityModel(orders, None, sample.share)
     y = np.r_[np.zeros(len(check[0])), np.ones(len(check[1]))]
-    model.curve = Curve(*model.differences([*check[0], *check[1]]), y, sample.share)
+    texts = [*check[0], *check[1]]
+    parts = [model.differences(texts[a : a + FIT_TEXTS]) for a in range(0, len(texts), FIT_TEXTS)]
+    model.curve = Curve(*(np.concatenate(x) for x in zip(*parts, strict=True)), y, sample.share)
     return model
 
 
