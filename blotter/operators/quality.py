@@ -76,32 +76,15 @@ def landing_checks(df: DataFrame, model: str, key_columns: list[str], corrupt: s
     return _checks(df, model, named)
 
 
-def combined_checks(
-    df: DataFrame,
-    checks: list[tuple[str, str, str, Column]],
-    unique: tuple[str, str] | None = None,
-) -> DataFrame:
-    """Many row checks, over possibly several models that are projections of ``df``, and
-    optionally one uniqueness check, in a single pass over ``df``.
-
-    ``checks`` holds (model, check_name, column_name, failing-row condition). With
-    ``unique=(model, column)`` the rows are first reduced per value of that column (map-side
-    combine, so a hot value costs one partial row per task), carrying the per-row failure
-    counts along; the totals then come from one small global aggregate. Without it, the
-    counts are one global aggregate directly.
+def combined_checks(df: DataFrame, checks: list[tuple[str, str, str, Column]]) -> DataFrame:
+    """Many row checks, over possibly several models that are projections of ``df``, in one
+    global aggregate over ``df``: a task sends one row of counters.
+
+    ``checks`` holds (model, check_name, column_name, failing-row condition). Uniqueness is
+    left to ``unique_check``, whose shuffle carries the key column alone.
     """
     counts = [F.count_if(cond).alias(f"c{i}") for i, (_, _, _, cond) in enumerate(checks)]
-    if unique is None:
-        totals = df.agg(*counts)
-    else:
-        key = unique[1]
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        dup = (F.col(key).isNotNull() & (F.col("_n") > 1))
-        totals = per_key.agg(
-            *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(checks))],
-            F.count_if(dup).alias(f"c{len(checks)}"),
-        )
-        checks = checks + [(unique[0], "unique", key, F.lit(True))]
+    totals = df.agg(*counts)
     args = ", ".join(f"'{m}', '{k}', '{c}', c{i}" for i, (m, k, c, _) in enumerate(checks))
     return totals.selectExpr(f"stack({len(checks)}, {args}) AS (model, check_name, column_name, failures)").select(
         "model", "check_name", "column_name", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")
@@ -110,8 +93,9 @@ def combined_checks(
 
 def schema_checks(df: DataFrame, model: str, declared: dict[str, str]) -> DataFrame:
     """Report rows for the documented column types of a model: 1 where a column is missing
-    or has another type, else 0. The schema is metadata, so the rows (one per declared
-    column) are built from it directly; no data is read."""
+    or has another type, else 0. ``df`` should read the stored table without a given schema,
+    so that the types are those of its files. They are metadata, so the rows (one per
+    declared column) are built from them directly; no data is read."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = [(model, "schema", c, 0 if actual.get(c) == t else 1) for c, t in declared.items()]
     return df.sparkSession.createDataFrame(

@@ -18,13 +18,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.months import month_spine
 from blotter.functions.values import try_double
 from blotter.operators import coverage, flatten, marts, quality, staging
-from blotter.schemas import CORRUPT_COL, DATASETS, INT_CRIMES_TYPES, MONTH_COL
+from blotter.schemas import CORRUPT_COL, DATASETS, MODEL_TYPES, MONTH_COL
 from blotter.session import configure, scratch_path
 from blotter.sources.fixtures import api_records
 from blotter.sources.landing import read_landing
@@ -43,16 +44,21 @@ _STAGE = {
 }
 
 
-def quality_report(int_crimes: DataFrame, timings: DataFrame, raw_stops: DataFrame | None = None) -> DataFrame:
+def quality_report(
+    int_crimes: DataFrame,
+    timings: DataFrame,
+    raw_stops: DataFrame | None = None,
+    typed: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """The checks of the crime models as one report (model, check_name, column_name, failures).
 
     * ``int_crimes``: type conformance of the text columns the marts convert (months as
       ``yyyy-MM``, coordinates as numbers);
     * ``mart_crime_map``: the declared not-null tests and the unique test of ``crime_id``.
-      The map is a projection of ``int_crimes`` (same rows, same values), so its checks run
-      in the same single pass;
+      The map is a projection of ``int_crimes`` (same rows, same values), so its row checks
+      run in the same pass; uniqueness is a second scan, of the id column;
     * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows;
-    * ``int_crimes`` schema: the documented column types;
+    * ``typed`` (``int_crimes`` unless given): the documented column types of each model;
     * ``stop_and_search_data`` (when given): stop times whose text does not convert to the
       timestamp that staging casts it to.
     """
@@ -69,16 +75,28 @@ def quality_report(int_crimes: DataFrame, timings: DataFrame, raw_stops: DataFra
             ("mart_crime_map", "not_null", "crime_latitude", F.col("crime_latitude").isNull()),
             ("mart_crime_map", "not_null", "crime_longitude", F.col("crime_longitude").isNull()),
         ],
-        unique=("mart_crime_map", "crime_id"),
     )
+    unique = quality.unique_check(int_crimes, "mart_crime_map", "crime_id")
     marts_ = quality.not_null_checks(timings, "mart_outcome_timings", ["crime_month", "crime_category"])
-    contract = quality.schema_checks(int_crimes, "int_crimes", INT_CRIMES_TYPES)
-    parts = [crimes, marts_, contract]
+    typed = {"int_crimes": int_crimes} if typed is None else typed
+    contract = [quality.schema_checks(df, model, MODEL_TYPES[model]) for model, df in typed.items()]
+    parts = [crimes, unique, marts_, *contract]
     if raw_stops is not None:
         parts.append(quality.type_checks(raw_stops, "stop_and_search_data", {"datetime": "timestamp"}))
     return quality.union_reports(parts)
 
 
+def _as_stored(spark: SparkSession, path: str, planned: DataFrame) -> DataFrame:
+    """A stored table with the types of its files, or the planned ones while it has no files
+    (its months all came in empty)."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return planned
+
+
 def _write_all(jobs: dict[str, Callable[[], None]], threads: int) -> None:
     """Run independent write jobs of one layer side by side (Spark schedules jobs submitted
     from several threads concurrently), like a model build with a fixed number of threads.
@@ -202,9 +220,12 @@ def build_all(
     _write_all(jobs, threads)
 
     raws = {n: read_raw(spark, raw_paths[n], n) for n in DATASETS}
+    planned = {**int_frames, **mart_frames}
+    typed = {m: _as_stored(spark, {**int_paths, **mart_paths}[m], planned[m]) for m in MODEL_TYPES}
+    stored_timings = spark.read.parquet(mart_paths["mart_outcome_timings"])
     report = quality.union_reports(
         [
-            quality_report(ic, spark.read.parquet(mart_paths["mart_outcome_timings"]), raws["stop_and_search_data"]),
+            quality_report(ic, stored_timings, raws["stop_and_search_data"], typed),
             coverage_report(raws),
         ]
     )

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from blotter.functions.months import month_spine
 from blotter.operators import coverage, flatten, geo, marts, quality, serving, staging
-from blotter.plans.views import read_mart, write_mart
+from blotter.plans.views import publish, read_mart, source, write_mart
 from blotter.schemas import LOADED_AT, MONTH_COL
 from blotter.session import configure, scratch_path, scratch_root
 from blotter.sources.fixtures import api_records, read_table
 from blotter.sources.landing import read_landing, write_landing
-from blotter.sources.raw import loaded_batches, raw_select, read_raw, replace_months
+from blotter.sources.raw import create_raw_table, loaded_batches, raw_select, read_raw, replace_months, sync_catalog
 
 # Query parameters (not data subsets): the dashboard's month selection used by the
 # month-filter queries, and the month reloaded by the month-replace queries.
@@ -274,6 +274,44 @@ def q_month_replace_empty_batch(spark, sf_dir):
     return _no_load_time(read_raw(spark, path, "crime_data"))
 
 
+def q_named_source(spark, sf_dir):
+    """The loaded raw crimes as a table of the catalog (``CREATE SCHEMA`` and ``CREATE TABLE IF
+    NOT EXISTS`` over the loaded folder, months registered), read by name."""
+    path = f"{_store(spark, sf_dir, 'crime_data')}/raw/crime_data"
+    raw(spark, sf_dir, "crime_data")
+    name = "blotter_raw.crime_data_" + hashlib.sha256(path.encode()).hexdigest()[:16]
+    create_raw_table(spark, "crime_data", path, name)
+    sync_catalog(spark, name)
+    return _no_load_time(source(spark, name))
+
+
+def q_load_audit(spark, sf_dir):
+    """Per dataset and batch month: loaded rows, and rows without a load time or with one ahead
+    of now."""
+    bad = F.col(LOADED_AT).isNull() | (F.col(LOADED_AT) > F.current_timestamp())
+    parts = [
+        raw(spark, sf_dir, name)
+        .groupBy(F.lit(name).alias("dataset"), MONTH_COL)
+        .agg(F.count(F.lit(1)).alias("loaded_rows"), F.count_if(bad).alias("bad_load_times"))
+        for name in _TABLE_OF
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_published_views(spark, sf_dir):
+    """SQL over models published under their names: crimes of each month, and how many of them
+    have a time to outcome."""
+    publish(spark, {m: mart(spark, sf_dir, m) for m in ("mart_crime_map", "mart_outcome_timings")})
+    return spark.sql(
+        """
+        SELECT m.crime_month, m.crimes, coalesce(t.timed, 0L) AS timed_crimes
+        FROM (SELECT crime_month, count(*) AS crimes FROM mart_crime_map GROUP BY crime_month) m
+        LEFT JOIN (SELECT crime_month, sum(crime_count) AS timed FROM mart_outcome_timings GROUP BY crime_month) t
+          ON m.crime_month = t.crime_month
+        """
+    )
+
+
 def q_dq_not_null(spark, sf_dir):
     return quality.union_reports(
         [
@@ -344,6 +382,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_load": q_raw_load,
     "month_replace": q_month_replace,
     "month_replace_empty_batch": q_month_replace_empty_batch,
+    "named_source": q_named_source,
+    "load_audit": q_load_audit,
+    "published_views": q_published_views,
+    "mart_scan_month": lambda s, d: served_map(s, d, SELECTED_MONTH),
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_report": q_dq_report,

@@ -386,6 +386,14 @@ ORACLE_SQL: dict[str, str] = {
     id, location, location_subtype, location_type, month, outcome_status, persistent_id, ingest_year_month
   FROM ({RAW_CRIMES}) r""",
     "month_replace_empty_batch": f"SELECT {_RAW_CRIME_COLS} FROM ({RAW_CRIMES}) r",
+    "named_source": f"SELECT {_RAW_CRIME_COLS} FROM ({RAW_CRIMES}) r",
+    "load_audit": f"""SELECT 'crime_data' AS dataset, strftime(o_orderdate, '%Y-%m') AS ingest_year_month,
+    count(*) AS loaded_rows, CAST(0 AS BIGINT) AS bad_load_times FROM orders GROUP BY 1, 2
+  UNION ALL SELECT 'outcome_data', strftime(l_shipdate, '%Y-%m'), count(*), 0 FROM lineitem GROUP BY 1, 2
+  UNION ALL SELECT 'stop_and_search_data', substr({_STOP_DATETIME}, 1, 7), count(*), 0 FROM events GROUP BY 1, 2""",
+    "published_views": """SELECT strftime(o_orderdate, '%Y-%m') AS crime_month, count(*) AS crimes,
+    count_if(o_orderstatus <> 'O' AND o_orderkey % 7 >= 1) AS timed_crimes FROM orders GROUP BY 1""",
+    "mart_scan_month": _q(f"SELECT * FROM crime_map WHERE crime_month = '{SELECTED_MONTH}'", "crime_map"),
     "dq_not_null": _q(
         """SELECT 'mart_crime_map' AS model, 'not_null' AS check_name, 'crime_id' AS column_name,
           count_if(crime_id IS NULL) AS failures FROM crime_map
@@ -442,4 +450,21 @@ _COVERAGE = _with(
   FROM (SELECT min(ingest_year_month) AS f, max(ingest_year_month) AS l FROM loaded) b""",
 )
 
-ORACLE_SQL["build_report"] = f"SELECT * FROM ({ORACLE_SQL['dq_report']}) r UNION ALL SELECT * FROM ({_COVERAGE}) c"
+# columns with a documented type, as stored by the build
+_TYPED = {
+    "int_outcomes": """outcome_category_code outcome_category_name outcome_date person_id crime_id crime_persistent_id
+        crime_category crime_location_type crime_location_subtype crime_context crime_month crime_latitude
+        crime_longitude crime_street_id crime_street_name""",
+    "int_stop_search": """age_range officer_defined_ethnicity involved_person self_defined_ethnicity gender
+        legislation outcome_linked_to_object_of_search stop_search_datetime object_of_search operation outcome
+        stop_search_type operation_name removal_of_more_than_outer_clothing stop_search_latitude
+        stop_search_longitude stop_search_street_id stop_search_street_name outcome_object_id outcome_object_name""",
+    "mart_outcome_mix": "object_of_search outcome stop_search_count pct_within_object_of_search",
+    "mart_reason_trends": "stop_search_month object_of_search stop_search_count pct_of_month_total",
+}
+_CONTRACT = "SELECT model, 'schema' AS check_name, column_name, 0 AS failures FROM (VALUES " + ", ".join(
+    f"('{model}', '{c}')" for model, columns in _TYPED.items() for c in columns.split()
+) + ") v(model, column_name)"
+
+ORACLE_SQL["build_report"] = f"""SELECT * FROM ({ORACLE_SQL['dq_report']}) r UNION ALL SELECT * FROM ({_COVERAGE}) c
+  UNION ALL SELECT * FROM ({_CONTRACT}) t"""

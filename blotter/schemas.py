@@ -151,8 +151,9 @@ STOPS = Dataset(
 
 DATASETS: dict[str, Dataset] = {d.name: d for d in (CRIMES, OUTCOMES, STOPS)}
 
-# --- documented column types of the staged and flattened models (contract, D3) -------
+# --- documented column types of the models (contract, D3) ----------------------------
 
+# Column types that the models' documentation declares.
 INT_CRIMES_TYPES: dict[str, str] = {
     "crime_id": "bigint",
     "persistent_id": "string",
@@ -168,3 +169,68 @@ INT_CRIMES_TYPES: dict[str, str] = {
     "latest_outcome_category": "string",
     "latest_outcome_date": "string",
 }
+
+INT_OUTCOMES_TYPES: dict[str, str] = {
+    "outcome_category_code": "string",
+    "outcome_category_name": "string",
+    "outcome_date": "string",
+    "person_id": "string",
+    "crime_id": "bigint",
+    "crime_persistent_id": "string",
+    "crime_category": "string",
+    "crime_location_type": "string",
+    "crime_location_subtype": "string",
+    "crime_context": "string",
+    "crime_month": "string",
+    "crime_latitude": "string",
+    "crime_longitude": "string",
+    "crime_street_id": "bigint",
+    "crime_street_name": "string",
+}
+
+INT_STOP_SEARCH_TYPES: dict[str, str] = {
+    "age_range": "string",
+    "officer_defined_ethnicity": "string",
+    "involved_person": "boolean",
+    "self_defined_ethnicity": "string",
+    "gender": "string",
+    "legislation": "string",
+    "outcome_linked_to_object_of_search": "boolean",
+    "stop_search_datetime": "timestamp",
+    "object_of_search": "string",
+    "operation": "boolean",
+    "outcome": "string",
+    "stop_search_type": "string",
+    "operation_name": "string",
+    "removal_of_more_than_outer_clothing": "boolean",
+    "stop_search_latitude": "string",
+    "stop_search_longitude": "string",
+    "stop_search_street_id": "bigint",
+    "stop_search_street_name": "string",
+    "outcome_object_id": "string",
+    "outcome_object_name": "string",
+}
+
+OUTCOME_MIX_TYPES: dict[str, str] = {
+    "object_of_search": "string",
+    "outcome": "string",
+    "stop_search_count": "bigint",
+    "pct_within_object_of_search": "double",
+}
+
+REASON_TRENDS_TYPES: dict[str, str] = {
+    "stop_search_month": "string",
+    "object_of_search": "string",
+    "stop_search_count": "bigint",
+    "pct_of_month_total": "double",
+}
+
+#: The stored models with documented types. Staged models are never stored; their columns are
+#: those of the flattened models but for the nested text.
+MODEL_TYPES: dict[str, dict[str, str]] = {
+    "int_crimes": INT_CRIMES_TYPES,
+    "int_outcomes": INT_OUTCOMES_TYPES,
+    "int_stop_search": INT_STOP_SEARCH_TYPES,
+    "mart_outcome_mix": OUTCOME_MIX_TYPES,
+    "mart_reason_trends": REASON_TRENDS_TYPES,
+}
