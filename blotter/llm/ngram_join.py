@@ -248,10 +248,19 @@ def block_tiles(members: DataFrame) -> DataFrame:
     side. A component that fits is one block. A larger one is dealt by size, as sets whose sizes
     differ by more than the threshold allows cannot be similar: levels of ratio 1.26 meet only
     themselves and their neighbours, each in blocks of bounded texts and shingles."""
-    total = members.groupBy("root").agg(F.count("*").alias("texts"), F.sum("size").alias("shingles"))
+    total = stored(
+        members.groupBy("root").agg(F.count("*").alias("texts"), F.sum("size").alias("shingles")), "component-sizes"
+    )
     fits = (F.col("texts") <= BLOCK) & (F.col("shingles") <= BLOCK_SHINGLES)
     level = F.floor(F.log(F.col("size").cast("double")) / math.log(1.26)).cast("int")
-    dealt = members.join(total, "root").withColumn("level", F.when(fits, F.lit(0)).otherwise(level))
+    # written, as the counts per level would otherwise be taken where the join left a component's
+    # members: all in one task, which AQE then may not split
+    dealt = stored(
+        members.join(total, "root")
+        .withColumn("level", F.when(fits, F.lit(0)).otherwise(level))
+        .select("key", "root", "level", "size", "copies", "least_id"),
+        "dealt",
+    )
     per_level = stored(
         dealt.groupBy("root", "level").agg(
             F.greatest(
