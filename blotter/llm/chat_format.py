@@ -8,89 +8,140 @@ rendered. Built-in functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from blotter.llm.common import stored
 
-#: Turn numbers per block: the unit that one task orders and renders.
+#: Turns per block: the unit that one task orders and renders.
 BLOCK_TURNS = 256
 #: The marks around a turn.
 START, MIDDLE, END = "<|", "|>\n", "\n"
+#: A turn without its text; equal ones are interchangeable.
+TURN = ["conv_id", "turn", "content", "more"]
 
 
-def rolling_hashes(turns: DataFrame) -> DataFrame:
-    """conv_id, block, segment (number of the block), position (from 1, by turn, null last),
-    total turns of the conversation, and two rolling hashes of the turns up to this one.
+def _joined(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which null equals null."""
+    for k in keys:
+        other = other.withColumnRenamed(k, f"other_{k}")
+    same = [F.col(k).eqNullSafe(F.col(f"other_{k}")) for k in keys]
+    return rows.join(other, reduce(Column.__and__, same)).drop(*(f"other_{k}" for k in keys))
 
-    A rolling hash is the exclusive or of hashes of (position, role, text), so it is summed up in
-    blocks of turn numbers: windows order one block, then the blocks' sums, and a conversation
-    that holds a third of all turns is spread over its blocks.
-    """
+
+def _hashed(turns: DataFrame, *more_columns: str) -> DataFrame:
     same = [F.col(c).isNull() for c in ("role", "text")]
-    content = F.xxhash64(*same, "role", "text")
-    more = F.xxhash64(F.lit(7), *same, "text", "role")
-    keyed = turns.select(
+    return turns.select(
         "conv_id",
-        F.floor(F.col("turn") / F.lit(BLOCK_TURNS)).alias("block"),
         "turn",
-        content.alias("content"),
-        more.alias("more"),
+        F.xxhash64(*same, "role", "text").alias("content"),
+        F.xxhash64(F.lit(7), *same, "text", "role").alias("more"),
+        *more_columns,
     )
-    in_block = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "content", "more")
-    per_conversation = Window.partitionBy("conv_id")
-    by_block = per_conversation.orderBy(F.col("block").asc_nulls_last())
-    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
 
-    sizes = (
-        keyed.groupBy("conv_id", "block")
-        .agg(F.count("*").alias("n"))
+
+def _summed(rows: DataFrame, order: list[Column], value: str, before: str, total: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the earlier rows of their conversation, and over
+    all of them: windows order a chunk of a conversation, then the chunks' sums."""
+    earlier = (Window.unboundedPreceding, -1)
+    in_chunk = Window.partitionBy("conv_id", "chunk").orderBy(*order).rowsBetween(*earlier)
+    per_conversation = Window.partitionBy("conv_id")
+    sums = (
+        rows.groupBy("conv_id", "chunk")
+        .agg(F.sum(value).alias("n_chunk"))
         .select(
-            F.col("conv_id").alias("c"),
-            F.col("block").alias("b"),
-            (F.row_number().over(by_block) - 1).alias("segment"),
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
-            F.sum("n").over(per_conversation).alias("total"),
+            "conv_id",
+            "chunk",
+            F.coalesce(F.sum("n_chunk").over(per_conversation.orderBy("chunk").rowsBetween(*earlier)), F.lit(0)).alias(
+                "chunks_before"
+            ),
+            F.sum("n_chunk").over(per_conversation).alias(total),
         )
     )
-    placed = stored(
-        keyed.withColumn("within", F.row_number().over(in_block))
-        .join(sizes, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("block").eqNullSafe(F.col("b")))
-        .withColumn("position", F.col("first") + F.col("within"))
+    within = rows.withColumn("within", F.coalesce(F.sum(value).over(in_chunk), F.lit(0)))
+    return (
+        _joined(within, sums, ["conv_id", "chunk"])
+        .withColumn(before, F.col("chunks_before") + F.col("within"))
+        .drop("chunks_before", "within")
+    )
+
+
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """One row per distinct turn: conv_id, turn, content, more, chunk, n (how often it is logged),
+    first (turns of the conversation before it, by number, null last, ties by content) and total.
+
+    Chunks are ranges of (conversation, turn, content), so a conversation or a turn number that
+    holds a third of all rows, the null ones included, is spread over many.
+    """
+    order = [F.col("turn").asc_nulls_last(), F.col("content").asc(), F.col("more").asc()]
+    chunks = stored(
+        _hashed(turns)
+        .groupBy(*TURN)
+        .agg(F.count("*").alias("n"))
+        .repartitionByRange(F.col("conv_id").asc(), *order)
+        .withColumn("chunk", F.spark_partition_id()),
+        "turn-chunks",
+    )
+    return _summed(chunks, order, "n", "first", "total")
+
+
+def _cut(rows: DataFrame, start: Column, number: str) -> DataFrame:
+    """Rows of turns ``first`` to ``first + n``, cut where a block of turns counted from
+    ``start`` ends: ``number`` of the block, and ``low`` and ``high`` of the part inside it."""
+    at = F.lit(BLOCK_TURNS)
+    from_start = F.col("first") - start
+    blocks = F.sequence(F.floor(from_start / at), F.floor((from_start + F.col("n") - 1) / at))
+    begin = start + F.col(number) * at
+    return (
+        rows.withColumn(number, F.explode(blocks))
+        .withColumn("low", F.greatest("first", begin))
+        .withColumn("high", F.least(F.col("first") + F.col("n"), begin + at))
+    )
+
+
+def rolling_hashes(placed: DataFrame) -> DataFrame:
+    """conv_id, position (from 1), total turns of the conversation, and two rolling hashes of the
+    turns up to this one, for every logged turn.
+
+    A rolling hash is the exclusive or of hashes of (position, role, text), so it is summed up in
+    blocks of positions: windows order one block, then the blocks' sums.
+    """
+    # dealt before repeated turns are written out
+    parts = _cut(placed, F.lit(0), "unit").select("conv_id", "unit", "low", "high", "total", "content", "more")
+    rows = stored(
+        parts.repartition("conv_id", "unit")
+        .withColumn("position", F.explode(F.sequence(F.col("low") + 1, F.col("high"))))
         .withColumn("z1", F.xxhash64("position", "content"))
         .withColumn("z2", F.xxhash64("position", "more"))
-        .select("conv_id", "block", "segment", "position", "total", "z1", "z2"),
+        .select("conv_id", "unit", "position", "total", "z1", "z2"),
         "turn-hashes",
     )
+    before = Window.partitionBy("conv_id").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
     sums = (
-        placed.groupBy("conv_id", "block")
+        rows.groupBy("conv_id", "unit")
         .agg(F.bit_xor("z1").alias("s1"), F.bit_xor("z2").alias("s2"))
         .select(
-            F.col("conv_id").alias("c"),
-            F.col("block").alias("b"),
+            "conv_id",
+            "unit",
             F.coalesce(F.bit_xor("s1").over(before), F.lit(0)).alias("before1"),
             F.coalesce(F.bit_xor("s2").over(before), F.lit(0)).alias("before2"),
         )
     )
     running = (
-        Window.partitionBy("conv_id", "block")
+        Window.partitionBy("conv_id", "unit")
         .orderBy("position")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        placed.withColumn("r1", F.bit_xor("z1").over(running))
-        .withColumn("r2", F.bit_xor("z2").over(running))
-        .join(sums, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("block").eqNullSafe(F.col("b")))
-        .select(
-            "conv_id",
-            "block",
-            "segment",
-            "position",
-            "total",
-            F.col("r1").bitwiseXOR(F.col("before1")).alias("h1"),
-            F.col("r2").bitwiseXOR(F.col("before2")).alias("h2"),
-        )
+    within = rows.withColumn("r1", F.bit_xor("z1").over(running)).withColumn("r2", F.bit_xor("z2").over(running))
+    return _joined(within, sums, ["conv_id", "unit"]).select(
+        "conv_id",
+        "position",
+        "total",
+        F.col("r1").bitwiseXOR(F.col("before1")).alias("h1"),
+        F.col("r2").bitwiseXOR(F.col("before2")).alias("h2"),
     )
 
 
@@ -112,43 +163,56 @@ def maximal_conversations(hashes: DataFrame) -> DataFrame:
     return whole.join(inner, ["total", "h1", "h2"], "left_anti").select("conv_id", "total", "copies")
 
 
+def segments(placed: DataFrame) -> DataFrame:
+    """``placed`` with the segments of each turn: segment, low and high.
+
+    A conversation of up to 256 turns is one segment. A longer one is cut by blocks of 256 turn
+    numbers (null last), and a block that holds more turns, as numbers repeat, by position.
+    """
+    number = F.floor(F.col("turn") / F.lit(BLOCK_TURNS))
+    placed = placed.withColumn("block", F.when(F.col("total") > BLOCK_TURNS, number).otherwise(F.lit(0)))
+    blocks = stored(
+        placed.groupBy("conv_id", "block")
+        .agg(F.min("chunk").alias("chunk"), F.min("first").alias("start"), F.sum("n").alias("n_block"))
+        .withColumn("cuts", F.ceil(F.col("n_block") / F.lit(BLOCK_TURNS))),
+        "turn-blocks",
+    )
+    numbered = _summed(blocks, [F.col("block").asc_nulls_last()], "cuts", "segments_before", "n_segments")
+    rows = _joined(placed, numbered.select("conv_id", "block", "start", "segments_before"), ["conv_id", "block"])
+    return _cut(rows, F.col("start"), "cut").withColumn("segment", F.col("segments_before") + F.col("cut"))
+
+
 def formatted_conversations(turns: DataFrame) -> DataFrame:
     """The maximal conversations of ``turns`` (conv_id, turn, role, text), rendered: conv_id,
     segment, n_turns, total_turns, copies (equal conversations, itself included) and text.
 
-    A conversation is one row; one whose turn numbers go beyond a block of 256 is a row for each
-    block, numbered by ``segment``, so no task holds more than a block. Turns go by number, null
-    last, ties by content; repeated turns stay. Null roles render as ``unknown``, null texts as
-    empty. Rows without a conv_id are one conversation. Other columns are ignored.
+    A conversation of up to 256 turns is one row; a longer one is a row for each block of 256
+    turn numbers, or several where a block holds more than 256 turns, numbered by ``segment``, so
+    no row holds more than 256 turns. Turns go by number, null last, ties by content; repeated
+    turns stay. Null roles render as ``unknown``, null texts as empty. Rows without a conv_id are
+    one conversation, cut like any other. Other columns are ignored.
     """
-    hashes = stored(rolling_hashes(turns), "turn-prefixes")
-    kept = stored(maximal_conversations(hashes), "conversations-kept")
-    segments = hashes.select("conv_id", "block", "segment").distinct().select(
-        F.col("conv_id").alias("sc"), F.col("block").alias("sb"), "segment"
-    )
-    kept = kept.select(F.col("conv_id").alias("kc"), "total", "copies")
-    chosen = segments.join(kept, F.col("sc").eqNullSafe(F.col("kc"))).drop("kc")
-    content = F.xxhash64(F.col("role").isNull(), F.col("text").isNull(), "role", "text")
+    placed = stored(placed_turns(turns), "turn-places")
+    hashes = stored(rolling_hashes(placed), "turn-prefixes")
+    kept = maximal_conversations(hashes).select("conv_id", "copies")
+    # by chunk, as a conversation may hold a third of all turns
+    chosen = stored(_joined(placed.select("conv_id", "chunk").distinct(), kept, ["conv_id"]), "conversations-kept")
+    parts = segments(_joined(placed, chosen, ["conv_id", "chunk"]))
     rendered = F.concat(
         F.lit(START), F.coalesce("role", F.lit("unknown")), F.lit(MIDDLE), F.coalesce("text", F.lit("")), F.lit(END)
     )
-    rows = turns.select(
-        "conv_id",
-        F.floor(F.col("turn") / F.lit(BLOCK_TURNS)).alias("block"),
-        F.struct(F.col("turn").isNull().alias("last"), "turn", content.alias("content"), rendered.alias("shown")).alias(
-            "row"
-        ),
-    )
+    shown = _hashed(turns.select("conv_id", "turn", "role", "text").distinct(), rendered.alias("shown"))
+    row = F.struct("low", (F.col("high") - F.col("low")).alias("times"), "shown")
     return (
-        rows.join(chosen, F.col("conv_id").eqNullSafe(F.col("sc")) & F.col("block").eqNullSafe(F.col("sb")))
+        _joined(shown, parts.select(*TURN, "segment", "low", "high", "total", "copies"), TURN)
         .groupBy("conv_id", "segment", "total", "copies")
-        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
+        .agg(F.sort_array(F.collect_list(row)).alias("rows"), F.sum(F.col("high") - F.col("low")).alias("n_turns"))
         .select(
             "conv_id",
             F.col("segment").cast("long").alias("segment"),
-            F.size("rows").cast("long").alias("n_turns"),
+            F.col("n_turns").cast("long").alias("n_turns"),
             F.col("total").alias("total_turns"),
             "copies",
-            F.array_join(F.col("rows.shown"), "").alias("text"),
+            F.array_join(F.transform("rows", lambda r: F.repeat(r["shown"], r["times"].cast("int"))), "").alias("text"),
         )
     )

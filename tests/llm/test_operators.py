@@ -367,6 +367,29 @@ def test_chat_keeps_maximal_conversations(spark):
     assert chat_format.formatted_conversations(table.limit(0)).count() == 0
 
 
+def test_chat_rows_are_bounded_by_turns_not_by_numbers(spark):
+    rows = [(1, 5, "user", f"again{k % 300}") for k in range(900)]  # one number, logged again
+    rows += [(2, None, "user", f"x{k}") for k in range(600)]  # no numbers
+    rows += [(None, k, "user", f"n{k // 2}") for k in range(500)]  # no id
+    rows += [(3, 1000 * k, "user", f"far{k}") for k in range(200)]  # few turns, large numbers
+    rows += [(4, 1, "user", "same")] * 700 + [(5, 1, "user", "same")] * 300  # the second is a prefix
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = defaultdict(list)
+    for r in chat_format.formatted_conversations(table).collect():
+        got[r["conv_id"]].append((r["segment"], r["n_turns"], r["text"]))
+        assert r["n_turns"] <= chat_format.BLOCK_TURNS
+    assert set(got) == {1, 2, 3, 4, None}
+    for c, parts in got.items():
+        parts.sort()
+        own = [r for r in rows if r[0] == c]
+        assert [p[0] for p in parts] == list(range(len(parts))) and sum(p[1] for p in parts) == len(own)
+        shown = "".join(p[2] for p in parts).split("<|user|>\n")[1:]
+        assert Counter(shown) == Counter(r[3] + "\n" for r in own)
+    assert len(got[3]) == 1 and got[3][0][2] == "".join(f"<|user|>\nfar{k}\n" for k in range(200))
+    assert "".join(p[2] for p in got[None]) == "".join(f"<|user|>\nn{k // 2}\n" for k in range(500))
+    assert len(got[4]) == 3
+
+
 # --- 7 and 9 classifiers -------------------------------------------------------------------
 
 
