@@ -31,8 +31,21 @@ KINDS = ("assign", "access", "hex", "token", "der", "ssh")
 #: Signed tokens start with an encoded brace, so with ew or ey. Runs that may hold an encoded structure; shorter ones cannot hold a key.
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----([A-Za-z0-9+/=\s]{32,}?)-----END \1-----")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:(?!-----).)*+)-----END \1-----", re.DOTALL)
+#: What stands in an armoured key's lines for a line end: escaped ones, and strings joined in code.
+LINE_END = re.compile(r"(?:\\+[nrt])+|[\"']\s*[+.,&\\]?\s*[\"']")
+HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:\s.*")
+ENCRYPTED = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)\s*")
+#: Runs on lines of their own, the ends of which may be escaped, and the parts of such a chain.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:(?<=\\)[nr])?+([A-Za-z0-9+/_-]{16,}+"
+    r"(?:[ \t]*+(?:\r?\n|(?:\\+[nr])++)[ \t]*+[A-Za-z0-9+/_-]++)++)={0,2}"
+)
+PART = re.compile(r"(?:\\+[nr])++|([A-Za-z0-9+/_-]++)")
+ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}")
 SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-", b"openssh-key-v1")
+#: Starts of the kinds, as far as a short first line tells.
+SSH_STARTS = tuple(kind[:11] for kind in SSH_KINDS)
 MASK = "[SECRET]"
 
 Span = tuple[str, int, int]
@@ -154,20 +167,121 @@ def key_kind(data: bytes | None) -> str | None:
     return None
 
 
+def armoured_kind(body: str) -> str | None:
+    """Kind of the key between armour lines, whose line ends may be escaped. Header lines are
+    left out; under DEK-Info the key is encrypted, so its length in cipher blocks confirms it."""
+    for escaped, plain in (("\\/", "/"), ("\\u002b", "+"), ("\\u002B", "+"), ("\\u003d", "="), ("\\u003D", "=")):
+        body = body.replace(escaped, plain)
+    lines = [line.strip() for line in LINE_END.sub("\n", body).splitlines()]
+    block, at = 0, 0
+    while at < len(lines) and (not lines[at] or HEADER.fullmatch(lines[at])):
+        cipher = ENCRYPTED.fullmatch(lines[at])
+        block = len(cipher[1]) // 2 if cipher else block
+        at += 1
+    data = unbase64("".join("".join(lines[at:]).split()))
+    if block >= 8 and data and len(data) % block == 0:
+        return "der"
+    return key_kind(data)
+
+
+def der_size(head: bytes) -> int:
+    """Bytes of the SEQUENCE that starts with ``head``, 0 if none does."""
+    if len(head) < 6 or head[0] != 0x30:
+        return 0
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    if n > 4:
+        return 0
+    return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if n else 2 + head[1]
+
+
+def ssh_sizes(data: bytes) -> set[int]:
+    """Bytes up to the end of each length-prefixed field after the first."""
+    found, at = set(), 0
+    while at + 4 <= len(data):
+        first, at = at == 0, at + 4 + int.from_bytes(data[at : at + 4], "big")
+        if at <= len(data) and not first:
+            found.add(at)
+    return found
+
+
+def wrapped_key(parts: list[str], at: int) -> tuple[str, int] | None:
+    """Kind of the wrapped key that starts with a part, and the part behind it. A DER key tells
+    its size; an SSH key has lines of one width and a last one that may be shorter."""
+    first = parts[at]
+    if first.startswith("30") and ANY_HEX.fullmatch(first):
+        decode, chars = _unhex, 2 * der_size(bytes.fromhex(first[:12]))
+    elif first[0] == "M":
+        decode, chars = unbase64, -(-der_size(unbase64(first[:8]) or b"") * 4 // 3)
+    else:
+        head = unbase64(first[:28]) if first.startswith(("AAAA", "b3BlbnNzaC")) else None
+        if not head or not head[4 if head[0] == 0 else 0 :].startswith(SSH_STARTS):
+            return None
+        end = at
+        while end < len(parts) and len(parts[end]) == len(first):
+            end += 1
+        end += end < len(parts) and len(parts[end]) < len(first)
+        whole = "".join(parts[at:end])
+        data = unbase64(whole[: len(whole) - (len(whole) % 4 == 1)]) or b""
+        if data.startswith(b"openssh-key-v1\0"):
+            return "ssh", end
+        sizes, held, last = ssh_sizes(data), 0, None
+        for k in range(at, end):
+            held += len(parts[k])
+            last = k + 1 if held * 3 // 4 in sizes else last
+        return ("ssh", last) if last else None
+    held = 0
+    for k in range(at, len(parts)):
+        held += len(parts[k])
+        if held >= chars:
+            kind = key_kind(decode("".join(parts[at : k + 1]))) if held == chars else None
+            return (kind, k + 1) if kind else None
+    return None
+
+
+def _unhex(text: str) -> bytes | None:
+    try:
+        return bytes.fromhex(text)
+    except ValueError:
+        return None
+
+
+def wrapped_spans(text: str) -> list[Span]:
+    """Keys in base64 or hex that is wrapped over lines without armour."""
+    found = []
+    for chain in WRAPPED.finditer(text):
+        spans = [m.span(1) for m in PART.finditer(text, chain.start(1), chain.end(1)) if m[1]]
+        parts = [text[a:b] for a, b in spans]
+        k = 0
+        while k < len(parts) - 1:
+            key = wrapped_key(parts, k)
+            if key and key[1] > k + 1:
+                end = spans[key[1] - 1][1]
+                padding = len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
+                found.append((key[0], spans[k][0], end + padding))
+            k = key[1] if key else k + 1
+    return found
+
+
 def confirmed_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans added by decoding candidates: signed tokens, and encoded or armoured keys."""
     found = [("token", *m.span()) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
+    armoured = []
     if "-----BEGIN" in text:
         for m in ARMOUR.finditer(text):
-            kind = key_kind(unbase64("".join(m[2].split())))
+            kind = armoured_kind(m[2])
             if kind:
-                found.append((kind, *m.span()))
+                armoured.append((kind, *m.span()))
+    found += armoured
     for m in ENCODED.finditer(text):
         kind = key_kind(unbase64(m[0]))
         if kind:
             found.append((kind, *m.span()))
-    for kind, a, b in base:
-        if kind == "hex" and (b - a) % 2 == 0:
+    for kind, a, b in wrapped_spans(text):
+        if not any(x <= a and b <= y for _, x, y in armoured):
+            found.append((kind, a, b))
+    runs = [m.span() for m in ANY_HEX.finditer(text)]
+    for a, b in [(a, b) for kind, a, b in base if kind == "hex"] + runs:
+        if (b - a) % 2 == 0:
             inner = key_kind(bytes.fromhex(text[a:b]))
             if inner:
                 found.append((inner, a, b))

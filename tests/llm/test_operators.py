@@ -227,6 +227,45 @@ def test_der_lengths_must_nest():
     assert secret_scan.is_ssh_key(SSH) and not secret_scan.is_ssh_key(SSH[:-1])
 
 
+def test_secret_keys_in_other_forms(spark):
+    pem = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(KEY).decode()}-----END PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    locked = base64.encodebytes(bytes(range(160))).decode()
+    rsa = lambda body: f"-----BEGIN RSA PRIVATE KEY-----\n{body}-----END RSA PRIVATE KEY-----"
+    wrapped = base64.encodebytes(KEY).decode().strip()
+    blob = SSH + len(SSH).to_bytes(4, "big") + SSH
+    lines = lambda s, w: [s[k : k + w] for k in range(0, len(s), w)]
+    secrets = {
+        "der": [
+            pem.replace("\n", "\\n"),
+            pem.replace("\n", "\\\\r\\\\n").replace("/", "\\/"),
+            rsa("Comment: a key\n\n" + base64.encodebytes(KEY).decode()),
+            rsa(head + locked),
+            rsa(head + locked).replace("\n", "\\n"),
+            wrapped,
+            wrapped.replace("\n", "\r\n    "),
+            wrapped.replace("\n", "\\n"),
+            "\n".join(lines(base64.b64encode(KEY).decode(), 70)),
+            KEY.hex().upper(),
+            KEY.hex()[:80] + KEY.hex()[80:].upper(),
+            "\n".join(lines(KEY.hex().upper(), 64)),
+        ],
+        "ssh": ["\n".join(lines(base64.b64encode(blob).decode(), 64))],
+    }
+    cases = [(kind, s) for kind, found in secrets.items() for s in found]
+    texts = [f"see \n{s}\nand\nmore words" for _, s in cases]
+    assert "-----END" not in texts[5]
+    plain = [
+        rsa(head + base64.encodebytes(bytes(161)).decode()), rsa(locked), "\n".join(["Q" * 64] * 9),
+        base64.encodebytes(KEY[:-1]).decode(), base64.encodebytes(b"words " * 60).decode(), "0A" * 90, "-----BEGIN A KEY-----" * 50,
+    ]
+    rows = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(docs_of(spark, texts + plain)).collect()}
+    for k, (kind, s) in enumerate(cases):
+        assert rows[k] == "see \n[SECRET]\nand\nmore words", (k, rows[k])
+        assert kind in {x for x, _, _ in secret_scan.all_spans(texts[k])[1]}
+    assert [rows[len(texts) + k] for k in range(len(plain))] == plain
+
+
 # --- 4 n-gram join -------------------------------------------------------------------------
 
 
