@@ -38,8 +38,8 @@ MARGIN = 5.0
 #: Buckets up to this size are compared, larger ones split, at most DEPTH times.
 LIMIT = 128
 DEPTH = 5
-#: The depth at which the runs reach the recall.
-PLANNED_DEPTH = 3
+#: The depth at which the runs reach the recall: that of the deepest buckets.
+PLANNED_DEPTH = DEPTH
 #: A child that keeps this share of its parent's bucket is dense.
 DENSE = 0.5
 #: Sketches of a block of the brute-force comparison.

@@ -321,6 +321,28 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch):
     assert ngram_join.jaccard_join(docs.limit(0)).count() == 0
 
 
+def test_runs_reach_the_recall_in_the_deepest_buckets(spark, monkeypatch):
+    chance = 1.0
+    for _ in range(ngram_join.DEPTH):
+        chance = 1 - np.exp(-chance)
+    assert 1 - (1 - chance) ** ngram_join.runs_needed() >= ngram_join.RECALL
+    # isolated pairs near the threshold that share most of one passage, split down to the last depth
+    monkeypatch.setattr(ngram_join, "LIMIT", 2)
+    rng = np.random.RandomState(12)
+    passage = [f"p{k}" for k in range(150)]
+    texts = []
+    for k in range(60):
+        own = [f"own{k}-{j}" for j in range(40)]
+        at = rng.randint(20)
+        words = own[:20] + passage[at : at + 130] + own[20:]
+        texts += [" ".join(words), " ".join([f"a{k}-{j}" for j in range(8)] + words + [f"b{k}-{j}" for j in range(20)])]
+    sets = [shingle_set(t) for t in texts]
+    links = [(b, a) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    count = Counter(x for p in links for x in p)
+    got = ngram_join.jaccard_join(docs_of(spark, texts)).collect()
+    assert len(links) >= 60 and {r["doc_id"]: r["n_links"] for r in got} == {k: count[k] for k in range(len(texts))}
+
+
 # --- 5 packing -----------------------------------------------------------------------------
 
 
