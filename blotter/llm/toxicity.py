@@ -5,6 +5,9 @@ text, give each word a log-likelihood ratio. Their high orders are counted per c
 orders, to which rare expressions back off, are shared: continuation counts over the n-gram
 types of *all* documents. A document's ratio is divided by its length and calibrated.
 
+Expressions of several words are modelled the same way: word bigrams and trigrams per class,
+which back off to shared continuation counts of the words, add to the ratio.
+
 Symbols are 64 classes of bytes, so the types of the shared orders are bounded (64^4), and
 n-grams end at word borders, so each distinct word of a batch is scored once.
 """
@@ -12,7 +15,7 @@ n-grams end at word borders, so each distinct word of a batch is scored once.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,8 @@ THRESHOLD = 0.5
 ROWS = 4500
 #: Texts of the sample that the fit looks at together; bounds the driver's memory.
 FIT_TEXTS = 256
+#: Word pairs that a task holds before it sends them.
+SENT_PAIRS = 1_000_000
 
 
 def _symbols() -> np.ndarray:
@@ -48,25 +53,34 @@ def _symbols() -> np.ndarray:
 SYMBOL = _symbols()
 
 
-def word_grams(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """Distinct words of some texts, as n-grams of ``TOP`` symbols.
-
-    Returns keys (one per position of each distinct word, its end included), the first position
-    of each distinct word, and for every word of the texts its distinct word and its text.
-    """
+def _words(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Symbols of some texts joined, and start, end, hash and text of each word in them."""
     data = " ".join([*(t or "" for t in texts), ""]).encode("utf-8", "replace")
     symbols = SYMBOL[np.frombuffer(data, dtype=np.uint8)] if data else np.zeros(1, np.uint8)
     inside = symbols > 0
     starts = np.flatnonzero(inside & ~np.r_[False, inside[:-1]])
     ends = np.flatnonzero(inside & ~np.r_[inside[1:], False]) + 1
-    if len(starts) == 0:
-        empty = np.zeros(0, dtype=np.int64)
-        return empty, empty, empty, empty
     up, down = _powers(len(symbols) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(symbols) + 1, dtype=np.uint64)
         np.cumsum(symbols.astype(np.uint64) * up[: len(symbols)], out=total[1:])
         hashes = mixed((total[ends] - total[starts]) * down[starts])
+    # the texts' own borders in bytes, one more for each joining space
+    sizes = np.array([len((t or "").encode("utf-8", "replace")) + 1 for t in texts], dtype=np.int64)
+    text = np.searchsorted(np.cumsum(sizes), starts, side="right")
+    return symbols, starts, ends, hashes, text
+
+
+def word_grams(texts: list[str | None], words: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct words of some texts, as n-grams of ``TOP`` symbols.
+
+    Returns keys (one per position of each distinct word, its end included), the first position
+    of each distinct word, and for every word of the texts its distinct word and its text.
+    """
+    symbols, starts, ends, hashes, text = words or _words(texts)
+    if len(starts) == 0:
+        empty = np.zeros(0, dtype=np.int64)
+        return empty, empty, empty, empty
     _, first, word = np.unique(hashes, return_index=True, return_inverse=True)  # equal words, equal hash
     size = ends[first] - starts[first] + 1
     begin = np.r_[0, np.cumsum(size)[:-1]]
@@ -76,9 +90,6 @@ def word_grams(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     for k in range(TOP):
         symbol = np.where(place >= k, symbols[np.maximum(at - k, 0)], 0).astype(np.int64)
         keys |= symbol << np.int64(BITS * k)
-    # the texts' own borders in bytes, one more for each joining space
-    sizes = np.array([len((t or "").encode("utf-8", "replace")) + 1 for t in texts])
-    text = np.searchsorted(np.cumsum(sizes), starts, side="right")
     return keys, begin, word, text
 
 
@@ -147,6 +158,128 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise:
     return np.where(keys[at] == wanted, values[at], otherwise)
 
 
+# --- expressions of several words ------------------------------------------------------------
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mixed(mixed(a + np.uint64(0x9E37)) + np.uint64(3) * b)
+
+
+def phrase_grams(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Per word: hash of the word, of the one before it (0 at a text's start), and of its word
+    bigram, of the context of its trigram and of the trigram, as rows of a matrix."""
+    before = [np.zeros(len(hashes), dtype=np.uint64) for _ in range(2)]
+    for k in (1, 2):
+        same = text[k:] == text[:-k]
+        before[k - 1][k:][same] = hashes[:-k][same]
+    context = _pair(before[1], before[0])
+    return np.stack([hashes, before[0], _pair(before[0], hashes), context, _pair(context, hashes)])
+
+
+def phrase_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of ``phrase_grams``, one per distinct trigram, and how often each occurs."""
+    grams, times = np.zeros((5, 0), dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    for a in range(0, len(texts), FIT_TEXTS):
+        *_, hashes, text = _words(texts[a : a + FIT_TEXTS])
+        new = phrase_grams(hashes, text)
+        _, first, at = np.unique(np.r_[grams[4], new[4]], return_index=True, return_inverse=True)
+        times = np.bincount(at, weights=np.r_[times, np.ones(new.shape[1])], minlength=len(first)).astype(np.int64)
+        grams = np.concatenate([grams, new], axis=1)[:, first]
+    return grams, times
+
+
+def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kneser-Ney counts of the sample's words over every whole text of ``docs``: after how many
+    distinct words each occurs."""
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def sent(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs)], names=["pair"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # place of the word in the vocabulary, and 32 bits of the hash of the word before it
+        words = known.value
+        held: list[np.ndarray] = []
+        for batch in batches:
+            *_, hashes, text = _words(batch.column(0).to_pylist())
+            before = np.zeros(len(hashes), dtype=np.uint64)
+            same = text[1:] == text[:-1]
+            before[1:][same] = hashes[:-1][same]
+            at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
+            hit = words[at] == hashes if len(words) else np.zeros(len(hashes), dtype=bool)
+            held.append(np.unique(at[hit] << 32 | (before[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)))
+            if sum(map(len, held)) > SENT_PAIRS:
+                held = [np.unique(np.concatenate(held))]
+                if len(held[0]) > SENT_PAIRS // 2:
+                    yield sent(held.pop())
+        if held:
+            yield sent(np.unique(np.concatenate(held)))
+
+    pairs = docs.select("text").mapInArrow(mark, "pair long").distinct()
+    found = pairs.groupBy(F.shiftright("pair", 32).alias("place")).agg(F.count("*").alias("n")).toArrow()
+    place = found.column("place").to_numpy()
+    order = np.argsort(place)
+    return vocabulary[place[order]], found.column("n").to_numpy()[order]
+
+
+class _Phrases:
+    """One order of word n-grams of one class; ``lower`` names each gram's one order below."""
+
+    def __init__(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray, counts: np.ndarray):
+        cut = _discount(counts)
+        self.keys, self.lower, self.context_of = keys, lower, contexts
+        self.contexts, at, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
+        sums = np.bincount(at, weights=counts)
+        self.weights = cut * kinds / sums
+        self.shares = np.maximum(counts - cut, 0) / sums[at]
+
+    def probability(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        return _found(self.keys, self.shares, keys, 0.0) + _found(self.contexts, self.weights, contexts, 1.0) * lower
+
+
+def phrase_orders(
+    counted: list[tuple[np.ndarray, np.ndarray]], words: tuple[np.ndarray, np.ndarray]
+) -> list[tuple[np.ndarray, ...]]:
+    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
+    log ratio of their back-off weights. Both classes back off to the shared words."""
+    share = words[1] / max(words[1].sum(), 1)
+    levels = []
+    for grams, times in counted:
+        keys, first, kinds = np.unique(grams[2], return_index=True, return_counts=True)
+        levels.append(
+            (_Phrases(keys, grams[1][first], grams[0][first], kinds), _Phrases(grams[4], grams[3], grams[2], times))
+        )
+
+    def merged(order: int) -> tuple[np.ndarray, ...]:
+        a, b = (own[order] for own in levels)
+        keys, first = np.unique(np.r_[a.keys, b.keys], return_index=True)
+        return keys, np.r_[a.context_of, b.context_of][first], np.r_[a.lower, b.lower][first]
+
+    def ratio_of(p: list[np.ndarray]) -> np.ndarray:
+        return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
+
+    pairs, before, word = merged(0)
+    least = 1.0 / max(words[1].sum(), 1)
+    low = [own[0].probability(pairs, before, np.maximum(_found(words[0], share, word, 0.0), least)) for own in levels]
+    triples, contexts, lower = merged(1)
+    high = [own[1].probability(triples, contexts, _found(pairs, p, lower, 1.0)) for own, p in zip(levels, low, strict=True)]
+    orders = []
+    for order, keys, p in ((1, triples, high), (0, pairs, low)):
+        known = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
+        weights = [_found(own[order].contexts, own[order].weights, known, 1.0) for own in levels]
+        orders.append((keys, ratio_of(p), known, ratio_of(weights)))
+    return orders
+
+
+def fit_phrases(learn: tuple[list[str], list[str]], docs: DataFrame | None) -> list[tuple[np.ndarray, ...]]:
+    counted = [phrase_counts(texts) for texts in learn]
+    if docs is not None:
+        return phrase_orders(counted, followed_words(docs, np.unique(np.concatenate([g[0] for g, _ in counted]))))
+    pairs = np.unique(np.concatenate([g[:3] for g, _ in counted], axis=1), axis=1)
+    return phrase_orders(counted, np.unique(pairs[0], return_counts=True))
+
+
 @dataclass
 class ToxicityModel:
     """Per order above the shared ones: known n-grams with their log ratio, and contexts with
@@ -155,6 +288,22 @@ class ToxicityModel:
     orders: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     curve: Curve | None
     share: float
+    phrases: list[tuple[np.ndarray, ...]] = field(default_factory=list)
+
+    def phrase_ratios(self, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Log-likelihood ratio of each word after the two before it."""
+        found = phrase_grams(hashes, text)
+        _, first, every = np.unique(found[4], return_index=True, return_inverse=True)
+        found = found[:, first]  # in the order of the trigrams, which keeps the lookup local
+        out = np.zeros(len(first))
+        left = np.arange(len(first))
+        for (grams, ratio, contexts, weight), gram, context in zip(self.phrases, (4, 2), (3, 1), strict=True):
+            value = _found(grams, ratio, found[gram][left], np.nan)
+            hit = ~np.isnan(value)
+            out[left[hit]] += value[hit]
+            left = left[~hit]
+            out[left] += _found(contexts, weight, found[context][left], 0.0)
+        return out[every]
 
     def ratios(self, keys: np.ndarray) -> np.ndarray:
         """Log-likelihood ratio per position: an unknown n-gram gives its context's back-off
@@ -173,12 +322,14 @@ class ToxicityModel:
 
     def differences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Length-normalised log-likelihood ratio and length of each text."""
-        keys, begin, word, text = word_grams(texts)
+        words = _words(texts)
+        keys, begin, word, text = word_grams(texts, words)
         if len(keys) == 0:
             return np.zeros(len(texts)), np.zeros(len(texts))
         value = np.add.reduceat(self.ratios(keys), begin)
         size = np.diff(np.r_[begin, len(keys)])
-        total = np.bincount(text, weights=value[word], minlength=len(texts))
+        each = value[word] + (self.phrase_ratios(words[3], text) if self.phrases else 0.0)
+        total = np.bincount(text, weights=each, minlength=len(texts))
         length = np.bincount(text, weights=size[word], minlength=len(texts))
         return total / np.maximum(length, 1.0), length
 
@@ -188,12 +339,14 @@ class ToxicityModel:
         return self.curve.score(*self.differences(texts))
 
 
-def fit_toxicity(sample: Sample, types: np.ndarray) -> ToxicityModel:
-    """Models from the sample's class counts and the shared types of all documents. Without
-    both classes every text scores the labels' share."""
+def fit_toxicity(sample: Sample, types: np.ndarray, docs: DataFrame | None = None) -> ToxicityModel:
+    """Models from the sample's class counts and the shared types and words of all documents
+    (without ``docs``, the words of the sample). Without both classes every text scores the
+    labels' share."""
     if min(map(len, sample.texts)) < 3:
         return ToxicityModel({}, None, sample.share)
     learn, check = sample.halves()
+    phrases = fit_phrases(learn, docs)  # first, so that its counts are gone when symbols are counted
     counted = [gram_counts(texts) for texts in learn]
     # shared low orders, from the lowest up
     shared = [_Level(*_continued(types, order)) for order in range(1, SHARED + 1)]
@@ -223,7 +376,7 @@ def fit_toxicity(sample: Sample, types: np.ndarray) -> ToxicityModel:
         contexts = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
         weight = np.log(levels[1][order].back_off(contexts)) - np.log(levels[0][order].back_off(contexts))
         orders[order] = (grams, ratio.astype(np.float32), contexts, weight.astype(np.float32))
-    model = ToxicityModel(orders, None, sample.share)
+    model = ToxicityModel(orders, None, sample.share, phrases)
     y = np.r_[np.zeros(len(check[0])), np.ones(len(check[1]))]
     texts = [*check[0], *check[1]]
     parts = [model.differences(texts[a : a + FIT_TEXTS]) for a in range(0, len(texts), FIT_TEXTS)]
@@ -236,7 +389,7 @@ def toxicity_scores(
 ) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``; a null text counts as
     empty, and a text without words has no difference. Only the text enters the score."""
-    model = fit_toxicity(labelled_sample(docs, labels, "toxic", ROWS), shared_types(docs))
+    model = fit_toxicity(labelled_sample(docs, labels, "toxic", ROWS), shared_types(docs), docs)
     # its size follows the sample's bound and the 64 symbols, not the documents
     sent = spark.sparkContext.broadcast(model)
 

@@ -503,6 +503,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.toxicity_scores(spark, docs.limit(0), labels).count() == 0
 
 
+def test_toxic_phrases_of_ordinary_words(spark):
+    phrase = ["light", "over", "house"]
+
+    def make(rng, words, toxic):
+        words = [w for w in words if w not in phrase]
+        for _ in range(6):  # the same words in every text, side by side in toxic ones only
+            at = rng.randint(len(words))
+            words[at:at] = phrase if toxic else phrase[::-1]
+        return " ".join(words)
+
+    docs, labels, flags = labelled_docs(spark, make)
+    assert accuracy(toxicity.toxicity_scores(spark, docs, labels).collect(), flags) > 0.95
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams, begin, word, _ = toxicity.word_grams(["the then there them they other"])
     times = np.bincount(word, minlength=len(begin))
