@@ -37,7 +37,7 @@ def labelled_sample(
 
     Held-out ids, null ids and null labels are left out; several labels of one id count as 1
     when their mean is at least 0.5. The ids are bounded by 2 * ``rows``, so they are sent to
-    the scan of the documents; a repeated document takes part as often as the bound allows.
+    the scan of the documents; a repeated id takes part once, with the least of its excerpts.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -53,7 +53,9 @@ def labelled_sample(
         .where(F.col("text").isNotNull())
         .join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
         .select("y", "doc_id", F.substr("text", start, F.lit(chars)).alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        .groupBy("y", "doc_id")
+        .agg(F.min("text").alias("text"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(2 * rows)
         .collect()
     )

@@ -25,7 +25,7 @@ from blotter.llm import (
     warc,
 )
 from blotter.llm.common import prepare, read
-from blotter.llm.labelled import Sample
+from blotter.llm.labelled import Sample, labelled_sample
 
 LONG = " ".join(f"long{k % 7001}" for k in range(30_000))
 # columns whose names the operators use themselves
@@ -471,6 +471,15 @@ def accuracy(rows, flags):
     return np.mean([a == b for a, b in checked])
 
 
+def test_repeated_labelled_ids_leave_room_for_the_others(spark):
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, toxic int")
+    first = labels.orderBy("toxic").selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h").first()["doc_id"]
+    docs = docs_of(spark, [(k, f"text {k}") for k in ids] + [(first, f"text {first}")] * 500)
+    sample = labelled_sample(docs, labels, "toxic", rows=50)
+    assert [sorted(c) for c in sample.texts] == [sorted(f"text {k}" for k in ids if k % 2 == y) for y in (0, 1)]
+
+
 def test_quality_on_held_out_rows(spark):
     def make(rng, words, good):
         return " ".join(words) if good else " ".join(w.upper() + "!! ###" for w in words)
