@@ -221,6 +221,91 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def _crc32(text: str) -> str:
+    """DuckDB expression of the unsigned crc32 of an ASCII text."""
+    return f"""xor(4294967295::BIGINT, list_reduce([CAST(ord(x) AS BIGINT) FOR x IN string_split({text}, '')],
+      lambda c, b: list_reduce([0::BIGINT, 1, 2, 3, 4, 5, 6, 7],
+        lambda d, k: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384::BIGINT) ELSE d >> 1 END, xor(c, b)),
+      4294967295::BIGINT))"""
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.repair import damaged_turns, repaired_conversations
+
+    return repaired_conversations(damaged_turns(read(spark, sf_dir, "conversations")))
+
+
+_AFTER = "CASE {q} WHEN 2 THEN 3 ELSE 2 END"
+_INSERTED = """CASE n.k WHEN 0 THEN {q} WHEN 1 THEN {one} ELSE CASE {one} WHEN 2 THEN 3 ELSE 2 END END"""
+_LINES = """CASE n.k WHEN 0 THEN CAST([] AS VARCHAR[]) ELSE
+    [CASE {one} WHEN 3 THEN 'assistant:' ELSE 'user:' END] || CASE n.k WHEN 2
+    THEN [CASE {one} WHEN 2 THEN 'assistant:' ELSE 'user:' END] ELSE CAST([] AS VARCHAR[]) END END"""
+_ONE = "(CASE edited.q WHEN 2 THEN 3 ELSE 2 END)"
+
+_OP11_SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i
+  FROM damaged
+), faulted AS (
+  SELECT *, CASE left(role, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS r,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+              WHEN min(i) OVER (PARTITION BY conv_id, role, text) < i THEN 2
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 3 ELSE 0 END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed
+), convs AS (
+  SELECT DISTINCT conv_id FROM conversations
+), state(conv_id, i, q, best) AS (
+  SELECT conv_id, 0::BIGINT, q, {{'cost': cost::BIGINT, 'audit': audit, 'lines': CAST(lines AS VARCHAR[])}}
+  FROM convs, (VALUES (0, 0, '', []), (2, 5, 'I', ['user:']), (3, 10, 'II', ['user:', 'assistant:'])) v(q, cost, audit, lines)
+  UNION ALL
+  SELECT conv_id, i, q, min(best) FROM (
+    SELECT conv_id, i, {_INSERTED.format(q="edited.q", one=_ONE)} AS q,
+           {{'cost': CAST(cost + 5 * n.k AS BIGINT), 'audit': audit || repeat('I', n.k),
+             'lines': lines || {_LINES.format(one=_ONE)}}} AS best
+    FROM (
+      SELECT s.conv_id, f.i,
+             CASE e.letter WHEN 'D' THEN s.q WHEN 'R' THEN {_AFTER.format(q="s.q")} ELSE f.r + 1 END AS q,
+             s.best.cost + CASE e.letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+               + CASE WHEN e.letter <> 'D' AND f.fault = 3 THEN 5 ELSE 0 END AS cost,
+             s.best.audit || e.letter AS audit,
+             s.best.lines || CASE e.letter WHEN 'D' THEN CAST([] AS VARCHAR[])
+               WHEN 'R' THEN [CASE s.q WHEN 2 THEN 'assistant:' ELSE 'user:' END || f.text]
+               ELSE [f.role || ':' || f.text] END AS lines
+      FROM state s JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1,
+           (VALUES ('D'), ('K'), ('R')) e(letter)
+      WHERE e.letter = 'D' OR (f.fault NOT IN (1, 2) AND (e.letter = 'R'
+            OR (f.r = 0 AND s.q = 0) OR (f.r = 1 AND s.q <> 2) OR (f.r = 2 AND s.q = 2)))
+    ) edited, (VALUES (0), (1), (2)) n(k)
+  ) GROUP BY conv_id, i, q
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulted GROUP BY conv_id
+), chosen AS (
+  SELECT s.conv_id, min(s.best) AS best
+  FROM state s LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+  WHERE s.i = coalesce(c.n, 0) AND s.q IN (0, 3) GROUP BY s.conv_id
+)
+SELECT v.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(c.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(c.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(c.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(c.illegal, 0) AS BIGINT) AS illegal, h.best.cost AS cost, h.best.audit AS audit,
+       sha256(array_to_string(h.best.lines, chr(10))) AS repaired_sha256
+FROM convs v JOIN chosen h ON h.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
@@ -231,7 +316,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k)
+    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k, op11_structure_repair)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -241,4 +326,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat_format": _OP6_SQL,
     "op8_warc": _OP8_SQL,
     "op10_top_k": _OP10_SQL,
+    "op11_structure_repair": _OP11_SQL,
 }
