@@ -306,6 +306,47 @@ LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+_OP13_SQL = f"""
+WITH logged AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM logged
+), rebuilt AS (
+  SELECT c.conv_id, CASE WHEN c.conv_id = c.base THEN c.turns
+    ELSE coalesce(b.turns[1:c.h], []) || c.turns[c.h + 1:] END AS turns
+  FROM headed c LEFT JOIN logged b ON b.conv_id = c.base
+), members AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), prefixes AS (
+  SELECT conv_id, n, depth, turns[1:depth] AS prefix FROM members
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(n = depth) AS childless,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth
+), weighed AS (
+  SELECT *, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(prefix[depth].text) ELSE 0 END AS saved FROM nodes
+), above AS (
+  SELECT depth AS below, childless, saved, unnest(range(0, depth + 1)) AS depth, prefix FROM weighed
+), summed AS (
+  SELECT prefix[1:depth] AS prefix, depth, sum(saved) AS saved_tokens, count(*) FILTER (childless) AS n_leaves,
+         count(*) FILTER (below = depth + 1) AS n_children
+  FROM above GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM weighed n JOIN summed s ON s.prefix = n.prefix AND s.depth = n.depth
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
@@ -316,7 +357,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k, op11_structure_repair)
+    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k, op11_structure_repair, op13_prefix_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -327,4 +368,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": _OP8_SQL,
     "op10_top_k": _OP10_SQL,
     "op11_structure_repair": _OP11_SQL,
+    "op13_prefix_trie": _OP13_SQL,
 }
