@@ -306,6 +306,14 @@ LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
 """
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.llm.pii import KINDS, personal_data, span_text
+
+    found = personal_data(read(spark, sf_dir, "documents"))
+    counts = (f"cast(size(filter(base, s -> s.kind = {k})) AS long) AS n_{kind}" for k, kind in enumerate(KINDS))
+    return found.selectExpr("doc_id", *counts, f"sha2({span_text('base')}, 256) AS base_sha256", f"{span_text('spans')} AS spans")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blotter.llm.prefix_trie import prefix_trie
 
@@ -357,7 +365,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f)
-    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k, op11_structure_repair, op13_prefix_trie)
+    for f in (op1_mix_sources, op2_embedding_near_dedup, op3_secret_scan, op4_ngram_jaccard_join, op5_best_fit_packing, op6_chat_format, op7_quality_classifier, op8_warc, op9_toxicity, op10_top_k, op11_structure_repair, op12_personal_data, op13_prefix_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
