@@ -7,7 +7,9 @@ Texts of equal shingle sets form a class; class representatives are joined:
   goes to the child buckets of the chosen tokens. Buckets above ``LIMIT`` are split again; one
   that does not shrink is a group of similar texts and is not split further.
 * Buckets that are small, dense or at the last depth are compared by brute force on sketches,
-  in blocks. Each block sends a forest of its candidates, never its pairs.
+  in blocks. Large buckets are first compared with a few pivots: what is near a common pivot is one
+  group, and only different groups are compared further. Each block sends a forest of its
+  candidates, never its pairs.
 * Runs are repeated until pairs at the threshold are found with the target recall.
 * Candidates are grouped into components, whose sets are compared exactly, again in blocks:
   each block pair sends the number of links per text and a forest of them.
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import block_pairs, compared, forest, groups, mixed, rows_of, shingles, stored
+from blotter.llm.common import compared, forest, groups, mixed, rows_of, shingles, stored
 from blotter.llm.components import connected_components
 
 WIDTH = 5
@@ -44,6 +46,8 @@ PLANNED_DEPTH = DEPTH
 DENSE = 0.5
 #: Sketches of a block of the brute-force comparison.
 SKETCH_BLOCK = 256
+#: Members of a larger bucket that all its members are compared with first.
+PIVOTS = 8
 #: Texts and shingles of a block of the exact comparison.
 BLOCK = 128
 BLOCK_SHINGLES = 500_000
@@ -183,36 +187,193 @@ def final_buckets(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
     return buckets
 
 
-def candidate_forest(rows: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that connect the candidates of each block pair: sets whose sketches agree in
-    at least the threshold less the margin."""
+def _least_equal(threshold: float) -> int:
+    """Equal bytes of two cut sketches that make a candidate: the threshold less the margin. Equal
+    values by chance count for one in 256, as the sketches are cut to bytes."""
     chance = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / SKETCH)
+    return math.floor(SKETCH * (chance + (1 - chance) / 256))
+
+
+def pivot_masks(large: DataFrame, cut: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Compare the members of large buckets (path, key, n, cut) with a few pivots of their bucket.
+
+    Returns the members with ``mask`` (bit j: near pivot j; null bits are 0) and ``pivot`` (the first
+    near one), and path and ``pivots``. Pivots are the least members by PIVOTS hashes, found by
+    partial aggregates; they go to every block of their bucket, so a bucket is never gathered."""
+    by_hash = [F.min(F.struct(F.xxhash64(F.lit(j), "key").alias("h"), "key"))["key"].alias(f"p{j}") for j in range(PIVOTS)]
+    chosen = stored(
+        large.groupBy("path")
+        .agg(*by_hash, F.first("n").alias("n"))
+        .select("path", "n", F.array_distinct(F.array(*(f"p{j}" for j in range(PIVOTS)))).alias("pivots")),
+        "pivots",
+    )
+    blocks = F.ceil(F.col("n") / F.lit(float(SKETCH_BLOCK))).cast("int")
+    gid = F.xxhash64("path", "own").alias("gid")
+    members = large.withColumn("own", F.pmod(F.xxhash64("key", "path"), blocks).cast("int")).select(
+        gid, F.lit(-1).alias("pivot_at"), "path", "key", "cut"
+    )
+    pivots = (
+        chosen.select("path", "n", F.posexplode("pivots").alias("pivot_at", "key"))
+        .join(cut, "key")
+        .withColumn("own", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(gid, "pivot_at", "path", "key", "cut")
+    )
+    least = _least_equal(threshold)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, part in groups(batches, "gid"):
+            at = part.column("pivot_at").to_numpy()
+            # two buckets whose numbers collide are compared apart
+            path = part.column("path").to_numpy()
+            values = rows_of(part.column("cut"), np.uint8)
+            rows = np.flatnonzero(at < 0)
+            if len(rows) == 0:
+                continue
+            mask = np.zeros(len(rows), dtype=np.int32)
+            first = np.full(len(rows), -1, dtype=np.int64)
+            for k in np.flatnonzero(at >= 0)[::-1]:
+                near = (np.count_nonzero(values[rows] == values[k], axis=1) >= least) & (path[rows] == path[k])
+                mask[near] |= np.int32(1 << int(at[k]))
+                first[near] = k
+            keys = part.column("key").combine_chunks()
+            taken = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(path[rows]),
+                    keys.take(taken),
+                    part.column("cut").combine_chunks().take(taken),
+                    pa.array(mask),
+                    keys.take(pa.array(first, mask=first < 0)),
+                ],
+                names=["path", "key", "cut", "mask", "pivot"],
+            )
+
+    found = (
+        members.unionByName(pivots)
+        .repartition(F.col("gid"))
+        .sortWithinPartitions("gid", "pivot_at")
+        .mapInArrow(compare, "path long, key string, cut binary, mask int, pivot string")
+    )
+    return stored(found, "pivot-masks"), chosen.select("path", "pivots")
+
+
+def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per path: its masks united where they share a pivot. A group is what hangs together; members
+    near no pivot are group -1. Blocks of a bucket are numbered through its groups."""
+    for batch in batches:
+        out: dict[str, list] = {k: [] for k in ("path", "mask", "family", "begin", "blocks", "total")}
+        for path, counted in zip(batch.column("path").to_pylist(), batch.column("counted").to_pylist(), strict=True):
+            family: dict[int, int] = {}
+            for mask in (c["mask"] for c in counted if c["mask"]):
+                joined = mask
+                for other in [f for f in set(family.values()) if f & joined]:
+                    joined |= other
+                for m, f in list(family.items()):
+                    if f & joined:
+                        family[m] = joined
+                family[mask] = joined
+            size: dict[int, int] = {}
+            for c in counted:
+                at = family.get(c["mask"], -1)
+                size[at] = size.get(at, 0) + c["n"]
+            blocks = {f: -(-n // c0) for c0 in [batch.column("block")[0].as_py()] for f, n in size.items()}
+            begin, total = {}, 0
+            for f in sorted(blocks):
+                begin[f] = total
+                total += blocks[f]
+            for c in counted:
+                f = family.get(c["mask"], -1)
+                for k, v in (("path", path), ("mask", c["mask"]), ("family", f), ("begin", begin[f]), ("blocks", blocks[f]), ("total", total)):
+                    out[k].append(v)
+        types = {"path": pa.int64(), "mask": pa.int32()}
+        yield pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.int64())) for k, v in out.items()], names=list(out))
+
+
+def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that connect the candidates of every bucket (path, key, n), each bucket apart.
+
+    A bucket of up to SKETCH_BLOCK members is one block. In a larger one, members near a pivot link
+    to it, and families of pivots that share members are one group already: only blocks of different
+    groups, and of members near no pivot, are compared, and a block pair links groups, not members.
+    A bucket of n texts that are all alike so takes n rows, not n times its blocks."""
+    rows = buckets.join(cut, "key")
+    fits = F.col("n") <= SKETCH_BLOCK
+    empty = F.lit(None).cast("string").alias("family")
+    own = rows.where(fits).select(F.xxhash64("path").alias("gid"), "path", F.lit(2).alias("side"), "key", "cut", empty)
+    large = stored(rows.where(~fits), "large-buckets")
+    if large.isEmpty():
+        return candidate_forest(own, threshold)
+    masks, pivots = pivot_masks(large, cut, threshold)
+    counted = masks.groupBy("path", "mask").agg(F.count("*").alias("n"))
+    per_path = counted.groupBy("path").agg(F.collect_list(F.struct("mask", "n")).alias("counted"))
+    families = stored(
+        per_path.withColumn("block", F.lit(SKETCH_BLOCK)).mapInArrow(
+            _bucket_groups, "path long, mask int, family long, begin long, blocks long, total long"
+        ),
+        "bucket-families",
+    )
+    to_pivot = masks.where("pivot IS NOT NULL AND pivot <> key").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(PIVOTS - 1)), lambda j: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), j)) != 0)
+    between = (
+        families.where("bit_count(mask) > 1")
+        .join(pivots, "path")
+        .select(F.transform(bits, lambda j: F.get("pivots", j)).alias("near"))
+        .select(F.col("near")[0].alias("a"), F.explode("near").alias("b"))
+        .where("a <> b")
+    )
+    # written, so that AQE splits a hot bucket in the join with its few families
+    several = families.where("family = -1 OR blocks < total")
+    dealt = (
+        masks.select("path", "key", "cut", "mask")
+        .join(several, ["path", "mask"])
+        .withColumn("own", F.col("begin") + F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1)))
+        .where("family = -1 OR other < begin OR other >= begin + blocks")
+        .select(
+            F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("gid"),
+            "path",
+            F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"),
+            "key",
+            "cut",
+            F.when(F.col("family") >= 0, F.concat(F.col("path").cast("string"), F.lit(":"), F.col("family").cast("string"))).alias("family"),
+        )
+    )
+    return candidate_forest(own.unionByName(dealt), threshold).unionByName(to_pivot).unionByName(between)
+
+
+def candidate_forest(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that connect the candidates of each block pair (gid, path, side, key, cut,
+    family): sets whose sketches agree in enough values. Members of a family hang together already,
+    so a family counts as one node."""
+    least = _least_equal(threshold)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # equal values by chance count for one in 256, as the sketches are cut to bytes
-        least = math.floor(SKETCH * (chance + (1 - chance) / 256))
         left_keys: list[str] = []
         right_keys: list[str] = []
         for _, part in groups(batches, "gid"):
             if part.num_rows < 2:
                 continue
             values = rows_of(part.column("cut"), np.uint8)
+            path = part.column("path").to_numpy()
             near = np.zeros((len(values), len(values)), dtype=bool)
             for k in range(len(values) - 1):
                 near[k, k + 1 :] = np.count_nonzero(values[k + 1 :] == values[k], axis=1) >= least
+            near &= path[:, None] == path[None, :]
             left, right = np.nonzero(near & compared(part.column("side").to_numpy()))
             if len(left):
                 keys = part.column("key").to_pylist()
-                for a, b in forest(len(keys), left, right):
-                    left_keys.append(keys[a])
-                    right_keys.append(keys[b])
+                names = [f or k for f, k in zip(part.column("family").to_pylist(), keys, strict=True)]
+                _, first, node = np.unique(names, return_index=True, return_inverse=True)
+                for a, b in forest(len(first), node[left], node[right]):
+                    left_keys.append(keys[first[a]])
+                    right_keys.append(keys[first[b]])
             if len(left_keys) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(left_keys), pa.array(right_keys)], names=["a", "b"])
                 left_keys, right_keys = [], []
         if left_keys:
             yield pa.RecordBatch.from_arrays([pa.array(left_keys), pa.array(right_keys)], names=["a", "b"])
 
-    return rows.mapInArrow(compare, "a string, b string")
+    return rows.repartition(F.col("gid")).sortWithinPartitions("gid").mapInArrow(compare, "a string, b string")
 
 
 # --- the exact comparison ------------------------------------------------------------------
@@ -389,10 +550,7 @@ def similar_classes(
     buckets = final_buckets(classes, runs_needed(recall), threshold)
     # one byte of each sketch value is enough to compare; the sketches join only shared buckets
     cut = classes.select("key", _low_bytes(F.col("sketch")).alias("cut"))
-    pairs = block_pairs(buckets, ["path"], SKETCH_BLOCK).join(cut, "key").select("gid", "side", "key", "cut")
-    candidates = stored(
-        candidate_forest(pairs.repartition(F.col("gid")).sortWithinPartitions("gid"), threshold), "candidates"
-    )
+    candidates = stored(bucket_links(buckets, cut, threshold), "candidates")
     groups_of = connected_components(candidates)
     members = classes.join(groups_of, classes["key"] == groups_of["node"]).select(
         "key", F.col("component").alias("root"), "size", "copies", "least_id"

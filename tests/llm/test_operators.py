@@ -321,6 +321,29 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch):
     assert ngram_join.jaccard_join(docs.limit(0)).count() == 0
 
 
+def test_links_of_a_bucket_grow_with_its_members_not_their_pairs(spark):
+    """Near copies of one text beside a few strangers: all are linked, by rows in proportion."""
+    rng = np.random.RandomState(7)
+    base, made = rng.bytes(128), {}
+    for n in (500, 1000, 2000):
+        cuts = []
+        for k in range(n):
+            cut = bytearray(base)
+            for at in rng.choice(128, 8, replace=False):
+                cut[at] = rng.randint(256)
+            cuts.append((f"k{k}", bytes(cut)))
+        # a second family, and one that is like nothing
+        other = rng.bytes(128)
+        cuts += [(f"m{k}", other[:-1] + bytes([k])) for k in range(20)] + [("alone", rng.bytes(128))]
+        members = spark.createDataFrame([(5, k, len(cuts)) for k, _ in cuts], "path long, key string, n long")
+        links = ngram_join.bucket_links(members, spark.createDataFrame(cuts, "key string, cut binary"), 0.8).collect()
+        names = {k: i for i, (k, _) in enumerate(cuts)}
+        root = groups_of(len(cuts), [(names[r["a"]], names[r["b"]]) for r in links])
+        assert len(set(root)) == 3 and len(set(root[:n])) == 1 and len(set(root[n : n + 20])) == 1
+        made[n] = len(links)
+    assert made[2000] < 2.5 * made[1000] < 6.25 * made[500]
+
+
 def test_runs_reach_the_recall_in_the_deepest_buckets(spark, monkeypatch):
     chance = 1.0
     for _ in range(ngram_join.DEPTH):
