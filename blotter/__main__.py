@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--out-root", help="where raw, flattened, mart and check tables live")
     build.add_argument("--months", help="comma-separated yyyy-MM months to (re)load; default all")
     build.add_argument("--threads", type=int, default=4, help="concurrent write jobs per layer")
+    build.add_argument("--multiline", action="store_true", help="landing files hold arrays or records over several lines")
     build.add_argument("--strict", action="store_true", help="exit 1 if any check has failures")
     args = parser.parse_args(argv)
 
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
         out_root=args.out_root,
         threads=args.threads,
         months=months,
+        multiline=args.multiline,
     )
     report = out["report"]
     report.orderBy("model", "check_name", "column_name").show(200, truncate=False)

@@ -36,20 +36,24 @@ def crime_map(int_crimes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def outcome_timings(int_crimes: DataFrame, strict: bool = True) -> DataFrame:
+def timing_spans(int_crimes: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The state that timings are made of: crimes per (crime month, category, whole months from crime
+    to latest outcome), ``n``. States of parts of the crimes add up: with ``keep`` (the batch month)
+    they are stored per batch, and a batch's state is replaced with it. Crimes without a span are
+    counted too, so a batch with crimes always has a state that replaces its last one."""
+    span = months_to_outcome("latest_outcome_date", "crime_month", strict).alias("months_to_outcome")
+    keys = [*keep, "crime_month", "crime_category"]
+    return int_crimes.select(*keys, span).groupBy(*keys, "months_to_outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def timings_of(spans: DataFrame) -> DataFrame:
     """Per (crime month, category): count, mean, exact median (lower middle), min and max of whole
-    months from crime to latest outcome. Crimes without an outcome or month are left out,
-    and so are negative spans (dropped after flooring)."""
-    base = int_crimes.where(
-        F.col("latest_outcome_date").isNotNull() & F.col("crime_month").isNotNull()
-    ).select(
-        "crime_month",
-        "crime_category",
-        months_to_outcome("latest_outcome_date", "crime_month", strict).alias("months_to_outcome"),
-    )
+    months to outcome, from ``timing_spans`` of any parts that together hold the crimes once. Crimes
+    without an outcome or month are left out, and so are negative spans."""
     keys = ["crime_month", "crime_category"]
     span, n = F.col("months_to_outcome"), F.col("n")
-    histogram = base.where(span >= 0).groupBy(*keys, "months_to_outcome").agg(F.count(F.lit(1)).alias("n"))
+    timed = spans.where("months_to_outcome >= 0 AND crime_month IS NOT NULL")
+    histogram = timed.groupBy(*keys, "months_to_outcome").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys)
     up_to = F.sum(n).over(group.orderBy("months_to_outcome"))
     return (
@@ -65,6 +69,11 @@ def outcome_timings(int_crimes: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def outcome_timings(int_crimes: DataFrame, strict: bool = True) -> DataFrame:
+    """``timings_of`` all crimes."""
+    return timings_of(timing_spans(int_crimes, strict))
+
+
 def share_of_total(df: DataFrame, count_col: str, partition_cols: list[str], out_col: str) -> DataFrame:
     """``count / sum(count) over (partition by ...)`` in double precision.
 
@@ -75,6 +84,31 @@ def share_of_total(df: DataFrame, count_col: str, partition_cols: list[str], out
     return df.withColumn(out_col, share(F.col(count_col), total))
 
 
+def stop_counts(int_stops: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The state that mix and trends are made of: stops per (stop month, object of search, outcome),
+    ``n``, nulls labelled ``Unknown``. States of parts add up, as those of ``timing_spans`` do."""
+    return int_stops.groupBy(
+        *keep,
+        month_of("stop_search_datetime").alias("stop_search_month"),
+        label_null("object_of_search").alias("object_of_search"),
+        label_null("outcome").alias("outcome"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def outcome_mix_of(counts: DataFrame) -> DataFrame:
+    """Count per (object of search, outcome) with the share of each outcome within its object, from
+    ``stop_counts``."""
+    grouped = counts.groupBy("object_of_search", "outcome").agg(F.sum("n").alias("stop_search_count"))
+    return share_of_total(grouped, "stop_search_count", ["object_of_search"], "pct_within_object_of_search")
+
+
+def reason_trends_of(counts: DataFrame) -> DataFrame:
+    """Count per (stop month, object of search) with the share of the month's stops, from
+    ``stop_counts``."""
+    grouped = counts.groupBy("stop_search_month", "object_of_search").agg(F.sum("n").alias("stop_search_count"))
+    return share_of_total(grouped, "stop_search_count", ["stop_search_month"], "pct_of_month_total")
+
+
 def outcome_mix(int_stops: DataFrame) -> DataFrame:
     """Count per (object of search, outcome), nulls labelled ``Unknown``, with the share of
     each outcome within its object."""

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blotter.schemas import MODEL_FIELDS, MODEL_SHAPES, MODEL_TYPES
+
 REPORT_COLUMNS = ["model", "check_name", "column_name", "failures"]
 
 
@@ -103,6 +105,32 @@ def schema_checks(df: DataFrame, model: str, declared: dict[str, str]) -> DataFr
     )
 
 
+def conformance_checks(raw: DataFrame, model: str) -> DataFrame:
+    """Report rows for every documented column of a flattened model, from its raw rows: how many
+    held a value that does not come out as the documented type, in one aggregation.
+
+    A field inside JSON text that does not fit its type is null after ``from_json``, like one that
+    was never sent. The text is parsed a second time into a VARIANT, which keeps whatever was there:
+    a field that the VARIANT holds and the typed parse lost is a failure (``conforms``). Text that is
+    no JSON at all is counted once per raw column (``json``), not for each of its fields."""
+    fields, types, shapes = MODEL_FIELDS[model], MODEL_TYPES[model], MODEL_SHAPES[model]
+    parsed = raw.selectExpr(
+        "*",
+        *(f"from_json(`{c}`, '{shape.simpleString()}') AS `parsed_{c}`" for c, shape in shapes.items()),
+        *(f"try_parse_json(`{c}`) AS `held_{c}`" for c in shapes),
+    )
+    named = [("json", c, F.expr(f"trim(`{c}`) <> '' AND `held_{c}` IS NULL")) for c in shapes]
+    for column, (source, path) in fields.items():
+        if path:
+            value = f"try_variant_get(`held_{source}`, '$.{path}', 'variant')"
+            held = f"{value} IS NOT NULL AND NOT is_variant_null({value})"
+            lost = f"`parsed_{source}`.{path} IS NULL"
+        else:
+            held, lost = f"`{source}` IS NOT NULL", f"try_cast(`{source}` AS {types[column]}) IS NULL"
+        named.append(("conforms", column, F.expr(f"{held} AND {lost}")))
+    return _checks(parsed, model, named)
+
+
 def union_reports(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

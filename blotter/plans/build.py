@@ -49,6 +49,7 @@ def quality_report(
     timings: DataFrame,
     raw_stops: DataFrame | None = None,
     typed: dict[str, DataFrame] | None = None,
+    raws: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The checks of the crime models as one report (model, check_name, column_name, failures).
 
@@ -60,7 +61,9 @@ def quality_report(
     * ``mart_outcome_timings``: the declared not-null tests, over the mart's rows;
     * ``typed`` (``int_crimes`` unless given): the documented column types of each model;
     * ``stop_and_search_data`` (when given): stop times whose text does not convert to the
-      timestamp that staging casts it to.
+      timestamp that staging casts it to;
+    * ``raws`` (raw tables by dataset): every documented column of the flattened models, whether
+      what the raw rows hold comes out as its type.
     """
     month = lambda c: F.col(c).isNotNull() & F.try_to_date(F.col(c), "yyyy-MM").isNull()
     number = lambda c: F.col(c).isNotNull() & try_double(c).isNull()
@@ -83,6 +86,7 @@ def quality_report(
     parts = [crimes, unique, marts_, *contract]
     if raw_stops is not None:
         parts.append(quality.type_checks(raw_stops, "stop_and_search_data", {"datetime": "timestamp"}))
+    parts += [quality.conformance_checks(raw, _STAGE[name][2]) for name, raw in (raws or {}).items()]
     return quality.union_reports(parts)
 
 
@@ -97,6 +101,11 @@ def _as_stored(spark: SparkSession, path: str, planned: DataFrame) -> DataFrame:
         return planned
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _write_all(jobs: dict[str, Callable[[], None]], threads: int) -> None:
     """Run independent write jobs of one layer side by side (Spark schedules jobs submitted
     from several threads concurrently), like a model build with a fixed number of threads.
@@ -155,6 +164,7 @@ def build_all(
     out_root: str | None = None,
     threads: int = BUILD_THREADS,
     months: list[str] | None = None,
+    multiline: bool = False,
 ) -> dict[str, object]:
     """Run the whole build. Input is either a landing zone (``landing_root``) or the
     generated tables (``sf_dir``, through the API-shaped adapters). Layers run in dependency
@@ -162,13 +172,15 @@ def build_all(
     the table paths and the quality report (read back from its written table).
 
     With ``months``, only those batch months are read (landing folders, or rows of the
-    tables) and replaced in the raw tables under ``out_root``; months loaded by earlier runs
-    stay, and the flattened layer, marts and checks are rebuilt from the whole raw tables.
+    tables) and replaced in the raw tables under ``out_root``, flattened, put on the map and counted
+    again; months loaded by earlier runs stay. The aggregate marts are merged from the counts of
+    all months, and the checks read the whole tables. ``multiline`` is for landing files whose
+    array or record is broken over several lines; each is then read by one task.
     """
     configure(spark)
     root = out_root or scratch_path(spark, "build")
     if landing_root is not None:
-        records = {n: read_landing(spark, landing_root, n, months=months) for n in DATASETS}
+        records = {n: read_landing(spark, landing_root, n, months=months, multiline=multiline) for n in DATASETS}
     elif sf_dir is not None:
         records = {n: api_records(spark, sf_dir, n) for n in DATASETS}
         if months is not None:
@@ -206,18 +218,32 @@ def build_all(
     # read back with the planned schema: a table whose months all came in empty has no files
     ic = spark.read.schema(int_frames["int_crimes"].schema).parquet(int_paths["int_crimes"])
     ist = spark.read.schema(int_frames["int_stop_search"].schema).parquet(int_paths["int_stop_search"])
-    # the map is as long as the crimes: it is stored by batch month, and a run replaces its months
-    run_rows = ic if months is None else ic.where(F.col(MONTH_COL).isin(months))
-    crime_map = marts.crime_map(run_rows, keep=(MONTH_COL,))
-    mart_frames = {
-        "mart_outcome_timings": marts.outcome_timings(ic, strict=False),
-        "mart_outcome_mix": marts.outcome_mix(ist),
-        "mart_reason_trends": marts.reason_trends(ist),
+    # what the aggregate marts are made of is stored by batch month as well: a run counts its own
+    # months again, and the marts are merged from the counts, not from the rows of all months
+    state_paths = {state: f"{root}/state/{state}" for state in ("timing_spans", "stop_counts")}
+    counted = {
+        "timing_spans": lambda rows: marts.timing_spans(rows, strict=False, keep=(MONTH_COL,)),
+        "stop_counts": lambda rows: marts.stop_counts(rows, keep=(MONTH_COL,)),
     }
-    mart_paths = {model: f"{root}/mart/{model}" for model in ("mart_crime_map", *mart_frames)}
-    jobs = {m: (lambda m=m: mart_frames[m].write.mode("overwrite").parquet(mart_paths[m])) for m in mart_frames}
+    rows_of = {"timing_spans": ic, "stop_counts": ist}
+    run_of = lambda df: df if months is None else df.where(F.col(MONTH_COL).isin(months))
+    # tables built before there were states have none yet: then all months are counted
+    state_frames = {
+        state: counted[state](run_of(rows) if _exists(spark, state_paths[state]) else rows) for state, rows in rows_of.items()
+    }
+    # the map is as long as the crimes: it is stored by batch month, and a run replaces its months
+    crime_map = marts.crime_map(run_of(ic), keep=(MONTH_COL,))
+    mart_paths = {m: f"{root}/mart/{m}" for m in ("mart_crime_map", "mart_outcome_timings", "mart_outcome_mix", "mart_reason_trends")}
+    jobs = {s: (lambda s=s: replace_months(state_frames[s], state_paths[s])) for s in state_frames}
     jobs["mart_crime_map"] = lambda: replace_months(crime_map, mart_paths["mart_crime_map"], rebalance=False)
     _write_all(jobs, threads)
+    spans, stops = (spark.read.schema(state_frames[s].schema).parquet(state_paths[s]) if _exists(spark, state_paths[s]) else state_frames[s] for s in state_frames)
+    mart_frames = {
+        "mart_outcome_timings": marts.timings_of(spans),
+        "mart_outcome_mix": marts.outcome_mix_of(stops),
+        "mart_reason_trends": marts.reason_trends_of(stops),
+    }
+    _write_all({m: (lambda m=m: mart_frames[m].write.mode("overwrite").parquet(mart_paths[m])) for m in mart_frames}, threads)
 
     raws = {n: read_raw(spark, raw_paths[n], n) for n in DATASETS}
     planned = {**int_frames, **mart_frames}
@@ -225,7 +251,7 @@ def build_all(
     stored_timings = spark.read.parquet(mart_paths["mart_outcome_timings"])
     report = quality.union_reports(
         [
-            quality_report(ic, stored_timings, raws["stop_and_search_data"], typed),
+            quality_report(ic, stored_timings, raws["stop_and_search_data"], typed, raws),
             coverage_report(raws),
         ]
     )

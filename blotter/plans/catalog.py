@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from blotter.functions.months import month_spine
 from blotter.operators import coverage, flatten, geo, marts, quality, serving, staging
 from blotter.plans.views import publish, read_mart, source, write_mart
-from blotter.schemas import LOADED_AT, MONTH_COL
+from blotter.schemas import DATASETS, LOADED_AT, MONTH_COL
 from blotter.session import configure, scratch_path, scratch_root
-from blotter.sources.fixtures import api_records, read_table
+from blotter.sources.fixtures import api_records, read_table, selected_areas
 from blotter.sources.landing import read_landing, write_landing
-from blotter.sources.raw import create_raw_table, loaded_batches, raw_select, read_raw, replace_months, sync_catalog
+from blotter.sources.raw import batch_counts, raw_select
+from blotter.sources.versions import register_table, replace_months_safely
 
 # Query parameters (not data subsets): the dashboard's month selection used by the
 # month-filter queries, and the month reloaded by the month-replace queries.
@@ -31,6 +32,7 @@ SELECTED_MONTH = "1998-01"
 # the stop-and-search test records span 2024, the crimes 1995-2001
 SELECTED_STOP_MONTH = "2024-06"
 RELOAD_MONTH = "1998-01"
+CLUSTER_ZOOMS = (8, 10, 12, 14, 16)
 
 
 # --- layer helpers --------------------------------------------------------------------
@@ -64,15 +66,36 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def raw(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    """The monthly load of one dataset: its raw table, stored once per state of its source."""
+def _table_name(kind: str, path: str) -> str:
+    return f"blotter_raw.{kind}_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+
+
+def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """The monthly load of one dataset as a table of the catalog, loaded once per state of its source.
+
+    The catalog holds the months and their folders, so reading it by name lists no folders again,
+    and a month selection is pruned before any file is looked up."""
     root = _store(spark, sf_dir, dataset)
     path = f"{root}/raw/{dataset}"
-    if not _complete(spark, path):
-        from blotter.plans.build import load_raw
+    name = _table_name(dataset, path)
+    if not spark.catalog.tableExists(name):
+        if not _complete(spark, path):
+            from blotter.plans.build import load_raw
+
+            load_raw(spark, {dataset: api_records(spark, sf_dir, dataset)}, f"{root}/raw")
+        register_table(spark, dataset, name, path)
+    return name
+
+
+def raw(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """The rows of ``raw_table``, in declared column order."""
+    return source(spark, raw_table(spark, sf_dir, dataset)).select([c for c, _ in DATASETS[dataset].columns])
+
 
-        load_raw(spark, {dataset: api_records(spark, sf_dir, dataset)}, f"{root}/raw")
-    return read_raw(spark, path, dataset)
+def raw_path(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """Folder of ``raw_table``."""
+    raw_table(spark, sf_dir, dataset)
+    return f"{_store(spark, sf_dir, dataset)}/raw/{dataset}"
 
 
 def stg(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -130,6 +153,34 @@ def mart(spark: SparkSession, sf_dir: str, model: str, month: str | None = None)
     return read_mart(spark, path, model, month)
 
 
+_IDS = {
+    "mart_crime_map": ("crime_data", lambda s, d: int_crimes(s, d)),
+    "int_outcomes": ("outcome_data", lambda s, d: int_outcomes(s, d)),
+}
+# buckets of the stored ids: at scale, files of a few hundred MB each
+ID_BUCKETS = 16
+
+
+def crime_ids(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """The crime ids of a model, stored in buckets by id, so that a search for repeated ids moves no
+    rows: what was stored in earlier months is never dealt out again."""
+    dataset, rows = _IDS[model]
+    path = f"{_store(spark, sf_dir, dataset)}/ids/{model}"
+    name = _table_name(f"ids_{model}", path)
+    if not spark.catalog.tableExists(name):
+        spark.sql("CREATE SCHEMA IF NOT EXISTS blotter_raw")
+        if _complete(spark, path):
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} (crime_id BIGINT) USING parquet "
+                f"CLUSTERED BY (crime_id) INTO {ID_BUCKETS} BUCKETS LOCATION '{path}'"
+            )
+        else:
+            # one file per bucket
+            ids = rows(spark, sf_dir).select("crime_id").repartition(ID_BUCKETS, "crime_id")
+            ids.write.bucketBy(ID_BUCKETS, "crime_id").option("path", path).saveAsTable(name)
+    return source(spark, name)
+
+
 def served_map(spark, sf_dir, month=None):
     return mart(spark, sf_dir, "mart_crime_map", month)
 
@@ -221,10 +272,8 @@ def q_month_spine(spark, sf_dir):
 
 
 def q_batch_coverage(spark, sf_dir):
-    loaded = loaded_batches(
-        {ds: raw(spark, sf_dir, ds) for ds in ("crime_data", "outcome_data", "stop_and_search_data")}
-    )
-    return coverage.missing_batches(q_month_spine(spark, sf_dir), loaded)
+    loaded = q_loaded_batches(spark, sf_dir).select("dataset", MONTH_COL)
+    return coverage.missing_batches(q_month_spine(loaded.sparkSession, sf_dir), loaded)
 
 
 def q_json_roundtrip_scan(spark, sf_dir):
@@ -242,47 +291,89 @@ def q_raw_load(spark, sf_dir):
     return _no_load_time(raw_select(read_landing(spark, root, "stop_and_search_data"), "stop_and_search_data"))
 
 
-def _loaded_crime_table(spark, sf_dir) -> str:
-    """A fresh copy of the loaded raw crime table (every month), for the replace queries to
-    modify; the shared raw tables are never written to."""
-    path = scratch_path(spark, "raw") + "/crime_data"
-    replace_months(raw(spark, sf_dir, "crime_data"), path)
-    return path
+def _own_crime_table(spark, sf_dir) -> tuple[str, str]:
+    """A table of its own over the loaded months, for the replace queries to change: it points to the
+    loaded folders, which are only read, and its replaced months to folders below a new root."""
+    root = scratch_path(spark, "raw")
+    name = f"blotter_raw.own_{root.rsplit('-', 1)[1]}"
+    register_table(spark, "crime_data", name, raw_path(spark, sf_dir, "crime_data"))
+    return name, root
 
 
 def q_month_replace(spark, sf_dir):
     """Load all months, then reload one month (twice) with changed rows."""
-    path = _loaded_crime_table(spark, sf_dir)
+    name, root = _own_crime_table(spark, sf_dir)
     records = api_records(spark, sf_dir, "crime_data")
     batch = raw_select(
         records.where(F.col(MONTH_COL) == RELOAD_MONTH).withColumn("context", F.lit("reloaded")), "crime_data"
     )
-    replace_months(batch, path)
-    replace_months(batch, path)
-    return _no_load_time(read_raw(spark, path, "crime_data"))
+    replace_months_safely(batch, name, root)
+    replace_months_safely(batch, name, root)
+    return _no_load_time(source(spark, name))
 
 
 def q_month_replace_empty_batch(spark, sf_dir):
     """Load all months, then an empty landing batch and a missing one for a loaded month."""
-    path = _loaded_crime_table(spark, sf_dir)
+    name, own = _own_crime_table(spark, sf_dir)
     root = scratch_path(spark, "landing")
     spark.range(1).select(F.lit("[]").alias("value")).write.text(f"{root}/crime_data/date={RELOAD_MONTH}")
     empty = read_landing(spark, root, "crime_data", months=[RELOAD_MONTH])
     missing = read_landing(spark, root, "crime_data", months=["1900-01"])
-    replace_months(raw_select(empty, "crime_data"), path)
-    replace_months(raw_select(missing, "crime_data"), path)
-    return _no_load_time(read_raw(spark, path, "crime_data"))
+    replace_months_safely(raw_select(empty, "crime_data"), name, own)
+    replace_months_safely(raw_select(missing, "crime_data"), name, own)
+    return _no_load_time(source(spark, name))
 
 
 def q_named_source(spark, sf_dir):
     """The loaded raw crimes as a table of the catalog (``CREATE SCHEMA`` and ``CREATE TABLE IF
     NOT EXISTS`` over the loaded folder, months registered), read by name."""
-    path = f"{_store(spark, sf_dir, 'crime_data')}/raw/crime_data"
-    raw(spark, sf_dir, "crime_data")
-    name = "blotter_raw.crime_data_" + hashlib.sha256(path.encode()).hexdigest()[:16]
-    create_raw_table(spark, "crime_data", path, name)
-    sync_catalog(spark, name)
-    return _no_load_time(source(spark, name))
+    return _no_load_time(source(spark, raw_table(spark, sf_dir, "crime_data")))
+
+
+def q_loaded_batches(spark, sf_dir):
+    """Rows, and rows with a load time, of every loaded batch, from file footers alone."""
+    return batch_counts(spark, {ds: raw_path(spark, sf_dir, ds) for ds in _TABLE_OF})
+
+
+def _with_faults(spark, sf_dir) -> dict[str, DataFrame]:
+    """The raw rows with faults planted by rules on their ids: street and crime ids that are no
+    numbers, text cut off in the middle, stop times that are no times."""
+    crimes, outcomes, stops = (raw(spark, sf_dir, ds) for ds in _TABLE_OF)
+    wordy = lambda c: f"regexp_replace({c}, '\"id\":[0-9]+', '\"id\":\"none\"')"
+    crime, street = "CAST(get_json_object(crime, '$.id') AS BIGINT)", "CAST(get_json_object(location, '$.street.id') AS BIGINT)"
+    planted = {
+        "crime_data": (crimes, "location", f"CASE WHEN id % 11 = 0 THEN {wordy('location')} WHEN id % 13 = 0 THEN left(location, 20) ELSE location END"),
+        "outcome_data": (outcomes, "crime", f"CASE WHEN {crime} % 7 = 0 THEN {wordy('crime')} ELSE crime END"),
+        "stop_and_search_data": (stops, "datetime", f"CASE WHEN {street} % 11 = 0 THEN 'at noon' ELSE datetime END"),
+    }
+    return {ds: df.withColumn(c, F.expr(e)) for ds, (df, c, e) in planted.items()}
+
+
+def q_dq_conformance(spark, sf_dir):
+    """The conformance of every documented column of the three datasets, with planted faults."""
+    models = {"crime_data": "int_crimes", "outcome_data": "int_outcomes", "stop_and_search_data": "int_stop_search"}
+    return quality.union_reports(
+        [quality.conformance_checks(df, models[ds]) for ds, df in _with_faults(spark, sf_dir).items()]
+    )
+
+
+def q_areas_join(spark, sf_dir):
+    """Crimes of the map with every one of many overlapping areas that holds them."""
+    areas = selected_areas(read_table(spark, sf_dir, "nation"))
+    joined = geo.areas_join(served_map(spark, sf_dir), areas, "crime_latitude", "crime_longitude")
+    return joined.select("area", "crime_id", "crime_month", "crime_latitude", "crime_longitude")
+
+
+def q_area_summary(spark, sf_dir):
+    """Crimes per area and category, for many overlapping areas."""
+    areas = selected_areas(read_table(spark, sf_dir, "nation"))
+    joined = geo.areas_join(served_map(spark, sf_dir), areas, "crime_latitude", "crime_longitude")
+    return joined.groupBy("area", "crime_category").agg(F.count(F.lit(1)).alias("crimes"))
+
+
+def q_geo_clusters(spark, sf_dir):
+    """Points per cell at several zooms."""
+    return geo.geo_clusters(points(spark, sf_dir), CLUSTER_ZOOMS)
 
 
 def q_load_audit(spark, sf_dir):
@@ -325,19 +416,18 @@ def q_dq_not_null(spark, sf_dir):
 
 def q_dq_unique(spark, sf_dir):
     """Duplicated crime ids of the crime map (the model's unique test) and of the outcomes."""
-    def dup(df, model):
-        d = quality.duplicate_values(df, "crime_id")
+    def dup(model):
+        d = quality.duplicate_values(crime_ids(spark, sf_dir, model), "crime_id")
         return d.select(F.lit(model).alias("model"), F.col("value").alias("crime_id"), "occurrences")
 
-    return dup(served_map(spark, sf_dir), "mart_crime_map").unionByName(
-        dup(int_outcomes(spark, sf_dir), "int_outcomes")
-    )
+    return dup("mart_crime_map").unionByName(dup("int_outcomes"))
 
 
 def q_dq_report(spark, sf_dir):
     from blotter.plans.build import quality_report
 
-    return quality_report(int_crimes(spark, sf_dir), served_timings(spark, sf_dir), raw(spark, sf_dir, "stop_and_search_data"))
+    raws = {ds: raw(spark, sf_dir, ds) for ds in _TABLE_OF}
+    return quality_report(int_crimes(spark, sf_dir), served_timings(spark, sf_dir), raws["stop_and_search_data"], raws=raws)
 
 
 def q_build_report(spark, sf_dir):
@@ -383,6 +473,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_replace": q_month_replace,
     "month_replace_empty_batch": q_month_replace_empty_batch,
     "named_source": q_named_source,
+    "loaded_batches": q_loaded_batches,
+    "areas_join": q_areas_join,
+    "area_summary": q_area_summary,
+    "geo_clusters": q_geo_clusters,
+    "dq_conformance": q_dq_conformance,
     "load_audit": q_load_audit,
     "published_views": q_published_views,
     "mart_scan_month": lambda s, d: served_map(s, d, SELECTED_MONTH),

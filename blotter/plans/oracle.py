@@ -466,5 +466,70 @@ _CONTRACT = "SELECT model, 'schema' AS check_name, column_name, 0 AS failures FR
     f"('{model}', '{c}')" for model, columns in _TYPED.items() for c in columns.split()
 ) + ") v(model, column_name)"
 
+# --- many areas, zooms, footers, conformance ------------------------------------------------
+
+_AREAS = f"""SELECT n_name AS area,
+    {_dbl(53.35)} + {_dbl(0.0024)} * n_nationkey AS lat, {_dbl(-1.42)} - {_dbl(0.004)} * (n_nationkey * 7 % 25) AS lng,
+    {_dbl(0.002)} * (1 + n_nationkey % 4) AS lat_range, {_dbl(0.004)} * (1 + n_nationkey % 3) AS lng_range
+  FROM nation"""
+_INSIDE = """FROM crime_map m JOIN areas a
+    ON try_cast(m.crime_latitude AS DOUBLE) BETWEEN a.lat - a.lat_range AND a.lat + a.lat_range
+   AND try_cast(m.crime_longitude AS DOUBLE) BETWEEN a.lng - a.lng_range AND a.lng + a.lng_range"""
+
+
+def _with_areas(body: str) -> str:
+    return f"""WITH areas AS ({_AREAS}), crime_map AS (SELECT crime_id, crime_month, crime_category, crime_latitude,
+    crime_longitude FROM ({INT_CRIMES}) x) {body} {_INSIDE}"""
+
+
+ORACLE_SQL["areas_join"] = _with_areas("SELECT a.area, m.crime_id, m.crime_month, m.crime_latitude, m.crime_longitude")
+ORACLE_SQL["area_summary"] = _with_areas("SELECT a.area, m.crime_category, count(*) AS crimes") + " GROUP BY 1, 2"
+
+
+def _zoomed(zoom: int) -> str:
+    """Cells of one zoom, their numbers put together bit by bit from row and column."""
+    row, column = f"floor((lat + 90.0) / 180.0 * {1 << zoom})", f"floor((lon + 180.0) / 360.0 * {1 << zoom})"
+    bits = " + ".join(
+        f"(((CAST({row} AS BIGINT) >> {b}) & 1) << {2 * b + 1}) + (((CAST({column} AS BIGINT) >> {b}) & 1) << {2 * b})"
+        for b in range(zoom)
+    )
+    return f"""SELECT {zoom} AS zoom, {bits} AS cell, count(*) AS points, {_exact_mean('lat')} AS center_lat,
+      {_exact_mean('lon')} AS center_lon FROM points GROUP BY 2"""
+
+
+ORACLE_SQL["geo_clusters"] = _q(" UNION ALL ".join(f"SELECT * FROM ({_zoomed(z)}) z{z}" for z in (8, 10, 12, 14, 16)), "points")
+ORACLE_SQL["loaded_batches"] = f"""SELECT 'crime_data' AS dataset, strftime(o_orderdate, '%Y-%m') AS ingest_year_month,
+    count(*) AS loaded_rows, count(*) AS timed_rows FROM orders GROUP BY 1, 2
+  UNION ALL SELECT 'outcome_data', strftime(l_shipdate, '%Y-%m'), count(*), count(*) FROM lineitem GROUP BY 1, 2
+  UNION ALL SELECT 'stop_and_search_data', substr({_STOP_DATETIME}, 1, 7), count(*), count(*) FROM events GROUP BY 1, 2"""
+
+
+def _conformance(crime_street: str, crime_text: str, outcome_id: str, outcome_street: str, stop_time: str) -> str:
+    """A row per documented column and per text column; all fit but those given."""
+    columns = {"int_crimes": INT_CRIMES_COLUMNS, "int_outcomes": _TYPED["int_outcomes"].split(), "int_stop_search": _TYPED["int_stop_search"].split()}
+    texts = {"int_crimes": ["location", "outcome_status"], "int_outcomes": ["category", "crime"], "int_stop_search": ["location", "outcome_object"]}
+    faults = {
+        ("int_crimes", "conforms", "crime_street_id"): crime_street,
+        ("int_crimes", "json", "location"): crime_text,
+        ("int_outcomes", "conforms", "crime_id"): outcome_id,
+        ("int_outcomes", "conforms", "crime_street_id"): outcome_street,
+        ("int_stop_search", "conforms", "stop_search_datetime"): stop_time,
+    }
+    rows = [(m, "json", c) for m, cs in texts.items() for c in cs] + [(m, "conforms", c) for m, cs in columns.items() for c in cs]
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{k}' AS check_name, '{c}' AS column_name, CAST({faults.get((m, k, c), '0')} AS BIGINT) AS failures"
+        for m, k, c in rows
+    )
+
+
+ORACLE_SQL["dq_conformance"] = _conformance(
+    "(SELECT count(*) FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderkey % 11 = 0)",
+    "(SELECT count(*) FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0)",
+    "(SELECT count(*) FROM lineitem WHERE l_orderkey % 7 = 0)",
+    "(SELECT count(*) FROM lineitem WHERE l_orderkey % 7 = 0 AND l_orderkey % 50 <> 0)",
+    "(SELECT count(*) FROM events WHERE event_id % 9 <> 0 AND user_id % 11 = 0)",
+)
+ORACLE_SQL["dq_report"] += " UNION ALL " + _conformance("0", "0", "0", "0", "0")
+
 ORACLE_SQL["build_report"] = f"""SELECT * FROM ({ORACLE_SQL['dq_report']}) r UNION ALL SELECT * FROM ({_COVERAGE}) c
   UNION ALL SELECT * FROM ({_CONTRACT}) t"""

@@ -234,3 +234,58 @@ MODEL_TYPES: dict[str, dict[str, str]] = {
     "mart_outcome_mix": OUTCOME_MIX_TYPES,
     "mart_reason_trends": REASON_TRENDS_TYPES,
 }
+
+#: Where each documented column comes from: raw column and path of fields inside its JSON text
+#: (empty: the column itself).
+MODEL_FIELDS: dict[str, dict[str, tuple[str, str]]] = {
+    "int_crimes": {
+        "crime_id": ("id", ""),
+        "persistent_id": ("persistent_id", ""),
+        "crime_category": ("category", ""),
+        "crime_month": ("month", ""),
+        "location_type": ("location_type", ""),
+        "location_subtype": ("location_subtype", ""),
+        "context": ("context", ""),
+        "crime_latitude": ("location", "latitude"),
+        "crime_longitude": ("location", "longitude"),
+        "crime_street_id": ("location", "street.id"),
+        "crime_street_name": ("location", "street.name"),
+        "latest_outcome_category": ("outcome_status", "category"),
+        "latest_outcome_date": ("outcome_status", "date"),
+    },
+    "int_outcomes": {
+        "outcome_category_code": ("category", "code"),
+        "outcome_category_name": ("category", "name"),
+        "outcome_date": ("date", ""),
+        "person_id": ("person_id", ""),
+        "crime_id": ("crime", "id"),
+        "crime_persistent_id": ("crime", "persistent_id"),
+        "crime_category": ("crime", "category"),
+        "crime_location_type": ("crime", "location_type"),
+        "crime_location_subtype": ("crime", "location_subtype"),
+        "crime_context": ("crime", "context"),
+        "crime_month": ("crime", "month"),
+        "crime_latitude": ("crime", "location.latitude"),
+        "crime_longitude": ("crime", "location.longitude"),
+        "crime_street_id": ("crime", "location.street.id"),
+        "crime_street_name": ("crime", "location.street.name"),
+    },
+    "int_stop_search": {
+        **{c: (c, "") for c in INT_STOP_SEARCH_TYPES if c in dict(STOPS.columns)},
+        "stop_search_datetime": ("datetime", ""),
+        "stop_search_type": ("type", ""),
+        "stop_search_latitude": ("location", "latitude"),
+        "stop_search_longitude": ("location", "longitude"),
+        "stop_search_street_id": ("location", "street.id"),
+        "stop_search_street_name": ("location", "street.name"),
+        "outcome_object_id": ("outcome_object", "id"),
+        "outcome_object_name": ("outcome_object", "name"),
+    },
+}
+
+#: Shape of the JSON text of each model's raw columns.
+MODEL_SHAPES: dict[str, dict[str, T.StructType]] = {
+    "int_crimes": {"location": LOCATION, "outcome_status": OUTCOME_STATUS},
+    "int_outcomes": {"category": OUTCOME_CATEGORY, "crime": CRIME_REF},
+    "int_stop_search": {"location": LOCATION, "outcome_object": OUTCOME_OBJECT},
+}

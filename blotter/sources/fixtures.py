@@ -104,6 +104,18 @@ def api_stops(events: DataFrame) -> DataFrame:
     )
 
 
+def selected_areas(nation: DataFrame) -> DataFrame:
+    """nation -> an area table: one rectangle per nation inside the test points' extent, of several
+    sizes, many of which overlap."""
+    return nation.selectExpr(
+        "n_name AS area",
+        "53.35D + 0.0024D * n_nationkey AS lat",
+        "-1.42D - 0.004D * (n_nationkey * 7 % 25) AS lng",
+        "0.002D * (1 + n_nationkey % 4) AS lat_range",
+        "0.004D * (1 + n_nationkey % 3) AS lng_range",
+    )
+
+
 def api_records(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """API-shaped records of one dataset, with their batch month in ``ingest_year_month``."""
     if dataset == "crime_data":

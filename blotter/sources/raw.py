@@ -85,6 +85,12 @@ def sync_catalog(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def month_clustered(batch: DataFrame, cluster_by: tuple[str, ...] | list[str] = (), rebalance: bool = True) -> DataFrame:
+    """``batch`` as it is written: by month, then by ``cluster_by`` within each task."""
+    out = batch.hint("rebalance", MONTH_COL) if rebalance else batch
+    return out.sortWithinPartitions(MONTH_COL, *cluster_by)
+
+
 def replace_months(
     batch: DataFrame, table_path: str, cluster_by: tuple[str, ...] | list[str] = (), rebalance: bool = True
 ) -> None:
@@ -97,9 +103,8 @@ def replace_months(
     writes the few months it holds, with no shuffle. Rows are sorted by month (which the
     partitioned writer needs anyway) and then by ``cluster_by``.
     """
-    out = batch.hint("rebalance", MONTH_COL) if rebalance else batch
     (
-        out.sortWithinPartitions(MONTH_COL, *cluster_by)
+        month_clustered(batch, cluster_by, rebalance)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_COL)
@@ -114,6 +119,28 @@ def read_raw(spark: SparkSession, table_path: str, dataset: str | Dataset) -> Da
     return df.select([c for c, _ in ds.columns])
 
 
+def batch_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """dataset, month, loaded_rows and timed_rows (with a load time) of every loaded batch, without
+    reading rows: counts come from the footers of the Parquet files and months from their folders.
+
+    The Parquet reader of the DataSource V2 API takes these aggregates into the scan. It is switched
+    on in a session of its own, which the result belongs to, so other plans keep the reader they have."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    parts = []
+    for name, path in paths.items():
+        rows = own.read.schema(_dataset(name).raw_schema()).parquet(path)
+        counts = rows.groupBy(MONTH_COL).agg(
+            F.count(F.lit(1)).alias("loaded_rows"), F.count(LOADED_AT).alias("timed_rows")
+        )
+        parts.append(counts.select(F.lit(name).alias("dataset"), MONTH_COL, "loaded_rows", "timed_rows"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def loaded_batches(raws: dict[str, DataFrame]) -> DataFrame:
     """Distinct (dataset, month) pairs that hold rows, over all raw tables.
 

@@ -18,21 +18,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.schemas import CORRUPT_COL, DATASETS, MONTH_COL
-from blotter.sources.landing import dataset_path, read_landing
+from blotter.sources.landing import MONTH_KEYS, dataset_path, read_landing
 from blotter.sources.raw import raw_select, replace_months
 
 
 def landing_stream(spark: SparkSession, landing_root: str, dataset: str, key: str | None = None) -> DataFrame:
-    """Streaming scan of a dataset's landing folders, with the batch month from the path."""
+    """Streaming scan of a dataset's landing folders, by either folder name unless ``key`` names one,
+    with the batch month from the path."""
     ds = DATASETS[dataset]
-    key = key or ds.landing_key
+    keys = (key,) if key else MONTH_KEYS
     df = (
         spark.readStream.schema(ds.landing_schema())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .json(f"{dataset_path(landing_root, ds.name)}/{key}=*")
+        .json(f"{dataset_path(landing_root, ds.name)}/{{{','.join(keys)}}}=*")
     )
-    month = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)/[^/]*$", 1)
+    month = F.regexp_extract(F.col("_metadata.file_path"), f"/(?:{'|'.join(keys)})=([^/]+)/[^/]*$", 1)
     return df.withColumn(MONTH_COL, month)
 
 
@@ -45,9 +46,12 @@ def start_month_replace(
     available_now: bool = True,
     key: str | None = None,
     interval: str = "1 hour",
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed, then stops,
-    otherwise it checks for new landing files every ``interval``."""
+    otherwise it checks for new landing files every ``interval``. Broken lines of the touched months
+    go to ``quarantine`` (``<table_path>_quarantine`` unless given), by month, replaced like the rows."""
+    broken_path = quarantine or f"{table_path.rstrip('/')}_quarantine"
 
     cluster_by = DATASETS[dataset].cluster_by
 
@@ -56,7 +60,9 @@ def start_month_replace(
         months = [r[MONTH_COL] for r in batch.select(MONTH_COL).distinct().toLocalIterator()]
         records = read_landing(batch.sparkSession, landing_root, dataset, months=months, key=key)
         # landing files are month-pure, so the months are written without a shuffle
-        replace_months(raw_select(records, dataset), table_path, cluster_by, rebalance=False)
+        replace_months(records.where(F.col(CORRUPT_COL).isNotNull()), broken_path, rebalance=False)
+        sound = records.where(F.col(CORRUPT_COL).isNull())
+        replace_months(raw_select(sound, dataset), table_path, cluster_by, rebalance=False)
 
     writer = landing_stream(spark, landing_root, dataset, key).writeStream.foreachBatch(replace).option(
         "checkpointLocation", checkpoint
