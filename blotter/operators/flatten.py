@@ -26,55 +26,8 @@ def _flat(parsed: DataFrame, columns: list[tuple[str, str]], keep: tuple[str, ..
     return parsed.selectExpr(*[e if e == out else f"{e} AS `{out}`" for e, out in columns], *[f"`{k}`" for k in keep])
 
 
-def int_crimes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    p = parse_json(stg, {"loc": ("location", LOCATION), "oc": ("outcome_status", OUTCOME_STATUS)})
-    return _flat(
-        p,
-        [
-            ("crime_id", "crime_id"),
-            ("persistent_id", "persistent_id"),
-            ("crime_category", "crime_category"),
-            ("crime_month", "crime_month"),
-            ("location_type", "location_type"),
-            ("location_subtype", "location_subtype"),
-            ("context", "context"),
-            ("loc.latitude", "crime_latitude"),
-            ("loc.longitude", "crime_longitude"),
-            ("loc.street.id", "crime_street_id"),
-            ("loc.street.name", "crime_street_name"),
-            ("oc.category", "latest_outcome_category"),
-            ("oc.date", "latest_outcome_date"),
-        ],
-        keep,
-    )
-
-
-def int_outcomes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    p = parse_json(stg, {"cat": ("category", OUTCOME_CATEGORY), "cr": ("crime", CRIME_REF)})
-    return _flat(
-        p,
-        [
-            ("cat.code", "outcome_category_code"),
-            ("cat.name", "outcome_category_name"),
-            ("outcome_date", "outcome_date"),
-            ("person_id", "person_id"),
-            ("cr.id", "crime_id"),
-            ("cr.persistent_id", "crime_persistent_id"),
-            ("cr.category", "crime_category"),
-            ("cr.location_type", "crime_location_type"),
-            ("cr.location_subtype", "crime_location_subtype"),
-            ("cr.context", "crime_context"),
-            ("cr.month", "crime_month"),
-            ("cr.location.latitude", "crime_latitude"),
-            ("cr.location.longitude", "crime_longitude"),
-            ("cr.location.street.id", "crime_street_id"),
-            ("cr.location.street.name", "crime_street_name"),
-        ],
-        keep,
-    )
-
-
-_STOP_PASS = [
+_LOCATION = [("latitude", "latitude"), ("longitude", "longitude"), ("street.id", "street_id"), ("street.name", "street_name")]
+_PASS = [
     "age_range",
     "officer_defined_ethnicity",
     "involved_person",
@@ -90,20 +43,55 @@ _STOP_PASS = [
     "operation_name",
     "removal_of_more_than_outer_clothing",
 ]
+_CRIME_PASS = ["crime_id", "persistent_id", "crime_category", "crime_month", "location_type", "location_subtype", "context"]
+_CRIME_FIELDS = ["persistent_id", "category", "location_type", "location_subtype", "context", "month"]
+
+# Per model the parsed columns (new name -> text column, shape) and its columns as
+# (expression, name), in model order.
+MODELS: dict[str, tuple[dict[str, tuple[str, T.StructType]], list[tuple[str, str]]]] = {
+    "int_crimes": (
+        {"loc": ("location", LOCATION), "oc": ("outcome_status", OUTCOME_STATUS)},
+        [(c, c) for c in _CRIME_PASS]
+        + [(f"loc.{f}", f"crime_{c}") for f, c in _LOCATION]
+        + [("oc.category", "latest_outcome_category"), ("oc.date", "latest_outcome_date")],
+    ),
+    "int_outcomes": (
+        {"cat": ("category", OUTCOME_CATEGORY), "cr": ("crime", CRIME_REF)},
+        [("cat.code", "outcome_category_code"), ("cat.name", "outcome_category_name")]
+        + [(c, c) for c in ("outcome_date", "person_id")]
+        + [("cr.id", "crime_id")]
+        + [(f"cr.{c}", f"crime_{c}") for c in _CRIME_FIELDS]
+        + [(f"cr.location.{f}", f"crime_{c}") for f, c in _LOCATION],
+    ),
+    "int_stop_search": (
+        {"loc": ("location", LOCATION), "oo": ("outcome_object", OUTCOME_OBJECT)},
+        [(c, c) for c in _PASS]
+        + [(f"loc.{f}", f"stop_search_{c}") for f, c in _LOCATION]
+        + [("oo.id", "outcome_object_id"), ("oo.name", "outcome_object_name")],
+    ),
+}
+
+
+def _flattened(stg: DataFrame, model: str, keep: tuple[str, ...]) -> DataFrame:
+    specs, columns = MODELS[model]
+    return _flat(parse_json(stg, specs), columns, keep)
+
+
+def int_crimes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _flattened(stg, "int_crimes", keep)
+
+
+def int_outcomes(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _flattened(stg, "int_outcomes", keep)
 
 
 def int_stop_search(stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    p = parse_json(stg, {"loc": ("location", LOCATION), "oo": ("outcome_object", OUTCOME_OBJECT)})
-    return _flat(
-        p,
-        [(c, c) for c in _STOP_PASS]
-        + [
-            ("loc.latitude", "stop_search_latitude"),
-            ("loc.longitude", "stop_search_longitude"),
-            ("loc.street.id", "stop_search_street_id"),
-            ("loc.street.name", "stop_search_street_name"),
-            ("oo.id", "outcome_object_id"),
-            ("oo.name", "outcome_object_name"),
-        ],
-        keep,
-    )
+    return _flattened(stg, "int_stop_search", keep)
+
+
+def model_sql(model: str, staged: str) -> str:
+    """The model as SQL text over the table or view ``staged``."""
+    specs, columns = MODELS[model]
+    parsed = ", ".join(f"from_json(`{src}`, '{shape.simpleString()}') AS `{name}`" for name, (src, shape) in specs.items())
+    chosen = ", ".join(f"{e} AS `{out}`" for e, out in columns)
+    return f"SELECT {chosen} FROM (SELECT *, {parsed} FROM {staged})"

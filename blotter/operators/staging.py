@@ -70,3 +70,10 @@ def stg_outcomes(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()
 
 def stg_stop_search(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     return _stage(raw, _STOPS, strict, keep)
+
+
+def model_sql(model: str, raw: str) -> str:
+    """The staged model as SQL text over the table ``raw``, with strict casts."""
+    spec = {"stg_crimes": _CRIMES, "stg_outcomes": _OUTCOMES, "stg_stop_search": _STOPS}[model]
+    chosen = ", ".join(f"`{src}` AS `{out}`" if t is None else f"CAST(`{src}` AS {t}) AS `{out}`" for src, t, out in spec)
+    return f"SELECT {chosen} FROM {raw}"

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.months import month_spine
 from blotter.operators import coverage, flatten, geo, marts, quality, serving, staging
+from blotter.plans.published import publish_views, view
 from blotter.plans.views import publish, read_mart, source, write_mart
 from blotter.schemas import DATASETS, LOADED_AT, MONTH_COL
 from blotter.session import configure, scratch_path, scratch_root
@@ -143,14 +144,14 @@ _MARTS = {
 }
 
 
-def mart(spark: SparkSession, sf_dir: str, model: str, month: str | None = None) -> DataFrame:
+def mart(spark: SparkSession, sf_dir: str, model: str, month: str | None = None, box=None) -> DataFrame:
     """A stored mart, as the serving operators read it: written once per state of its source,
-    in folders by month, and scanned with the dashboard's columns and month."""
+    in folders by month, and scanned with the dashboard's columns, month and box."""
     dataset, make = _MARTS[model]
     path = f"{_store(spark, sf_dir, dataset)}/mart/{model}"
     if not _complete(spark, path):
         write_mart(make(spark, sf_dir), path, model)
-    return read_mart(spark, path, model, month)
+    return read_mart(spark, path, model, month, box)
 
 
 _IDS = {
@@ -264,7 +265,7 @@ def q_geo_grid(spark, sf_dir):
 
 
 def q_bbox_filter(spark, sf_dir):
-    return geo.bbox_filter(served_map(spark, sf_dir), "crime_latitude", "crime_longitude")
+    return mart(spark, sf_dir, "mart_crime_map", box=(geo.AREA_LAT, geo.AREA_LNG, geo.AREA_LAT_RANGE, geo.AREA_LNG_RANGE))
 
 
 def q_month_spine(spark, sf_dir):
@@ -403,6 +404,16 @@ def q_published_views(spark, sf_dir):
     )
 
 
+def q_lasting_views(spark, sf_dir):
+    """Every model published as a view of the catalog, counted from a second session."""
+    tables = {ds: raw_table(spark, sf_dir, ds) for ds in _TABLE_OF}
+    schema = "blotter_views_" + hashlib.sha256(",".join(tables.values()).encode()).hexdigest()[:12]
+    names = publish_views(spark, tables, schema)
+    later = configure(spark.newSession())
+    parts = [view(later, schema, m).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(m).alias("model"), "n_rows") for m in names]
+    return quality.union_reports(parts)
+
+
 def q_dq_not_null(spark, sf_dir):
     return quality.union_reports(
         [
@@ -478,6 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_summary": q_area_summary,
     "geo_clusters": q_geo_clusters,
     "dq_conformance": q_dq_conformance,
+    "lasting_views": q_lasting_views,
     "load_audit": q_load_audit,
     "published_views": q_published_views,
     "mart_scan_month": lambda s, d: served_map(s, d, SELECTED_MONTH),

@@ -531,5 +531,13 @@ ORACLE_SQL["dq_conformance"] = _conformance(
 )
 ORACLE_SQL["dq_report"] += " UNION ALL " + _conformance("0", "0", "0", "0", "0")
 
+ORACLE_SQL["lasting_views"] = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, count(*) AS n_rows FROM ({ORACLE_SQL[m]}) v"
+    for m in (
+        "stg_crimes", "stg_outcomes", "stg_stop_search", "int_crimes", "int_outcomes", "int_stop_search",
+        "mart_crime_map", "mart_outcome_timings", "mart_outcome_mix", "mart_reason_trends",
+    )
+)
+
 ORACLE_SQL["build_report"] = f"""SELECT * FROM ({ORACLE_SQL['dq_report']}) r UNION ALL SELECT * FROM ({_COVERAGE}) c
   UNION ALL SELECT * FROM ({_CONTRACT}) t"""

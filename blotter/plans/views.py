@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.months import month_filter
+from blotter.functions.values import try_double
+from blotter.operators.geo import place_key
 
 # folder key of the stored marts
 MART_PARTITION = "month_key"
+# numeric coordinates of the stored map
+PLACE_LAT, PLACE_LON = "place_lat", "place_lon"
 
 # The columns the dashboard reads from each mart, and the month column it
 # filters on (None: that mart is not filtered by month).
@@ -75,11 +79,24 @@ def source(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_mart(spark: SparkSession, path: str, model: str, month: str | None = None) -> DataFrame:
+def read_mart(
+    spark: SparkSession,
+    path: str,
+    model: str,
+    month: str | None = None,
+    box: tuple[float, float, float, float] | None = None,
+) -> DataFrame:
     """Scan a written mart with the dashboard's explicit column list and month selection;
-    both reach the parquet scan (column pruning, pushed filter)."""
+    both reach the parquet scan (column pruning, pushed filter). So does a ``box`` (centre
+    latitude and longitude, and their ranges) on the stored map, whose files are in the order of
+    their place, so that most of their row groups lie outside a small one."""
     columns, month_col = SERVING_COLUMNS[model]
     df = spark.read.parquet(path)
+    if box is not None:
+        lat, lng, lat_range, lng_range = box
+        df = df.where(
+            F.col(PLACE_LAT).between(lat - lat_range, lat + lat_range) & F.col(PLACE_LON).between(lng - lng_range, lng + lng_range)
+        )
     if month_col is None:
         return df.select(*columns)
     if MART_PARTITION in df.columns:
@@ -87,6 +104,17 @@ def read_mart(spark: SparkSession, path: str, model: str, month: str | None = No
     return month_filter(df.select(*columns), month_col, month)
 
 
+def placed_map(crimes: DataFrame) -> DataFrame:
+    """The crime map with its coordinates as numbers too, each task's rows by month, then by place
+    (a Morton key of the point), so that row groups hold small areas."""
+    lat, lon = try_double("crime_latitude"), try_double("crime_longitude")
+    return (
+        crimes.withColumn(PLACE_LAT, lat)
+        .withColumn(PLACE_LON, lon)
+        .sortWithinPartitions(MART_PARTITION, place_key(F.col(PLACE_LAT), F.col(PLACE_LON)))
+    )
+
+
 def write_mart(df: DataFrame, path: str, model: str) -> None:
     """Store a mart for serving: in folders by its month, which a month selection prunes (the
     month stays a column of the files, where null and empty text keep their difference)."""
@@ -95,4 +123,6 @@ def write_mart(df: DataFrame, path: str, model: str) -> None:
         df.write.mode("overwrite").parquet(path)
     else:
         out = df.withColumn(MART_PARTITION, F.col(month_col)).hint("rebalance", MART_PARTITION)
+        if model == "mart_crime_map":
+            out = placed_map(out)
         out.write.mode("overwrite").partitionBy(MART_PARTITION).parquet(path)

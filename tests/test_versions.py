@@ -171,3 +171,51 @@ def test_build_reads_arrays_over_several_lines(spark, tmp_path):
     (folder / "a.json").write_text('[\n {"id": 1,\n  "month": "2025-01"},\n {"id": 2, "month": "2025-01"}\n]\n')
     built = build_all(spark, landing_root=str(tmp_path), out_root=str(tmp_path / "out"), multiline=True)
     assert {r["crime_id"] for r in spark.read.parquet(built["mart"]["mart_crime_map"]).collect()} == {1, 2}
+
+
+def test_views_answer_in_a_second_session(spark):
+    from blotter.plans.published import publish_views, view
+    from blotter.session import configure
+
+    tables = {ds: catalog.raw_table(spark, SMOKE_DIR, ds) for ds in ("crime_data", "outcome_data", "stop_and_search_data")}
+    names = publish_views(spark, tables, "blotter_test_views")
+    later = configure(spark.newSession())
+    assert len(names) == 10
+    for name in names:
+        want = E.queries()[name](spark, SMOKE_DIR)
+        got = view(later, "blotter_test_views", name)
+        assert got.dtypes == want.dtypes, name
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_a_box_is_pushed_and_prunes_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from blotter.plans.views import PLACE_LAT, PLACE_LON, placed_map, read_mart
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = E.queries()["bbox_filter"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(place_lat," in plan and "LessThanOrEqual(place_lon," in plan and "rlike" not in plan.lower()
+    rows = spark.range(40_000).selectExpr(
+        "id AS crime_id", "'2025-01' AS crime_month", "'a' AS crime_category",
+        "CAST(53 + pmod(hash(id), 1000) / 1000D AS STRING) AS crime_latitude", "CAST(-2 + pmod(hash(id, 1), 1000) / 1000D AS STRING) AS crime_longitude",
+        "repeat('x', 20) AS crime_street_name", "CAST(null AS STRING) AS latest_outcome_category", "'2025-01' AS month_key",
+    )
+    path = str(tmp_path / "map")
+    placed_map(rows.coalesce(1)).write.option("parquet.block.size", "65536").option("parquet.block.row.count.limit", "1000").partitionBy("month_key").parquet(path)
+    box = (53.5, -1.5, 0.05, 0.05)
+    inside = total = 0
+    for file in tmp_path.glob("map/*/part-*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = {meta.schema.column(k).name: k for k in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            y, x = (meta.row_group(g).column(at[c]).statistics for c in (PLACE_LAT, PLACE_LON))
+            total += 1
+            inside += y.min <= 53.55 and y.max >= 53.45 and x.min <= -1.45 and x.max >= -1.55
+    assert total >= 20 and inside <= total / 4
+    got = read_mart(spark, path, "mart_crime_map", box=box)
+    want = rows.where("CAST(crime_latitude AS DOUBLE) BETWEEN 53.45 AND 53.55 AND CAST(crime_longitude AS DOUBLE) BETWEEN -1.55 AND -1.45")
+    assert got.count() == want.count() > 100
