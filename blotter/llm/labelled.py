@@ -30,10 +30,11 @@ class Sample:
         return learn, check
 
 
-def labelled_sample(
+def sample_rows(
     docs: DataFrame, labels: DataFrame, label: str, rows: int = ROWS, chars: int = CHARS
-) -> Sample:
-    """Up to ``rows`` training rows of each class, those of smallest id hash.
+) -> tuple[DataFrame, float]:
+    """Up to ``rows`` training rows (y, doc_id, text) of each class, those of smallest id hash, and
+    the exact share of class 1 among all labelled rows.
 
     Held-out ids, null ids and null labels are left out; several labels of one id count as 1
     when their mean is at least 0.5. The ids are bounded by 2 * ``rows``, so they are sent to
@@ -55,13 +56,17 @@ def labelled_sample(
         .select("y", "doc_id", F.substr("text", start, F.lit(chars)).alias("text"))
         .groupBy("y", "doc_id")
         .agg(F.min("text").alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(2 * rows)
-        .collect()
     )
-    texts = tuple([r["text"] for r in found if r["y"] == c] for c in (0, 1))
-    total = sum(count.values())
-    return Sample(texts, (count.get(1, 0) + 1.0) / (total + 2.0))
+    return found, (count.get(1, 0) + 1.0) / (sum(count.values()) + 2.0)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int = ROWS, chars: int = CHARS
+) -> Sample:
+    """``sample_rows`` as texts by class, in the order of their id hash."""
+    found, share = sample_rows(docs, labels, label, rows, chars)
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows).collect()
+    return Sample(tuple([r["text"] for r in found if r["y"] == c] for c in (0, 1)), share)
 
 
 class Curve:

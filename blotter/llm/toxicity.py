@@ -2,14 +2,17 @@
 
 Two interpolated Kneser-Ney models over the symbols of a word, one of toxic and one of ordinary
 text, give each word a log-likelihood ratio. Their high orders are counted per class; the low
-orders, to which rare expressions back off, are shared: continuation counts over the n-gram
-types of *all* documents. A document's ratio is divided by its length and calibrated.
+orders, to which rare expressions back off, are shared: how often each n-gram occurs in *all*
+documents, so that junk counts as rarely as it is. A document's ratio is divided by its length and
+calibrated.
 
 Expressions of several words are modelled the same way: word bigrams and trigrams per class,
-which back off to shared continuation counts of the words, add to the ratio.
+which back off to shared continuation counts of the words over all documents, add to the ratio.
 
-Symbols are 64 classes of bytes, so the types of the shared orders are bounded (64^4), and
-n-grams end at word borders, so each distinct word of a batch is scored once.
+Counts are Spark aggregates over the texts of the sample and of the documents, stored as tables, and
+so are the word models made of them; texts never come to the driver, only the model does, whose size
+follows the sample. Symbols are 64 classes of bytes, and n-grams end at word borders, so each
+distinct word of a batch is scored once.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from blotter.llm.common import _powers, held_out, mixed
-from blotter.llm.labelled import Curve, Sample, labelled_sample
+from blotter.llm.common import _powers, held_out, mixed, stored
+from blotter.llm.labelled import Curve, sample_rows
 
 TOP = 6  #: highest order, counted per class
 SHARED = 3  #: highest order that both classes share
@@ -31,10 +35,8 @@ BITS = 6
 THRESHOLD = 0.5
 #: Rows per class of the fitting sample.
 ROWS = 4500
-#: Texts of the sample that the fit looks at together; bounds the driver's memory.
-FIT_TEXTS = 256
 #: Word pairs that a task holds before it sends them.
-SENT_PAIRS = 1_000_000
+SENT_PAIRS = 4_000_000
 
 
 def _symbols() -> np.ndarray:
@@ -97,29 +99,73 @@ def _low(keys: np.ndarray, order: int) -> np.ndarray:
     return keys & np.int64((1 << (BITS * order)) - 1)
 
 
-def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of some texts and how often each occurs, counted a few texts at a time."""
-    grams, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    for a in range(0, len(texts), FIT_TEXTS):
-        keys, begin, word, _ = word_grams(texts[a : a + FIT_TEXTS])
-        each = np.repeat(np.bincount(word, minlength=len(begin)), np.diff(np.r_[begin, len(keys)]))
-        grams, at = np.unique(np.r_[grams, keys], return_inverse=True)
-        times = np.bincount(at, weights=np.r_[times, each], minlength=len(grams)).astype(np.int64)
-    return grams, times
+def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Several (keys, counts) as one."""
+    keys, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+    return keys, np.bincount(at, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)).astype(np.int64)
 
 
-def shared_types(docs: DataFrame) -> np.ndarray:
-    """The distinct n-grams, one order above the shared ones, of every whole text of ``docs``:
-    each task marks a table of 64^4 bits and sends the marked ones once."""
+def gram_counts(texts: list[str | None], order: int = TOP) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of an order in some texts and how often each occurs."""
+    keys, begin, word, _ = word_grams(texts)
+    each = np.repeat(np.bincount(word, minlength=len(begin)), np.diff(np.r_[begin, len(keys)]))
+    return _counted([(_low(keys, order), each)])
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << (BITS * (SHARED + 1)), dtype=bool)
+
+def class_grams(rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per class, the n-grams of the highest order in ``rows`` (y, text) and their counts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for c in np.unique(y):
+                grams, n = gram_counts([t for t, own in zip(texts, y, strict=True) if own == c])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(grams), c, np.int32)), pa.array(grams), pa.array(n)], names=["y", "gram", "n"]
+                )
+
+    counts = rows.select("y", "text").mapInArrow(count, "y int, gram long, n long").groupBy("y", "gram").agg(F.sum("n").alias("n"))
+    found = counts.orderBy("gram").toArrow()
+    y, gram, n = (found.column(c).to_numpy() for c in ("y", "gram", "n"))
+    return [(gram[y == c], n[y == c]) for c in (0, 1)]
+
+
+def shared_counts(docs: DataFrame, grams: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per shared order, from 1: the n-grams among ``grams`` (of the sample) with their counts over
+    every whole text of ``docs``, and per n-gram the count and the kinds of all that follow its
+    context there. The counts of all documents stay a table; only the sample's rows come back."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            seen[_low(word_grams(batch.column(0).to_pylist())[0], SHARED + 1)] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], names=["gram"])
+            held.append(gram_counts(batch.column(0).to_pylist(), SHARED))
+            if len(held) >= 32:
+                held = [_counted(held)]
+        if held:
+            keys, n = _counted(held)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["gram", "n"])
 
-    grams = docs.select("text").mapInArrow(mark, "gram int").distinct()
-    return np.sort(np.array(grams.toArrow().column(0).to_numpy(), dtype=np.int64))
+    counted = stored(
+        docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "symbol-counts"
+    )
+    out = []
+    for order in range(1, SHARED + 1):
+        mask = (1 << (BITS * order)) - 1
+        own = counted.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
+        follow = own.groupBy(F.shiftright("gram", BITS).alias("context")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds")
+        )
+        wanted = docs.sparkSession.createDataFrame(pa.table({"gram": np.unique(_low(grams, order))}))
+        found = (
+            wanted.withColumn("context", F.shiftright("gram", BITS))
+            .join(own, "gram", "left")
+            .join(follow, "context", "left")
+            .na.fill(0)
+            .orderBy("gram")
+            .toArrow()
+        )
+        out.append(tuple(found.column(c).to_numpy() for c in ("gram", "n", "total", "kinds")))
+    return out
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -177,21 +223,31 @@ def phrase_grams(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.stack([hashes, before[0], _pair(before[0], hashes), context, _pair(context, hashes)])
 
 
-def phrase_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of ``phrase_grams``, one per distinct trigram, and how often each occurs."""
-    grams, times = np.zeros((5, 0), dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    for a in range(0, len(texts), FIT_TEXTS):
-        *_, hashes, text = _words(texts[a : a + FIT_TEXTS])
-        new = phrase_grams(hashes, text)
-        _, first, at = np.unique(np.r_[grams[4], new[4]], return_index=True, return_inverse=True)
-        times = np.bincount(at, weights=np.r_[times, np.ones(new.shape[1])], minlength=len(first)).astype(np.int64)
-        grams = np.concatenate([grams, new], axis=1)[:, first]
-    return grams, times
+def phrase_counts(rows: DataFrame) -> DataFrame:
+    """Distinct word trigrams of each class of ``rows`` (y, text): y, the columns g0 to g4 of
+    ``phrase_grams``, and n."""
 
-
-def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Kneser-Ney counts of the sample's words over every whole text of ``docs``: after how many
-    distinct words each occurs."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column(0).to_numpy()
+            *_, hashes, text = _words(batch.column(1).to_pylist())
+            grams = phrase_grams(hashes, text)
+            for c in np.unique(y):
+                own = grams[:, y[text] == c]
+                _, first, n = np.unique(own[4], return_index=True, return_counts=True)
+                columns = [pa.array(own[k][first].view(np.int64)) for k in range(5)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), c, np.int32)), *columns, pa.array(n.astype(np.int64))],
+                    names=["y", "g0", "g1", "g2", "g3", "g4", "n"],
+                )
+
+    found = rows.select("y", "text").mapInArrow(count, "y int, g0 long, g1 long, g2 long, g3 long, g4 long, n long")
+    return found.groupBy("y", "g4").agg(*(F.first(f"g{k}").alias(f"g{k}") for k in range(4)), F.sum("n").alias("n"))
+
+
+def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """Kneser-Ney counts of the sample's words over every whole text of ``docs``: word and ``n``,
+    after how many distinct words it occurs."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def sent(pairs: np.ndarray) -> pa.RecordBatch:
@@ -217,67 +273,76 @@ def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
             yield sent(np.unique(np.concatenate(held)))
 
     pairs = docs.select("text").mapInArrow(mark, "pair long").distinct()
-    found = pairs.groupBy(F.shiftright("pair", 32).alias("place")).agg(F.count("*").alias("n")).toArrow()
-    place = found.column("place").to_numpy()
-    order = np.argsort(place)
-    return vocabulary[place[order]], found.column("n").to_numpy()[order]
+    counts = pairs.groupBy(F.shiftright("pair", 32).alias("place")).agg(F.count("*").alias("n"))
+    names = docs.sparkSession.createDataFrame(
+        pa.table({"place": np.arange(len(vocabulary)), "word": vocabulary.view(np.int64)})
+    )
+    return counts.join(names, "place").select("word", "n")
 
 
-class _Phrases:
-    """One order of word n-grams of one class; ``lower`` names each gram's one order below."""
+def _per_class(rows: DataFrame, key: str, count: str, others: list[str]) -> DataFrame:
+    """One row per key with its counts c0 and c1 in the two classes."""
+    own = [F.max(F.when(F.col("y") == c, F.col(count))).alias(f"c{c}") for c in (0, 1)]
+    return rows.groupBy(key).agg(*(F.first(o).alias(o) for o in others), *own)
 
-    def __init__(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray, counts: np.ndarray):
-        cut = _discount(counts)
-        self.keys, self.lower, self.context_of = keys, lower, contexts
-        self.contexts, at, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
-        sums = np.bincount(at, weights=counts)
-        self.weights = cut * kinds / sums
-        self.shares = np.maximum(counts - cut, 0) / sums[at]
 
-    def probability(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        return _found(self.keys, self.shares, keys, 0.0) + _found(self.contexts, self.weights, contexts, 1.0) * lower
+def _contexts(rows: DataFrame, context: str, count: str) -> DataFrame:
+    """Per context and class: sum (s0, s1) and kinds (k0, k1) of what follows it."""
+    sums = rows.groupBy("y", context).agg(F.sum(count).alias("s"), F.count("*").alias("k"))
+    own = [F.max(F.when(F.col("y") == c, F.col(v))).alias(f"{v}{c}") for v in "sk" for c in (0, 1)]
+    return sums.groupBy(context).agg(*own)
 
 
-def phrase_orders(
-    counted: list[tuple[np.ndarray, np.ndarray]], words: tuple[np.ndarray, np.ndarray]
-) -> list[tuple[np.ndarray, ...]]:
-    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
-    log ratio of their back-off weights. Both classes back off to the shared words."""
-    share = words[1] / max(words[1].sum(), 1)
-    levels = []
-    for grams, times in counted:
-        keys, first, kinds = np.unique(grams[2], return_index=True, return_counts=True)
-        levels.append(
-            (_Phrases(keys, grams[1][first], grams[0][first], kinds), _Phrases(grams[4], grams[3], grams[2], times))
-        )
+def _discounts(rows: DataFrame, count: str) -> list[float]:
+    """Of each class, from how many grams occur once and twice."""
+    once = {r["y"]: (r["a"], r["b"]) for r in rows.groupBy("y").agg(F.count_if(F.col(count) == 1).alias("a"), F.count_if(F.col(count) == 2).alias("b")).collect()}
+    pairs = [once.get(c, (0, 0)) for c in (0, 1)]
+    return [a / (a + 2.0 * b) if a and b else 0.5 for a, b in pairs]
 
-    def merged(order: int) -> tuple[np.ndarray, ...]:
-        a, b = (own[order] for own in levels)
-        keys, first = np.unique(np.r_[a.keys, b.keys], return_index=True)
-        return keys, np.r_[a.context_of, b.context_of][first], np.r_[a.lower, b.lower][first]
 
-    def ratio_of(p: list[np.ndarray]) -> np.ndarray:
-        return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
+def _interpolated(cut: list[float], lower: list[str]) -> list:
+    """p0 and p1 of rows with c, s and k of both classes and the columns ``lower``, and the log ratio
+    of the back-off weights."""
+    weight = [F.coalesce(F.lit(cut[c]) * F.col(f"k{c}") / F.col(f"s{c}"), F.lit(1.0)) for c in (0, 1)]
+    share = [F.coalesce(F.greatest(F.col(f"c{c}") - F.lit(cut[c]), F.lit(0.0)) / F.col(f"s{c}"), F.lit(0.0)) for c in (0, 1)]
+    p = [(share[c] + weight[c] * F.col(lower[c])).alias(f"p{c}") for c in (0, 1)]
+    return [*p, (F.log(weight[1]) - F.log(weight[0])).alias("context_ratio")]
 
-    pairs, before, word = merged(0)
-    least = 1.0 / max(words[1].sum(), 1)
-    low = [own[0].probability(pairs, before, np.maximum(_found(words[0], share, word, 0.0), least)) for own in levels]
-    triples, contexts, lower = merged(1)
-    high = [own[1].probability(triples, contexts, _found(pairs, p, lower, 1.0)) for own, p in zip(levels, low, strict=True)]
-    orders = []
-    for order, keys, p in ((1, triples, high), (0, pairs, low)):
-        known = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
-        weights = [_found(own[order].contexts, own[order].weights, known, 1.0) for own in levels]
-        orders.append((keys, ratio_of(p), known, ratio_of(weights)))
-    return orders
 
+def _arrays(rows: DataFrame, key: str, value) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in the order of their unsigned values, and a number of each."""
+    found = rows.select(F.col(key).alias("key"), value.cast("float").alias("value")).toArrow()
+    keys = found.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], found.column("value").to_numpy()[order]
 
-def fit_phrases(learn: tuple[list[str], list[str]], docs: DataFrame | None) -> list[tuple[np.ndarray, ...]]:
-    counted = [phrase_counts(texts) for texts in learn]
-    if docs is not None:
-        return phrase_orders(counted, followed_words(docs, np.unique(np.concatenate([g[0] for g, _ in counted]))))
-    pairs = np.unique(np.concatenate([g[:3] for g, _ in counted], axis=1), axis=1)
-    return phrase_orders(counted, np.unique(pairs[0], return_counts=True))
+
+def fit_phrases(rows: DataFrame, docs: DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
+    log ratio of their back-off weights. Both classes back off to the shared words. The levels are
+    joins and aggregates of the counted grams; only ratios come to the driver."""
+    grams = stored(phrase_counts(rows), "phrase-counts")
+    vocabulary = np.sort(grams.select("g0").distinct().toArrow().column(0).to_numpy().view(np.uint64))
+    words = stored(followed_words(docs, vocabulary), "followed-words")
+    total = max(words.agg(F.sum("n")).first()[0] or 0, 1)
+    pairs = stored(grams.groupBy("y", "g2").agg(F.first("g0").alias("g0"), F.first("g1").alias("g1"), F.count("*").alias("n")), "phrase-pairs")
+    share = F.greatest(F.coalesce(F.col("shared"), F.lit(0)) / F.lit(float(total)), F.lit(1.0 / total)).alias("share")
+    known = _per_class(pairs, "g2", "n", ["g0", "g1"]).join(_contexts(pairs, "g1", "n"), "g1")
+    known = known.join(words.select(F.col("word").alias("g0"), F.col("n").alias("shared")), "g0", "left")
+    low = stored(
+        known.select("*", share).select("g2", "g1", *_interpolated(_discounts(pairs, "n"), ["share", "share"])), "phrase-low"
+    )
+    triples = _per_class(grams, "g4", "n", ["g2", "g3"]).join(_contexts(grams, "g3", "n"), "g3")
+    lower = low.select("g2", F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+    high = stored(
+        triples.join(lower, "g2").select("g4", "g3", *_interpolated(_discounts(grams, "n"), ["q0", "q1"])), "phrase-high"
+    )
+    ratio = F.log("p1") - F.log("p0")
+    orders = []
+    for level, key, context in ((high, "g4", "g3"), (low, "g2", "g1")):
+        contexts = level.groupBy(context).agg(F.first("context_ratio").alias("context_ratio"))
+        orders.append((*_arrays(level, key, ratio), *_arrays(contexts, context, F.col("context_ratio"))))
+    return orders
 
 
 @dataclass
@@ -339,17 +404,22 @@ class ToxicityModel:
         return self.curve.score(*self.differences(texts))
 
 
-def fit_toxicity(sample: Sample, types: np.ndarray, docs: DataFrame | None = None) -> ToxicityModel:
-    """Models from the sample's class counts and the shared types and words of all documents
-    (without ``docs``, the words of the sample). Without both classes every text scores the
-    labels' share."""
-    if min(map(len, sample.texts)) < 3:
-        return ToxicityModel({}, None, sample.share)
-    learn, check = sample.halves()
-    phrases = fit_phrases(learn, docs)  # first, so that its counts are gone when symbols are counted
-    counted = [gram_counts(texts) for texts in learn]
-    # shared low orders, from the lowest up
-    shared = [_Level(*_continued(types, order)) for order in range(1, SHARED + 1)]
+def _shared_probability(shared: list[tuple[np.ndarray, ...]], keys: np.ndarray) -> np.ndarray:
+    """Interpolated probability of n-grams in all documents, from the lowest order up, with an
+    absolute discount. An n-gram's count, and what follows its context, are over all documents."""
+    p = np.full(len(keys), 1.0 / (1 << BITS))
+    for order, (grams, counts, totals, kinds) in enumerate(shared, start=1):
+        at = np.searchsorted(grams, _low(keys, order))
+        cut = _discount(counts)
+        whole = np.maximum(totals[at], 1)
+        p = np.where(totals[at] > 0, np.maximum(counts[at] - cut, 0) / whole + cut * kinds[at] / whole * p, p)
+    return p
+
+
+def fit_symbols(rows: DataFrame, docs: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """Per order above the shared ones, known n-grams and contexts with their log ratios."""
+    counted = class_grams(rows)
+    shared = shared_counts(docs, np.concatenate([grams for grams, _ in counted]))
     # class orders: counts at the top, continuation counts of the class below
     levels = []
     for grams, times in counted:
@@ -362,9 +432,7 @@ def fit_toxicity(sample: Sample, types: np.ndarray, docs: DataFrame | None = Non
         levels.append(own)
 
     def probability(own: dict[int, _Level], keys: np.ndarray, order: int) -> np.ndarray:
-        p = np.full(len(keys), 1.0 / (1 << BITS))
-        for k, level in enumerate(shared, start=1):
-            p = level.probability(_low(keys, k), p)
+        p = _shared_probability(shared, keys)
         for k in range(SHARED + 1, order + 1):
             p = own[k].probability(_low(keys, k), p)
         return p
@@ -376,11 +444,32 @@ def fit_toxicity(sample: Sample, types: np.ndarray, docs: DataFrame | None = Non
         contexts = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
         weight = np.log(levels[1][order].back_off(contexts)) - np.log(levels[0][order].back_off(contexts))
         orders[order] = (grams, ratio.astype(np.float32), contexts, weight.astype(np.float32))
-    model = ToxicityModel(orders, None, sample.share, phrases)
-    y = np.r_[np.zeros(len(check[0])), np.ones(len(check[1]))]
-    texts = [*check[0], *check[1]]
-    parts = [model.differences(texts[a : a + FIT_TEXTS]) for a in range(0, len(texts), FIT_TEXTS)]
-    model.curve = Curve(*(np.concatenate(x) for x in zip(*parts, strict=True)), y, sample.share)
+    return orders
+
+
+def fit_toxicity(rows: DataFrame, share: float, docs: DataFrame) -> ToxicityModel:
+    """Models from the class counts of the sample ``rows`` (y, doc_id, text: two thirds of them) and
+    the counts of all documents; the last third, scored on executors, gives the curve. Without three
+    rows of both classes every text scores the labels' share."""
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if min(counts.get(0, 0), counts.get(1, 0)) < 3:
+        return ToxicityModel({}, None, share)
+    # every third row of a class by the hash of its id; the window's rows are the bounded sample
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    dealt = stored(rows.withColumn("check", place % 3 == 0), "toxicity-sample")
+    learn = dealt.where(~F.col("check"))
+    model = ToxicityModel(fit_symbols(learn, docs), None, share, fit_phrases(learn, docs))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            difference, length = sent.value.differences(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(difference), pa.array(length)], names=["y", "difference", "length"])
+
+    found = dealt.where("check").select("y", "text").mapInArrow(measure, "y int, difference double, length double").toArrow()
+    y, difference, length = (found.column(c).to_numpy().astype(np.float64) for c in ("y", "difference", "length"))
+    order = np.lexsort((length, difference, y))
+    model.curve = Curve(difference[order], length[order], y[order], share)
     return model
 
 
@@ -388,9 +477,12 @@ def toxicity_scores(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``; a null text counts as
-    empty, and a text without words has no difference. Only the text enters the score."""
-    model = fit_toxicity(labelled_sample(docs, labels, "toxic", ROWS), shared_types(docs), docs)
-    # its size follows the sample's bound and the 64 symbols, not the documents
+    empty, and a text without words has no difference. Only the text enters the score. Repeated rows
+    score alike, very long texts are scored whole, an empty table gives no rows, other columns are
+    ignored; without labels of both classes every text scores the labels' share."""
+    rows, share = sample_rows(docs, labels, "toxic", ROWS)
+    model = fit_toxicity(stored(rows, "toxicity-rows"), share, docs)
+    # its size follows the sample's bound, not the documents
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from blotter.llm import (
     warc,
 )
 from blotter.llm.common import prepare, read
-from blotter.llm.labelled import Sample, labelled_sample
+from blotter.llm.labelled import labelled_sample
 
 LONG = " ".join(f"long{k % 7001}" for k in range(30_000))
 # columns whose names the operators use themselves
@@ -549,7 +549,7 @@ def test_toxic_phrases_of_ordinary_words(spark):
     assert accuracy(toxicity.toxicity_scores(spark, docs, labels).collect(), flags) > 0.95
 
 
-def test_kneser_ney_probabilities_sum_to_one():
+def test_kneser_ney_probabilities_sum_to_one(spark):
     grams, begin, word, _ = toxicity.word_grams(["the then there them they other"])
     times = np.bincount(word, minlength=len(begin))
     keys, at = np.unique(grams, return_inverse=True)
@@ -557,8 +557,66 @@ def test_kneser_ney_probabilities_sum_to_one():
     context = keys[0] >> toxicity.BITS
     every = (context << toxicity.BITS) + np.arange(64)
     assert level.probability(every, np.full(64, 1 / 64)).sum() == pytest.approx(1.0)
-    model = toxicity.fit_toxicity(Sample((["good day to you"] * 6, ["bad grobnik"] * 6), 0.5), np.arange(64))
+    docs = docs_of(spark, ["good day to you"] * 6 + ["bad grobnik"] * 6)
+    model = toxicity.fit_toxicity(docs.selectExpr("cast(doc_id >= 6 AS int) AS y", "doc_id", "text"), 0.5, docs)
     assert model.score(["grobnik"])[0] > model.score(["good day"])[0]
+    # over all that can follow, the shared counts add up as well
+    shared = toxicity.shared_counts(docs, np.unique(np.r_[every, keys]))
+    seen = [k for k in every if shared[2][2][np.searchsorted(shared[2][0], toxicity._low(k, 3))] > 0]
+    assert len(seen) in (0, 64)
+    assert toxicity._shared_probability(shared, np.arange(64)).sum() == pytest.approx(1.0)
+
+
+def test_word_models_equal_brute_force_kneser_ney(spark):
+    """Log ratios of every word after the two before it, from dictionaries of word n-grams."""
+    rng = np.random.RandomState(12)
+    words = list("abcdefg")
+    make = lambda n: [" ".join(rng.choice(words, rng.randint(3, 12), p=np.arange(1, 8) / 28)) for _ in range(n)]
+    learn, others = (make(30), make(20)), make(40)
+    docs = docs_of(spark, [*learn[0], *learn[1], *others])
+    rows = spark.createDataFrame([(y, t) for y in (0, 1) for t in learn[y]], "y int, text string")
+    model = toxicity.ToxicityModel({}, None, 0.5, toxicity.fit_phrases(rows, docs))
+
+    def trigrams(texts):
+        for t in texts:
+            w = ["", "", *t.split()]
+            yield from zip(w, w[1:], w[2:], strict=False)
+
+    followed = defaultdict(set)
+    for _, a, w in trigrams([*learn[0], *learn[1], *others]):
+        followed[w].add(a)
+    vocabulary = {w for texts in learn for *_, w in trigrams(texts)}
+    total = sum(len(followed[w]) for w in vocabulary)
+
+    def discount(counts):
+        once, twice = (sum(c == k for c in counts) for k in (1, 2))
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    def share(counts, context, gram, lower):
+        inside = {g: c for g, c in counts.items() if g[:-1] == context}
+        if not inside:
+            return lower, 1.0
+        cut, whole = discount(counts.values()), sum(inside.values())
+        weight = cut * len(inside) / whole
+        return max(inside.get(gram, 0) - cut, 0) / whole + weight * lower, weight
+
+    def ratio(gram, known):
+        p = []
+        for y in (0, 1):
+            triples = Counter(trigrams(learn[y]))
+            pairs = Counter(g[1:] for g in triples)
+            low, pair_weight = share(pairs, gram[1:2], gram[1:], max(len(followed[gram[2]]) / total, 1 / total))
+            high, weight = share(triples, gram[:2], gram, low)
+            p.append({"triple": high, "pair": weight * low, "none": weight * pair_weight}[known])
+        return np.log(p[1] / p[0])
+
+    triples = {y: set(trigrams(learn[y])) for y in (0, 1)}
+    for text in [*learn[0][:5], *learn[1][:5], *others[:10], "a zz b a"]:
+        *_, hashes, at = toxicity._words([text])
+        for gram, got in zip(trigrams([text]), model.phrase_ratios(hashes, at), strict=True):
+            seen = triples[0] | triples[1]
+            known = "triple" if gram in seen else "pair" if gram[1:] in {g[1:] for g in seen} else "none"
+            assert got == pytest.approx(ratio(gram, known), abs=1e-5), (text, gram)
 
 
 # --- 8 archive -----------------------------------------------------------------------------
