@@ -104,10 +104,12 @@ def planned_mix(
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: every row of ``docs`` as often as its plan says, same columns."""
+    """The mixed documents: every row of ``docs`` as often as its plan says, same columns, those
+    that carry a name of the plan included."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    planned = planned_mix(docs.select("doc_id", "text", "source", own.alias("own")), **options)
     return (
-        planned_mix(docs, **options)
-        .where(F.col("mix_copies") > 0)
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        planned.where(F.col("mix_copies") > 0)
+        .select("own", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
+        .select(*[F.col(f"own.`{c}`") for c in docs.columns])
     )
