@@ -42,6 +42,8 @@ LARGE_PART = 4
 GROUPS = (8, 12, 24)
 #: Pieces ranked together within a length.
 CHUNK = 256
+#: Chunks whose sizes are summed up together.
+GROUP = 1024
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -361,7 +363,9 @@ def grouped_plan(counts: dict[int, int], capacity: int, group_count: int) -> np.
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, chunk: int = CHUNK) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with ``sequence_id`` and ``offset``.
 
-    ``pieces`` must be a stored table: it is read for the histogram and again for the places.
+    ``pieces`` must be a stored table with ``deal``, a number of its own for every row: it is read
+    for the histogram and again for the places. Pieces of a length are dealt to chunks by that
+    number, so repeated rows spread as others do.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -370,12 +374,22 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, chunk: int = CHUNK
     rows = [(length, -(-n // chunk)) for length, n in counts.items()]
     parts = F.broadcast(spark.createDataFrame(rows, "length long, parts long").coalesce(1))
     salted = pieces.join(parts, "length").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.col("parts"))
+        "salt", F.pmod(F.xxhash64("deal"), F.col("parts"))
     )
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    # offsets of the chunks of a length: within groups of chunks, then over the groups
+    earlier = (Window.unboundedPreceding, -1)
+    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).withColumn("group", F.floor(F.col("salt") / GROUP))
+    in_group = Window.partitionBy("length", "group").orderBy("salt").rowsBetween(*earlier)
+    across = Window.partitionBy("length").orderBy("group").rowsBetween(*earlier)
+    groups = sizes.groupBy("length", "group").agg(F.sum("n").alias("n")).select(
+        "length", "group", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("groups_before")
+    )
+    offsets = (
+        sizes.select("length", "salt", "group", F.coalesce(F.sum("n").over(in_group), F.lit(0)).alias("before"))
+        .join(groups, ["length", "group"])
+        .select("length", "salt", (F.col("before") + F.col("groups_before")).alias("first"))
+    )
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "deal")
     ranked = (
         salted.withColumn("rank", F.row_number().over(within) - 1)
         .join(offsets, ["length", "salt"])
@@ -410,6 +424,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, chunk: int = CHUNK
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """Pieces of all documents with the sequence and offset they are packed at. An empty table
-    gives no rows; a null id is an id like others; other columns are ignored."""
-    pieces = stored(token_pieces(docs, capacity, vocabulary=vocabulary), "pieces")
+    gives no rows; a null id is an id like others, and repeated rows are packed each; texts of any
+    length are cut into pieces of ``capacity``; other columns are ignored."""
+    pieces = token_pieces(docs, capacity, vocabulary=vocabulary).withColumn("deal", F.monotonically_increasing_id())
+    pieces = stored(pieces, "pieces")
     return place_pieces(pieces, capacity)
