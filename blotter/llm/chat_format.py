@@ -18,6 +18,8 @@ from blotter.llm.common import stored
 
 #: Turns per block: the unit that one task orders and renders.
 BLOCK_TURNS = 256
+#: Blocks that are summed up together on the way to sums over a conversation.
+UNIT_GROUP = 1024
 #: The marks around a turn.
 START, MIDDLE, END = "<|", "|>\n", "\n"
 #: A turn without its text; equal ones are interchangeable.
@@ -119,17 +121,36 @@ def rolling_hashes(placed: DataFrame) -> DataFrame:
         .select("conv_id", "unit", "position", "total", "z1", "z2"),
         "turn-hashes",
     )
-    before = Window.partitionBy("conv_id").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
-    sums = (
-        rows.groupBy("conv_id", "unit")
-        .agg(F.bit_xor("z1").alias("s1"), F.bit_xor("z2").alias("s2"))
+    # sums of the earlier units, in groups of units and then over the groups
+    earlier = (Window.unboundedPreceding, -1)
+    per_unit = rows.groupBy("conv_id", "unit").agg(F.bit_xor("z1").alias("s1"), F.bit_xor("z2").alias("s2"))
+    per_unit = per_unit.withColumn("group", F.floor(F.col("unit") / F.lit(UNIT_GROUP)))
+    in_group = Window.partitionBy("conv_id", "group").orderBy("unit").rowsBetween(*earlier)
+    across = Window.partitionBy("conv_id").orderBy("group").rowsBetween(*earlier)
+    none = F.lit(0)
+    groups = (
+        per_unit.groupBy("conv_id", "group")
+        .agg(F.bit_xor("s1").alias("g1"), F.bit_xor("s2").alias("g2"))
         .select(
             "conv_id",
-            "unit",
-            F.coalesce(F.bit_xor("s1").over(before), F.lit(0)).alias("before1"),
-            F.coalesce(F.bit_xor("s2").over(before), F.lit(0)).alias("before2"),
+            "group",
+            F.coalesce(F.bit_xor("g1").over(across), none).alias("g1"),
+            F.coalesce(F.bit_xor("g2").over(across), none).alias("g2"),
         )
     )
+    within_group = per_unit.select(
+        "conv_id",
+        "unit",
+        "group",
+        F.coalesce(F.bit_xor("s1").over(in_group), none).alias("u1"),
+        F.coalesce(F.bit_xor("s2").over(in_group), none).alias("u2"),
+    )
+    sums = _joined(within_group, groups, ["conv_id", "group"]).select(
+        "conv_id",
+        "unit",
+        F.col("u1").bitwiseXOR(F.col("g1")).alias("before1"),
+        F.col("u2").bitwiseXOR(F.col("g2")).alias("before2"),
+    )
     running = (
         Window.partitionBy("conv_id", "unit")
         .orderBy("position")
@@ -163,41 +184,21 @@ def maximal_conversations(hashes: DataFrame) -> DataFrame:
     return whole.join(inner, ["total", "h1", "h2"], "left_anti").select("conv_id", "total", "copies")
 
 
-def segments(placed: DataFrame) -> DataFrame:
-    """``placed`` with the segments of each turn: segment, low and high.
-
-    A conversation of up to 256 turns is one segment. A longer one is cut by blocks of 256 turn
-    numbers (null last), and a block that holds more turns, as numbers repeat, by position.
-    """
-    number = F.floor(F.col("turn") / F.lit(BLOCK_TURNS))
-    placed = placed.withColumn("block", F.when(F.col("total") > BLOCK_TURNS, number).otherwise(F.lit(0)))
-    blocks = stored(
-        placed.groupBy("conv_id", "block")
-        .agg(F.min("chunk").alias("chunk"), F.min("first").alias("start"), F.sum("n").alias("n_block"))
-        .withColumn("cuts", F.ceil(F.col("n_block") / F.lit(BLOCK_TURNS))),
-        "turn-blocks",
-    )
-    numbered = _summed(blocks, [F.col("block").asc_nulls_last()], "cuts", "segments_before", "n_segments")
-    rows = _joined(placed, numbered.select("conv_id", "block", "start", "segments_before"), ["conv_id", "block"])
-    return _cut(rows, F.col("start"), "cut").withColumn("segment", F.col("segments_before") + F.col("cut"))
-
-
 def formatted_conversations(turns: DataFrame) -> DataFrame:
     """The maximal conversations of ``turns`` (conv_id, turn, role, text), rendered: conv_id,
     segment, n_turns, total_turns, copies (equal conversations, itself included) and text.
 
-    A conversation of up to 256 turns is one row; a longer one is a row for each block of 256
-    turn numbers, or several where a block holds more than 256 turns, numbered by ``segment``, so
-    no row holds more than 256 turns. Turns go by number, null last, ties by content; repeated
-    turns stay. Null roles render as ``unknown``, null texts as empty. Rows without a conv_id are
-    one conversation, cut like any other. Other columns are ignored.
+    A row holds the turns of one ``segment``: 256 turns in order, the last segment what is left, so
+    a conversation of up to 256 turns is one row. Turns go by number, null last, ties by content;
+    repeated turns stay. Null roles render as ``unknown``, null texts as empty. Rows without a
+    conv_id are one conversation, cut like any other. Other columns are ignored.
     """
     placed = stored(placed_turns(turns), "turn-places")
     hashes = stored(rolling_hashes(placed), "turn-prefixes")
     kept = maximal_conversations(hashes).select("conv_id", "copies")
     # by chunk, as a conversation may hold a third of all turns
     chosen = stored(_joined(placed.select("conv_id", "chunk").distinct(), kept, ["conv_id"]), "conversations-kept")
-    parts = segments(_joined(placed, chosen, ["conv_id", "chunk"]))
+    parts = _cut(_joined(placed, chosen, ["conv_id", "chunk"]), F.lit(0), "segment")
     rendered = F.concat(
         F.lit(START), F.coalesce("role", F.lit("unknown")), F.lit(MIDDLE), F.coalesce("text", F.lit("")), F.lit(END)
     )

@@ -155,16 +155,21 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP6_SQL = r"""
 WITH logged AS (
   SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn) AS turns,
-         string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10), ''
-                    ORDER BY turn) AS text
+         list('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) ORDER BY turn) AS shown
   FROM conversations GROUP BY conv_id
 ), maximal AS (
   SELECT a.* FROM logged a
   WHERE NOT EXISTS (SELECT 1 FROM logged b WHERE len(b.turns) > len(a.turns) AND b.turns[1:len(a.turns)] = a.turns)
+), kept AS (
+  SELECT min(conv_id) AS conv_id, CAST(len(turns) AS BIGINT) AS total_turns, CAST(count(*) AS BIGINT) AS copies,
+         any_value(shown) AS shown
+  FROM maximal GROUP BY turns
+), cut AS (
+  SELECT *, unnest(range(0, (total_turns + 255) // 256)) AS segment FROM kept
 )
-SELECT min(conv_id) AS conv_id, CAST(0 AS BIGINT) AS segment, CAST(len(turns) AS BIGINT) AS n_turns,
-       CAST(len(turns) AS BIGINT) AS total_turns, CAST(count(*) AS BIGINT) AS copies, min(text) AS text
-FROM maximal GROUP BY turns
+SELECT conv_id, CAST(segment AS BIGINT) AS segment, least(256, total_turns - 256 * segment) AS n_turns, total_turns, copies,
+       array_to_string(shown[256 * segment + 1:256 * (segment + 1)], '') AS text
+FROM cut
 """
 
 
