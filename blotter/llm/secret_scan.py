@@ -3,7 +3,8 @@
 Plain patterns find the base spans (assignments, access keys, long hex). Runs of base64 or hex
 characters are then decoded and reported only when their structure confirms them: DER key
 encodings whose nested lengths add up, SSH key blobs of length-prefixed fields, and signed
-tokens whose header is JSON that names an algorithm. Whole texts are read in Arrow batches;
+tokens whose header is JSON that names an algorithm. What decodes to text is scanned in turn, to
+a fixed depth, as keys are often stored encoded once more. Whole texts are read in Arrow batches;
 nothing is shuffled.
 """
 
@@ -14,7 +15,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,13 +30,22 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 #: Order of the kinds in a span list, for spans that start together.
-KINDS = ("assign", "access", "hex", "token", "der", "ssh")
+KINDS = ("assign", "access", "hex", "token", "der", "ssh", "pgp")
 #: Signed tokens start with an encoded brace, so with ew or ey. Runs that may hold an encoded structure; shorter ones cannot hold a key.
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:(?!-----).)*+)-----END \1-----", re.DOTALL)
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY(?: BLOCK)?)-----((?:(?!-----).)*+)-----END \1-----", re.DOTALL)
 #: What stands in an armoured key's lines for a line end: escaped ones, and strings joined in code.
-LINE_END = re.compile(r"(?:\\+[nrt])+|[\"']\s*[+.,&\\]?\s*[\"']")
+LINE_END = re.compile(
+    r"(?:\\+[nrt])+|[\"']\s*[+.,&\\]?\s*[\"']|&#(?:1[03]|[xX]0?[aAdD]);|<br\s*/?>|(?:%0[aAdD])+", re.IGNORECASE
+)
+#: Marks before each line of a quoted or commented key, with the space after them.
+QUOTED = re.compile(r"^(?:[>#*|;]+|//+|--)(?:\s+|$)|^[>|#]+")
+#: Escaped characters of base64 and armour, and what they stand for.
+ESCAPES = (
+    ("\\/", "/"), ("\\u002b", "+"), ("\\u002B", "+"), ("\\u003d", "="), ("\\u003D", "="),
+    ("%2b", "+"), ("%2B", "+"), ("%2f", "/"), ("%2F", "/"), ("%3d", "="), ("%3D", "="), ("&#43;", "+"), ("&#61;", "="), ("&#47;", "/"),
+)
 HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:\s.*")
 ENCRYPTED = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)\s*")
 #: Runs on lines of their own, the ends of which may be escaped, and the parts of such a chain.
@@ -42,6 +54,18 @@ WRAPPED = re.compile(
     r"(?:[ \t]*+(?:\r?\n|(?:\\+[nr])++)[ \t]*+[A-Za-z0-9+/_-]++)++)={0,2}"
 )
 PART = re.compile(r"(?:\\+[nr])++|([A-Za-z0-9+/_-]++)")
+#: An encrypted token has five parts, of which the second may be empty.
+SEALED = re.compile(
+    r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])"
+)
+#: Bytes in hex with colons between.
+COLONS = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){23,}(?![0-9A-Fa-f:])")
+#: An encoded key that other characters of its alphabet stand right before: starts of DER and SSH keys.
+INSIDE = re.compile(r"(?:(?<=/)|(?<=[A-Za-z0-9_+-]))(?:MII[A-Za-z0-9]|AAAA[BCEGI]3NzaC1|AAAAE2VjZHNh|b3BlbnNzaC1rZXktdjEA)")
+#: How often what a candidate decodes to is scanned again.
+NESTED = 2
+#: No kind of SSH key has more fields than its certificates, about twenty.
+SSH_FIELDS = 32
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}")
 SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-", b"openssh-key-v1")
 #: Starts of the kinds, as far as a short first line tells.
@@ -167,18 +191,54 @@ def key_kind(data: bytes | None) -> str | None:
     return None
 
 
+def is_secret_packets(data: bytes) -> bool:
+    """OpenPGP packets whose lengths fill the data, the first a secret key (version 3 to 6)."""
+    at, first = 0, True
+    while at < len(data):
+        tag = data[at]
+        if not tag & 0x80 or at + 2 > len(data):
+            return False
+        if tag & 0x40:
+            kind, size = tag & 0x3F, data[at + 1]
+            head = 2
+            if 192 <= size < 224 and at + 3 <= len(data):
+                size, head = ((size - 192) << 8) + data[at + 2] + 192, 3
+            elif size == 255 and at + 6 <= len(data):
+                size, head = int.from_bytes(data[at + 2 : at + 6], "big"), 6
+            elif size >= 192:
+                return False
+        else:
+            kind, width = tag >> 2 & 0xF, 1 << (tag & 3)
+            if width == 8 or at + 1 + width > len(data):
+                return False
+            size, head = int.from_bytes(data[at + 1 : at + 1 + width], "big"), 1 + width
+        if at + head + size > len(data):
+            return False
+        if first and (kind != 5 or size < 16 or not 3 <= data[at + head] <= 6):
+            return False
+        at, first = at + head + size, False
+    return not first
+
+
 def armoured_kind(body: str) -> str | None:
     """Kind of the key between armour lines, whose line ends may be escaped. Header lines are
     left out; under DEK-Info the key is encrypted, so its length in cipher blocks confirms it."""
-    for escaped, plain in (("\\/", "/"), ("\\u002b", "+"), ("\\u002B", "+"), ("\\u003d", "="), ("\\u003D", "=")):
+    for escaped, plain in ESCAPES:
         body = body.replace(escaped, plain)
-    lines = [line.strip() for line in LINE_END.sub("\n", body).splitlines()]
+    lines = [QUOTED.sub("", line.strip()).strip() for line in LINE_END.sub("\n", body).splitlines()]
     block, at = 0, 0
     while at < len(lines) and (not lines[at] or HEADER.fullmatch(lines[at])):
         cipher = ENCRYPTED.fullmatch(lines[at])
         block = len(cipher[1]) // 2 if cipher else block
         at += 1
+    if lines and re.fullmatch(r"=[A-Za-z0-9+/]{4}", next((x for x in reversed(lines) if x), "")):
+        # the checksum line of an OpenPGP block
+        lines = lines[: max(k for k, x in enumerate(lines) if x)]
+        if is_secret_packets(unbase64("".join("".join(lines[at:]).split())) or b""):
+            return "pgp"
     data = unbase64("".join("".join(lines[at:]).split()))
+    if data and is_secret_packets(data):
+        return "pgp"
     if block >= 8 and data and len(data) % block == 0:
         return "der"
     return key_kind(data)
@@ -194,19 +254,58 @@ def der_size(head: bytes) -> int:
     return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if n else 2 + head[1]
 
 
-def ssh_sizes(data: bytes) -> set[int]:
-    """Bytes up to the end of each length-prefixed field after the first."""
-    found, at = set(), 0
-    while at + 4 <= len(data):
-        first, at = at == 0, at + 4 + int.from_bytes(data[at : at + 4], "big")
-        if at <= len(data) and not first:
-            found.add(at)
+class Chain:
+    """Runs of base64 or hex on lines of their own, with sums of their lengths, so that no line's
+    trial walks over the others."""
+
+    def __init__(self, parts: list[str]):
+        self.parts = parts
+        self.before = [0, *accumulate(map(len, parts))]
+        # where the lines of one width that a line belongs to end
+        self.same = [0] * len(parts)
+        for k in range(len(parts) - 1, -1, -1):
+            follows = k + 1 < len(parts) and len(parts[k + 1]) == len(parts[k])
+            self.same[k] = self.same[k + 1] if follows else k + 1
+
+    def chars(self, at: int, start: int, n: int) -> str:
+        """``n`` characters from ``start`` on of the lines from ``at`` on."""
+        first = bisect_right(self.before, self.before[at] + start) - 1
+        skip = self.before[at] + start - self.before[first]
+        out = ""
+        while first < len(self.parts) and len(out) < skip + n:
+            out += self.parts[first]
+            first += 1
+        return out[skip : skip + n]
+
+    def line_at(self, at: int, chars: int) -> int | None:
+        """The line behind which ``chars`` characters from line ``at`` on end, if one does."""
+        k = bisect_left(self.before, self.before[at] + chars)
+        return k if k < len(self.before) and self.before[k] == self.before[at] + chars else None
+
+
+def ssh_ends(chain: Chain, at: int, end: int) -> list[int]:
+    """Bytes up to the end of each length-prefixed field after the first, in the lines ``at`` to
+    ``end``; only the length bytes are decoded."""
+    total = (chain.before[end] - chain.before[at]) * 3 // 4
+    found, place = [], 0
+    for field in range(SSH_FIELDS):
+        if place + 4 > total:
+            break
+        group = place // 3
+        data = unbase64(chain.chars(at, 4 * group, 8)) or b""
+        size = data[place - 3 * group : place - 3 * group + 4]
+        if len(size) < 4:
+            break
+        place += 4 + int.from_bytes(size, "big")
+        if place <= total and field:
+            found.append(place)
     return found
 
 
-def wrapped_key(parts: list[str], at: int) -> tuple[str, int] | None:
-    """Kind of the wrapped key that starts with a part, and the part behind it. A DER key tells
+def wrapped_key(chain: Chain, at: int) -> tuple[str, int] | None:
+    """Kind of the wrapped key that starts with a line, and the line behind it. A DER key tells
     its size; an SSH key has lines of one width and a last one that may be shorter."""
+    parts = chain.parts
     first = parts[at]
     if first.startswith("30") and ANY_HEX.fullmatch(first):
         decode, chars = _unhex, 2 * der_size(bytes.fromhex(first[:12]))
@@ -216,26 +315,22 @@ def wrapped_key(parts: list[str], at: int) -> tuple[str, int] | None:
         head = unbase64(first[:28]) if first.startswith(("AAAA", "b3BlbnNzaC")) else None
         if not head or not head[4 if head[0] == 0 else 0 :].startswith(SSH_STARTS):
             return None
-        end = at
-        while end < len(parts) and len(parts[end]) == len(first):
-            end += 1
+        end = chain.same[at]
         end += end < len(parts) and len(parts[end]) < len(first)
-        whole = "".join(parts[at:end])
-        data = unbase64(whole[: len(whole) - (len(whole) % 4 == 1)]) or b""
-        if data.startswith(b"openssh-key-v1\0"):
+        if (unbase64(chain.chars(at, 0, 20)) or b"").startswith(b"openssh-key-v1\0"):
             return "ssh", end
-        sizes, held, last = ssh_sizes(data), 0, None
-        for k in range(at, end):
-            held += len(parts[k])
-            last = k + 1 if held * 3 // 4 in sizes else last
+        last = None
+        for size in ssh_ends(chain, at, end):
+            # characters that decode to so many bytes, and no more
+            for chars in range(-(-size * 4 // 3), -(-(size + 1) * 4 // 3)):
+                line = chain.line_at(at, chars)
+                last = max(last or 0, line) if line is not None and at < line <= end else last
         return ("ssh", last) if last else None
-    held = 0
-    for k in range(at, len(parts)):
-        held += len(parts[k])
-        if held >= chars:
-            kind = key_kind(decode("".join(parts[at : k + 1]))) if held == chars else None
-            return (kind, k + 1) if kind else None
-    return None
+    line = chain.line_at(at, chars) if chars else None
+    if line is None or line <= at:
+        return None
+    kind = key_kind(decode("".join(parts[at:line])))
+    return (kind, line) if kind else None
 
 
 def _unhex(text: str) -> bytes | None:
@@ -251,9 +346,10 @@ def wrapped_spans(text: str) -> list[Span]:
     for chain in WRAPPED.finditer(text):
         spans = [m.span(1) for m in PART.finditer(text, chain.start(1), chain.end(1)) if m[1]]
         parts = [text[a:b] for a, b in spans]
+        lines = Chain(parts)
         k = 0
         while k < len(parts) - 1:
-            key = wrapped_key(parts, k)
+            key = wrapped_key(lines, k)
             if key and key[1] > k + 1:
                 end = spans[key[1] - 1][1]
                 padding = len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
@@ -262,9 +358,46 @@ def wrapped_spans(text: str) -> list[Span]:
     return found
 
 
-def confirmed_spans(text: str, base: list[Span]) -> list[Span]:
-    """Spans added by decoding candidates: signed tokens, and encoded or armoured keys."""
+def is_sealed_token(header: str, *parts: str) -> bool:
+    """The header decodes to a JSON object that names an algorithm and a cipher, and all decode."""
+    return is_signed_token(header, parts[1]) and all(unbase64(p) is not None for p in parts) and '"enc"' in unbase64(header).decode("utf-8", "replace")
+
+
+def nested_kind(data: bytes | None, depth: int) -> str | None:
+    """Kind of the first key in what a candidate decodes to, when that is text."""
+    if not data or depth <= 0 or len(data) < 32:
+        return None
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    found = confirmed_spans(text, [], depth - 1)
+    return ordered(found)[0][0] if found else None
+
+
+def key_inside(text: str, start: int, end: int) -> tuple[str, int, int] | None:
+    """An encoded key in a run whose first characters belong to something else, as after a path or
+    glued to a word. A DER key tells where it ends; others go up to the end of the run."""
+    for m in INSIDE.finditer(text, start, end):
+        a, b = m.start(), end
+        if text.startswith("MII", a):
+            size = der_size(unbase64(text[a : a + 8]) or b"")
+            chars = -(-size * 4 // 3)
+            if not size or a + chars > end:
+                continue
+            b = a + chars
+        kind = key_kind(unbase64(text[a:b]))
+        if kind:
+            padding = len(text[b : b + 2]) - len(text[b : b + 2].lstrip("="))
+            return kind, a, b + padding
+    return None
+
+
+def confirmed_spans(text: str, base: list[Span], depth: int = NESTED) -> list[Span]:
+    """Spans added by decoding candidates: signed or encrypted tokens, and encoded or armoured keys,
+    also inside what a candidate decodes to."""
     found = [("token", *m.span()) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
+    found += [("token", *m.span()) for m in SEALED.finditer(text) if is_sealed_token(*m.groups())]
     armoured = []
     if "-----BEGIN" in text:
         for m in ARMOUR.finditer(text):
@@ -273,9 +406,17 @@ def confirmed_spans(text: str, base: list[Span]) -> list[Span]:
                 armoured.append((kind, *m.span()))
     found += armoured
     for m in ENCODED.finditer(text):
-        kind = key_kind(unbase64(m[0]))
+        data = unbase64(m[0])
+        kind = key_kind(data) or nested_kind(data, depth)
         if kind:
             found.append((kind, *m.span()))
+        elif inner := key_inside(text, *m.span()):
+            found.append(inner)
+    if ":" in text:
+        for m in COLONS.finditer(text):
+            kind = key_kind(bytes.fromhex(m[0].replace(":", "")))
+            if kind:
+                found.append((kind, *m.span()))
     for kind, a, b in wrapped_spans(text):
         if not any(x <= a and b <= y for _, x, y in armoured):
             found.append((kind, a, b))
