@@ -13,11 +13,14 @@ from blotter.session import scratch_path
 
 #: Rows per Arrow batch handed to a Python task; bounds what a task holds when texts are long.
 ARROW_ROWS = 512
+#: Bytes of such a batch, beyond which it is sent as it is.
+ARROW_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings for jobs with Python tasks."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -165,6 +166,22 @@ def test_near_vectors_equal_brute_force(spark):
     assert embedding_dedup.near_vectors(table.limit(0)).count() == 0
 
 
+def test_mix_keeps_columns_named_like_the_plan(spark):
+    docs = spark.createDataFrame([(k, f"word {k} more", "s", 77, 9, 5.0, "c") for k in range(20)], "doc_id long, text string, source string, mix_size int, mix_copies int, mix_target double, mix_copy string")
+    rows = mixing.mix_sources(docs).collect()
+    assert rows and {(r["mix_size"], r["mix_copies"], r["mix_target"], r["mix_copy"]) for r in rows} == {(77, 9, 5.0, "c")}
+    assert mixing.mix_sources(docs).columns == docs.columns
+
+
+def test_repeated_pieces_are_dealt_to_many_chunks(spark):
+    docs = spark.createDataFrame([(1, "the same words again")] * 3000 + [(2, None), (3, "other words")], "doc_id long, text string").repartition(6)
+    packed = packing.pack_documents(docs).collect()
+    place = Counter((r["sequence_id"], r["offset"]) for r in packed if r["length"])
+    assert len(packed) >= 3002 and max(place.values()) == 1
+    plan = packing.pack_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(deal" in plan and "xxhash64(doc_id" not in plan
+
+
 # --- 3 secrets -----------------------------------------------------------------------------
 
 
@@ -266,6 +283,71 @@ def test_secret_keys_in_other_forms(spark):
     assert [rows[len(texts) + k] for k in range(len(plain))] == plain
 
 
+BASE_PATTERNS = {
+    "assign": r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+}
+
+
+def test_base_spans_and_digest_equal_the_plain_patterns(spark):
+    rng = np.random.RandomState(21)
+    bits = ["PassWord", "token", "api_key", "apikey", "secret", "'", '"', " ", "  ", ":", "=", "abcdef", "x-y.z/=", "AKIA", "B9" * 8, "0a" * 12, "f" * 5, "\u0131", "\n", "K"]
+    texts = ["".join(rng.choice(bits, rng.randint(30))) for _ in range(800)]
+    for r, text in zip(secret_scan.scan_secrets(docs_of(spark, texts)).collect(), texts, strict=True):
+        spans = []
+        for k, (kind, pattern) in enumerate(BASE_PATTERNS.items()):
+            for m in re.finditer(pattern, text, re.IGNORECASE | re.ASCII if kind == "assign" else 0):
+                size = len(m[2]) if kind == "assign" else len(m[0])
+                if size >= (6, 20, 24)[k]:
+                    spans.append((m.start(), k, m.end(), kind))
+        want = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans))
+        assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), text
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[1] == k for s in spans) for k in range(3))
+
+
+def test_secret_keys_inside_other_text():
+    kinds = lambda t: {k for k, _, _ in secret_scan.confirmed_spans(t, [])}
+    pem = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(KEY).decode()}-----END PRIVATE KEY-----"
+    secret = bytes([4]) + bytes(range(120))
+    packets = bytes([0xC5, 121]) + secret + bytes([0xCD, 5]) + b"a@b.c" + bytes([0x94, 121]) + secret
+    armoured = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 2\n\n{}=abcd\n-----END PGP PRIVATE KEY BLOCK-----"
+    header = URL64(json.dumps({"alg": "RSA-OAEP", "enc": "A256GCM"}).encode())
+    long_key = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2a\x86\x48"), der(5)), der(4, bytes(range(250)) * 4))
+    forms = {
+        "base64 of armour": (base64.b64encode(pem.encode()).decode(), "der"),
+        "base64 of JSON": (base64.b64encode(json.dumps({"key": base64.b64encode(KEY).decode()}).encode()).decode(), "der"),
+        "twice encoded": (base64.b64encode(base64.b64encode(pem.encode())).decode(), "der"),
+        "openpgp": (armoured.format(base64.encodebytes(packets).decode()), "pgp"),
+        "colons": (":".join(f"{b:02x}" for b in KEY), "der"),
+        "quoted": (pem.replace("\n", "\n> "), "der"),
+        "commented": (pem.replace("\n", "\n# "), "der"),
+        "entities": (pem.replace("\n", "&#10;"), "der"),
+        "breaks": (pem.replace("\n", "<br>"), "der"),
+        "percent": (pem.replace("\n", "%0A").replace("+", "%2B").replace("/", "%2F").replace("=", "%3D"), "der"),
+        "after a path": ("path/" + base64.b64encode(long_key).decode(), "der"),
+        "glued": ("keyis" + base64.b64encode(long_key).decode(), "der"),
+        "five parts": (".".join([header, URL64(bytes(64)), URL64(bytes(12)), URL64(bytes(80)), URL64(bytes(16))]), "token"),
+    }
+    for name, (text, kind) in forms.items():
+        assert kind in kinds(f"here: {text} there"), name
+    broken = bytes([0xC5, 122]) + secret
+    for text in (armoured.format(base64.encodebytes(broken).decode()), ":".join(f"{b:02x}" for b in KEY[:-1]), base64.b64encode(b"plain words " * 9).decode(), "a/" + "MIIB" * 40):
+        assert not kinds(f"here: {text} there"), text
+
+
+def test_secret_scan_time_is_linear_on_hostile_lines():
+    import time
+
+    ssh = base64.b64encode(b"\0\0\0\x07ssh-rsa" + bytes([0, 0, 9, 9]) * 9).decode()[:64]
+    der_head = base64.b64encode(b"\x30\x84\0\x20\0\0" + bytes(42)).decode()[:64]
+    for line in (ssh, der_head, "3084" + "0" * 60, "b3BlbnNzaC1" + "A" * 53, "AAAAB3NzaC1yc2EAAAAB" + "A" * 44):
+        for end in ("\n", "\\n"):
+            began = time.process_time()
+            secret_scan.all_spans((line + end) * 30_000)
+            assert time.process_time() - began < 4, line
+
+
 # --- 4 n-gram join -------------------------------------------------------------------------
 
 
@@ -447,7 +529,7 @@ def test_chat_keeps_maximal_conversations(spark):
     for r in chat_format.formatted_conversations(table).collect():
         got[r["conv_id"]].append((r["segment"], r["text"], r["total_turns"], r["copies"], r["n_turns"]))
     assert {c: ("".join(x[1] for x in sorted(v)), v[0][2], v[0][3]) for c, v in got.items()} == want
-    assert len(got[103]) == 9 and sum(x[4] for x in got[103]) == 700
+    assert len(got[103]) == 3 and sum(x[4] for x in got[103]) == 700
     assert chat_format.formatted_conversations(table.limit(0)).count() == 0
 
 
@@ -474,6 +556,27 @@ def test_chat_rows_are_bounded_by_turns_not_by_numbers(spark):
     assert len(got[4]) == 3
 
 
+@pytest.mark.parametrize("numbers", ["even", "from 0"])
+def test_segments_equal_the_twin_at_every_length(spark, duck, numbers):
+    rows = []
+    for c, n in enumerate((255, 256, 257, 512, 513, 700)):
+        for k in range(n):
+            turn = 2 * k if numbers == "even" else k
+            rows.append((c, turn, "user" if k % 2 == 0 else None, f"c{c} t{k}"))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = chat_format.formatted_conversations(table)
+    con = duck.cursor()
+    con.execute("CREATE TEMP TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO temp.conversations VALUES (?, ?, ?, ?)", rows)
+    from blotter.llm.queries import ORACLE_SQL
+
+    found = con.execute(ORACLE_SQL["op6_chat_format"].replace("FROM conversations", "FROM temp.conversations"))
+    columns = [d[0] for d in found.description]
+    want = sorted(found.fetchall())
+    assert sorted(tuple(r) for r in got.select(*columns).collect()) == want
+    assert len(want) == 1 + 1 + 2 + 2 + 3 + 3
+
+
 # --- 7 and 9 classifiers -------------------------------------------------------------------
 
 
