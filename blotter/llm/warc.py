@@ -2,15 +2,17 @@
 
 A page becomes a record: an exact header block and a payload. Payload bytes are stored once, by
 SHA-256 (verified against length and SHA-1 when read); headers are kept apart, one row each.
-Records are rebuilt by joining the two. WARC files are written from them by the text writer,
-whose rows and line ends are the records' own bytes, and read back by the lengths that the
-headers state.
+Records are rebuilt by joining the two. WARC files hold one gzip member per record, so readers can
+seek to any of them, and are read back member by member, by the lengths that the headers state.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,13 @@ from blotter.session import scratch_path
 
 #: Payloads from this size on are stored once per archive, further records revisit them.
 LEAST_SHARED = 1000
-#: Records per archive file at most; a file is read by one task.
-FILE_RECORDS = 500
+#: Records per archive file at most, by the bytes of their payloads (up to so many): a file, which
+#: one task reads, holds about 64 MB, or one record.
+FILE_RECORDS = ((1 << 17, 500), (1 << 22, 16), (None, 1))
+#: Records of a batch that a reader hands on, and bytes after which it does so before.
+READ_RECORDS, READ_BYTES = 64, 1 << 23
+#: Bytes that a member is decompressed from at a time.
+READ_PIECE = 1 << 16
 #: The marks of the format.
 VERSION = "WARC/1.1"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -80,8 +87,9 @@ def typed_records(digested: DataFrame, repeated: DataFrame) -> DataFrame:
     )
 
 
-def with_headers(records: DataFrame) -> DataFrame:
+def with_headers(records: DataFrame, date: str) -> DataFrame:
     """The exact header block of each record: the WARC fields, then the HTTP head of the block.
+    ``date`` is the archive's, as the format writes it; a record without one is not valid.
     ``url`` keeps its text, but line ends in it would end the field, so they are percent-coded."""
     ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     http = F.concat(F.lit(HTTP), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
@@ -93,6 +101,7 @@ def with_headers(records: DataFrame) -> DataFrame:
         F.lit(f"{VERSION}\r\n"),
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", ident(F.col("page_id"))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         line("X-Payload-Digest", F.concat(F.lit("sha256:"), F.col("sha256"))),
@@ -111,13 +120,14 @@ def with_headers(records: DataFrame) -> DataFrame:
     return records.withColumn("header", header)
 
 
-def write_archive(pages: DataFrame, path: str, least_shared: int = LEAST_SHARED) -> None:
-    """``path``/headers: page_id, record_type, refers_to, sha256 and the exact header of every
-    record. ``path``/payloads: sha256, sha1, bytes and payload, one row per distinct payload."""
+def write_archive(pages: DataFrame, path: str, least_shared: int = LEAST_SHARED, date: str | None = None) -> None:
+    """``path``/headers: page_id, record_type, refers_to, sha256, bytes and the exact header of every
+    record, dated now unless ``date`` (UTC, ``yyyy-MM-ddTHH:mm:ssZ``) is given. ``path``/payloads: sha256, sha1, bytes and payload, one row per distinct payload."""
     digested = page_records(pages, least_shared)
     repeated = stored(repeated_payloads(digested), "repeated-payloads")
     records = typed_records(digested, repeated)
-    with_headers(records).select("page_id", "record_type", "refers_to", "sha256", "header").write.parquet(
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    with_headers(records, date).select("page_id", "record_type", "refers_to", "sha256", "bytes", "header").write.parquet(
         f"{path}/headers"
     )
     columns = ["sha256", "sha1", "bytes", "payload"]
@@ -135,30 +145,62 @@ def rebuilt_records(spark: SparkSession, path: str) -> DataFrame:
     sound = (F.sha2(stored_bytes, 256) == F.col("sha256")) & (F.octet_length(stored_bytes) == F.col("bytes"))
     payloads = spark.read.parquet(f"{path}/payloads").select(
         "sha256",
+        "bytes",
         F.when(sound, stored_bytes)
         .otherwise(F.raise_error(F.concat(F.lit("payload does not match "), F.col("sha256"))).cast("binary"))
         .alias("payload"),
     )
-    return spark.read.parquet(f"{path}/headers").join(payloads, "sha256")
+    return spark.read.parquet(f"{path}/headers").join(payloads, ["sha256", "bytes"])
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member without its last byte, which is 0: it ends in the upper byte of
+    the record's size, or, for a record of 16 MB or more, in that of an empty member behind it."""
+    empty = gzip.compress(b"", mtime=0)
+    for batch in batches:
+        out = []
+        for header, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            record = b"".join((header.encode(), payload or b"", b"\r\n\r\n"))
+            member = gzip.compress(record, 6, mtime=0)
+            out.append((member if member[-1] == 0 else member + empty)[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """WARC files of the rebuilt records; a revisit has no payload of its own. A record ends in
-    two line ends, the last byte of which the text writer adds."""
-    body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("payload").cast("string"))
-    records.select(F.concat("header", body, F.lit("\r\n\r")).alias("value")).write.option("lineSep", "\n").option(
-        "compression", "gzip"
-    ).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """WARC files of the rebuilt records (record_type, bytes, header, payload), one gzip member each;
+    a revisit has no payload of its own. The text writer adds the last byte of a member as the end of
+    its line. Records are put in files by size, so that no file is much above 64 MB but for a record
+    that is larger alone."""
+    size = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("bytes"))
+    payload = F.when(F.col("record_type") != "revisit", F.col("payload"))
+    low = 0
+    for high, per_file in FILE_RECORDS:
+        inside = (size >= low) if high is None else (size >= low) & (size < high)
+        members = records.where(inside).select("header", payload.alias("payload")).mapInArrow(_members, "value binary")
+        writer = members.select(F.col("value").cast("string")).write.mode("append").option("lineSep", "\0")
+        writer.option("maxRecordsPerFile", per_file).text(path)
+        low = high
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files: page_id, record_type, refers_to, sha256, sha1, payload_length as the
-    headers state them, the exact header and the payload (null for a revisit)."""
+    headers state them, the exact header and the payload (null for a revisit). A task holds a file's
+    compressed bytes and a few records."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        size = 0
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pylist(list(parsed(content, name)), schema=_SCHEMA)
+            for k in range(batch.num_rows):
+                name, content = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                for record in parsed(content, name):
+                    held.append(record)
+                    size += len(record["payload"] or b"")
+                    if len(held) >= READ_RECORDS or size >= READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(held, schema=_SCHEMA)
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=_SCHEMA)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInArrow(
@@ -182,29 +224,44 @@ _SCHEMA = pa.schema(
 )
 
 
-def parsed(content: bytes, name: str) -> Iterator[dict]:
-    """Walks an archive file by its records' stated lengths; what does not fit stops the job."""
-    import gzip
+def unzipped(content: bytes, name: str) -> Iterator[tuple[int, bytes]]:
+    """The members of a gzip file and where they begin, one at a time; empty ones are passed over."""
+    view, at = memoryview(content), 0
+    while at < len(content):
+        member, parts, end = zlib.decompressobj(31), [], at
+        try:
+            # fed in pieces, as what is left of the last piece is copied
+            while not member.eof and end < len(content):
+                parts.append(member.decompress(view[end : end + READ_PIECE]))
+                end = min(end + READ_PIECE, len(content))
+        except zlib.error as e:
+            raise ValueError(f"{name}: no member at byte {at}") from e
+        if not member.eof:
+            raise ValueError(f"{name}: the member at byte {at} does not end")
+        if any(parts):
+            yield at, b"".join(parts)
+        at = end - len(member.unused_data)
 
-    data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-    at = 0
+
+def parsed(content: bytes, name: str) -> Iterator[dict]:
+    """Walks an archive file, one record per member; what does not fit its stated lengths or digest
+    stops the job."""
 
     def page(value: str | None) -> int | None:
         inner = (value or "")[len("<urn:page:") : -1]
         return int(inner) if inner and inner != "null" else None
 
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at) + 4
-        lines = data[at : end - 4].decode().split("\r\n")
+    for at, data in unzipped(content, name):
+        end = data.index(b"\r\n\r\n") + 4
+        lines = data[: end - 4].decode().split("\r\n")
         if lines[0] != VERSION:
             raise ValueError(f"{name}: no record at byte {at}")
         field = dict(x.split(": ", 1) for x in lines[1:])
         size = int(field["Content-Length"])
-        block = data[end : end + size]
-        if len(block) != size or data[end + size : end + size + 4] != b"\r\n\r\n":
+        if len(data) != end + size + 4 or data[end + size :] != b"\r\n\r\n":
             raise ValueError(f"{name}: the record at byte {at} does not end where it says")
-        head = block.index(b"\r\n\r\n") + 4
-        payload = block[head:] if field["WARC-Type"] == "response" else None
+        head = data.index(b"\r\n\r\n", end) + 4
+        payload = data[head : end + size] if field["WARC-Type"] == "response" else None
         sha1 = field["WARC-Payload-Digest"].removeprefix("sha1:")
         if payload is not None and hashlib.sha1(payload).hexdigest() != sha1:
             raise ValueError(f"{name}: the payload at byte {at} does not match its digest")
@@ -215,10 +272,9 @@ def parsed(content: bytes, name: str) -> Iterator[dict]:
             "sha256": field["X-Payload-Digest"].removeprefix("sha256:"),
             "sha1": sha1,
             "payload_length": int(field["X-Payload-Length"]),
-            "header": (data[at:end] + block[:head]).decode(),
+            "header": data[:head].decode(),
             "payload": payload,
         }
-        at = end + size + 4
 
 
 def archived_pages(pages: DataFrame, least_shared: int = LEAST_SHARED) -> DataFrame:
@@ -233,7 +289,11 @@ def archived_pages(pages: DataFrame, least_shared: int = LEAST_SHARED) -> DataFr
     spark = pages.sparkSession
     path = scratch_path(spark, "archive")
     write_archive(pages, path, least_shared)
-    write_warc(rebuilt_records(spark, path), f"{path}/warc")
+    headers = spark.read.parquet(f"{path}/headers")
+    responses = rebuilt_records(spark, path).where(F.col("record_type") != "revisit")
+    # a revisit's payload is not written, so it is not joined either
+    revisits = headers.where(F.col("record_type") == "revisit").withColumn("payload", F.lit(None).cast("binary"))
+    write_warc(responses.unionByName(revisits), f"{path}/warc")
     read = stored(
         read_warc(spark, f"{path}/warc").select(
             "page_id",

@@ -742,6 +742,8 @@ def test_archive_round_trip(spark, tmp_path):
     warc.write_archive(pages, path)
     stored = [r["sha256"] for r in spark.read.parquet(f"{path}/payloads").collect()]
     assert len(set(stored)) == len({h or "" for _, _, h in rows})
+    shared = [h for _, _, h in rows if len(h or "") >= 1000]
+    assert all(stored.count(hashlib.sha256(h.encode()).hexdigest()) == 1 for h in shared)
     warc.write_warc(warc.rebuilt_records(spark, path), f"{path}/warc")
     headers = Counter(r["header"] for r in spark.read.parquet(f"{path}/headers").collect())
     back = warc.read_warc(spark, f"{path}/warc").collect()
@@ -750,6 +752,36 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.archived_pages(pages.limit(0)).count() == 0
 
 
+def test_archive_files_are_bounded_and_read_by_other_readers(spark, tmp_path):
+    import gzip
+
+    large = ["".join(chr(33 + (k * 7 + j * j) % 90) for j in range(1000)) * 8000 for k in range(3)]  # 8 MB each
+    middle = [f"{k}" * 200_000 for k in range(20)]
+    huge = "z" * (17 << 20)  # its size does not fit three bytes
+    texts = [*large, *middle, huge, *(f"small {k}" for k in range(1200))]
+    pages = spark.createDataFrame([(k, f"http://{k}", t) for k, t in enumerate(texts)], "page_id long, url string, html string").repartition(2)
+    path = str(tmp_path / "archive")
+    warc.write_archive(pages, path, date="2025-01-02T03:04:05Z")
+    warc.write_warc(warc.rebuilt_records(spark, path), f"{path}/warc")
+    found = {}
+    for file in (tmp_path / "archive" / "warc").glob("part-*"):
+        content = file.read_bytes()
+        members = list(warc.unzipped(content, "f"))
+        sizes = [len(data) for _, data in members]
+        assert len(members) == 1 or sum(sizes) < 70 << 20
+        # each member stands alone, and all of them are one gzip file
+        assert gzip.decompress(content) == b"".join(data for _, data in members)
+        for _, data in members:
+            fields = dict(x.split(": ", 1) for x in data[: data.index(b"\r\n\r\n")].decode().split("\r\n")[1:])
+            assert fields["WARC-Date"] == "2025-01-02T03:04:05Z"
+            found[int(fields["WARC-Record-ID"][len("<urn:page:") : -1])] = data
+    assert set(found) == set(range(len(texts)))
+    back = {r["page_id"]: bytes(r["payload"]) for r in warc.read_warc(spark, f"{path}/warc").collect()}
+    assert back == {k: t.encode() for k, t in enumerate(texts)}
+    with pytest.raises(ValueError, match="does not end"):
+        list(warc.unzipped(gzip.compress(b"cut off")[:-3], "f"))
+
+
 # --- 10 search -----------------------------------------------------------------------------
 
 
