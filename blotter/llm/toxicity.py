@@ -9,9 +9,8 @@ calibrated.
 Expressions of several words are modelled the same way: word bigrams and trigrams per class,
 which back off to shared continuation counts of the words over all documents, add to the ratio.
 
-Counts are Spark aggregates over the texts of the sample and of the documents, stored as tables, and
-so are the word models made of them; texts never come to the driver, only the model does, whose size
-follows the sample. Symbols are 64 classes of bytes, and n-grams end at word borders, so each
+Counts are Spark aggregates over the texts of the sample and of the documents, stored as tables;
+texts never come to the driver, only merged counts of the sample's n-grams do. Symbols are 64 classes of bytes, and n-grams end at word borders, so each
 distinct word of a batch is scored once.
 """
 
@@ -34,7 +33,7 @@ SHARED = 3  #: highest order that both classes share
 BITS = 6
 THRESHOLD = 0.5
 #: Rows per class of the fitting sample.
-ROWS = 4500
+ROWS = 3000
 #: Word pairs that a task holds before it sends them.
 SENT_PAIRS = 4_000_000
 
@@ -245,9 +244,9 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("y", "g4").agg(*(F.first(f"g{k}").alias(f"g{k}") for k in range(4)), F.sum("n").alias("n"))
 
 
-def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Kneser-Ney counts of the sample's words over every whole text of ``docs``: word and ``n``,
-    after how many distinct words it occurs."""
+def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kneser-Ney counts of the sample's words over every whole text of ``docs``: after how many
+    distinct words each occurs."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def sent(pairs: np.ndarray) -> pa.RecordBatch:
@@ -273,76 +272,76 @@ def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
             yield sent(np.unique(np.concatenate(held)))
 
     pairs = docs.select("text").mapInArrow(mark, "pair long").distinct()
-    counts = pairs.groupBy(F.shiftright("pair", 32).alias("place")).agg(F.count("*").alias("n"))
-    names = docs.sparkSession.createDataFrame(
-        pa.table({"place": np.arange(len(vocabulary)), "word": vocabulary.view(np.int64)})
-    )
-    return counts.join(names, "place").select("word", "n")
-
+    found = pairs.groupBy(F.shiftright("pair", 32).alias("place")).agg(F.count("*").alias("n")).toArrow()
+    place = found.column("place").to_numpy()
+    order = np.argsort(place)
+    return vocabulary[place[order]], found.column("n").to_numpy()[order]
 
-def _per_class(rows: DataFrame, key: str, count: str, others: list[str]) -> DataFrame:
-    """One row per key with its counts c0 and c1 in the two classes."""
-    own = [F.max(F.when(F.col("y") == c, F.col(count))).alias(f"c{c}") for c in (0, 1)]
-    return rows.groupBy(key).agg(*(F.first(o).alias(o) for o in others), *own)
 
+class _Phrases:
+    """One order of word n-grams of one class; ``lower`` names each gram's one order below."""
 
-def _contexts(rows: DataFrame, context: str, count: str) -> DataFrame:
-    """Per context and class: sum (s0, s1) and kinds (k0, k1) of what follows it."""
-    sums = rows.groupBy("y", context).agg(F.sum(count).alias("s"), F.count("*").alias("k"))
-    own = [F.max(F.when(F.col("y") == c, F.col(v))).alias(f"{v}{c}") for v in "sk" for c in (0, 1)]
-    return sums.groupBy(context).agg(*own)
+    def __init__(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray, counts: np.ndarray):
+        cut = _discount(counts)
+        self.keys, self.lower, self.context_of = keys, lower, contexts
+        self.contexts, at, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
+        sums = np.bincount(at, weights=counts)
+        self.weights = cut * kinds / sums
+        self.shares = np.maximum(counts - cut, 0) / sums[at]
 
+    def probability(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        return _found(self.keys, self.shares, keys, 0.0) + _found(self.contexts, self.weights, contexts, 1.0) * lower
 
-def _discounts(rows: DataFrame, count: str) -> list[float]:
-    """Of each class, from how many grams occur once and twice."""
-    once = {r["y"]: (r["a"], r["b"]) for r in rows.groupBy("y").agg(F.count_if(F.col(count) == 1).alias("a"), F.count_if(F.col(count) == 2).alias("b")).collect()}
-    pairs = [once.get(c, (0, 0)) for c in (0, 1)]
-    return [a / (a + 2.0 * b) if a and b else 0.5 for a, b in pairs]
 
+def phrase_orders(
+    counted: list[tuple[np.ndarray, np.ndarray]], words: tuple[np.ndarray, np.ndarray]
+) -> list[tuple[np.ndarray, ...]]:
+    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
+    log ratio of their back-off weights. Both classes back off to the shared words."""
+    share = words[1] / max(words[1].sum(), 1)
+    levels = []
+    for grams, times in counted:
+        keys, first, kinds = np.unique(grams[2], return_index=True, return_counts=True)
+        levels.append(
+            (_Phrases(keys, grams[1][first], grams[0][first], kinds), _Phrases(grams[4], grams[3], grams[2], times))
+        )
 
-def _interpolated(cut: list[float], lower: list[str]) -> list:
-    """p0 and p1 of rows with c, s and k of both classes and the columns ``lower``, and the log ratio
-    of the back-off weights."""
-    weight = [F.coalesce(F.lit(cut[c]) * F.col(f"k{c}") / F.col(f"s{c}"), F.lit(1.0)) for c in (0, 1)]
-    share = [F.coalesce(F.greatest(F.col(f"c{c}") - F.lit(cut[c]), F.lit(0.0)) / F.col(f"s{c}"), F.lit(0.0)) for c in (0, 1)]
-    p = [(share[c] + weight[c] * F.col(lower[c])).alias(f"p{c}") for c in (0, 1)]
-    return [*p, (F.log(weight[1]) - F.log(weight[0])).alias("context_ratio")]
+    def merged(order: int) -> tuple[np.ndarray, ...]:
+        a, b = (own[order] for own in levels)
+        keys, first = np.unique(np.r_[a.keys, b.keys], return_index=True)
+        return keys, np.r_[a.context_of, b.context_of][first], np.r_[a.lower, b.lower][first]
 
+    def ratio_of(p: list[np.ndarray]) -> np.ndarray:
+        return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
 
-def _arrays(rows: DataFrame, key: str, value) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in the order of their unsigned values, and a number of each."""
-    found = rows.select(F.col(key).alias("key"), value.cast("float").alias("value")).toArrow()
-    keys = found.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found.column("value").to_numpy()[order]
+    pairs, before, word = merged(0)
+    least = 1.0 / max(words[1].sum(), 1)
+    low = [own[0].probability(pairs, before, np.maximum(_found(words[0], share, word, 0.0), least)) for own in levels]
+    triples, contexts, lower = merged(1)
+    high = [own[1].probability(triples, contexts, _found(pairs, p, lower, 1.0)) for own, p in zip(levels, low, strict=True)]
+    orders = []
+    for order, keys, p in ((1, triples, high), (0, pairs, low)):
+        known = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
+        weights = [_found(own[order].contexts, own[order].weights, known, 1.0) for own in levels]
+        orders.append((keys, ratio_of(p), known, ratio_of(weights)))
+    return orders
 
 
 def fit_phrases(rows: DataFrame, docs: DataFrame) -> list[tuple[np.ndarray, ...]]:
-    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
-    log ratio of their back-off weights. Both classes back off to the shared words. The levels are
-    joins and aggregates of the counted grams; only ratios come to the driver."""
-    grams = stored(phrase_counts(rows), "phrase-counts")
-    vocabulary = np.sort(grams.select("g0").distinct().toArrow().column(0).to_numpy().view(np.uint64))
-    words = stored(followed_words(docs, vocabulary), "followed-words")
-    total = max(words.agg(F.sum("n")).first()[0] or 0, 1)
-    pairs = stored(grams.groupBy("y", "g2").agg(F.first("g0").alias("g0"), F.first("g1").alias("g1"), F.count("*").alias("n")), "phrase-pairs")
-    share = F.greatest(F.coalesce(F.col("shared"), F.lit(0)) / F.lit(float(total)), F.lit(1.0 / total)).alias("share")
-    known = _per_class(pairs, "g2", "n", ["g0", "g1"]).join(_contexts(pairs, "g1", "n"), "g1")
-    known = known.join(words.select(F.col("word").alias("g0"), F.col("n").alias("shared")), "g0", "left")
-    low = stored(
-        known.select("*", share).select("g2", "g1", *_interpolated(_discounts(pairs, "n"), ["share", "share"])), "phrase-low"
-    )
-    triples = _per_class(grams, "g4", "n", ["g2", "g3"]).join(_contexts(grams, "g3", "n"), "g3")
-    lower = low.select("g2", F.col("p0").alias("q0"), F.col("p1").alias("q1"))
-    high = stored(
-        triples.join(lower, "g2").select("g4", "g3", *_interpolated(_discounts(grams, "n"), ["q0", "q1"])), "phrase-high"
-    )
-    ratio = F.log("p1") - F.log("p0")
-    orders = []
-    for level, key, context in ((high, "g4", "g3"), (low, "g2", "g1")):
-        contexts = level.groupBy(context).agg(F.first("context_ratio").alias("context_ratio"))
-        orders.append((*_arrays(level, key, ratio), *_arrays(contexts, context, F.col("context_ratio"))))
-    return orders
+    """The word models of ``rows`` (y, text), whose merged counts alone come to the driver: six
+    numbers per distinct trigram of the sample, and one per word of it over all documents."""
+    counts = stored(phrase_counts(rows), "phrase-counts")
+    counted = []
+    for c in (0, 1):
+        found = counts.where(F.col("y") == c).drop("y").toArrow()
+        order = np.argsort(found.column("g4").to_numpy().view(np.uint64))  # trigrams are looked up in order
+        grams = np.empty((5, len(order)), dtype=np.uint64)
+        for k in range(5):
+            grams[k] = found.column(f"g{k}").to_numpy().view(np.uint64)[order]
+        counted.append((grams, found.column("n").to_numpy()[order]))
+        del found
+    vocabulary = np.unique(np.concatenate([np.unique(grams[0]) for grams, _ in counted]))
+    return phrase_orders(counted, followed_words(docs, vocabulary))
 
 
 @dataclass
