@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -446,13 +447,14 @@ def fit_symbols(rows: DataFrame, docs: DataFrame) -> dict[int, tuple[np.ndarray,
     return orders
 
 
-def fit_toxicity(rows: DataFrame, share: float, docs: DataFrame) -> ToxicityModel:
+def fit_toxicity(rows: DataFrame, share: float, docs: DataFrame) -> tuple[ToxicityModel, Broadcast | None]:
     """Models from the class counts of the sample ``rows`` (y, doc_id, text: two thirds of them) and
     the counts of all documents; the last third, scored on executors, gives the curve. Without three
-    rows of both classes every text scores the labels' share."""
+    rows of both classes every text scores the labels' share. The model is sent to the executors
+    once, without the curve, for this and for the scores."""
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if min(counts.get(0, 0), counts.get(1, 0)) < 3:
-        return ToxicityModel({}, None, share)
+        return ToxicityModel({}, None, share), None
     # every third row of a class by the hash of its id; the window's rows are the bounded sample
     place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
     dealt = stored(rows.withColumn("check", place % 3 == 0), "toxicity-sample")
@@ -469,7 +471,7 @@ def fit_toxicity(rows: DataFrame, share: float, docs: DataFrame) -> ToxicityMode
     y, difference, length = (found.column(c).to_numpy().astype(np.float64) for c in ("y", "difference", "length"))
     order = np.lexsort((length, difference, y))
     model.curve = Curve(difference[order], length[order], y[order], share)
-    return model
+    return model, sent
 
 
 def toxicity_scores(
@@ -480,13 +482,17 @@ def toxicity_scores(
     score alike, very long texts are scored whole, an empty table gives no rows, other columns are
     ignored; without labels of both classes every text scores the labels' share."""
     rows, share = sample_rows(docs, labels, "toxic", ROWS)
-    model = fit_toxicity(stored(rows, "toxicity-rows"), share, docs)
     # its size follows the sample's bound, not the documents
-    sent = spark.sparkContext.broadcast(model)
+    model, sent = fit_toxicity(stored(rows, "toxicity-rows"), share, docs)
+    curve = model.curve
+    del model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = sent.value.score(batch.column(1).to_pylist())
+            if sent is None:
+                found = np.full(batch.num_rows, share)
+            else:
+                found = curve.score(*sent.value.differences(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

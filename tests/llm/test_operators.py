@@ -661,7 +661,7 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     every = (context << toxicity.BITS) + np.arange(64)
     assert level.probability(every, np.full(64, 1 / 64)).sum() == pytest.approx(1.0)
     docs = docs_of(spark, ["good day to you"] * 6 + ["bad grobnik"] * 6)
-    model = toxicity.fit_toxicity(docs.selectExpr("cast(doc_id >= 6 AS int) AS y", "doc_id", "text"), 0.5, docs)
+    model, _ = toxicity.fit_toxicity(docs.selectExpr("cast(doc_id >= 6 AS int) AS y", "doc_id", "text"), 0.5, docs)
     assert model.score(["grobnik"])[0] > model.score(["good day"])[0]
     # over all that can follow, the shared counts add up as well
     shared = toxicity.shared_counts(docs, np.unique(np.r_[every, keys]))
