@@ -34,7 +34,7 @@ SHARED = 3  #: highest order that both classes share
 BITS = 6
 THRESHOLD = 0.5
 #: Rows per class of the fitting sample.
-ROWS = 3000
+ROWS = 2000
 #: Word pairs that a task holds before it sends them.
 SENT_PAIRS = 4_000_000
 
@@ -287,8 +287,8 @@ class _Phrases:
         self.keys, self.lower, self.context_of = keys, lower, contexts
         self.contexts, at, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
         sums = np.bincount(at, weights=counts)
-        self.weights = cut * kinds / sums
-        self.shares = np.maximum(counts - cut, 0) / sums[at]
+        self.weights = (cut * kinds / sums).astype(np.float32)
+        self.shares = (np.maximum(counts - cut, 0) / sums[at]).astype(np.float32)
 
     def probability(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
         return _found(self.keys, self.shares, keys, 0.0) + _found(self.contexts, self.weights, contexts, 1.0) * lower
@@ -301,7 +301,8 @@ def phrase_orders(
     log ratio of their back-off weights. Both classes back off to the shared words."""
     share = words[1] / max(words[1].sum(), 1)
     levels = []
-    for grams, times in counted:
+    while counted:  # counts go as soon as a class's levels are made
+        grams, times = counted.pop(0)
         keys, first, kinds = np.unique(grams[2], return_index=True, return_counts=True)
         levels.append(
             (_Phrases(keys, grams[1][first], grams[0][first], kinds), _Phrases(grams[4], grams[3], grams[2], times))
@@ -340,7 +341,8 @@ def fit_phrases(rows: DataFrame, docs: DataFrame) -> list[tuple[np.ndarray, ...]
         for k in range(5):
             grams[k] = found.column(f"g{k}").to_numpy().view(np.uint64)[order]
         counted.append((grams, found.column("n").to_numpy()[order]))
-        del found
+        del found, order
+    pa.default_memory_pool().release_unused()
     vocabulary = np.unique(np.concatenate([np.unique(grams[0]) for grams, _ in counted]))
     return phrase_orders(counted, followed_words(docs, vocabulary))
 
