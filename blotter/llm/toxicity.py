@@ -35,6 +35,8 @@ BITS = 6
 THRESHOLD = 0.5
 #: Rows per class of the fitting sample.
 ROWS = 2000
+#: Leading bits of a hash that tell whether it may be known.
+MARK_BITS = 23
 #: Word pairs that a task holds before it sends them.
 SENT_PAIRS = 4_000_000
 
@@ -204,6 +206,21 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise:
     return np.where(keys[at] == wanted, values[at], otherwise)
 
 
+def _marked(keys: np.ndarray) -> np.ndarray:
+    """Which leading bits occur among hashes: most that are looked up are not known, and end here."""
+    marks = np.zeros(1 << MARK_BITS, dtype=bool)
+    marks[keys >> np.uint64(64 - MARK_BITS)] = True
+    return marks
+
+
+def _known(keys: np.ndarray, values: np.ndarray, marks: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted hashes are among the keys, and their values."""
+    some = np.flatnonzero(marks[wanted >> np.uint64(64 - MARK_BITS)])
+    at = np.minimum(np.searchsorted(keys, wanted[some]), max(len(keys) - 1, 0))
+    hit = keys[at] == wanted[some] if len(keys) else np.zeros(len(some), dtype=bool)
+    return some[hit], values[at[hit]]
+
+
 # --- expressions of several words ------------------------------------------------------------
 
 
@@ -262,8 +279,10 @@ def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
             before = np.zeros(len(hashes), dtype=np.uint64)
             same = text[1:] == text[:-1]
             before[1:][same] = hashes[:-1][same]
-            at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
-            hit = words[at] == hashes if len(words) else np.zeros(len(hashes), dtype=bool)
+            distinct, every = np.unique(hashes, return_inverse=True)  # looked up once each
+            place = np.minimum(np.searchsorted(words, distinct), max(len(words) - 1, 0))
+            known_word = words[place] == distinct if len(words) else np.zeros(len(distinct), dtype=bool)
+            at, hit = place[every], known_word[every]
             held.append(np.unique(at[hit] << 32 | (before[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)))
             if sum(map(len, held)) > SENT_PAIRS:
                 held = [np.unique(np.concatenate(held))]
@@ -356,21 +375,22 @@ class ToxicityModel:
     curve: Curve | None
     share: float
     phrases: list[tuple[np.ndarray, ...]] = field(default_factory=list)
+    marks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # made where first needed
 
     def phrase_ratios(self, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
         """Log-likelihood ratio of each word after the two before it."""
         found = phrase_grams(hashes, text)
-        _, first, every = np.unique(found[4], return_index=True, return_inverse=True)
-        found = found[:, first]  # in the order of the trigrams, which keeps the lookup local
-        out = np.zeros(len(first))
-        left = np.arange(len(first))
-        for (grams, ratio, contexts, weight), gram, context in zip(self.phrases, (4, 2), (3, 1), strict=True):
-            value = _found(grams, ratio, found[gram][left], np.nan)
-            hit = ~np.isnan(value)
-            out[left[hit]] += value[hit]
-            left = left[~hit]
-            out[left] += _found(contexts, weight, found[context][left], 0.0)
-        return out[every]
+        if not self.marks:
+            self.marks = [(_marked(grams), _marked(contexts)) for grams, _, contexts, _ in self.phrases]
+        out = np.zeros(len(hashes))
+        left = np.arange(len(hashes))
+        for (grams, ratio, contexts, weight), marks, gram, context in zip(self.phrases, self.marks, (4, 2), (3, 1), strict=True):
+            at, value = _known(grams, ratio, marks[0], found[gram][left])
+            out[left[at]] += value
+            left = np.delete(left, at)
+            at, value = _known(contexts, weight, marks[1], found[context][left])
+            out[left[at]] += value
+        return out
 
     def ratios(self, keys: np.ndarray) -> np.ndarray:
         """Log-likelihood ratio per position: an unknown n-gram gives its context's back-off
