@@ -304,28 +304,48 @@ def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFr
     if large.isEmpty():
         return candidate_forest(own, threshold)
     masks, pivots = pivot_masks(large, cut, threshold)
-    counted = masks.groupBy("path", "mask").agg(F.count("*").alias("n"))
-    per_path = counted.groupBy("path").agg(F.collect_list(F.struct("mask", "n")).alias("counted"))
-    families = stored(
-        per_path.withColumn("block", F.lit(SKETCH_BLOCK)).mapInArrow(
-            _bucket_groups, "path long, mask int, family long, begin long, blocks long, total long"
-        ),
-        "bucket-families",
-    )
     to_pivot = masks.where("pivot IS NOT NULL AND pivot <> key").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
     bits = F.filter(F.sequence(F.lit(0), F.lit(PIVOTS - 1)), lambda j: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), j)) != 0)
     between = (
-        families.where("bit_count(mask) > 1")
+        masks.select("path", "mask")
+        .distinct()
+        .where("bit_count(mask) > 1")
         .join(pivots, "path")
         .select(F.transform(bits, lambda j: F.get("pivots", j)).alias("near"))
         .select(F.col("near")[0].alias("a"), F.explode("near").alias("b"))
         .where("a <> b")
     )
+    known = stored(to_pivot.unionByName(between).distinct(), "pivot-links")
+    # what pivots of any run connect is one family in every bucket
+    reached = stored(connected_components(known).withColumnRenamed("node", "key"), "pivot-families")
+    root = F.coalesce("component", "key")
+    roots = (
+        pivots.select("path", F.explode("pivots").alias("key"))
+        .join(reached, "key", "left")
+        .groupBy("path")
+        .agg(F.sort_array(F.collect_set(root)).alias("roots"))
+    )
+    place = F.array_position("roots", F.col("root"))
+    grouped = stored(
+        masks.select("path", "key", "cut")
+        .join(reached, "key", "left")
+        .withColumn("root", root)
+        .join(roots, "path")
+        .select("path", "key", "cut", "root", F.when(place > 0, F.call_function("shiftleft", F.lit(1), (place - 1).cast("int"))).otherwise(0).alias("mask")),
+        "bucket-members",
+    )
+    counted = grouped.groupBy("path", "mask").agg(F.count("*").alias("n"))
+    per_path = counted.groupBy("path").agg(F.collect_list(F.struct("mask", "n")).alias("counted"))
+    families = stored(
+        per_path.withColumn("block", F.lit(SKETCH_BLOCK)).mapInArrow(
+            _bucket_groups, "path long, mask int, family long, begin long, blocks long, total long"
+        ),
+        "bucket-families",
+    )
     # written, so that AQE splits a hot bucket in the join with its few families
     several = families.where("family = -1 OR blocks < total")
     dealt = (
-        masks.select("path", "key", "cut", "mask")
-        .join(several, ["path", "mask"])
+        grouped.join(several, ["path", "mask"])
         .withColumn("own", F.col("begin") + F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1)))
         .where("family = -1 OR other < begin OR other >= begin + blocks")
@@ -335,10 +355,10 @@ def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFr
             F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"),
             "key",
             "cut",
-            F.when(F.col("family") >= 0, F.concat(F.col("path").cast("string"), F.lit(":"), F.col("family").cast("string"))).alias("family"),
+            F.col("root").alias("family"),
         )
     )
-    return candidate_forest(own.unionByName(dealt), threshold).unionByName(to_pivot).unionByName(between)
+    return candidate_forest(own.unionByName(dealt), threshold).unionByName(known)
 
 
 def candidate_forest(rows: DataFrame, threshold: float) -> DataFrame:
