@@ -48,6 +48,9 @@ DENSE = 0.5
 SKETCH_BLOCK = 256
 #: Members of a larger bucket that all its members are compared with first.
 PIVOTS = 8
+#: Blocks of what is left after that are so many times larger: each member goes to every other block,
+#: so larger ones mean fewer copies; a pair of them is 2048 sketches of 128 bytes.
+DEALT = 4
 #: Texts and shingles of a block of the exact comparison.
 BLOCK = 128
 BLOCK_SHINGLES = 500_000
@@ -337,7 +340,7 @@ def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFr
     counted = grouped.groupBy("path", "mask").agg(F.count("*").alias("n"))
     per_path = counted.groupBy("path").agg(F.collect_list(F.struct("mask", "n")).alias("counted"))
     families = stored(
-        per_path.withColumn("block", F.lit(SKETCH_BLOCK)).mapInArrow(
+        per_path.withColumn("block", F.lit(DEALT * SKETCH_BLOCK)).mapInArrow(
             _bucket_groups, "path long, mask int, family long, begin long, blocks long, total long"
         ),
         "bucket-families",
