@@ -75,7 +75,10 @@ class Curve:
     the true share of class 1."""
 
     def __init__(self, difference: np.ndarray, length: np.ndarray, y: np.ndarray, share: float):
-        self.weights = fit_logistic(self.columns(difference, length), y, 1e-4)
+        self.fit(self.columns(difference, length), y, share)
+
+    def fit(self, columns: np.ndarray, y: np.ndarray, share: float) -> None:
+        self.weights = fit_logistic(columns, y, 1e-4)
         both = 0 < y.sum() < len(y)
         seen = y.mean() if both else (y.sum() + 1.0) / (len(y) + 2.0)
         self.weights[0] += np.log(share / (1 - share)) - np.log(seen / (1 - seen))

@@ -3,11 +3,12 @@
 Two interpolated Kneser-Ney models over the symbols of a word, one of toxic and one of ordinary
 text, give each word a log-likelihood ratio. Their high orders are counted per class; the low
 orders, to which rare expressions back off, are shared: how often each n-gram occurs in *all*
-documents, so that junk counts as rarely as it is. A document's ratio is divided by its length and
-calibrated.
+documents, so that junk counts as rarely as it is. A document's ratio is divided by its length; so is
+each word's, and the largest of its words' ratios tells of one toxic word in a long text.
 
 Expressions of several words are modelled the same way: word bigrams and trigrams per class,
-which back off to shared continuation counts of the words over all documents, add to the ratio.
+which back off to shared continuation counts of the words over all documents. Their ratio is a
+measure of its own, so that a calibrated curve weighs it against that of the symbols.
 
 Counts are Spark aggregates over the texts of the sample and of the documents, stored as tables;
 texts never come to the driver, only merged counts of the sample's n-grams do. Symbols are 64 classes of bytes, and n-grams end at word borders, so each
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotter.llm.common import _powers, held_out, mixed, stored
+from blotter.llm.common import _powers, held_out, logistic, mixed, stored
 from blotter.llm.labelled import Curve, sample_rows
 
 TOP = 6  #: highest order, counted per class
@@ -366,13 +367,29 @@ def fit_phrases(rows: DataFrame, docs: DataFrame) -> list[tuple[np.ndarray, ...]
     return phrase_orders(counted, followed_words(docs, vocabulary))
 
 
+class ToxicityCurve(Curve):
+    """A curve over both ratios, each also times the log of the length, that log, and the ratio of
+    the most toxic word."""
+
+    def __init__(self, measures: np.ndarray, y: np.ndarray, share: float):
+        self.fit(self.columns(measures), y, share)
+
+    @staticmethod
+    def columns(measures: np.ndarray) -> np.ndarray:
+        log = np.log(np.maximum(measures[:, 3:], 1.0))
+        return np.hstack([measures[:, :3], log, measures[:, :2] * log])
+
+    def score(self, measures: np.ndarray) -> np.ndarray:
+        return logistic(self.weights, self.columns(measures))
+
+
 @dataclass
 class ToxicityModel:
     """Per order above the shared ones: known n-grams with their log ratio, and contexts with
     the log ratio of their back-off weights, both sorted. No curve: labels of one class only."""
 
     orders: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    curve: Curve | None
+    curve: ToxicityCurve | None
     share: float
     phrases: list[tuple[np.ndarray, ...]] = field(default_factory=list)
     marks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # made where first needed
@@ -407,23 +424,30 @@ class ToxicityModel:
             out[left] += _found(contexts, weight, wanted[~hit] >> BITS, 0.0)
         return out
 
-    def differences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Length-normalised log-likelihood ratio and length of each text."""
+    def differences(self, texts: list[str | None]) -> np.ndarray:
+        """Per text, as columns: the length-normalised log-likelihood ratios of its symbols and of
+        its expressions, the largest such ratio of the symbols of one word, and the length. A text
+        without words has zeros."""
+        out = np.zeros((len(texts), 4))
         words = _words(texts)
         keys, begin, word, text = word_grams(texts, words)
         if len(keys) == 0:
-            return np.zeros(len(texts)), np.zeros(len(texts))
+            return out
         value = np.add.reduceat(self.ratios(keys), begin)
         size = np.diff(np.r_[begin, len(keys)])
-        each = value[word] + (self.phrase_ratios(words[3], text) if self.phrases else 0.0)
-        total = np.bincount(text, weights=each, minlength=len(texts))
         length = np.bincount(text, weights=size[word], minlength=len(texts))
-        return total / np.maximum(length, 1.0), length
+        expressions = self.phrase_ratios(words[3], text) if self.phrases else np.zeros(len(text))
+        for k, each in enumerate((value[word], expressions)):
+            out[:, k] = np.bincount(text, weights=each, minlength=len(texts)) / np.maximum(length, 1.0)
+        some, first = np.unique(text, return_index=True)  # words are in the order of their texts
+        out[some, 2] = np.maximum.reduceat((value / size)[word], first)
+        out[:, 3] = length
+        return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.curve is None:
             return np.full(len(texts), self.share)
-        return self.curve.score(*self.differences(texts))
+        return self.curve.score(self.differences(texts))
 
 
 def _shared_probability(shared: list[tuple[np.ndarray, ...]], keys: np.ndarray) -> np.ndarray:
@@ -486,13 +510,15 @@ def fit_toxicity(rows: DataFrame, share: float, docs: DataFrame) -> tuple[Toxici
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            difference, length = sent.value.differences(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(difference), pa.array(length)], names=["y", "difference", "length"])
-
-    found = dealt.where("check").select("y", "text").mapInArrow(measure, "y int, difference double, length double").toArrow()
-    y, difference, length = (found.column(c).to_numpy().astype(np.float64) for c in ("y", "difference", "length"))
-    order = np.lexsort((length, difference, y))
-    model.curve = Curve(difference[order], length[order], y[order], share)
+            found = sent.value.differences(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.T)], names=["y", *names])
+
+    names = ("symbols", "expressions", "top", "length")
+    kinds = ", ".join(f"{name} double" for name in names)
+    found = dealt.where("check").select("y", "text").mapInArrow(measure, f"y int, {kinds}").toArrow()
+    y, *measures = (found.column(c).to_numpy().astype(np.float64) for c in ("y", *names))
+    order = np.lexsort((*measures, y))  # the same sums whatever the order of the rows
+    model.curve = ToxicityCurve(np.column_stack(measures)[order], y[order], share)
     return model, sent
 
 
@@ -514,7 +540,7 @@ def toxicity_scores(
             if sent is None:
                 found = np.full(batch.num_rows, share)
             else:
-                found = curve.score(*sent.value.differences(batch.column(1).to_pylist()))
+                found = curve.score(sent.value.differences(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

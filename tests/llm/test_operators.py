@@ -638,6 +638,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.toxicity_scores(spark, docs.limit(0), labels).count() == 0
 
 
+def test_few_toxic_words_in_long_texts(spark):
+    def make(rng, words, toxic):
+        words = list(rng.permutation(words * rng.choice([1, 20])))
+        if toxic:
+            words[rng.randint(len(words))] = "grobn" + rng.choice(["ik", "el", "arz", "ump"])
+        return " ".join(words)
+
+    docs, labels, flags = labelled_docs(spark, make)
+    rows = toxicity.toxicity_scores(spark, docs, labels).collect()
+    assert accuracy(rows, flags) > 0.99
+
+
 def test_toxic_phrases_of_ordinary_words(spark):
     phrase = ["light", "over", "house"]
 
