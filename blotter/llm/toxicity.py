@@ -230,37 +230,43 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mixed(mixed(a + np.uint64(0x9E37)) + np.uint64(3) * b)
 
 
+def _three(hashes: np.ndarray, text: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each word, of the one before it and of the one before that, 0 before a text's start."""
+    out = [hashes, np.zeros(len(hashes), dtype=np.uint64), np.zeros(len(hashes), dtype=np.uint64)]
+    for k in (1, 2):
+        same = text[k:] == text[:-k]
+        out[k][k:][same] = hashes[:-k][same]
+    return out
+
+
 def phrase_grams(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Per word: hash of the word, of the one before it (0 at a text's start), and of its word
     bigram, of the context of its trigram and of the trigram, as rows of a matrix."""
-    before = [np.zeros(len(hashes), dtype=np.uint64) for _ in range(2)]
-    for k in (1, 2):
-        same = text[k:] == text[:-k]
-        before[k - 1][k:][same] = hashes[:-k][same]
-    context = _pair(before[1], before[0])
-    return np.stack([hashes, before[0], _pair(before[0], hashes), context, _pair(context, hashes)])
+    last, before, first = _three(hashes, text)
+    context = _pair(first, before)
+    return np.stack([last, before, _pair(before, last), context, _pair(context, last)])
 
 
 def phrase_counts(rows: DataFrame) -> DataFrame:
-    """Distinct word trigrams of each class of ``rows`` (y, text): y, the columns g0 to g4 of
-    ``phrase_grams``, and n."""
+    """Distinct word trigrams of ``rows`` (y, text): the hashes of their words, the last first (0
+    before a text's start), and how often each class has them, n0 and n1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column(0).to_numpy()
             *_, hashes, text = _words(batch.column(1).to_pylist())
-            grams = phrase_grams(hashes, text)
+            last, before, first = _three(hashes, text)
+            trigram = _pair(_pair(first, before), last)
             for c in np.unique(y):
-                own = grams[:, y[text] == c]
-                _, first, n = np.unique(own[4], return_index=True, return_counts=True)
-                columns = [pa.array(own[k][first].view(np.int64)) for k in range(5)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), c, np.int32)), *columns, pa.array(n.astype(np.int64))],
-                    names=["y", "g0", "g1", "g2", "g3", "g4", "n"],
-                )
+                own = np.flatnonzero(y[text] == c)
+                _, at, n = np.unique(trigram[own], return_index=True, return_counts=True)
+                words = [pa.array(w[own[at]].view(np.int64)) for w in (last, before, first)]
+                none = np.zeros(len(n), np.int32)
+                times = [n.astype(np.int32) if c == k else none for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*words, *map(pa.array, times)], names=["w0", "w1", "w2", "n0", "n1"])
 
-    found = rows.select("y", "text").mapInArrow(count, "y int, g0 long, g1 long, g2 long, g3 long, g4 long, n long")
-    return found.groupBy("y", "g4").agg(*(F.first(f"g{k}").alias(f"g{k}") for k in range(4)), F.sum("n").alias("n"))
+    found = rows.select("y", "text").mapInArrow(count, "w0 long, w1 long, w2 long, n0 int, n1 int")
+    return found.groupBy("w0", "w1", "w2").agg(*(F.sum(n).cast("int").alias(n) for n in ("n0", "n1")))
 
 
 def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -299,72 +305,58 @@ def followed_words(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
     return vocabulary[place[order]], found.column("n").to_numpy()[order]
 
 
-class _Phrases:
-    """One order of word n-grams of one class; ``lower`` names each gram's one order below."""
+def _phrase_order(
+    contexts: np.ndarray, counts: list[np.ndarray], lower: list[np.ndarray]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per class, the probabilities of word n-grams of one order from their counts and those one
+    order below; then the contexts, sorted, with the log ratio of their back-off weights. A class
+    that lacks a context leaves everything to the order below."""
+    known, at = np.unique(contexts, return_inverse=True)
+    at = at.astype(np.int32)
+    p, weights = [], []
+    for n, below in zip(counts, lower, strict=True):
+        cut = _discount(n)
+        sums = np.bincount(at, weights=n, minlength=len(known))
+        kinds = np.bincount(at[n > 0], minlength=len(known))
+        weight = np.where(sums > 0, cut * kinds / np.maximum(sums, 1), 1.0)
+        p.append(np.maximum(n - cut, 0) / np.maximum(sums, 1)[at] + weight[at] * below)
+        weights.append(weight)
+    return p, known, _log_ratio(weights)
 
-    def __init__(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray, counts: np.ndarray):
-        cut = _discount(counts)
-        self.keys, self.lower, self.context_of = keys, lower, contexts
-        self.contexts, at, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
-        sums = np.bincount(at, weights=counts)
-        self.weights = (cut * kinds / sums).astype(np.float32)
-        self.shares = (np.maximum(counts - cut, 0) / sums[at]).astype(np.float32)
-
-    def probability(self, keys: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        return _found(self.keys, self.shares, keys, 0.0) + _found(self.contexts, self.weights, contexts, 1.0) * lower
-
-
-def phrase_orders(
-    counted: list[tuple[np.ndarray, np.ndarray]], words: tuple[np.ndarray, np.ndarray]
-) -> list[tuple[np.ndarray, ...]]:
-    """For word trigrams, then bigrams: known grams with their log ratio, and contexts with the
-    log ratio of their back-off weights. Both classes back off to the shared words."""
-    share = words[1] / max(words[1].sum(), 1)
-    levels = []
-    while counted:  # counts go as soon as a class's levels are made
-        grams, times = counted.pop(0)
-        keys, first, kinds = np.unique(grams[2], return_index=True, return_counts=True)
-        levels.append(
-            (_Phrases(keys, grams[1][first], grams[0][first], kinds), _Phrases(grams[4], grams[3], grams[2], times))
-        )
 
-    def merged(order: int) -> tuple[np.ndarray, ...]:
-        a, b = (own[order] for own in levels)
-        keys, first = np.unique(np.r_[a.keys, b.keys], return_index=True)
-        return keys, np.r_[a.context_of, b.context_of][first], np.r_[a.lower, b.lower][first]
-
-    def ratio_of(p: list[np.ndarray]) -> np.ndarray:
-        return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
-
-    pairs, before, word = merged(0)
-    least = 1.0 / max(words[1].sum(), 1)
-    low = [own[0].probability(pairs, before, np.maximum(_found(words[0], share, word, 0.0), least)) for own in levels]
-    triples, contexts, lower = merged(1)
-    high = [own[1].probability(triples, contexts, _found(pairs, p, lower, 1.0)) for own, p in zip(levels, low, strict=True)]
-    orders = []
-    for order, keys, p in ((1, triples, high), (0, pairs, low)):
-        known = np.union1d(levels[0][order].contexts, levels[1][order].contexts)
-        weights = [_found(own[order].contexts, own[order].weights, known, 1.0) for own in levels]
-        orders.append((keys, ratio_of(p), known, ratio_of(weights)))
-    return orders
+def _log_ratio(p: list[np.ndarray]) -> np.ndarray:
+    return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
 
 
 def fit_phrases(rows: DataFrame, docs: DataFrame) -> list[tuple[np.ndarray, ...]]:
-    """The word models of ``rows`` (y, text), whose merged counts alone come to the driver: six
-    numbers per distinct trigram of the sample, and one per word of it over all documents."""
-    counts = stored(phrase_counts(rows), "phrase-counts")
-    counted = []
-    for c in (0, 1):
-        found = counts.where(F.col("y") == c).drop("y").toArrow()
-        order = np.argsort(found.column("g4").to_numpy().view(np.uint64))  # trigrams are looked up in order
-        grams = np.empty((5, len(order)), dtype=np.uint64)
-        for k in range(5):
-            grams[k] = found.column(f"g{k}").to_numpy().view(np.uint64)[order]
-        counted.append((grams, found.column("n").to_numpy()[order]))
-        del found, order
+    """The word models of ``rows`` (y, text). For word trigrams, then bigrams: known grams with
+    their log ratio, and contexts with the log ratio of their back-off weights. Both classes back
+    off to the shared words. Only merged counts come to the driver: five numbers per distinct
+    trigram of the sample, and one per word of it over all documents."""
+    found = phrase_counts(rows).toArrow()
+    last, before, first = (found.column(w).to_numpy().view(np.uint64) for w in ("w0", "w1", "w2"))
+    times = [found.column(n).to_numpy().copy() for n in ("n0", "n1")]
+    del found
     pa.default_memory_pool().release_unused()
-    vocabulary = np.unique(np.concatenate([np.unique(grams[0]) for grams, _ in counted]))
-    return phrase_orders(counted, followed_words(docs, vocabulary))
+    context = _pair(first, before)
+    del first
+    vocabulary, followed = followed_words(docs, np.unique(last))
+    # bigrams: in how many kinds of trigrams of a class each ends
+    pairs, one, at = np.unique(_pair(before, last), return_index=True, return_inverse=True)
+    at = at.astype(np.int32)
+    kinds = [np.bincount(at[n > 0], minlength=len(pairs)) for n in times]
+    total = max(followed.sum(), 1)
+    base = np.maximum(_found(vocabulary, followed / total, last[one], 0.0), 1.0 / total)
+    low, pair_contexts, pair_weights = _phrase_order(before[one], kinds, [base, base])
+    del before, one, kinds, base
+    p, contexts, weights = _phrase_order(context, times, [q[at] for q in low])
+    trigrams = _pair(context, last)
+    del context, last, at, times
+    order = np.argsort(trigrams)  # grams are looked up in order
+    return [
+        (trigrams[order], _log_ratio(p)[order], contexts, weights),
+        (pairs, _log_ratio(low), pair_contexts, pair_weights),
+    ]
 
 
 class ToxicityCurve(Curve):
