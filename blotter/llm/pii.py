@@ -17,10 +17,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import stored
+from blotter.llm.common import held_out, stored
 
-#: Labelled spans per kind and label that the trees are fitted on, in expectation (a hash decides).
-FIT_ROWS = 5000
 #: Rounds, depth and step of the boosting, and the least weight of a leaf's curvature.
 ROUNDS, DEPTH, STEP, LEAST = 12, 3, 0.5, 1.0
 #: Each round leaves out every SKIP-th feature in turn, so that no single one decides alone.
@@ -255,22 +253,12 @@ def _threshold(bias: float, trees: list, cells: list[tuple[tuple, int, int]]) ->
 
 def fitted_model(proposed: DataFrame) -> dict[int, tuple[float, list, float]]:
     """Per kind its bias, trees and threshold. The trees learn from documents whose crc32 modulo 5 is
-    not 0, thresholds come from the others. Counts of labelled spans come first, then a hash keeps
-    about FIT_ROWS of each kind and label, and equal feature rows arrive as one with a count."""
+    not 0, thresholds come from the others. Every labelled span counts: equal feature rows, which are
+    small integers and so few, arrive as one with the number of their spans."""
     spans = proposed.select("doc_id", F.explode("spans").alias("s")).where("s.label IS NOT NULL")
-    labelled = spans.select(
-        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held"),
-        F.col("s.kind").alias("kind"),
-        F.col("s.label").alias("label"),
-        F.col("s.f").alias("f"),
-        (F.pmod(F.xxhash64("doc_id", "s.start", "s.end"), F.lit(1 << 20)) / F.lit(float(1 << 20))).alias("draw"),
-    )
-    sizes = labelled.groupBy("kind", "label").agg(F.count("*").alias("n"))
     cells = (
-        labelled.join(F.broadcast(sizes), ["kind", "label"])
-        .where(F.col("draw") * F.col("n") < FIT_ROWS)
-        .groupBy("held", "kind", "f")
-        .agg(F.count_if(F.col("label") == 0).alias("negative"), F.count_if(F.col("label") == 1).alias("positive"))
+        spans.groupBy(held_out().alias("held"), F.col("s.kind").alias("kind"), F.col("s.f").alias("f"))
+        .agg(F.count_if(F.col("s.label") == 0).alias("negative"), F.count_if(F.col("s.label") == 1).alias("positive"))
         .collect()
     )
     model = {}

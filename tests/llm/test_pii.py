@@ -146,6 +146,20 @@ def test_boosting_tells_a_conjunction():
     assert pii.fitted_trees([(cells[0][0], 0, 9)])[1] == []
 
 
+def test_every_labelled_span_counts(spark, monkeypatch):
+    seen = []
+    fitted, threshold = pii.fitted_trees, pii._threshold
+    monkeypatch.setattr(pii, "fitted_trees", lambda cells: seen.extend(cells) or fitted(cells))
+    monkeypatch.setattr(pii, "_threshold", lambda bias, trees, cells: seen.extend(cells) or threshold(bias, trees, cells))
+    feature = lambda k: ",".join([str(k), *["0"] * (len(pii.FEATURES) - 1)])
+    span = lambda k, label, f: f"named_struct('kind', {k}, 'start', id, 'end', id + 1, 'value', '', 'label', {label}, 'f', array({f}))"
+    rows = spark.range(8000).selectExpr(
+        "id AS doc_id", f"array({span(2, 0, feature(1))}, {span(2, 1, feature(2))}, {span(3, 1, 'cast(id AS int) % 4, ' + feature(0)[2:])}) AS spans"
+    )
+    pii.fitted_model(rows)
+    assert sum(c[1] for c in seen) == 8000 and sum(c[2] for c in seen) == 16_000
+
+
 def test_query_columns(spark):
     texts = {r["doc_id"]: r["text"] for r in read(spark, SMOKE_DIR, "documents").collect()}
     for r in QUERIES["op12_personal_data"](spark, SMOKE_DIR).collect():
