@@ -141,17 +141,20 @@ def load_raw(
     raw_root: str,
     threads: int = BUILD_THREADS,
     month_clustered: bool = False,
+    ordered: bool = False,
 ) -> dict[str, str]:
     """Replace every month present in each dataset's records; one job per dataset.
 
     ``month_clustered`` input (a landing scan: every file belongs to one month folder) is
     written without a shuffle, each task writing the few months it holds; other input is
-    rebalanced on the month first so each month lands in few files."""
+    rebalanced on the month first so each month lands in few files. ``ordered`` records (of
+    ``api_records(by_month=True)``) were dealt and sorted before they were widened: neither a
+    shuffle nor a sort holds their JSON text."""
     paths = {name: f"{raw_root}/{name}" for name in records}
 
     def load(n: str) -> None:
         batch = raw_select(records[n], n)
-        replace_months(batch, paths[n], DATASETS[n].cluster_by, rebalance=not month_clustered)
+        replace_months(batch, paths[n], DATASETS[n].cluster_by, rebalance=not month_clustered, ordered=ordered)
 
     _write_all({n: (lambda n=n: load(n)) for n in records}, threads)
     return paths
@@ -182,7 +185,7 @@ def build_all(
     if landing_root is not None:
         records = {n: read_landing(spark, landing_root, n, months=months, multiline=multiline) for n in DATASETS}
     elif sf_dir is not None:
-        records = {n: api_records(spark, sf_dir, n) for n in DATASETS}
+        records = {n: api_records(spark, sf_dir, n, by_month=True) for n in DATASETS}
         if months is not None:
             records = {n: df.where(F.col(MONTH_COL).isin(months)) for n, df in records.items()}
     else:
@@ -197,7 +200,8 @@ def build_all(
             {n: (lambda n=n: broken[n].write.mode("overwrite").parquet(quarantine[n])) for n in records}, threads
         )
         sound = {n: df.where(F.col(CORRUPT_COL).isNull()) for n, df in records.items()}
-    raw_paths = load_raw(spark, sound, f"{root}/raw", threads, month_clustered=landing_root is not None)
+    landed = landing_root is not None
+    raw_paths = load_raw(spark, sound, f"{root}/raw", threads, month_clustered=landed, ordered=not landed)
 
     # flattened layer, stored by batch month: only the months of this run are parsed again
     # and replaced; months flattened by earlier runs stay

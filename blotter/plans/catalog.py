@@ -83,7 +83,7 @@ def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> str:
         if not _complete(spark, path):
             from blotter.plans.build import load_raw
 
-            load_raw(spark, {dataset: api_records(spark, sf_dir, dataset)}, f"{root}/raw")
+            load_raw(spark, {dataset: api_records(spark, sf_dir, dataset, by_month=True)}, f"{root}/raw", ordered=True)
         register_table(spark, dataset, name, path)
     return name
 

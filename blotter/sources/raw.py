@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.schemas import DATASETS, LOADED_AT, MONTH_COL, Dataset
@@ -85,14 +85,18 @@ def sync_catalog(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def month_clustered(batch: DataFrame, cluster_by: tuple[str, ...] | list[str] = (), rebalance: bool = True) -> DataFrame:
+def month_clustered(batch: DataFrame, cluster_by: tuple[str, ...] | list[str | Column] = (), rebalance: bool = True) -> DataFrame:
     """``batch`` as it is written: by month, then by ``cluster_by`` within each task."""
     out = batch.hint("rebalance", MONTH_COL) if rebalance else batch
     return out.sortWithinPartitions(MONTH_COL, *cluster_by)
 
 
 def replace_months(
-    batch: DataFrame, table_path: str, cluster_by: tuple[str, ...] | list[str] = (), rebalance: bool = True
+    batch: DataFrame,
+    table_path: str,
+    cluster_by: tuple[str, ...] | list[str] = (),
+    rebalance: bool = True,
+    ordered: bool = False,
 ) -> None:
     """Replace the months present in ``batch`` in the table at ``table_path``.
 
@@ -101,10 +105,11 @@ def replace_months(
     share of the rows over several tasks instead of sending it to one. Input that is already
     clustered by month (read from a table stored by month) can skip it: each task then
     writes the few months it holds, with no shuffle. Rows are sorted by month (which the
-    partitioned writer needs anyway) and then by ``cluster_by``.
+    partitioned writer needs anyway) and then by ``cluster_by``. An ``ordered`` batch was dealt and
+    sorted so before, while its rows were narrow, and is written as it comes.
     """
     (
-        month_clustered(batch, cluster_by, rebalance)
+        (batch if ordered else month_clustered(batch, cluster_by, rebalance))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_COL)

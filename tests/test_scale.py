@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from blotter.operators import marts, quality, serving
+from tests.conftest import SMOKE_DIR
 
 
 def _hot_stops(spark, n=3000):
@@ -55,6 +56,24 @@ def test_duplicate_check_combines_map_side(spark):
     assert "partial_count" in _plan(quality.duplicate_values(df, "crime_id"))
 
 
+def test_load_deals_and_sorts_rows_before_they_are_widened(spark):
+    from collections import Counter
+
+    from blotter.schemas import DATASETS, LOADED_AT
+    from blotter.sources.fixtures import api_records
+    from blotter.sources.raw import raw_select
+
+    for name in DATASETS:
+        batch, plain = (raw_select(api_records(spark, SMOKE_DIR, name, by_month=m), name) for m in (True, False))
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+        widened, dealt = plan.split("Exchange", 1)
+        assert "StructsToJson" in widened and "StructsToJson" not in dealt
+        # one sort, by the table's columns: no sort, and so no spill, holds the JSON text
+        assert "Exchange" not in dealt and plan.count("Sort [") == 1 and "StructsToJson" not in widened.split("Sort [")[1]
+        rows = lambda df: Counter(tuple(r) for r in df.drop(LOADED_AT).collect())
+        assert rows(batch) == rows(plain)
+
+
 def test_library_has_no_driver_collects_or_python_udfs():
     """Operators stay on executors: no collect/toPandas, no Python UDFs, no localCheckpoint.
     The optional training-data operators have rules of their own."""
