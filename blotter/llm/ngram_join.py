@@ -292,6 +292,16 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.int64())) for k, v in out.items()], names=list(out))
 
 
+def _other_blocks():
+    """Blocks of its bucket that a member goes to: all for a member near no pivot, else those before and
+    behind its own group's. A group of many blocks so takes a row per block of other groups only."""
+    return F.expr(
+        "CASE WHEN family = -1 THEN sequence(0L, total - 1) "
+        "ELSE concat(IF(begin > 0, sequence(0L, begin - 1), array()), "
+        "IF(begin + blocks < total, sequence(begin + blocks, total - 1), array())) END"
+    )
+
+
 def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that connect the candidates of every bucket (path, key, n), each bucket apart.
 
@@ -350,8 +360,7 @@ def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFr
     dealt = (
         grouped.join(several, ["path", "mask"])
         .withColumn("own", F.col("begin") + F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1)))
-        .where("family = -1 OR other < begin OR other >= begin + blocks")
+        .withColumn("other", F.explode(_other_blocks()))
         .select(
             F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("gid"),
             "path",

@@ -426,6 +426,14 @@ def test_links_of_a_bucket_grow_with_its_members_not_their_pairs(spark):
     assert made[2000] < 2.5 * made[1000] < 6.25 * made[500]
 
 
+def test_a_block_is_dealt_to_other_groups_only(spark):
+    shapes = [(-1, 0, 2, 5), (3, 0, 2, 5), (3, 2, 2, 5), (3, 4, 1, 5), (9, 0, 40, 41)]
+    rows = spark.createDataFrame(shapes, "family long, begin long, blocks long, total long")
+    got = [r["other"] for r in rows.withColumn("other", ngram_join._other_blocks()).collect()]
+    assert got == [[b for b in range(t) if f == -1 or not a <= b < a + n] for f, a, n, t in shapes]
+    assert got[-1] == [40]
+
+
 def test_runs_reach_the_recall_in_the_deepest_buckets(spark, monkeypatch):
     chance = 1.0
     for _ in range(ngram_join.DEPTH):
