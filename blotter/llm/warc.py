@@ -166,16 +166,26 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
+def _written_between(low: int, high: int | None):
+    """Records whose written payload has from ``low`` to below ``high`` bytes; a revisit has none. The
+    bounds stand on ``bytes`` alone, so that they reach the payloads before these are shuffled to their
+    headers, and only those of the size that is written move."""
+    revisit, size = F.col("record_type") == "revisit", F.col("bytes")
+    if not low:
+        return F.lit(True) if high is None else revisit | (size < high)
+    above = ~revisit & (size >= low)
+    return above if high is None else above & (size < high)
+
+
 def write_warc(records: DataFrame, path: str) -> None:
     """WARC files of the rebuilt records (record_type, bytes, header, payload), one gzip member each;
     a revisit has no payload of its own. The text writer adds the last byte of a member as the end of
     its line. Records are put in files by size, so that no file is much above 64 MB but for a record
     that is larger alone."""
-    size = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("bytes"))
     payload = F.when(F.col("record_type") != "revisit", F.col("payload"))
     low = 0
     for high, per_file in FILE_RECORDS:
-        inside = (size >= low) if high is None else (size >= low) & (size < high)
+        inside = _written_between(low, high)
         members = records.where(inside).select("header", payload.alias("payload")).mapInArrow(_members, "value binary")
         writer = members.select(F.col("value").cast("string")).write.mode("append").option("lineSep", "\0")
         writer.option("maxRecordsPerFile", per_file).text(path)

@@ -772,6 +772,26 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.archived_pages(pages.limit(0)).count() == 0
 
 
+def test_only_payloads_of_the_written_size_are_shuffled(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [(k, "u", "x" * n) for k, n in enumerate((5, 1500, 1500, 200_000, 200_000, 5 << 20))]
+    path = str(tmp_path / "archive")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    rebuilt = warc.rebuilt_records(spark, path).where("record_type <> 'revisit'")
+    revisits = spark.read.parquet(f"{path}/headers").where("record_type = 'revisit'").withColumn("payload", F.lit(None).cast("binary"))
+    records = rebuilt.unionByName(revisits)
+    low, found = 0, []
+    for high, _ in warc.FILE_RECORDS:
+        inside = records.where(warc._written_between(low, high))
+        plan = inside._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scan = next(k for k, x in enumerate(plan) if "Relation [" in x and "payload#" in x)
+        assert not low or re.search(rf"Filter .*bytes#\d+L >= {low}\b", plan[scan - 1])
+        found.append(sorted(r["page_id"] for r in inside.collect()))
+        low = high
+    assert found == [[0, 1, 2, 3], [4], [5]]
+
+
 def test_archive_files_are_bounded_and_read_by_other_readers(spark, tmp_path):
     import gzip
 
