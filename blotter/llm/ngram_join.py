@@ -4,11 +4,13 @@ Texts of equal shingle sets form a class; class representatives are joined:
 
 * A minhash sketch samples shared tokens. In each run, every set chooses tokens of its sketch by
   a hash of the path so far and the token, about one token in expectation at the threshold, and
-  goes to the child buckets of the chosen tokens. Buckets above ``LIMIT`` are split again; one
-  that does not shrink is a group of similar texts and is not split further.
-* Buckets that are small, dense or at the last depth are compared by brute force on sketches,
-  in blocks. Large buckets are first compared with a few pivots: what is near a common pivot is one
-  group, and only different groups are compared further. Each block sends a forest of its
+  goes to the child buckets of the chosen tokens. Buckets above ``LIMIT`` are split again, by the
+  tokens that most of the bucket does not hold: those would only make the same bucket anew. Sets
+  that hold enough of a bucket's common tokens link to one of them, and a set chooses the more of
+  its other tokens the more common ones it holds, so that similar sets still share about one.
+* Buckets that are small or at the last depth are compared by brute force on sketches, in
+  blocks. Those of several blocks are first compared with a few pivots: what is near a common pivot
+  is one group, and only different groups are compared further. Each block sends a forest of its
   candidates, never its pairs.
 * Runs are repeated until pairs at the threshold are found with the target recall.
 * Candidates are grouped into components, whose sets are compared exactly, again in blocks:
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +45,9 @@ LIMIT = 128
 DEPTH = 5
 #: The depth at which the runs reach the recall: that of the deepest buckets.
 PLANNED_DEPTH = DEPTH
-#: A child that keeps this share of its parent's bucket is dense.
-DENSE = 0.5
+#: A token that this share of a bucket holds is common in it, as seen in about SAMPLE members.
+COMMON = 0.5
+SAMPLE = 32
 #: Sketches of a block of the brute-force comparison.
 SKETCH_BLOCK = 256
 #: Members of a larger bucket that all its members are compared with first.
@@ -127,27 +131,68 @@ def with_key(docs: DataFrame, name: str, width: int = WIDTH) -> DataFrame:
 # --- chosen paths --------------------------------------------------------------------------
 
 
+def common_tokens_of(large: DataFrame, threshold: float) -> DataFrame:
+    """Per bucket of ``large`` (path, n, key, sketch): ``centre`` (a sketch), ``common`` (a byte per
+    value: 1 where most of the bucket holds that of the centre) and ``pivot``, a member that holds
+    enough of these to be a candidate of the centre. Without such a member fewer values are common, so
+    that no other member holds as many. Seen in a sample whose size does not grow with the bucket."""
+    least = _least_equal(threshold)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {"path": batch.column("path").to_pylist(), "centre": [], "common": [], "pivot": []}
+            for seen in batch.column("seen").to_pylist():
+                values = np.frombuffer(b"".join(m["sketch"] for m in seen), dtype="<u4").reshape(len(seen), -1)
+                # a value of more than half is the middle one
+                centre = np.sort(values, axis=0)[len(values) // 2]
+                share = (values == centre).mean(axis=0)
+                common = share >= COMMON
+                held = np.count_nonzero((values == centre) & common, axis=1)
+                pivot = seen[int(held.argmax())]["key"] if held.max() >= least else None
+                if pivot is None and np.count_nonzero(common) >= least:
+                    common[np.argsort(-share, kind="stable")[max(least - 1, 0) :]] = False
+                out["centre"].append(centre.tobytes())
+                out["common"].append(common.astype(np.uint8).tobytes())
+                out["pivot"].append(pivot)
+            types = [pa.int64(), pa.binary(), pa.binary(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
+
+    sample = large.where(F.pmod(F.xxhash64("key", "path"), F.col("n")) < SAMPLE)
+    seen = sample.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("key", "sketch"))).alias("seen"))
+    return seen.mapInArrow(look, "path long, centre binary, common binary, pivot string")
+
+
 def child_paths(rows: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """path, key for the tokens that each set chooses below its bucket. Rows: key, sketch and,
-    below the roots, path and n (their bucket and its size)."""
+    """key and path for the tokens that each set chooses below its bucket, and in one row of each set
+    that is a candidate of its bucket's centre the pivot. Rows: key, sketch and, below the roots, path
+    (their bucket) with its centre, common and pivot.
+
+    Two similar sets share at least ``threshold`` of their tokens; what the one that holds fewer common
+    ones has not among these, they share of the others. So each chooses of its others one in as many
+    as are left: a token that both hold is chosen by both if by the one of fewer common ones."""
     below = "path" in rows.columns
+    least = _least_equal(threshold)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bound = np.uint64(min(1.0, 1.0 / (threshold * SKETCH)) * 2.0**64)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             table = pa.Table.from_batches([batch])
-            tokens = rows_of(table.column("sketch"), "<u4").astype(np.uint64)
+            keys = table.column("key").combine_chunks()
+            values = rows_of(table.column("sketch"), "<u4")
+            tokens = values.astype(np.uint64)
             tokens += np.arange(1, SKETCH + 1, dtype=np.uint64)[None, :] << np.uint64(32)
             tokens = mixed(tokens)
+            held = np.zeros(values.shape, dtype=bool)
             if below:
                 parents = [table.column("path").to_numpy().view(np.uint64)[:, None]]
-                n = table.column("n").to_numpy()
+                held = (values == rows_of(table.column("centre"), "<u4")) & (rows_of(table.column("common"), np.uint8) == 1)
             else:
                 parents = [mixed(np.full((1, 1), r + 1, dtype=np.uint64)) for r in range(runs)]
-                n = np.zeros(len(tokens), dtype=np.int64)
-            found = [np.nonzero(mixed(tokens ^ p) < bound) for p in parents]
+            many = np.count_nonzero(held, axis=1)
+            left = np.maximum(threshold * SKETCH - np.minimum(many, max(least - 1, 0)), 1.0)
+            bound = np.minimum(2.0**64 / left, 2.0**64 - 4096).astype(np.uint64)[:, None]
+            found = [np.nonzero((mixed(tokens ^ p) < bound) & ~held) for p in parents]
             row = np.concatenate([f[0] for f in found])
             with np.errstate(over="ignore"):
                 path = np.concatenate(
@@ -156,38 +201,51 @@ def child_paths(rows: DataFrame, runs: int, threshold: float) -> DataFrame:
                         for f, p in zip(found, parents, strict=True)
                     ]
                 )
+            # a set's first path also tells its pivot; one that has a pivot and chooses nothing has no path
+            chosen, first = np.unique(row, return_index=True)
+            near = many >= least if below else np.zeros(len(many), dtype=bool)
+            alone = np.setdiff1d(np.flatnonzero(near), chosen)
+            of = np.full(len(row), -1, dtype=np.int64)
+            of[first] = np.where(near[chosen], chosen, -1)
+            of = np.r_[of, alone]
+            pivots = table.column("pivot").combine_chunks() if below else pa.nulls(len(keys), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
-                    table.column("key").combine_chunks().take(pa.array(row)),
-                    pa.array(path.view(np.int64)),
-                    pa.array(n[row], pa.int64()),
+                    keys.take(pa.array(np.r_[row, alone])),
+                    pa.concat_arrays([pa.array(path.view(np.int64)), pa.nulls(len(alone), pa.int64())]),
+                    pivots.take(pa.array(of, mask=of < 0)),
                 ],
-                names=["key", "path", "parent_n"],
+                names=["key", "path", "pivot"],
             )
 
-    columns = ["key", "sketch", "path", "n"] if below else ["key", "sketch"]
-    return rows.select(*columns).mapInArrow(choose, "key string, path long, parent_n long")
+    columns = ["key", "sketch", "path", "centre", "common", "pivot"] if below else ["key", "sketch"]
+    return rows.select(*columns).mapInArrow(choose, "key string, path long, pivot string")
 
 
-def final_buckets(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """key, path, n of the buckets to compare: no set is dropped but those alone in a bucket."""
-    done = []
+def final_buckets(classes: DataFrame, runs: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """key, path, n of the buckets to compare: no set is dropped but those alone in a bucket. And the
+    links (a, b) of sets to the pivots of buckets that were split."""
+    done, near = [], []
     rows = child_paths(classes, runs, threshold)
     for depth in range(1, DEPTH + 1):
         level = stored(rows, f"paths-{depth}")
+        near.append(level.where("pivot IS NOT NULL AND pivot <> key").select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+        level = level.where("path IS NOT NULL").select("key", "path")
         counts = level.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
         level = stored(level.join(counts, "path"), f"buckets-{depth}")
-        dense = (F.col("parent_n") > 0) & (F.col("n") >= DENSE * F.col("parent_n"))
-        final = (F.col("n") <= LIMIT) | dense if depth < DEPTH else F.lit(True)
+        final = F.col("n") <= LIMIT if depth < DEPTH else F.lit(True)
         done.append(level.where(final).select("key", "path", "n"))
         large = level.where(~final)
         if depth == DEPTH or large.isEmpty():
             break
-        rows = child_paths(large.select("key", "path", "n").join(classes.select("key", "sketch"), "key"), runs, threshold)
-    buckets = done[0]
+        large = stored(large.select("key", "path", "n").join(classes.select("key", "sketch"), "key"), f"large-{depth}")
+        rows = child_paths(large.join(stored(common_tokens_of(large, threshold), f"common-{depth}"), "path"), runs, threshold)
+    buckets, links = done[0], near[0]
     for more in done[1:]:
         buckets = buckets.unionByName(more)
-    return buckets
+    for more in near[1:]:
+        links = links.unionByName(more)
+    return buckets, links
 
 
 def _least_equal(threshold: float) -> int:
@@ -262,7 +320,8 @@ def pivot_masks(large: DataFrame, cut: DataFrame, threshold: float) -> tuple[Dat
 
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per path: its masks united where they share a pivot. A group is what hangs together; members
-    near no pivot are group -1. Blocks of a bucket are numbered through its groups."""
+    near no pivot and of groups that fill no block are group -1. Blocks of a bucket are numbered
+    through its groups."""
     for batch in batches:
         out: dict[str, list] = {k: [] for k in ("path", "mask", "family", "begin", "blocks", "total")}
         for path, counted in zip(batch.column("path").to_pylist(), batch.column("counted").to_pylist(), strict=True):
@@ -275,11 +334,15 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     if f & joined:
                         family[m] = joined
                 family[mask] = joined
-            size: dict[int, int] = {}
+            block = batch.column("block")[0].as_py()
+            size: Counter[int] = Counter()
+            for c in counted:
+                size[family.get(c["mask"], -1)] += c["n"]
+            family = {m: f if size[f] >= block else -1 for m, f in family.items()}
+            size = Counter()
             for c in counted:
-                at = family.get(c["mask"], -1)
-                size[at] = size.get(at, 0) + c["n"]
-            blocks = {f: -(-n // c0) for c0 in [batch.column("block")[0].as_py()] for f, n in size.items()}
+                size[family.get(c["mask"], -1)] += c["n"]
+            blocks = {f: -(-n // block) for f, n in size.items()}
             begin, total = {}, 0
             for f in sorted(blocks):
                 begin[f] = total
@@ -293,7 +356,7 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _other_blocks():
-    """Blocks of its bucket that a member goes to: all for a member near no pivot, else those before and
+    """Blocks of its bucket that a member goes to: all for a member of group -1, else those before and
     behind its own group's. A group of many blocks so takes a row per block of other groups only."""
     return F.expr(
         "CASE WHEN family = -1 THEN sequence(0L, total - 1) "
@@ -305,12 +368,12 @@ def _other_blocks():
 def bucket_links(buckets: DataFrame, cut: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that connect the candidates of every bucket (path, key, n), each bucket apart.
 
-    A bucket of up to SKETCH_BLOCK members is one block. In a larger one, members near a pivot link
-    to it, and families of pivots that share members are one group already: only blocks of different
+    A bucket of up to DEALT * SKETCH_BLOCK members is one block. In a larger one, members near a pivot
+    link to it, and families of pivots that share members are one group already: only blocks of different
     groups, and of members near no pivot, are compared, and a block pair links groups, not members.
     A bucket of n texts that are all alike so takes n rows, not n times its blocks."""
     rows = buckets.join(cut, "key")
-    fits = F.col("n") <= SKETCH_BLOCK
+    fits = F.col("n") <= DEALT * SKETCH_BLOCK
     empty = F.lit(None).cast("string").alias("family")
     own = rows.where(fits).select(F.xxhash64("path").alias("gid"), "path", F.lit(2).alias("side"), "key", "cut", empty)
     large = stored(rows.where(~fits), "large-buckets")
@@ -579,10 +642,10 @@ def similar_classes(
         ),
         "classes",
     )
-    buckets = final_buckets(classes, runs_needed(recall), threshold)
+    buckets, near = final_buckets(classes, runs_needed(recall), threshold)
     # one byte of each sketch value is enough to compare; the sketches join only shared buckets
     cut = classes.select("key", _low_bytes(F.col("sketch")).alias("cut"))
-    candidates = stored(bucket_links(buckets, cut, threshold), "candidates")
+    candidates = stored(bucket_links(buckets, cut, threshold).unionByName(near), "candidates")
     groups_of = connected_components(candidates)
     members = classes.join(groups_of, classes["key"] == groups_of["node"]).select(
         "key", F.col("component").alias("root"), "size", "copies", "least_id"

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from blotter.llm import (
@@ -25,7 +26,7 @@ from blotter.llm import (
     toxicity,
     warc,
 )
-from blotter.llm.common import prepare, read
+from blotter.llm.common import prepare, read, stored
 from blotter.llm.labelled import labelled_sample
 
 LONG = " ".join(f"long{k % 7001}" for k in range(30_000))
@@ -434,6 +435,44 @@ def test_a_block_is_dealt_to_other_groups_only(spark):
     assert got[-1] == [40]
 
 
+def test_similar_texts_and_a_common_passage_are_split_into_small_buckets(spark):
+    """Sketches about one centre, some too far from it to link, and strangers that share a passage: no
+    bucket keeps them together, rows grow with the members, and pairs at the threshold are connected."""
+    rows, least = {}, 102
+    for n in (1000, 4000):
+        rng = np.random.RandomState(3)
+        half, pairs = n // 2, n // 20
+        centres = rng.randint(0, 1 << 32, (2, 128), dtype=np.uint64)
+        own = rng.randint(0, 1 << 32, (n, 128), dtype=np.uint64)
+        share = np.r_[rng.choice([0.45, 0.6, 0.75, 0.85, 0.95], half), np.full(half, 0.35)][:, None]
+        values = np.where(rng.rand(n, 128) < share, np.repeat(centres, half, axis=0), own)
+        # the pairs: of each half, the first and the next few
+        left = np.r_[0:pairs, half : half + pairs]
+        values[left + pairs] = np.where(rng.rand(len(left), 128) < 0.82, values[left], own[left + pairs])
+        made = [(f"k{k}", v.astype("<u4").tobytes()) for k, v in enumerate(values)]
+        classes = spark.createDataFrame(made, "key string, sketch binary")
+        buckets, near = ngram_join.final_buckets(classes, ngram_join.runs_needed(), 0.8)
+        buckets, near = stored(buckets, "buckets"), stored(near, "near")
+        assert buckets.agg({"n": "max"}).first()[0] <= ngram_join.LIMIT
+        rows[n] = buckets.count() + near.count()
+        cut = classes.select("key", ngram_join._low_bytes(classes["sketch"]).alias("cut"))
+        links = ngram_join.bucket_links(buckets, cut, 0.8).unionByName(near).collect()
+        root = groups_of(n, [(int(r["a"][1:]), int(r["b"][1:])) for r in links])
+        found = [root[k] == root[k + pairs] for k in left if np.sum(values[k] == values[k + pairs]) >= least]
+        assert len(found) > n // 20 and all(found)
+    assert rows[4000] < 5 * rows[1000]
+
+
+def test_small_groups_and_strangers_share_blocks():
+    counted = [{"mask": 0, "n": 30}, {"mask": 1, "n": 10}, {"mask": 2, "n": 20}, {"mask": 12, "n": 90}, {"mask": 4, "n": 70}]
+    kind = pa.list_(pa.struct([("mask", pa.int32()), ("n", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), pa.array([counted], kind), pa.array([100])], names=["path", "counted", "block"])
+    (got,) = ngram_join._bucket_groups(iter([batch]))
+    assert {r["mask"]: (r["family"], r["begin"], r["blocks"], r["total"]) for r in got.to_pylist()} == {
+        0: (-1, 0, 1, 3), 1: (-1, 0, 1, 3), 2: (-1, 0, 1, 3), 4: (12, 1, 2, 3), 12: (12, 1, 2, 3)
+    }
+
+
 def test_runs_reach_the_recall_in_the_deepest_buckets(spark, monkeypatch):
     chance = 1.0
     for _ in range(ngram_join.DEPTH):
