@@ -4,7 +4,8 @@ Texts of equal shingle sets form a class; class representatives are joined:
 
 * A minhash sketch samples shared tokens. In each run, every set chooses tokens of its sketch by
   a hash of the path so far and the token, about one token in expectation at the threshold, and
-  goes to the child buckets of the chosen tokens. Buckets above ``LIMIT`` are split again, by the
+  goes to the child buckets of the chosen tokens. Frequent tokens, as a sample tells them, are left
+  to the sets that hold little else: strangers do not meet by a common line. Buckets above ``LIMIT`` are split again, by the
   tokens that most of the bucket does not hold: those would only make the same bucket anew. Sets
   that hold enough of a bucket's common tokens link to one of them, and a set chooses the more of
   its other tokens the more common ones it holds, so that similar sets still share about one.
@@ -45,6 +46,10 @@ LIMIT = 128
 DEPTH = 5
 #: The depth at which the runs reach the recall: that of the deepest buckets.
 PLANNED_DEPTH = DEPTH
+#: Sets in which tokens of more holders than LIMIT are looked for, and in how many of these such a token
+#: is at least seen: there are so at most about 65,536.
+FREQUENT_SAMPLE = 8192
+FREQUENT_SEEN = 16
 #: A token that this share of a bucket holds is common in it, as seen in about SAMPLE members.
 COMMON = 0.5
 SAMPLE = 32
@@ -131,6 +136,33 @@ def with_key(docs: DataFrame, name: str, width: int = WIDTH) -> DataFrame:
 # --- chosen paths --------------------------------------------------------------------------
 
 
+def frequent_tokens(classes: DataFrame) -> np.ndarray:
+    """Sorted tokens (place in the sketch above the value) that more than LIMIT sets hold, as told by a
+    sample whose size does not grow with the sets."""
+    every = max(classes.count() // FREQUENT_SAMPLE, 1)
+    least = max(LIMIT / every, FREQUENT_SEEN)
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = rows_of(batch.column("sketch"), "<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(SKETCH), pa.int32()), pa.array([v.tobytes() for v in values.T], pa.binary())],
+                    names=["place", "seen"],
+                )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, seen in zip(batch.column("place").to_pylist(), batch.column("seen").to_pylist(), strict=True):
+                value, held = np.unique(np.frombuffer(b"".join(seen), dtype="<u4"), return_counts=True)
+                tokens = value[held > least].astype(np.int64) + (place + 1 << 32)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens)], names=["token"])
+
+    sample = classes.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("sketch")
+    seen = sample.mapInArrow(columns, "place int, seen binary").groupBy("place").agg(F.collect_list("seen").alias("seen"))
+    return np.sort(np.array([r["token"] for r in seen.mapInArrow(count, "token long").collect()], dtype=np.uint64))
+
+
 def common_tokens_of(large: DataFrame, threshold: float) -> DataFrame:
     """Per bucket of ``large`` (path, n, key, sketch): ``centre`` (a sketch), ``common`` (a byte per
     value: 1 where most of the bucket holds that of the centre) and ``pivot``, a member that holds
@@ -162,14 +194,17 @@ def common_tokens_of(large: DataFrame, threshold: float) -> DataFrame:
     return seen.mapInArrow(look, "path long, centre binary, common binary, pivot string")
 
 
-def child_paths(rows: DataFrame, runs: int, threshold: float) -> DataFrame:
+def child_paths(rows: DataFrame, runs: int, threshold: float, frequent: np.ndarray | None = None) -> DataFrame:
     """key and path for the tokens that each set chooses below its bucket, and in one row of each set
     that is a candidate of its bucket's centre the pivot. Rows: key, sketch and, below the roots, path
     (their bucket) with its centre, common and pivot.
 
     Two similar sets share at least ``threshold`` of their tokens; what the one that holds fewer common
     ones has not among these, they share of the others. So each chooses of its others one in as many
-    as are left: a token that both hold is chosen by both if by the one of fewer common ones."""
+    as are left: a token that both hold is chosen by both if by the one of fewer common ones.
+
+    At the roots the ``frequent`` tokens are the common ones, up to half of what similar sets share. Sets
+    that hold more of them choose of these too, as if none was frequent: two such sets may share no others."""
     below = "path" in rows.columns
     least = _least_equal(threshold)
 
@@ -182,17 +217,19 @@ def child_paths(rows: DataFrame, runs: int, threshold: float) -> DataFrame:
             values = rows_of(table.column("sketch"), "<u4")
             tokens = values.astype(np.uint64)
             tokens += np.arange(1, SKETCH + 1, dtype=np.uint64)[None, :] << np.uint64(32)
+            held = np.isin(tokens, frequent) if not below else None
             tokens = mixed(tokens)
-            held = np.zeros(values.shape, dtype=bool)
             if below:
                 parents = [table.column("path").to_numpy().view(np.uint64)[:, None]]
                 held = (values == rows_of(table.column("centre"), "<u4")) & (rows_of(table.column("common"), np.uint8) == 1)
             else:
                 parents = [mixed(np.full((1, 1), r + 1, dtype=np.uint64)) for r in range(runs)]
             many = np.count_nonzero(held, axis=1)
-            left = np.maximum(threshold * SKETCH - np.minimum(many, max(least - 1, 0)), 1.0)
-            bound = np.minimum(2.0**64 / left, 2.0**64 - 4096).astype(np.uint64)[:, None]
-            found = [np.nonzero((mixed(tokens ^ p) < bound) & ~held) for p in parents]
+            most = max(least - 1, 0) if below else threshold * SKETCH / 2
+            bound = np.where(held, np.uint64(0), _one_in(threshold * SKETCH - np.minimum(many, most))[:, None])
+            if not below:
+                bound[held & (many > most)[:, None]] = _one_in(threshold * SKETCH)
+            found = [np.nonzero(mixed(tokens ^ p) < bound) for p in parents]
             row = np.concatenate([f[0] for f in found])
             with np.errstate(over="ignore"):
                 path = np.concatenate(
@@ -222,11 +259,16 @@ def child_paths(rows: DataFrame, runs: int, threshold: float) -> DataFrame:
     return rows.select(*columns).mapInArrow(choose, "key string, path long, pivot string")
 
 
+def _one_in(left):
+    """The bound below which one in ``left`` of all hashes are."""
+    return np.minimum(2.0**64 / np.maximum(left, 1.0), 2.0**64 - 4096).astype(np.uint64)
+
+
 def final_buckets(classes: DataFrame, runs: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """key, path, n of the buckets to compare: no set is dropped but those alone in a bucket. And the
     links (a, b) of sets to the pivots of buckets that were split."""
     done, near = [], []
-    rows = child_paths(classes, runs, threshold)
+    rows = child_paths(classes, runs, threshold, frequent_tokens(classes))
     for depth in range(1, DEPTH + 1):
         level = stored(rows, f"paths-{depth}")
         near.append(level.where("pivot IS NOT NULL AND pivot <> key").select(F.col("key").alias("a"), F.col("pivot").alias("b")))

@@ -463,6 +463,34 @@ def test_similar_texts_and_a_common_passage_are_split_into_small_buckets(spark):
     assert rows[4000] < 5 * rows[1000]
 
 
+def test_strangers_of_a_common_line_do_not_meet_by_it(spark):
+    """Sets that share a third of their tokens with all and little else: no bucket is split for them, rows
+    grow with the sets, and pairs at the threshold are connected, also those of frequent tokens only."""
+    for n in (1000, 3000):
+        rng = np.random.RandomState(4)
+        pairs = n // 20
+        line = rng.randint(0, 1 << 32, 128, dtype=np.uint64)
+        values = np.where(rng.rand(n, 128) < 0.33, line, rng.randint(0, 1 << 32, (n, 128), dtype=np.uint64))
+        left = np.arange(pairs)
+        values[left + pairs] = np.where(rng.rand(pairs, 128) < 0.85, values[left], values[left + pairs])
+        made = [(f"k{k}", v.astype("<u4").tobytes()) for k, v in enumerate(values)]
+        classes = spark.createDataFrame(made, "key string, sketch binary")
+        frequent = ngram_join.frequent_tokens(classes)
+        assert np.array_equal(frequent, np.sort(line + (np.arange(1, 129, dtype=np.uint64) << np.uint64(32))))
+        paths = ngram_join.child_paths(classes, ngram_join.runs_needed(), 0.8, frequent)
+        assert paths.groupBy("path").count().agg({"count": "max"}).first()[0] <= ngram_join.LIMIT
+        buckets, near = ngram_join.final_buckets(classes, ngram_join.runs_needed(), 0.8)
+        cut = classes.select("key", ngram_join._low_bytes(classes["sketch"]).alias("cut"))
+        links = ngram_join.bucket_links(buckets, cut, 0.8).unionByName(near).collect()
+        root = groups_of(n, [(int(r["a"][1:]), int(r["b"][1:])) for r in links])
+        found = [root[k] == root[k + pairs] for k in left if np.sum(values[k] == values[k + pairs]) >= 102]
+        assert len(found) > pairs // 2 and all(found)
+    # more frequent tokens than half of what similar sets share: these are chosen too
+    held = spark.createDataFrame([(k, line.astype("<u4").tobytes()) for k in ("a", "b")], "key string, sketch binary")
+    met = ngram_join.child_paths(held, ngram_join.runs_needed(), 0.8, frequent).groupBy("path").count()
+    assert met.count() > 10 and met.where("count <> 2").isEmpty()
+
+
 def test_small_groups_and_strangers_share_blocks():
     counted = [{"mask": 0, "n": 30}, {"mask": 1, "n": 10}, {"mask": 2, "n": 20}, {"mask": 12, "n": 90}, {"mask": 4, "n": 70}]
     kind = pa.list_(pa.struct([("mask", pa.int32()), ("n", pa.int64())]))
